@@ -1,8 +1,6 @@
 """Vector columns: encoding text and cosine similarity, as Arrow functions over batches."""
 
 import hashlib
-import re
-from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
@@ -34,12 +32,16 @@ def hashing_encoder(dimension: int = 64) -> EncoderFactory:
             return int(hashlib.md5(token.encode()).hexdigest()[:7], 16) % dimension
 
         def encode(texts: Sequence[str]) -> np.ndarray:
-            counts = np.zeros((len(texts), dimension))
-            for row, text in enumerate(texts):
-                for token, times in Counter(re.findall("[a-z0-9]+", text.lower())).items():
-                    counts[row, bucket(token)] += times
+            lowered = pc.utf8_lower(pa.array(texts, pa.large_string()))
+            words = pc.split_pattern_regex(lowered, "[^a-z0-9]+")
+            tokens = pc.list_flatten(words).dictionary_encode()
+            # Each distinct token of the batch is hashed once; column `dimension` takes the "".
+            hashed = np.array([bucket(t) if t else dimension for t in tokens.dictionary.to_pylist()], dtype=np.int64)
+            cells = np.asarray(pc.list_parent_indices(words)) * (dimension + 1) + hashed[np.asarray(tokens.indices)]
+            counts = np.bincount(cells, minlength=len(texts) * (dimension + 1)).astype(np.float64)
+            counts = counts.reshape(len(texts), dimension + 1)[:, :dimension]
             lengths = np.sqrt((counts**2).sum(axis=1, keepdims=True))
-            return np.divide(counts, lengths, out=counts, where=lengths > 0)
+            return np.divide(counts, lengths, out=np.zeros_like(counts), where=lengths > 0)
 
         return encode
 

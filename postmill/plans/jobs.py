@@ -2,8 +2,11 @@
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from postmill import settings
 from postmill.functions.vectors import EncoderFactory
@@ -11,9 +14,9 @@ from postmill.operators import gold
 from postmill.operators.embed import embed_posts
 from postmill.operators.silver import silver_posts
 from postmill.plans.late_top import rows_near_top
+from postmill.schema import bronze_columns
 from postmill.sources.listing import cap_per_channel, flatten_listing
 from postmill.sources.tables import SnapshotTable, append_bronze, overwrite_table, read_table
-from postmill.schema import bronze_columns
 
 
 def ingest_pages(pages: DataFrame, bronze_path: str, limit: int = settings.POSTS_PER_CHANNEL, fmt: str = "parquet") -> int:
@@ -25,21 +28,35 @@ def ingest_pages(pages: DataFrame, bronze_path: str, limit: int = settings.POSTS
     return rows
 
 
-def transform_bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str, fmt: str = "parquet") -> int:
-    bronze = read_table(spark, bronze_path, fmt=fmt)
+def transform_bronze_to_silver(
+    spark: SparkSession,
+    bronze_path: str,
+    silver_path: str,
+    schema: StructType | str | None = None,
+    fmt: str = "parquet",
+) -> int:
+    """Rebuild silver. With ``schema``, bronze's file footers need not be merged first."""
+    bronze = read_table(spark, bronze_path, schema, fmt)
     return overwrite_table(silver_posts(bronze), silver_path, partition_by="subreddit", fmt=fmt)
 
 
 def transform_silver_to_gold(spark: SparkSession, silver_path: str, gold_path: str, fmt: str = "parquet") -> dict[str, int]:
     """Write the five gold tables and return their row counts.
 
-    Silver is not cached: each table's scan reads only its own narrow columns.
+    Silver is not cached: each table's scan reads only its own narrow columns. The writes do
+    not depend on each other and are submitted together, so one's last tasks overlap with the
+    next one's first.
     """
     silver = spark.read.format(fmt).load(silver_path)
     near_top = rows_near_top(silver, "subreddit", "score", settings.TOP_POSTS)
     tables = {name: build(silver) for name, build in gold.ROLLUPS.items()}
     tables["top_posts"] = gold.build_top_posts(near_top)
-    return {name: overwrite_table(df, f"{gold_path}/{name}", fmt=fmt) for name, df in tables.items()}
+    with ThreadPoolExecutor(len(tables)) as pool:
+        writes = {
+            name: pool.submit(inheritable_thread_target(spark)(overwrite_table), df, f"{gold_path}/{name}", fmt=fmt)
+            for name, df in tables.items()
+        }
+        return {name: write.result() for name, write in writes.items()}
 
 
 def build_vector_store(

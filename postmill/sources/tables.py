@@ -1,5 +1,6 @@
 """Tables in folders: JSON lines, Parquet, and Delta where the session has it."""
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -120,13 +121,26 @@ class SnapshotTable:
         older = self._versions()
         rows = overwrite_table(df, self._folder(max(older, default=0) + 1), partition_by)
         for version in older[: -(self.keep - 1)]:
-            files, path = self._files(self._folder(version))
-            files.delete(path, True)
+            self._remove(self._folder(version))
         return rows
 
+    def _remove(self, folder: str) -> None:
+        files, path = self._files(folder)
+        files.delete(path, True)
+
     def upsert(self, batch: DataFrame, key: str, partition_by: str | None = None) -> int:
-        merged = upsert(self.read(), batch, key) if self.exists() else batch
-        return self.replace(merged, partition_by)
+        """Replace and add rows by ``key``, which is unique within ``batch``.
+
+        The batch is written out first: it is read twice below, and its file size tells the
+        optimizer whether the key lookup can be broadcast.
+        """
+        if not self.exists():
+            return self.replace(batch, partition_by)
+        staged = f"{self.root}/incoming-{uuid.uuid4().hex}"
+        batch.write.parquet(staged)
+        rows = self.replace(upsert(self.read(), self.spark.read.parquet(staged), key), partition_by)
+        self._remove(staged)
+        return rows
 
     def count(self) -> int:
         return self.read().count()
