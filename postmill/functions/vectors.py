@@ -2,7 +2,6 @@
 
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,16 +26,17 @@ def hashing_encoder(dimension: int = 64) -> EncoderFactory:
     """
 
     def load() -> Encode:
-        @lru_cache(maxsize=100_000)
         def bucket(token: str) -> int:
-            return int(hashlib.md5(token.encode()).hexdigest()[:7], 16) % dimension
+            # The first seven hex digits of the md5 sum.
+            return (int.from_bytes(hashlib.md5(token.encode()).digest()[:4]) >> 4) % dimension
 
         def encode(texts: Sequence[str]) -> np.ndarray:
             lowered = pc.utf8_lower(pa.array(texts, pa.large_string()))
             words = pc.split_pattern_regex(lowered, "[^a-z0-9]+")
             tokens = pc.list_flatten(words).dictionary_encode()
             # Each distinct token of the batch is hashed once; column `dimension` takes the "".
-            hashed = np.array([bucket(t) if t else dimension for t in tokens.dictionary.to_pylist()], dtype=np.int64)
+            distinct = tokens.dictionary.to_numpy(zero_copy_only=False)
+            hashed = np.array([bucket(t) if t else dimension for t in distinct], dtype=np.int64)
             cells = np.asarray(pc.list_parent_indices(words)) * (dimension + 1) + hashed[np.asarray(tokens.indices)]
             counts = np.bincount(cells, minlength=len(texts) * (dimension + 1)).astype(np.float64)
             counts = counts.reshape(len(texts), dimension + 1)[:, :dimension]
@@ -80,7 +80,7 @@ def encode_with(factory: EncoderFactory, batch_size: int = settings.EMBED_BATCH)
             ]
             yield pa.concat_arrays(parts)
 
-    return F.arrow_udf(run, "array<float>")
+    return _once(run, "array<float>")
 
 
 def unit(vector: Sequence[float]) -> np.ndarray:
@@ -105,7 +105,7 @@ def cosine_to(query: Sequence[float]):
     def run(vectors: pa.Array) -> pa.Array:
         return pa.array(unit_rows(vectors, len(target)) @ target, from_pandas=True)
 
-    return _scalar(run, "double")
+    return _once(lambda batches: map(run, batches), "double")
 
 
 def side_bits_of(planes: np.ndarray):
@@ -116,11 +116,17 @@ def side_bits_of(planes: np.ndarray):
         sides = unit_rows(vectors, planes.shape[1]) @ planes.T >= 0
         return pa.array((sides @ weights).astype(np.int32))
 
-    return _scalar(run, "int")
+    return _once(lambda batches: map(run, batches), "int")
 
 
-def _scalar(run: Callable[[pa.Array], pa.Array], returns: str):
+def _once(run: Callable[[Iterator[pa.Array]], Iterator[pa.Array]], returns: str):
+    """An Arrow function that runs once per row.
+
+    The optimizer copies a deterministic function into every filter on its result, a model
+    run included; one marked as not deterministic stays where it is.
+    """
+
     def batches(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        yield from map(run, arrays)
+        yield from run(arrays)
 
-    return F.arrow_udf(batches, returns)
+    return F.arrow_udf(batches, returns).asNondeterministic()

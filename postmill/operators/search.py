@@ -39,10 +39,8 @@ def nearest(
     keeps its best ``k`` rows (TakeOrderedAndProject). Rows without a direction are left out.
     """
     scored = vectors.withColumn("similarity", cosine_to(query)(F.col(vector_column)))
-    order = [F.desc_nulls_last(F.round("similarity", RANK_DIGITS)), F.asc(id_column)]
-    # The null test comes after the limit, where it cannot be pushed down to run the
-    # similarity a second time. Nulls sort last, so they only fill up places left empty.
-    best = scored.drop(vector_column).orderBy(*order).limit(k).filter("similarity is not null")
+    order = [F.desc(F.round("similarity", RANK_DIGITS)), F.asc(id_column)]
+    best = scored.drop(vector_column).filter("similarity is not null").orderBy(*order).limit(k)
     # At most k rows are left to number in one task.
     rank = F.row_number().over(Window.orderBy(*order))
     return best.withColumns({"distance": 1 - F.col("similarity"), "rank": rank})
