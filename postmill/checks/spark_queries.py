@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 from postmill.checks import fixtures
 from postmill.checks.fixtures import base, bronze, pages, plain_times, table
 from postmill.operators import gold, silver
-from postmill.operators.embed import embed_posts, encode_query
+from postmill.operators.embed import embed_posts
 from postmill.operators.search import (
     in_group,
     nearest,
     nearest_batch,
     nearest_in_buckets,
     presented,
-    search,
+    search_text,
     with_bucket,
 )
 from postmill.plans import jobs
@@ -292,10 +292,10 @@ def semantic_search(spark, d):
     tables.overwrite_table(_silver(spark, d), f"{root}/silver", partition_by="subreddit")
     jobs.build_vector_store(spark, f"{root}/silver", f"{root}/vectors")
     store = tables.SnapshotTable(spark, f"{root}/vectors")
-    return _rounded(search(store.read(), encode_query(QUERY_TEXT)))
+    return _rounded(search_text(store.read(), QUERY_TEXT))
 
 
 @query
 def search_presentation(spark, d):
     records = embed_posts(gold.embedding_candidates(_silver(spark, d)))
-    return presented(search(records, encode_query(QUERY_TEXT), n_results=20, subreddit_filter="All"), fixtures.SITE)
+    return presented(search_text(records, QUERY_TEXT, n_results=20, subreddit_filter="All"), fixtures.SITE)

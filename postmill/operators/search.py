@@ -7,16 +7,20 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from postmill import settings
-from postmill.functions.vectors import RANK_DIGITS, cosine_to, side_bits_of, unit, unit_rows
+from postmill.functions.vectors import RANK_DIGITS, EncoderFactory, cosine_to, side_bits_of, unit, unit_rows
+from postmill.operators.embed import encode_query
 from postmill.operators.ranking import top_n_per_group
 
-# Query vectors held by each task of one pass of the batched search.
+# Query vectors held by each task of one pass of the batched search, and similarities it
+# computes at a time.
 QUERIES_PER_PASS = 4096
+CELLS_AT_A_TIME = 1 << 22
 
 
 def in_group(vectors: DataFrame, group: str | int | None, column: str = "subreddit") -> DataFrame:
@@ -59,6 +63,17 @@ def search(
     )
 
 
+def search_text(
+    vectors: DataFrame,
+    text: str,
+    n_results: int = settings.SEARCH_K,
+    subreddit_filter: str | None = None,
+    encoder: EncoderFactory | None = None,
+) -> DataFrame:
+    """Search by a text, encoded like the records were."""
+    return search(vectors, encode_query(text, encoder), n_results, subreddit_filter)
+
+
 def presented(results: DataFrame, site: str = settings.SITE) -> DataFrame:
     """Search results as shown to a reader: position, percentage, preview, link."""
     return results.select(
@@ -111,7 +126,7 @@ def nearest_batch(
 def _one_pass(
     vectors: DataFrame, part: pa.Table, queries: DataFrame, k: int, query_id: str, id_column: str, vector_column: str
 ) -> DataFrame:
-    wanted = part.filter(pa.compute.is_valid(part[vector_column])).combine_chunks()
+    wanted = part.filter(pc.is_valid(part[vector_column])).combine_chunks()
     ids = wanted[query_id].combine_chunks() if len(wanted) else part[query_id].slice(0, 0)
     matrix = np.array([unit(v) for v in wanted[vector_column].to_pylist()])
     schema = StructType([queries.schema[query_id], vectors.schema[id_column], StructField("similarity", DoubleType())])
@@ -125,12 +140,15 @@ def _one_pass(
         place = np.arange(len(query)) - np.searchsorted(query, query)
         return ordered.filter(pa.array(place < k))
 
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = max(k, CELLS_AT_A_TIME // max(len(matrix), 1))
+        for batch in batches if len(matrix) else ():
+            yield from (batch.slice(start, rows) for start in range(0, len(batch), rows))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = None
         bar = np.full(len(matrix), -np.inf)
-        for batch in batches:
-            if not len(batch) or not len(matrix):
-                continue
+        for batch in blocks(batches):
             scores = np.round(unit_rows(batch[vector_column], matrix.shape[1]) @ matrix.T, RANK_DIGITS)
             scores = np.where(np.isnan(scores), -np.inf, scores)
             if len(scores) > k:

@@ -33,10 +33,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     Only a local session may go without that setting; it then gets a temporary folder.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="postmill-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="postmill-"))
+        shared = context.getCheckpointDir()
     return f"{shared.rstrip('/')}/postmill/{uuid.uuid4().hex}/{name}"
