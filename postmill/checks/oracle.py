@@ -149,13 +149,19 @@ def _weights(name: str, source: str, key: str, text: str) -> str:
   FROM {name}_counts)"""
 
 
-SEARCHED = (
+CANDIDATES = (
     RANKED
     + """,
 candidates AS (
-  SELECT post_id, subreddit, title, substring(content, 1, 2000) AS document FROM ranked WHERE rank <= 100),
-question AS (SELECT 0 AS id, '{text}' AS words)""".format(text=spark_queries.QUERY_TEXT)
+  SELECT post_id, subreddit, title, rank AS place, substring(content, 1, 2000) AS document
+  FROM ranked WHERE rank <= 100)"""
     + _weights("doc", "candidates", "post_id", "document")
+)
+
+SEARCHED = (
+    CANDIDATES
+    + """,
+question AS (SELECT 0 AS id, '{text}' AS words)""".format(text=spark_queries.QUERY_TEXT)
     + _weights("ask", "question", "id", "words")
     + """,
 scored AS (
@@ -169,6 +175,24 @@ found AS (
   FROM scored s JOIN candidates c ON c.post_id = s.post_id)"""
 )
 
+# The best post of each group as query.
+SEARCHED_BY_POST = (
+    CANDIDATES
+    + """,
+sizes AS (SELECT post_id, sqrt(sum(weight * weight)) AS size FROM doc GROUP BY post_id),
+pairs AS (
+  SELECT q.post_id AS query_id, d.post_id, sum(d.weight * coalesce(a.weight, 0)) AS product
+  FROM candidates q CROSS JOIN doc d LEFT JOIN doc a ON a.post_id = q.post_id AND a.dim = d.dim
+  WHERE q.place = 1 GROUP BY q.post_id, d.post_id),
+scored AS (
+  SELECT p.query_id, p.post_id, p.product / (d.size * a.size) AS similarity
+  FROM pairs p JOIN sizes d ON d.post_id = p.post_id JOIN sizes a ON a.post_id = p.query_id),
+found AS (
+  SELECT s.query_id, c.*, s.similarity, CAST(row_number() OVER (
+    PARTITION BY s.query_id ORDER BY round(s.similarity, 9) DESC, c.post_id) AS INT) AS rank
+  FROM scored s JOIN candidates c ON c.post_id = s.post_id)"""
+)
+
 FIRST = """
 first AS (SELECT CAST(arg_min(embedding, vec_id) AS DOUBLE[]) AS target FROM embeddings),
 pool AS (
@@ -177,7 +201,7 @@ pool AS (
 
 def _nearest(where: str = "true") -> str:
     return f"""
-  SELECT vec_id, label, round(raw, 6) AS similarity, round(1 - raw, 6) AS distance,
+  SELECT vec_id, label, round(raw, 6) AS similarity, round(1 - least(raw, 1), 6) AS distance,
          CAST(row_number() OVER (ORDER BY round(raw, 9) DESC, vec_id) AS INT) AS rank
   FROM pool WHERE {where} ORDER BY rank LIMIT 5"""
 
@@ -277,7 +301,9 @@ ORACLE = {
     "vector_search_lsh": f"WITH {FIRST}{PLANES}{_nearest('vec_id IN (SELECT vec_id FROM near)')}",
     "vector_upsert": f"WITH {UPSERTED} SELECT vec_id, label, dim, weight FROM parts WHERE weight <> 0",
     "semantic_search": f"""WITH {SEARCHED} SELECT rank, post_id, document AS content, subreddit, title,
-        round(similarity, 6) AS similarity, round(1 - similarity, 6) AS distance FROM found WHERE rank <= 5""",
+        round(similarity, 6) AS similarity, round(1 - least(similarity, 1), 6) AS distance FROM found WHERE rank <= 5""",
+    "semantic_search_batch": f"""WITH {SEARCHED_BY_POST} SELECT query_id, rank, post_id, document AS content, subreddit,
+        title, round(similarity, 6) AS similarity, round(1 - least(similarity, 1), 6) AS distance FROM found WHERE rank <= 5""",
     "search_presentation": f"""WITH {SEARCHED} SELECT rank AS position, subreddit, title,
         round(similarity * 100, 1) AS match_percent, substring(document, 1, 1500) AS preview,
         'https://example.org/comments/' || post_id AS link FROM found WHERE rank <= 20""",

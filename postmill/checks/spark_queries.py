@@ -13,6 +13,7 @@ from postmill.operators.search import (
     nearest_batch,
     nearest_in_buckets,
     presented,
+    search_batch,
     search_text,
     with_bucket,
 )
@@ -295,6 +296,15 @@ def semantic_search(spark, d):
     return _rounded(search_text(store.read(), QUERY_TEXT))
 
 
+@query
+def semantic_search_batch(spark, d):
+    """The best post of each group asks for posts like itself."""
+    posts = _silver(spark, d)
+    records = embed_posts(gold.embedding_candidates(posts))
+    queries = embed_posts(gold.embedding_candidates(posts, 1)).select(F.col("post_id").alias("query_id"), "embedding")
+    return _rounded(search_batch(records, queries))
+
+
 @query
 def search_presentation(spark, d):
     records = embed_posts(gold.embedding_candidates(_silver(spark, d)))

@@ -103,7 +103,7 @@ def cosine_to(query: Sequence[float]):
     target = unit(query)
 
     def run(vectors: pa.Array) -> pa.Array:
-        return pa.array(unit_rows(vectors, len(target)) @ target, from_pandas=True)
+        return pa.array(np.clip(unit_rows(vectors, len(target)) @ target, -1, 1), from_pandas=True)
 
     return _once(lambda batches: map(run, batches), "double")
 

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ from postmill.operators.ranking import top_n_per_group
 # computes at a time.
 QUERIES_PER_PASS = 4096
 CELLS_AT_A_TIME = 1 << 22
+# Results of one pass (query id, id, similarity, rank) that may be broadcast.
+BROADCAST_ROWS = 500_000
 
 
 def in_group(vectors: DataFrame, group: str | int | None, column: str = "subreddit") -> DataFrame:
@@ -93,44 +96,59 @@ def nearest_batch(
     query_id: str = "query_id",
     id_column: str = "post_id",
     vector_column: str = "embedding",
+    columns: Sequence[str] = (),
     queries_per_pass: int = QUERIES_PER_PASS,
 ) -> DataFrame:
-    """The ``k`` nearest vectors of every query: query id, rank, id and similarity.
+    """The ``k`` nearest vectors of every query: query id, id, similarity, rank, ``columns``.
 
     A pass ships a bounded number of query vectors to the tasks and scans the vectors once;
-    each task multiplies batch by batch and keeps its best ``k`` ids per query, so the pairs
+    each task multiplies block by block and keeps its best ``k`` ids per query, so the pairs
     themselves are never emitted. More queries than fit one pass are split by hash into
-    passes of that size, each with its own scan, and no query is left out.
+    passes of about that size, each with its own scan, and no query is left out.
+
+    Further ``columns`` are looked up afterwards, for the ids found only.
     """
     queries = queries.select(query_id, vector_column)
+    narrow = vectors.select(id_column, vector_column)
+    order = [F.desc("similarity"), F.asc(id_column)]
+
+    def one_pass(part: pa.Table) -> DataFrame:
+        found = top_n_per_group(_best_per_task(narrow, part, queries.schema[query_id], k), [query_id], order, k)
+        if not columns:
+            return found
+        # At most k rows for each query of the pass.
+        small = F.broadcast(found) if len(part) * k <= BROADCAST_ROWS else found
+        return vectors.select(id_column, *columns).join(small, id_column).select(*found.columns, *columns)
+
     first = queries.limit(queries_per_pass + 1).toArrow()
     if len(first) <= queries_per_pass:
-        found = _one_pass(vectors, first, queries, k, query_id, id_column, vector_column)
-    else:
-        # Half-full on average, so an uneven hash still keeps the passes near their size.
-        passes = math.ceil(2 * queries.count() / queries_per_pass)
-        slice_of = F.pmod(F.xxhash64(query_id), F.lit(passes))
-        parts = (queries.filter(slice_of == i).toArrow() for i in range(passes))
-        plans = [
-            _one_pass(vectors, part, queries, k, query_id, id_column, vector_column)
-            for part in parts
-            if len(part)
-        ]
-        found = plans[0]
-        for plan in plans[1:]:
-            found = found.unionByName(plan)
-    order = [F.desc("similarity"), F.asc(id_column)]
-    return top_n_per_group(found, [query_id], order, k)
+        return one_pass(first)
+    # Half-full on average, so that an uneven hash still keeps the passes near their size.
+    passes = math.ceil(2 * queries.count() / queries_per_pass)
+    slice_of = F.pmod(F.xxhash64(query_id), F.lit(passes))
+    parts = (queries.filter(slice_of == i).toArrow() for i in range(passes))
+    return reduce(DataFrame.unionByName, (one_pass(part) for part in parts if len(part)))
 
 
-def _one_pass(
-    vectors: DataFrame, part: pa.Table, queries: DataFrame, k: int, query_id: str, id_column: str, vector_column: str
+def search_batch(
+    vectors: DataFrame,
+    queries: DataFrame,
+    n_results: int = settings.SEARCH_K,
+    subreddit_filter: str | None = None,
 ) -> DataFrame:
+    """``search`` for many queries at once: query_id and the columns of a single search."""
+    pool = in_group(vectors, subreddit_filter)
+    found = nearest_batch(pool, queries, n_results, columns=["document", "subreddit", "title"])
+    return found.withColumnRenamed("document", "content").withColumn("distance", 1 - F.col("similarity"))
+
+
+def _best_per_task(narrow: DataFrame, part: pa.Table, query_field: StructField, k: int) -> DataFrame:
+    """For each task and query of ``part``, the best ``k`` ids of the task's vectors."""
+    query_id, (id_column, vector_column) = query_field.name, narrow.columns
     wanted = part.filter(pc.is_valid(part[vector_column])).combine_chunks()
     ids = wanted[query_id].combine_chunks() if len(wanted) else part[query_id].slice(0, 0)
     matrix = np.array([unit(v) for v in wanted[vector_column].to_pylist()])
-    schema = StructType([queries.schema[query_id], vectors.schema[id_column], StructField("similarity", DoubleType())])
-    narrow = vectors.select(id_column, vector_column)
+    schema = StructType([query_field, narrow.schema[id_column], StructField("similarity", DoubleType())])
 
     def best(candidates: pa.Table) -> pa.Table:
         ordered = candidates.sort_by(
@@ -143,20 +161,25 @@ def _one_pass(
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = max(k, CELLS_AT_A_TIME // max(len(matrix), 1))
         for batch in batches if len(matrix) else ():
-            yield from (batch.slice(start, rows) for start in range(0, len(batch), rows))
+            for start in range(0, len(batch), rows):
+                block = batch.slice(start, rows)
+                yield block.take(pc.sort_indices(block[id_column]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = None
         bar = np.full(len(matrix), -np.inf)
-        for batch in blocks(batches):
-            scores = np.round(unit_rows(batch[vector_column], matrix.shape[1]) @ matrix.T, RANK_DIGITS)
+        for block in blocks(batches):
+            scores = np.round(unit_rows(block[vector_column], matrix.shape[1]) @ matrix.T, RANK_DIGITS)
             scores = np.where(np.isnan(scores), -np.inf, scores)
             if len(scores) > k:
                 bar = np.maximum(bar, np.partition(scores, -k, axis=0)[-k])
-            # Equal scores at the bar stay in, for the id to decide.
-            row, query = np.nonzero((scores >= bar) & np.isfinite(scores))
+            # Of equal scores at the bar, the k lowest ids are enough: many copies of one
+            # vector add k candidates, not all their rows.
+            level = scores == bar
+            level &= np.cumsum(level, axis=0) <= k
+            row, query = np.nonzero(((scores > bar) | level) & np.isfinite(scores))
             fresh = pa.table(
-                {"query": query, id_column: batch[id_column].take(pa.array(row)), "similarity": scores[row, query]}
+                {"query": query, id_column: block[id_column].take(pa.array(row)), "similarity": scores[row, query]}
             )
             kept = best(fresh if kept is None else pa.concat_tables([kept, fresh]))
         if kept is not None:

@@ -168,6 +168,28 @@ def test_batch_search_over_many_arrow_batches(spark):
     assert [(r.query_id, r.post_id) for r in found] == [("q", i) for i in brute_force(values, [1.0] * 6, 9)]
 
 
+def test_batch_search_with_many_copies_of_one_vector(spark):
+    values, _ = random_vectors(spark, 900)
+    values[::3] = values[0]
+    rows = [(f"v{i:03d}", x.tolist()) for i, x in reversed(list(enumerate(values)))]
+    df = spark.createDataFrame(rows, "post_id string, embedding array<float>")
+    queries = spark.createDataFrame([(1, values[0].tolist())], "query_id int, embedding array<float>")
+    for parts in (1, 7):
+        found = search.nearest_batch(df.repartition(parts), queries, 20).orderBy("rank").collect()
+        assert [r.post_id for r in found] == [f"v{3 * i:03d}" for i in range(20)]
+
+
+def test_batch_search_looks_up_columns_by_broadcast(spark):
+    df = records(spark, a=[1.0, 0.0], b=[0.6, 0.8], c=[0.0, 1.0])
+    queries = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 2.0])], "query_id int, embedding array<float>")
+    found = search.search_batch(df, queries, 2, "g")
+    assert sorted(found.columns) == sorted(["query_id", *search.search(df, [1.0, 0.0]).columns])
+    assert rows_of(found, "query_id", "rank", "content") == [
+        (1, 1, "text a"), (1, 2, "text b"), (2, 1, "text c"), (2, 2, "text b")
+    ]
+    assert "BroadcastHashJoin" in plan_of(found) and "SortMergeJoin" not in plan_of(found)
+
+
 def test_batch_search_without_queries_or_vectors(spark):
     _, df = random_vectors(spark, 10)
     queries = df.withColumnRenamed("post_id", "query_id")
@@ -179,8 +201,7 @@ def test_batch_search_emits_at_most_k_rows_per_query_and_task(spark):
     _, df = random_vectors(spark, 500)
     _, queries = random_vectors(spark, 3, seed=2)
     queries = queries.withColumnRenamed("post_id", "query_id")
-    part = queries.toArrow()
-    rows = search._one_pass(df, part, queries, 4, "query_id", "post_id", "embedding")
+    rows = search._best_per_task(df, queries.toArrow(), queries.schema["query_id"], 4)
     assert rows.count() == 5 * 3 * 4
 
 
