@@ -14,9 +14,9 @@ Encode = Callable[[Sequence[str]], np.ndarray]
 # Called once per Python worker and batch stream, so a model is loaded there and not per batch.
 EncoderFactory = Callable[[], Encode]
 
-# Similarities are ranked after rounding to this many digits, so that the order of two equal
-# vectors does not hang on the order of additions.
-RANK_DIGITS = 9
+# Similarities are rounded to this many digits, so that the order of two equal vectors does
+# not hang on the order of additions.
+DIGITS = 9
 
 
 def hashing_encoder(dimension: int = 64) -> EncoderFactory:
@@ -88,14 +88,19 @@ def unit(vector: Sequence[float]) -> np.ndarray:
     return values / np.linalg.norm(values)
 
 
-def unit_rows(vectors: pa.Array, dimension: int) -> np.ndarray:
-    """Vectors as rows of unit length; NaN where missing, zero or of another length."""
+def rows_and_lengths(vectors: pa.Array, dimension: int) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors as matrix rows with their lengths; NaN length where there is no direction,
+    that is for a missing vector, a zero vector or one of another dimension."""
     usable = pc.fill_null(pc.equal(pc.list_value_length(vectors), dimension), False)
-    flat = pc.list_flatten(vectors.filter(usable))
-    rows = np.full((len(vectors), dimension), np.nan)
-    rows[np.asarray(usable)] = flat.to_numpy(zero_copy_only=False).reshape(-1, dimension)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        return rows / np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
+    whole = pc.all(usable, min_count=0).as_py()
+    flat = pc.list_flatten(vectors if whole else vectors.filter(usable))
+    rows = flat.to_numpy(zero_copy_only=False).reshape(-1, dimension).astype(np.float64)
+    if not whole:
+        spread = np.zeros((len(vectors), dimension))
+        spread[np.asarray(usable)] = rows
+        rows = spread
+    lengths = np.sqrt(np.einsum("ij,ij->i", rows, rows))
+    return rows, np.where(lengths > 0, lengths, np.nan)
 
 
 def cosine_to(query: Sequence[float]):
@@ -103,17 +108,23 @@ def cosine_to(query: Sequence[float]):
     target = unit(query)
 
     def run(vectors: pa.Array) -> pa.Array:
-        return pa.array(np.clip(unit_rows(vectors, len(target)) @ target, -1, 1), from_pandas=True)
+        rows, lengths = rows_and_lengths(vectors, len(target))
+        return pa.array(rounded(rows @ target / lengths), from_pandas=True)
 
     return _once(lambda batches: map(run, batches), "double")
 
 
+def rounded(similarities: np.ndarray) -> np.ndarray:
+    return np.round(np.clip(similarities, -1, 1), DIGITS)
+
+
 def side_bits_of(planes: np.ndarray):
     """Arrow function vector -> which side of each plane it lies on, as the bits of an int."""
     weights = 1 << np.arange(len(planes))
 
     def run(vectors: pa.Array) -> pa.Array:
-        sides = unit_rows(vectors, planes.shape[1]) @ planes.T >= 0
+        rows, _ = rows_and_lengths(vectors, planes.shape[1])
+        sides = rows @ planes.T >= 0
         return pa.array((sides @ weights).astype(np.int32))
 
     return _once(lambda batches: map(run, batches), "int")

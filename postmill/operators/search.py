@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from postmill import settings
-from postmill.functions.vectors import RANK_DIGITS, EncoderFactory, cosine_to, side_bits_of, unit, unit_rows
+from postmill.functions.vectors import DIGITS, EncoderFactory, cosine_to, rounded, rows_and_lengths, side_bits_of, unit
 from postmill.operators.embed import encode_query
 from postmill.operators.ranking import top_n_per_group
 
 # Query vectors held by each task of one pass of the batched search, and similarities it
 # computes at a time.
 QUERIES_PER_PASS = 4096
-CELLS_AT_A_TIME = 1 << 22
+CELLS_AT_A_TIME = 1 << 20
 # Results of one pass (query id, id, similarity, rank) that may be broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -46,7 +46,7 @@ def nearest(
     keeps its best ``k`` rows (TakeOrderedAndProject). Rows without a direction are left out.
     """
     scored = vectors.withColumn("similarity", cosine_to(query)(F.col(vector_column)))
-    order = [F.desc(F.round("similarity", RANK_DIGITS)), F.asc(id_column)]
+    order = [F.desc("similarity"), F.asc(id_column)]
     best = scored.drop(vector_column).filter("similarity is not null").orderBy(*order).limit(k)
     # At most k rows are left to number in one task.
     rank = F.row_number().over(Window.orderBy(*order))
@@ -150,13 +150,17 @@ def _best_per_task(narrow: DataFrame, part: pa.Table, query_field: StructField,
     matrix = np.array([unit(v) for v in wanted[vector_column].to_pylist()])
     schema = StructType([query_field, narrow.schema[id_column], StructField("similarity", DoubleType())])
 
-    def best(candidates: pa.Table) -> pa.Table:
+    def best(candidates: pa.Table) -> tuple[pa.Table, np.ndarray]:
+        """The first k candidates of each query, and each query's k-th similarity so far."""
         ordered = candidates.sort_by(
             [("query", "ascending"), ("similarity", "descending"), (id_column, "ascending")]
         )
         query = ordered["query"].to_numpy()
         place = np.arange(len(query)) - np.searchsorted(query, query)
-        return ordered.filter(pa.array(place < k))
+        bar = np.full(len(matrix), -np.inf)
+        last = place == k - 1
+        bar[query[last]] = ordered["similarity"].to_numpy()[last]
+        return ordered.filter(pa.array(place < k)), bar
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = max(k, CELLS_AT_A_TIME // max(len(matrix), 1))
@@ -165,23 +169,34 @@ def _best_per_task(narrow: DataFrame, part: pa.Table, query_field: StructField,
                 block = batch.slice(start, rows)
                 yield block.take(pc.sort_indices(block[id_column]))
 
+    def above(bar: np.ndarray, scores: np.ndarray) -> np.ndarray:
+        """Which scores may still be among the first k; equal ones stay in, for the id to decide."""
+        candidates = scores >= bar - 10.0**-DIGITS
+        if np.count_nonzero(candidates) <= 4 * k * len(matrix):
+            return candidates
+        # At first, or among many copies of one vector: raise the bar to the block's own k-th
+        # score, and of the scores level with it keep the k lowest ids.
+        scores = np.where(np.isnan(scores), -np.inf, rounded(scores))
+        if len(scores) > k:
+            bar = np.maximum(bar, np.partition(scores, -k, axis=0)[-k])
+        level = scores == bar
+        level &= np.cumsum(level, axis=0) <= k
+        return ((scores > bar) | level) & np.isfinite(scores)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = None
-        bar = np.full(len(matrix), -np.inf)
+        kept, bar = None, np.full(len(matrix), -np.inf)
         for block in blocks(batches):
-            scores = np.round(unit_rows(block[vector_column], matrix.shape[1]) @ matrix.T, RANK_DIGITS)
-            scores = np.where(np.isnan(scores), -np.inf, scores)
-            if len(scores) > k:
-                bar = np.maximum(bar, np.partition(scores, -k, axis=0)[-k])
-            # Of equal scores at the bar, the k lowest ids are enough: many copies of one
-            # vector add k candidates, not all their rows.
-            level = scores == bar
-            level &= np.cumsum(level, axis=0) <= k
-            row, query = np.nonzero(((scores > bar) | level) & np.isfinite(scores))
+            rows, lengths = rows_and_lengths(block[vector_column], matrix.shape[1])
+            scores = rows @ matrix.T / lengths[:, None]
+            row, query = np.nonzero(above(bar, scores))
             fresh = pa.table(
-                {"query": query, id_column: block[id_column].take(pa.array(row)), "similarity": scores[row, query]}
+                {
+                    "query": query,
+                    id_column: block[id_column].take(pa.array(row)),
+                    "similarity": rounded(scores[row, query]),
+                }
             )
-            kept = best(fresh if kept is None else pa.concat_tables([kept, fresh]))
+            kept, bar = best(fresh if kept is None else pa.concat_tables([kept, fresh]))
         if kept is not None:
             named = {query_id: ids.take(kept["query"]), id_column: kept[id_column], "similarity": kept["similarity"]}
             yield from pa.table(named).to_batches()
