@@ -68,11 +68,11 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*(columns.get(c, F.col(c)).alias(c) for c in bronze_columns()))
 
 
-def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pages(spark: SparkSession, sf_dir: str, title: str = "title") -> DataFrame:
     """The same posts as listing pages: JSON bodies of at most PAGE_SIZE posts."""
     post = F.struct(
         F.col("post_id").alias("id"),
-        "title",
+        F.col(title).alias("title"),
         "selftext",
         "author",
         "score",

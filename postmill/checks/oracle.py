@@ -257,6 +257,8 @@ records AS (SELECT post_id, substring(content, 1, 2000) AS document FROM silver)
 
 ORACLE = {
     "listing_flatten": f"WITH {PAGED} SELECT * FROM flat",
+    "listing_rejects": f"""WITH {BASE} SELECT subreddit, count(*) AS rejected FROM base WHERE selftext IS NULL
+        GROUP BY subreddit""",
     "channel_cap": f"WITH {PAGED} SELECT subreddit, post_id, page_no, position FROM capped",
     "listing_stream_ingest": f"WITH {PAGED} SELECT subreddit, post_id, title, created_utc FROM capped",
     "json_lines_scan": f"WITH {BRONZE} SELECT * FROM bronze",

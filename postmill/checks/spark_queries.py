@@ -49,6 +49,13 @@ def listing_flatten(spark, d):
     return listing.flatten_listing(pages(spark, d), fixtures.SITE)
 
 
+@query
+def listing_rejects(spark, d):
+    """With the body as title, the posts without a body are incomplete."""
+    rejected = listing.rejected_posts(pages(spark, d, title="selftext"))
+    return rejected.groupBy("subreddit").agg(F.count("*").alias("rejected"))
+
+
 @query
 def channel_cap(spark, d):
     posts = listing.flatten_listing(pages(spark, d), fixtures.SITE)

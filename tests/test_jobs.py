@@ -1,5 +1,6 @@
 import pytest
 from helpers import bronze_of, plan_of, post, rows_of
+from postmill.__main__ import main
 from postmill.checks import fixtures
 from postmill.functions.vectors import hashing_encoder
 from postmill.operators import gold
@@ -108,3 +109,12 @@ def test_landed_pages_are_ingested_once(spark, path):
     bronze = tables.read_table(spark, path("bronze"))
     assert bronze.select("post_id").distinct().count() == 1000
     assert silver_posts(bronze).count() == 1000
+
+
+def test_command_line(spark, path, capsys):
+    tables.write_json_lines(fixtures.pages(spark, SMALL), path("pages"))
+    main(["run", path("pages"), path("root")])
+    assert "vectors: 500 rows" in capsys.readouterr().out
+    main(["search", path("root"), "signup post", "--results", "2", "--group", "signup"])
+    out = capsys.readouterr().out
+    assert out.count("https://reddit.com/comments/p") == 2 and "|signup" in out and "|view" not in out

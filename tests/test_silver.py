@@ -1,4 +1,5 @@
 from datetime import date, timedelta
+from random import Random
 
 import pytest
 from helpers import DAY, bronze_of, plan_of, post, rows_of
@@ -76,6 +77,24 @@ def test_derived_text_columns(spark, title, body, lengths, content):
     assert row.has_selftext is (body is not None)
 
 
+def test_random_texts_clean_like_plain_python(spark):
+    random = Random(7)
+    alphabet = CONTROLS + "   \u00a0[]ab\U0001f600é\u2028"
+    words = ["[removed]", "[deleted]", ""]
+    texts = [random.choice(words) + "".join(random.choices(alphabet, k=random.randrange(9))) for _ in range(2000)]
+    rows = [post(f"p{i}", title=t, selftext=t) for i, t in enumerate(texts)]
+    found = silver.silver_posts(bronze_of(spark, *rows))
+    expected = []
+    for i, t in enumerate(texts):
+        clean = "".join(c for c in t if c not in CONTROLS).strip(" ")
+        body = None if clean in words else clean
+        content = clean if body is None else f"{clean} {body}"
+        expected.append((f"p{i}", clean, body or "", len(clean), len(body or ""), body is not None, content))
+    columns = found.fillna("", ["selftext"])
+    names = ("post_id", "title", "selftext", "title_length", "selftext_length", "has_selftext", "content")
+    assert rows_of(columns, *names) == sorted(expected)
+
+
 def test_derived_times(spark):
     row = silver.add_derived_columns(bronze_of(spark, post())).head()
     assert (row.created_date, row.created_hour, row.day_of_week) == (date(2024, 1, 1), 10, 2)
