@@ -5,7 +5,7 @@ measures have partial aggregates, so a hot group reaches the shuffle as one row
 distinct author count goes through (group, author) first and is spread by author.
 """
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from postmill.schema import EMBED_COLUMNS, TOP_POST_COLUMNS
 class Rollup:
     keys: tuple[str, ...]
     measures: dict[str, str]
-    where: str = field(default="true")
+    where: str = "true"
 
     def __call__(self, df: DataFrame) -> DataFrame:
         columns = [F.expr(sql).alias(name) for name, sql in self.measures.items()]

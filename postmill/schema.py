@@ -9,10 +9,16 @@ BRONZE_DDL = """
     over_18 string, spoiler string, awards_received bigint, ingestion_timestamp timestamp
 """
 
-# One landed listing page. Posts stay variant, because a key that is absent and a key that
-# is null have different defaults.
+# One landed listing page, and the body's JSON. Keys whose default differs between absent and
+# null are variants, since only those keep a JSON null apart; counts are read as doubles, so
+# that 7 and 7.0 are the same.
 PAGE_DDL = "subreddit string, page_no bigint, ingestion_timestamp timestamp, body string"
-LISTING_DDL = "data struct<children array<struct<data variant>>, after string>"
+POST_DDL = """
+    id string, title string, selftext string, author variant, score double, upvote_ratio double,
+    num_comments double, created_utc double, url string, permalink string, is_self variant,
+    link_flair_text string, over_18 variant, spoiler variant, total_awards_received double
+"""
+LISTING_DDL = f"data struct<children array<struct<data struct<{POST_DDL}>>>, after string>"
 
 FLAGS = ("is_self", "over_18", "spoiler")
 

@@ -5,29 +5,24 @@ from pyspark.sql import functions as F
 
 from postmill import settings
 from postmill.operators.ranking import top_n_per_group
-from postmill.schema import LISTING_DDL, bronze_columns
+from postmill.schema import FLAGS, LISTING_DDL, bronze_columns
 
 
-def _value(key: str, kind: str = "string") -> Column:
-    return F.try_variant_get("post", f"$.{key}", kind)
+def _count(key: str) -> Column:
+    return F.coalesce(F.col(key).try_cast("bigint"), F.lit(0))
 
 
-def _is_json_null(key: str) -> Column:
-    return F.coalesce(F.is_variant_null(_value(key, "variant")), F.lit(False))
-
-
-def _number(key: str, kind: str) -> Column:
-    return F.coalesce(_value(key, kind), F.lit(0).cast(kind))
+def _text_of(key: str, absent: str, null: str | None) -> Column:
+    """A variant key as text, with its defaults for an absent key and for a JSON null."""
+    value = F.col(key)
+    text = F.coalesce(F.try_variant_get(value, "$", "string"), F.lit(absent))
+    return F.when(~F.coalesce(F.is_variant_null(value), F.lit(False)), text).otherwise(F.lit(null))
 
 
 def _flag_text(key: str) -> Column:
     """'True'/'False'; 'None' for a null; 'False' when the key is absent."""
-    text = _value(key)
-    return (
-        F.when(_is_json_null(key), "None")
-        .when(text.isin("true", "false"), F.initcap(text))
-        .otherwise(F.coalesce(text, F.lit("False")))
-    )
+    text = _text_of(key, absent="False", null="None")
+    return F.when(text.isin("true", "false"), F.initcap(text)).otherwise(text)
 
 
 def listing_posts(pages: DataFrame, site: str = settings.SITE) -> DataFrame:
@@ -38,30 +33,21 @@ def listing_posts(pages: DataFrame, site: str = settings.SITE) -> DataFrame:
     or unreadable becomes 0.
     """
     children = F.from_json("body", LISTING_DDL)["data"]["children"]
-    posts = pages.select("*", F.posexplode(children).alias("position", "child")).withColumn("post", F.col("child.data"))
-    epoch_micros = F.round(_value("created_utc", "double") * 1_000_000).cast("bigint")
+    page = ["subreddit", "page_no", "ingestion_timestamp"]
+    posts = pages.select(*page, F.posexplode(children).alias("position", "child")).select(*page, "position", "child.data.*")
     columns = {
-        "post_id": _value("id"),
-        "subreddit": F.col("subreddit"),
-        "title": _value("title"),
-        "selftext": F.nullif(_value("selftext"), F.lit("")),
-        "author": F.when(
-            ~_is_json_null("author"), F.coalesce(_value("author"), F.lit(settings.AUTHOR_PLACEHOLDER))
-        ),
-        "score": _number("score", "bigint"),
-        "upvote_ratio": _number("upvote_ratio", "double"),
-        "num_comments": _number("num_comments", "bigint"),
-        "created_utc": F.timestamp_micros(epoch_micros),
-        "url": _value("url"),
-        "permalink": F.concat(F.lit(site), _value("permalink")),
-        "is_self": _flag_text("is_self"),
-        "link_flair_text": _value("link_flair_text"),
-        "over_18": _flag_text("over_18"),
-        "spoiler": _flag_text("spoiler"),
-        "awards_received": _number("total_awards_received", "bigint"),
-        "ingestion_timestamp": F.col("ingestion_timestamp"),
+        "post_id": F.col("id"),
+        "selftext": F.nullif("selftext", F.lit("")),
+        "author": _text_of("author", absent=settings.AUTHOR_PLACEHOLDER, null=None),
+        "score": _count("score"),
+        "upvote_ratio": F.coalesce("upvote_ratio", F.lit(0.0)),
+        "num_comments": _count("num_comments"),
+        "created_utc": F.timestamp_micros(F.round(F.col("created_utc") * 1_000_000).cast("bigint")),
+        "permalink": F.concat(F.lit(site), "permalink"),
+        **{key: _flag_text(key) for key in FLAGS},
+        "awards_received": _count("total_awards_received"),
     }
-    return posts.select(*(columns[c].alias(c) for c in bronze_columns()), "page_no", "position")
+    return posts.select(*(columns.get(c, F.col(c)).alias(c) for c in bronze_columns()), "page_no", "position")
 
 
 def is_complete() -> Column:

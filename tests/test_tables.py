@@ -131,3 +131,9 @@ def test_scratch_is_below_the_shared_folder():
 def test_cluster_needs_a_shared_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.scratch_path(session_with("yarn"), "x")
+
+
+def test_session_settings(spark):
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
