@@ -10,8 +10,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Task groups of the first round in top_n_per_group.
-FAN_IN = 256
+# Slices of map tasks in the first round of top_n_per_group: about the square root of the most
+# tasks expected, so that both rounds see about as many rows of a hot group.
+FAN_IN = 1024
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -1,7 +1,7 @@
 """Bronze to silver, silver to gold, silver to vectors, and all of them in order."""
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -16,7 +16,12 @@ from postmill.operators.silver import silver_posts
 from postmill.plans.late_top import rows_near_top
 from postmill.schema import bronze_columns
 from postmill.sources.listing import cap_per_channel, flatten_listing
-from postmill.sources.tables import SnapshotTable, append_bronze, overwrite_table, read_table
+from postmill.sources.tables import SnapshotTable, append_bronze, overwrite_table, read_table, records_to_bronze
+
+
+def ingest_to_bronze(spark: SparkSession, records: Iterable[dict], bronze_path: str, fmt: str = "parquet") -> int:
+    """Append records held by the caller."""
+    return append_bronze(records_to_bronze(spark, records), bronze_path, fmt)
 
 
 def ingest_pages(pages: DataFrame, bronze_path: str, limit: int = settings.POSTS_PER_CHANNEL, fmt: str = "parquet") -> int:

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from postmill.schema import bronze_columns, bronze_schema
 
-# Fixed format: ISO-8601 with microseconds; Spark's default keeps milliseconds only.
+# Fixed format for writing: ISO-8601 with microseconds; the default keeps milliseconds only.
 JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
@@ -23,8 +23,11 @@ def write_json_lines(df: DataFrame, path: str) -> None:
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """JSON lines under a stated schema (bronze unless given), so no pass to infer types."""
-    return spark.read.schema(schema or bronze_schema()).options(**JSON_TIMES).json(path)
+    """JSON lines under a stated schema (bronze unless given), so no pass to infer types.
+
+    Times may be any ISO-8601 form, with or without a fraction and an offset.
+    """
+    return spark.read.schema(schema or bronze_schema()).json(path)
 
 
 def read_table(
@@ -88,7 +91,7 @@ class SnapshotTable:
     Each write goes to a new folder ``snapshot-<n>``. The newest folder with Spark's
     ``_SUCCESS`` marker is the table, so readers never see a write that is under way or broke
     off, and a query planned before a write still finds its files. The last ``keep`` complete
-    snapshots stay, older ones are removed after a write.
+    snapshots stay, older ones are removed after a write. There may be one writer at a time.
     """
 
     def __init__(self, spark: SparkSession, root: str, keep: int = 3):

@@ -5,7 +5,6 @@ from pyspark.sql import DataFrame, SparkSession
 from postmill import settings
 from postmill.schema import PAGE_DDL, bronze_columns
 from postmill.sources.listing import cap_per_channel, flatten_listing
-from postmill.sources.tables import JSON_TIMES
 
 
 def ingest_landed_pages(
@@ -25,7 +24,7 @@ def ingest_landed_pages(
         posts = cap_per_channel(flatten_listing(pages), limit).select(*bronze_columns())
         posts.write.mode("overwrite").parquet(f"{bronze_path.rstrip('/')}/batch={batch}")
 
-    pages = spark.readStream.schema(PAGE_DDL).options(**JSON_TIMES).json(landing_path)
+    pages = spark.readStream.schema(PAGE_DDL).json(landing_path)
     query = (
         pages.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint_path)

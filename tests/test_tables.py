@@ -1,3 +1,4 @@
+import json
 from datetime import timedelta
 from pathlib import Path
 from types import SimpleNamespace
@@ -6,6 +7,7 @@ import pytest
 from helpers import DAY, bronze_of, plan_of, post, rows_of
 from postmill import session
 from postmill.operators.silver import silver_posts
+from postmill.plans import jobs
 from postmill.sources import tables
 from pyspark.sql import functions as F
 
@@ -19,8 +21,26 @@ def test_json_lines_keep_microseconds(spark, path):
     assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
 
 
-def test_records_to_bronze(spark):
-    assert tables.records_to_bronze(spark, (post(i) for i in "ab")).count() == 2
+@pytest.mark.parametrize(
+    "written, read",
+    [
+        ("2024-01-01T10:30:00+00:00", "2024-01-01 10:30:00"),
+        ("2024-01-01T10:30:00.123456+00:00", "2024-01-01 10:30:00.123456"),
+        ("2024-01-01T12:30:00.5+02:00", "2024-01-01 10:30:00.5"),
+        ("2024-01-01T10:30:00Z", "2024-01-01 10:30:00"),
+        ("junk", None),
+    ],
+)
+def test_iso_times_are_read(spark, path, written, read):
+    Path(path("lines")).write_text(json.dumps({"post_id": "a", "created_utc": written, "score": 5}))
+    row = tables.read_json_lines(spark, path("lines")).select(F.col("created_utc").cast("string"), "score", "url").head()
+    assert tuple(row) == (read, 5, None)
+
+
+def test_records_are_ingested(spark, path):
+    assert jobs.ingest_to_bronze(spark, (post(i) for i in "ab"), path("t")) == 2
+    assert jobs.ingest_to_bronze(spark, [post("c")], path("t")) == 1
+    assert rows_of(tables.read_table(spark, path("t")), "post_id") == [("a",), ("b",), ("c",)]
 
 
 def test_append_merges_new_columns(spark, path):
