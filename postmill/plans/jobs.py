@@ -38,11 +38,15 @@ def transform_bronze_to_silver(
     bronze_path: str,
     silver_path: str,
     schema: StructType | str | None = None,
+    rebalance: bool = True,
     fmt: str = "parquet",
 ) -> int:
-    """Rebuild silver. With ``schema``, bronze's file footers need not be merged first."""
+    """Rebuild silver. With ``schema``, bronze's file footers need not be merged first.
+
+    ``rebalance`` is explained at ``overwrite_table``.
+    """
     bronze = read_table(spark, bronze_path, schema, fmt)
-    return overwrite_table(silver_posts(bronze), silver_path, partition_by="subreddit", fmt=fmt)
+    return overwrite_table(silver_posts(bronze), silver_path, "subreddit", rebalance, fmt)
 
 
 def transform_silver_to_gold(spark: SparkSession, silver_path: str, gold_path: str, fmt: str = "parquet") -> dict[str, int]:

@@ -55,13 +55,19 @@ def append_bronze(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     return _write(batch, path, "append", fmt, {"mergeSchema": "true"})
 
 
-def overwrite_table(df: DataFrame, path: str, partition_by: str | None = None, fmt: str = "parquet") -> int:
+def overwrite_table(
+    df: DataFrame, path: str, partition_by: str | None = None, rebalance: bool = True, fmt: str = "parquet"
+) -> int:
     """Replace a table and its schema; returns the rows written.
 
     A partitioned table is rebalanced by its key first: each task then writes few folders,
-    and AQE cuts a hot key into several tasks and joins small ones.
+    and AQE cuts a hot key into several tasks and joins small ones. That is one more shuffle
+    of whole rows. With few keys and large tasks, where each task's share of a key makes a
+    good file, ``rebalance=False`` saves it.
     """
-    if partition_by:
+    # Without AQE nothing would cut a hot key.
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    if partition_by and rebalance and adaptive:
         df = df.hint("rebalance", F.col(partition_by))
     return _write(df, path, "overwrite", fmt, {"overwriteSchema": "true"}, partition_by)
 

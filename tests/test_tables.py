@@ -84,6 +84,18 @@ def test_partitioned_table_is_pruned_and_few_files_are_written(spark, path):
     assert len(list(Path(path("t")).rglob("*.parquet"))) == 3
 
 
+@pytest.mark.parametrize("rebalance, adaptive", [(False, "true"), (True, "false")])
+def test_partitioned_write_without_rebalancing(spark, path, rebalance, adaptive):
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        rows = spark.range(0, 100, 1, 4).select("id", (F.col("id") % 2).alias("g"))
+        assert tables.overwrite_table(rows, path("t"), "g", rebalance) == 100
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(list(Path(path("t")).rglob("*.parquet"))) == 8
+    assert tables.read_table(spark, path("t")).count() == 100
+
+
 def snapshot(spark, path):
     return tables.SnapshotTable(spark, path("v"))
 
