@@ -84,8 +84,9 @@ def encode_with(factory: EncoderFactory, batch_size: int = settings.EMBED_BATCH)
 
 
 def unit(vector: Sequence[float]) -> np.ndarray:
+    """The direction of a vector; NaN for a zero vector, which is similar to nothing."""
     values = np.asarray(vector, dtype=np.float64)
-    return values / np.linalg.norm(values)
+    return values / (np.linalg.norm(values) or np.nan)
 
 
 def rows_and_lengths(vectors: pa.Array, dimension: int) -> tuple[np.ndarray, np.ndarray]:

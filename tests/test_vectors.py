@@ -179,6 +179,33 @@ def test_batch_search_with_many_copies_of_one_vector(spark):
         assert [r.post_id for r in found] == [f"v{3 * i:03d}" for i in range(20)]
 
 
+@pytest.mark.parametrize("cells", [1, 64, 1000])
+def test_batch_search_in_small_blocks(spark, monkeypatch, cells):
+    monkeypatch.setattr(search, "CELLS_AT_A_TIME", cells)
+    values, df = random_vectors(spark, 300, copies=2)
+    asked, queries = random_vectors(spark, 7, seed=3)
+    found = search.nearest_batch(df, queries.withColumnRenamed("post_id", "query_id"), 5).orderBy("query_id", "rank")
+    expected = [(i, x) for i in range(7) for x in brute_force(values, asked[i], 5)]
+    assert [(r.query_id, r.post_id) for r in found.collect()] == expected
+
+
+def test_batch_search_with_rising_similarities(spark):
+    angles = np.linspace(3.0, 0.0, 2000)
+    rows = [(i, [float(np.cos(a)), float(np.sin(a))]) for i, a in enumerate(angles)]
+    df = spark.createDataFrame(rows, "post_id int, embedding array<float>").coalesce(1)
+    queries = spark.createDataFrame([(1, [1.0, 0.0])], "query_id int, embedding array<float>")
+    found = search.nearest_batch(df, queries, 3).orderBy("rank").collect()
+    assert [r.post_id for r in found] == [1999, 1998, 1997]
+
+
+def test_queries_without_direction_find_nothing(spark):
+    df = records(spark, a=[1.0, 0.0])
+    assert search.search(df, [0.0, 0.0]).count() == 0
+    assert search.search_text(embed_posts(posts_of(spark, a="tea")), "???").count() == 0
+    queries = spark.createDataFrame([(1, [0.0, 0.0])], "query_id int, embedding array<float>")
+    assert search.search_batch(df, queries).count() == 0
+
+
 def test_batch_search_looks_up_columns_by_broadcast(spark):
     df = records(spark, a=[1.0, 0.0], b=[0.6, 0.8], c=[0.0, 1.0])
     queries = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 2.0])], "query_id int, embedding array<float>")
