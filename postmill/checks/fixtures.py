@@ -114,4 +114,4 @@ def label_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def plain_times(df: DataFrame) -> DataFrame:
     """Timestamps without zone, as the SQL side has them."""
     zoned = [f.name for f in df.schema if isinstance(f.dataType, TimestampType)]
-    return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in zoned})
+    return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in zoned}) if zoned else df

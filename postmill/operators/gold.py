@@ -19,11 +19,12 @@ from postmill.schema import EMBED_COLUMNS, TOP_POST_COLUMNS
 class Rollup:
     keys: tuple[str, ...]
     measures: dict[str, str]
-    where: str = "true"
+    where: str | None = None
 
     def __call__(self, df: DataFrame) -> DataFrame:
         columns = [F.expr(sql).alias(name) for name, sql in self.measures.items()]
-        return df.filter(self.where).groupBy(*self.keys).agg(*columns)
+        rows = df.filter(self.where) if self.where else df
+        return rows.groupBy(*self.keys).agg(*columns)
 
 
 def means(**columns: str) -> dict[str, str]:

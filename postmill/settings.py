@@ -6,7 +6,8 @@ AUTHOR_PLACEHOLDER = "[deleted]"
 MISSING_FLAIR = "unflaired"
 SITE = "https://reddit.com"
 
-# Fixed sizes of the stock jobs.
+# Fixed sizes of the stock jobs. EMBED_CHARS is what the stock model reads of a post, and
+# PREVIEW_CHARS what a result shows; the embedding takes whole texts when asked to.
 POSTS_PER_CHANNEL = 500
 TOP_POSTS = 50
 EMBED_TOP = 100
