@@ -1,6 +1,5 @@
 """Session set-up and the shared scratch folder."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,13 +30,11 @@ def get_spark_session(app_name: str = "postmill", master: str | None = None, **c
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder the session names in ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting; it then gets a temporary folder.
+    Where that is unset, a folder in the warehouse takes its place: every session has a
+    warehouse, and all executors of a cluster reach it.
     """
-    context = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="postmill-"))
-        shared = context.getCheckpointDir()
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
+        spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/postmill/{uuid.uuid4().hex}/{name}"
