@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import decontaminate, html_text, language_id, licenses, packing, secrets, simhash, topk
+from postmill.llm import decontaminate, html_text, language_id, licenses, lm_score, packing, secrets, simhash, topk, toxicity
 from postmill.llm.common import table
 
 
@@ -23,6 +23,10 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "license", F.round("dice", 9).alias("dice"), "n_notices")
 
 
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.scored_documents(table(spark, sf_dir, "documents"))
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -37,6 +41,10 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def language_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predicted_languages(table(spark, sf_dir, "documents"))
 
@@ -50,9 +58,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": exact_top_k,
     "op2_license_scan": license_scan,
     "op3_html_main_text": html_main_text,
+    "op4_lm_score": lm_scores,
     "op5_decontamination": decontamination,
     "op6_best_fit_packing": best_fit_packing,
     "op7_simhash_near_dedup": simhash_near_dedup,
+    "op8_toxicity": toxicity_scores,
     "op9_language_id": language_prediction,
     "op10_secret_scan": secret_scan,
 }
