@@ -32,12 +32,14 @@ from pyspark.sql import functions as F
 
 from tokenizers import Tokenizer
 
-from postmill.llm.common import slices, staged, words_of
+from postmill.llm.common import encoded_words, slices, staged
 
 CAPACITY = 4096
 END = 1
-# Distinct parts of words a worker remembers, and parts handed to the tokenizer at a time.
-MEMORY = 500_000
+# Distinct words, and parts of words, a worker remembers; bytes of text looked at together, and parts
+# handed to the tokenizer at a time.
+MEMORY = 400_000
+TEXT_BYTES = 4 << 20
 AT_ONCE = 2000
 
 # Fixed pattern of the tokenizer's own splitting, for lower-case text of ASCII and Latin-1 letters.
@@ -60,11 +62,10 @@ class ChunkTokenizer:
             ends[number] = token.endswith("</w>")
         self.ends = ends
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def _learn(self, parts: list[str]) -> None:
         """Ids of parts that stand alone; each part's last token, and no other, ends a word."""
-        if len(self.known) + len(parts) > MEMORY:
-            self.known.clear()
         for i in range(0, len(parts), AT_ONCE):
             some = parts[i : i + AT_ONCE]
             ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
@@ -76,29 +77,36 @@ class ChunkTokenizer:
                 self.known[part] = raw[at:cut]
                 at = cut
 
+    def _new_words(self, words: list[str]) -> list[bytes]:
+        split = [_PART.findall(w) if _PLAIN.fullmatch(w) else None for w in words]
+        new = dict.fromkeys(p for parts in split if parts for p in parts if p not in self.known)
+        if len(self.known) + len(new) > MEMORY:
+            # Start again with all parts of this call.
+            self.known.clear()
+            new = dict.fromkeys(p for parts in split if parts for p in parts)
+        self._learn(list(new))
+        known = self.known
+        ids = [
+            (known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])) if parts else self._whole(word)
+            for word, parts in zip(words, split, strict=True)
+        ]
+        if len(self.words) + len(words) > MEMORY:
+            self.words.clear()
+        self.words.update(zip(words, ids, strict=True))
+        return ids
+
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text, as little-endian 32-bit numbers."""
-        words, counts = words_of(texts)
-        coded = pc.dictionary_encode(words)
-        coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
-        distinct = coded.dictionary.to_pylist()
-        split = [_PART.findall(w) if _PLAIN.fullmatch(w) else None for w in distinct]
-        known = self.known
-        new = dict.fromkeys(p for parts in split if parts for p in parts if p not in known)
-        if new:
-            if len(known) + len(new) > MEMORY:
-                # Start again with all parts of this call.
-                known.clear()
-                new = dict.fromkeys(p for parts in split if parts for p in parts)
-            self._learn(list(new))
-        ids = [
-            (known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])) if parts else self._whole(word)
-            for word, parts in zip(distinct, split, strict=True)
-        ]
-        order = coded.indices.to_pylist()
+        codes, words, counts = encoded_words(texts)
+        distinct = words.to_pylist()
+        ids = [self.words.get(w) for w in distinct]
+        new = [i for i, known in enumerate(ids) if known is None]
+        for i, found in zip(new, self._new_words([distinct[i] for i in new]), strict=True):
+            ids[i] = found
+        order = codes.tolist()
         special = pc.fill_null(pc.match_substring(texts, "<|"), False).to_pylist()
         at = 0
         for row, n in enumerate(counts.tolist()):
@@ -128,7 +136,7 @@ def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY, text_column:
         tokenizer, task = tokenizer_of(path), TaskContext.get().partitionId()
         used = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TEXT_BYTES):
                 out: dict[str, list] = {c: [] for c in ("row", "piece", "start", "length", "ids_crc32", "own_rank")}
                 for row, ids in enumerate(tokenizer.encode(part["text"])):
                     ids += end
