@@ -13,7 +13,7 @@ look better than they are. Of a toxic text the window with the most evidence is
 with the most evidence and one more are negatives. After a first round the network itself chooses the windows anew.
 
 Defined results: null, empty and wordless texts score 0 and are predicted 0, as do all texts when a class has no examples; repeated
-rows each get a score; documents with several label rows are learned from once per row, rows without a label not at all.
+rows each get a score and are learned from once; rows without a label are not learned from.
 """
 
 from collections.abc import Iterator
@@ -313,17 +313,18 @@ def _best(text: np.ndarray, evidence: np.ndarray) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_PER_CLASS) -> Model | None:
     """From the texts of ``docs`` with a row in ``labels`` (doc_id, toxic)."""
-    marked = labels.filter("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    rows = docs.select("doc_id", "text").filter("text is not null").join(marked, "doc_id")
-    found = marked.join(docs.select("doc_id"), "doc_id").groupBy("toxic").count().collect()
-    counts = {r["toxic"]: r["count"] for r in found}
+    marked = labels.filter("toxic in (0, 1) and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    counts = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     rates = np.array([counts.get(0, 0), counts.get(1, 0)], np.float64)
+    place = F.xxhash64(F.lit("toxic"), "doc_id")
+    chosen = [marked.filter(F.col("toxic") == kind).orderBy(place, "doc_id").limit(per_class) for kind in (0, 1)]
+    # At most 2 * per_class ids are sent to the documents, so no text is shuffled to meet them.
+    ids = F.broadcast(chosen[0].union(chosen[1]).distinct())
+    rows = docs.select("doc_id", "text").filter("text is not null").join(ids, "doc_id")
+    # The bounded sample, one text for an id, and no more, comes to the driver.
+    sample = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).orderBy("doc_id", "toxic").toArrow()
     if not rates.all():
         return None
-    place = F.pmod(F.xxhash64(F.lit("toxic"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    share = F.when(F.col("toxic") == 1, min(1.0, per_class / rates[1])).otherwise(min(1.0, per_class / rates[0]))
-    # The bounded sample, and no more, comes to the driver.
-    sample = rows.filter(place < share).select("doc_id", "text", "toxic").orderBy("doc_id").toArrow()
     return fit(sample["text"].to_pylist(), sample["toxic"].to_numpy().astype(np.float32), rates)
 
 
