@@ -78,8 +78,43 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
+class Lookup:
+    """A hash table from tagged byte strings to their positions in an array."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(10, int(4 * len(keys)).bit_length())
+        self.slot_key = np.zeros(1 << self.bits, np.uint64)  # 0 is no tagged key
+        self.slot_place = np.zeros(1 << self.bits, np.int32)
+        waiting, at = np.arange(len(keys)), self._home(keys)
+        while len(waiting):
+            _, first = np.unique(at, return_index=True)
+            wins = np.zeros(len(waiting), bool)
+            wins[first] = True
+            wins &= self.slot_key[at] == 0
+            self.slot_key[at[wins]] = keys[waiting[wins]]
+            self.slot_place[at[wins]] = waiting[wins]
+            waiting, at = waiting[~wins], (at[~wins] + 1) & ((1 << self.bits) - 1)
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Positions; -1 for strings that are not in the table."""
+        at = self._home(keys)
+        there = self.slot_key[at]
+        out = np.where(there == keys, self.slot_place[at], -1)
+        open_ = np.flatnonzero((there != keys) & (there != 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & ((1 << self.bits) - 1)
+            there = self.slot_key[at[open_]]
+            hit = there == keys[open_]
+            out[open_[hit]] = self.slot_place[at[open_[hit]]]
+            open_ = open_[~hit & (there != 0)]
+        return out
+
+
 class ContextTrees:
-    """The frozen trees: a hash table from byte string to code lengths and escape costs."""
+    """The frozen trees: code lengths of known strings, escape costs of known contexts."""
 
     def __init__(self, languages: list[str], grams: np.ndarray, counts: np.ndarray):
         """``counts[i, l]``: how often language ``l`` has the i-th string of ORDER + 1 bytes."""
@@ -117,57 +152,18 @@ class ContextTrees:
             all_keys.append(keys)
             all_cost.append(cost)
             all_escape.append((unique, escape))
-        nodes = np.concatenate(all_keys)
-        costs = np.concatenate(all_cost).astype(np.float32)
-        escapes = np.zeros_like(costs)
-        order = np.argsort(nodes)
-        self.root_escape = np.zeros(width, np.float32)
-        for unique, escape in all_escape:
-            place = np.searchsorted(nodes, unique, sorter=order)
-            found = nodes[order[np.minimum(place, len(nodes) - 1)]] == unique
-            escapes[order[place[found]]] = escape[found]
-            if len(unique) and unique[0] == 0:
-                self.root_escape = escape[0].astype(np.float32)
-        self._hash(nodes, costs, escapes)
-
-    def _hash(self, nodes: np.ndarray, costs: np.ndarray, escapes: np.ndarray) -> None:
-        self.bits = max(10, int(4 * len(nodes)).bit_length())
-        self.slot_key = np.zeros(1 << self.bits, np.uint64)  # 0 is no tagged key
-        self.slot_node = np.zeros(1 << self.bits, np.int32)
-        self.costs, self.escapes = costs, escapes
-        waiting, at = np.arange(len(nodes)), self._home(nodes)
-        while len(waiting):
-            free = self.slot_key[at] == 0
-            _, first = np.unique(at, return_index=True)
-            wins = np.zeros(len(waiting), bool)
-            wins[first] = True
-            wins &= free
-            self.slot_key[at[wins]] = nodes[waiting[wins]]
-            self.slot_node[at[wins]] = waiting[wins]
-            waiting, at = waiting[~wins], (at[~wins] + 1) & ((1 << self.bits) - 1)
-
-    def _home(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Node numbers; -1 for strings no language knows."""
-        at = self._home(keys)
-        there = self.slot_key[at]
-        out = np.where(there == keys, self.slot_node[at], -1)
-        open_ = np.flatnonzero((there != keys) & (there != 0))
-        while len(open_):
-            at[open_] = (at[open_] + 1) & ((1 << self.bits) - 1)
-            there = self.slot_key[at[open_]]
-            hit = there == keys[open_]
-            out[open_[hit]] = self.slot_node[at[open_[hit]]]
-            open_ = open_[~hit & (there != 0)]
-        return out
+        self.nodes, self.costs = Lookup(np.concatenate(all_keys)), np.concatenate(all_cost).astype(np.float32)
+        # A context need not be a node: nothing precedes the first byte of a text but pad bytes.
+        self.contexts = Lookup(np.concatenate([c for c, _ in all_escape[1:]]))
+        self.escapes = np.concatenate([e for _, e in all_escape[1:]]).astype(np.float32)
+        root = all_escape[0][1]
+        self.root_escape = (root[0] if len(root) else np.zeros(width)).astype(np.float32)
 
     def code_lengths(self, grams: np.ndarray, n: int = ORDER + 1) -> np.ndarray:
         """Bits of the last byte of each string of ``n`` bytes, per language."""
         if n == 0:
             return np.full((len(grams), len(self.languages)), 8.0, np.float32)
-        node = self.find(grams)
+        node = self.nodes.find(grams)
         out = self.costs[node]
         missing = np.flatnonzero(node < 0)
         if len(missing):
@@ -176,7 +172,7 @@ class ContextTrees:
             tag = np.uint64((n - 1) << 8 * (n - 1))
             context = ((rare >> np.uint64(8)) & low) | tag
             if n > 1:
-                at = self.find(context)
+                at = self.contexts.find(context)
                 escape = np.where((at >= 0)[:, None], self.escapes[at], 0)
             else:
                 escape = self.root_escape

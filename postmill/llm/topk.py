@@ -81,7 +81,7 @@ def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Integer inner products of all rows of ``a`` and ``b`` (integers as float64)."""
     if not len(a) or not len(b):
         return np.zeros((len(a), len(b)), np.int64)
-    most = np.abs(a).sum(axis=1).max() * np.abs(b).max()
+    most = np.abs(a).sum(axis=1).max() * np.abs(b).max(initial=0)
     if most < 2.0**53:
         return (a @ b.T).astype(np.int64)
     whole = np.array([[int(x) for x in row] for row in a.tolist()], dtype=object).reshape(a.shape)
