@@ -31,7 +31,8 @@ def main(argv: list[str] | None = None) -> None:
         run_all(spark, read_json_lines(spark, options.landing, PAGE_DDL), options.root, encoder)
     else:
         records = SnapshotTable(spark, f"{options.root}/vectors").read()
-        found = search_text(records, options.text, options.results, options.group, encoder)
+        group = None if options.group == settings.ALL_GROUPS else options.group
+        found = search_text(records, options.text, options.results, group, encoder)
         presented(found).show(options.results, truncate=False)
 
 

@@ -153,7 +153,7 @@ CANDIDATES = (
     RANKED
     + """,
 candidates AS (
-  SELECT post_id, subreddit, title, rank AS place, substring(content, 1, 2000) AS document
+  SELECT post_id, subreddit, title, rank AS place, content AS document
   FROM ranked WHERE rank <= 100)"""
     + _weights("doc", "candidates", "post_id", "document")
 )
@@ -259,8 +259,15 @@ ORACLE = {
     "listing_flatten": f"WITH {PAGED} SELECT * FROM flat",
     "listing_rejects": f"""WITH {BASE} SELECT subreddit, count(*) AS rejected FROM base WHERE selftext IS NULL
         GROUP BY subreddit""",
+    "listing_rejects_by_reason": f"""WITH {PAGED}
+        SELECT subreddit, 'page' AS reason, count(DISTINCT page_no) AS rejected FROM paged WHERE page_no % 3 = 0 GROUP BY subreddit
+        UNION ALL
+        SELECT subreddit, 'incomplete', count(*) FROM paged WHERE page_no % 3 <> 0 AND selftext IS NULL GROUP BY subreddit""",
+    "bronze_from_job_and_stream": f"WITH {PAGED} SELECT * EXCLUDE (page_no, position, ingestion_timestamp) REPLACE ('https://reddit.com/c/' || substring(post_id, 2) AS permalink) FROM flat",
+    "numeric_group_names": f"""WITH {LATEST} SELECT lpad(CAST(score % 20 AS STRING), 3, '0') AS subreddit,
+        count(post_id) AS total_posts, max(score) AS max_score FROM latest GROUP BY ALL""",
     "channel_cap": f"WITH {PAGED} SELECT subreddit, post_id, page_no, position FROM capped",
-    "listing_stream_ingest": f"WITH {PAGED} SELECT subreddit, post_id, title, created_utc FROM capped",
+    "listing_stream_ingest": f"WITH {PAGED} SELECT subreddit, post_id, title, created_utc FROM flat",
     "json_lines_scan": f"WITH {BRONZE} SELECT * FROM bronze",
     "bronze_append_merge": f"""WITH {BRONZE} SELECT *, CASE WHEN ingestion_timestamp = TIMESTAMP '2024-02-02 00:00:00'
         THEN 'seen again: ' || url END AS note FROM bronze""",

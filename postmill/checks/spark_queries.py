@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postmill import settings
 from postmill.checks import fixtures
 from postmill.checks.fixtures import base, bronze, pages, plain_times, table
 from postmill.operators import gold, silver
@@ -18,7 +19,7 @@ from postmill.operators.search import (
     with_bucket,
 )
 from postmill.plans import jobs
-from postmill.schema import bronze_columns
+from postmill.schema import BRONZE_DDL, bronze_columns
 from postmill.session import scratch_path
 from postmill.sources import listing, tables
 from postmill.streaming.landing import ingest_landed_pages
@@ -56,10 +57,40 @@ def listing_rejects(spark, d):
     return rejected.groupBy("subreddit").agg(F.count("*").alias("rejected"))
 
 
+@query
+def listing_rejects_by_reason(spark, d):
+    """Every third page is cut off in the middle, and the other ones' posts without a body are incomplete."""
+    landed = pages(spark, d, title="selftext")
+    cut = F.when(F.col("page_no") % 3 == 0, F.expr("left(body, length(body) div 2)")).otherwise(F.col("body"))
+    return listing.rejects(landed.withColumn("body", cut))
+
+
+@query
+def bronze_from_job_and_stream(spark, d):
+    """Part of the pages by the job, the rest by the stream, all of them read back."""
+    root = scratch_path(spark, "both")
+    landed = pages(spark, d)
+    jobs.ingest_pages(landed.filter("page_no % 2 = 0"), f"{root}/bronze")
+    tables.write_json_lines(landed.filter("page_no % 2 = 1"), f"{root}/pages")
+    ingest_landed_pages(spark, f"{root}/pages", f"{root}/bronze", f"{root}/progress")
+    return tables.read_bronze(spark, f"{root}/bronze").drop("ingestion_timestamp")
+
+
+@query
+def numeric_group_names(spark, d):
+    """Groups named by zero-padded numbers, through silver and gold."""
+    root = scratch_path(spark, "padded")
+    rows = bronze(spark, d).withColumn("subreddit", F.lpad((F.col("score") % 20).cast("string"), 3, "0"))
+    tables.append_bronze(rows, f"{root}/bronze")
+    jobs.transform_bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver", BRONZE_DDL)
+    jobs.transform_silver_to_gold(spark, f"{root}/silver", f"{root}/gold")
+    return tables.read_table(spark, f"{root}/gold/subreddit_summary").select("subreddit", "total_posts", "max_score")
+
+
 @query
 def channel_cap(spark, d):
     posts = listing.flatten_listing(pages(spark, d), fixtures.SITE)
-    return listing.cap_per_channel(posts).select("subreddit", "post_id", "page_no", "position")
+    return listing.cap_per_channel(posts, settings.POSTS_PER_CHANNEL).select("subreddit", "post_id", "page_no", "position")
 
 
 @query
@@ -67,7 +98,7 @@ def listing_stream_ingest(spark, d):
     root = scratch_path(spark, "landing")
     tables.write_json_lines(pages(spark, d), f"{root}/pages")
     ingest_landed_pages(spark, f"{root}/pages", f"{root}/bronze", f"{root}/progress")
-    return tables.read_table(spark, f"{root}/bronze").select("subreddit", "post_id", "title", "created_utc")
+    return tables.read_bronze(spark, f"{root}/bronze").select("subreddit", "post_id", "title", "created_utc")
 
 
 @query
@@ -85,7 +116,7 @@ def bronze_append_merge(spark, d):
     tables.append_bronze(fetches.filter(~second), path)
     noted = fetches.filter(second).withColumn("note", F.concat(F.lit("seen again: "), "url"))
     tables.append_bronze(noted, path)
-    return tables.read_table(spark, path)
+    return tables.read_bronze(spark, path)
 
 
 @query
@@ -113,7 +144,9 @@ def dedup_removed(spark, d):
 
 @query
 def project_columns(spark, d):
-    return bronze(spark, d).select(*bronze_columns())
+    """Back into the stated order, from another one and with further columns."""
+    shuffled = bronze(spark, d).select("*", F.lit("x").alias("note")).select("note", *reversed(bronze_columns()))
+    return shuffled.select(*bronze_columns())
 
 
 # Silver
@@ -237,7 +270,7 @@ def embedding_candidates(spark, d):
 
 @query
 def embed_text(spark, d):
-    vectors = embed_posts(_silver(spark, d)).withColumn("document_length", F.length("document"))
+    vectors = embed_posts(_silver(spark, d), max_chars=settings.EMBED_CHARS).withColumn("document_length", F.length("document"))
     return _coordinates(vectors, "post_id", "document_length")
 
 
@@ -315,4 +348,4 @@ def semantic_search_batch(spark, d):
 @query
 def search_presentation(spark, d):
     records = embed_posts(gold.embedding_candidates(_silver(spark, d)))
-    return presented(search_text(records, QUERY_TEXT, n_results=20, subreddit_filter="All"), fixtures.SITE)
+    return presented(search_text(records, QUERY_TEXT, n_results=20, subreddit_filter=None), fixtures.SITE)

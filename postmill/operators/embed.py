@@ -13,13 +13,12 @@ def embed_posts(
     posts: DataFrame,
     encoder: EncoderFactory | None = None,
     batch_size: int = settings.EMBED_BATCH,
-    max_chars: int | None = settings.EMBED_CHARS,
+    max_chars: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Encode ``content`` on the executors; only that column goes to Python.
 
-    ``max_chars`` is what the stock job's model reads and stores as document; ``None`` encodes
-    the whole text. A small input out of a ranking sits in few partitions: ``partitions``
+    Whole texts are encoded and stored unless ``max_chars`` is given, for a model that reads no more. A small input out of a ranking sits in few partitions: ``partitions``
     spreads it, which pays when the encoder is a model.
     """
     if partitions:

@@ -27,8 +27,8 @@ BROADCAST_ROWS = 500_000
 
 
 def in_group(vectors: DataFrame, group: str | int | None, column: str = "subreddit") -> DataFrame:
-    """Vectors of one group; ``None``, "" and "All" mean no filter. Prunes partitions."""
-    if group in (None, "", settings.ALL_GROUPS):
+    """Vectors of one group; ``None`` and "" mean no filter. Prunes a table partitioned by it."""
+    if group in (None, ""):
         return vectors
     return vectors.filter(F.col(column) == group)
 
@@ -77,14 +77,14 @@ def search_text(
     return search(vectors, encode_query(text, encoder), n_results, subreddit_filter)
 
 
-def presented(results: DataFrame, site: str = settings.SITE) -> DataFrame:
+def presented(results: DataFrame, site: str = settings.SITE, preview_chars: int = settings.PREVIEW_CHARS) -> DataFrame:
     """Search results as shown to a reader: position, percentage, preview, link."""
     return results.select(
         F.col("rank").alias("position"),
         "subreddit",
         "title",
         F.round(F.col("similarity") * 100, 1).alias("match_percent"),
-        F.substring("content", 1, settings.PREVIEW_CHARS).alias("preview"),
+        F.substring("content", 1, preview_chars).alias("preview"),
         F.concat(F.lit(f"{site}/comments/"), "post_id").alias("link"),
     )
 

@@ -6,6 +6,7 @@ taken after placeholders became null.
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from postmill import settings
 from postmill.functions import text
@@ -16,10 +17,14 @@ from postmill.schema import FLAGS
 def deduplicate_posts(df: DataFrame) -> DataFrame:
     """The latest ingested copy of each post.
 
-    Copies of one fetch share the ingestion time, so further keys make the choice repeatable.
+    Copies of one fetch share the ingestion time, so all other columns follow as keys: only copies that are
+    equal in all of them are left to chance.
     """
     latest = [F.desc(c) for c in ("ingestion_timestamp", "score", "num_comments", "upvote_ratio")]
-    return keep_first(df, ["post_id"], [*latest, F.asc("title")])
+    named = ("post_id", "ingestion_timestamp", "score", "num_comments", "upvote_ratio", "title")
+    unordered = (MapType, VariantType)
+    rest = [F.asc(f.name) for f in df.schema if f.name not in named and not isinstance(f.dataType, unordered)]
+    return keep_first(df, ["post_id"], [*latest, F.asc("title"), *rest])
 
 
 def clean_text_fields(df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from postmill import settings
@@ -14,9 +15,9 @@ from postmill.operators import gold
 from postmill.operators.embed import embed_posts
 from postmill.operators.silver import silver_posts
 from postmill.plans.late_top import rows_near_top
-from postmill.schema import bronze_columns
-from postmill.sources.listing import cap_per_channel, flatten_listing
-from postmill.sources.tables import SnapshotTable, append_bronze, overwrite_table, read_table, records_to_bronze
+from postmill.schema import SILVER_DDL, bronze_columns
+from postmill.sources.listing import cap_per_channel, flatten_listing, rejects
+from postmill.sources.tables import SnapshotTable, append_bronze, overwrite_table, read_bronze, records_to_bronze
 
 
 def ingest_to_bronze(spark: SparkSession, records: Iterable[dict], bronze_path: str, fmt: str = "parquet") -> int:
@@ -24,13 +25,17 @@ def ingest_to_bronze(spark: SparkSession, records: Iterable[dict], bronze_path:
     return append_bronze(records_to_bronze(spark, records), bronze_path, fmt)
 
 
-def ingest_pages(pages: DataFrame, bronze_path: str, limit: int = settings.POSTS_PER_CHANNEL, fmt: str = "parquet") -> int:
-    """Append the posts of landed pages to bronze; an empty fetch is an error."""
-    posts = cap_per_channel(flatten_listing(pages), limit).select(*bronze_columns())
-    rows = append_bronze(posts, bronze_path, fmt)
-    if not rows:
+def ingest_pages(pages: DataFrame, bronze_path: str, limit: int | None = None, fmt: str = "parquet") -> int:
+    """Append the posts of landed pages to bronze; an empty fetch is an error and writes nothing.
+
+    All posts are kept unless a ``limit`` per channel and fetch is asked for. ``listing.rejects`` tells what was left out.
+    """
+    posts = flatten_listing(pages)
+    if limit is not None:
+        posts = cap_per_channel(posts, limit)
+    if posts.isEmpty():
         raise ValueError("the pages hold no posts")
-    return rows
+    return append_bronze(posts.select(*bronze_columns()), bronze_path, fmt)
 
 
 def transform_bronze_to_silver(
@@ -45,7 +50,7 @@ def transform_bronze_to_silver(
 
     ``rebalance`` is explained at ``overwrite_table``.
     """
-    bronze = read_table(spark, bronze_path, schema, fmt)
+    bronze = read_bronze(spark, bronze_path, schema, fmt)
     return overwrite_table(silver_posts(bronze), silver_path, "subreddit", rebalance, fmt)
 
 
@@ -56,7 +61,7 @@ def transform_silver_to_gold(spark: SparkSession, silver_path: str, gold_path: s
     not depend on each other and are submitted together, so one's last tasks overlap with the
     next one's first.
     """
-    silver = spark.read.format(fmt).load(silver_path)
+    silver = spark.read.format(fmt).schema(SILVER_DDL).load(silver_path)
     near_top = rows_near_top(silver, "subreddit", "score", settings.TOP_POSTS)
     tables = {name: build(silver) for name, build in gold.ROLLUPS.items()}
     tables["top_posts"] = gold.build_top_posts(near_top)
@@ -75,6 +80,7 @@ def build_vector_store(
     top_n: int = settings.EMBED_TOP,
     encoder: EncoderFactory | None = None,
     batch_size: int = settings.EMBED_BATCH,
+    max_chars: int | None = None,
     replace: bool = False,
     fmt: str = "parquet",
 ) -> int:
@@ -82,9 +88,9 @@ def build_vector_store(
 
     Posts that left the top stay in the table unless ``replace`` is set.
     """
-    silver = spark.read.format(fmt).load(silver_path)
+    silver = spark.read.format(fmt).schema(SILVER_DDL).load(silver_path)
     candidates = gold.embedding_candidates(rows_near_top(silver, "subreddit", "score", top_n), top_n)
-    records = embed_posts(candidates, encoder, batch_size, partitions=spark.sparkContext.defaultParallelism)
+    records = embed_posts(candidates, encoder, batch_size, max_chars, partitions=spark.sparkContext.defaultParallelism)
     table = SnapshotTable(spark, vector_path)
     return table.replace(records) if replace else table.upsert(records, "post_id")
 
@@ -95,18 +101,26 @@ def run_all(
     root: str,
     encoder: EncoderFactory | None = None,
     report: Callable[[str], None] = print,
+    limit: int | None = None,
+    max_chars: int | None = None,
 ) -> dict[str, object]:
-    """All steps in order in one session. A failing step raises, and no later one starts."""
+    """All steps in order in one session. A failing step raises, and no later one starts.
+
+    The result also counts what ingestion rejected, as ``rejected``.
+    """
     root = root.rstrip("/")
     steps = {
-        "bronze": lambda: ingest_pages(pages, f"{root}/bronze"),
+        "bronze": lambda: ingest_pages(pages, f"{root}/bronze", limit),
         "silver": lambda: transform_bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver"),
         "gold": lambda: transform_silver_to_gold(spark, f"{root}/silver", f"{root}/gold"),
-        "vectors": lambda: build_vector_store(spark, f"{root}/silver", f"{root}/vectors", encoder=encoder),
+        "vectors": lambda: build_vector_store(
+            spark, f"{root}/silver", f"{root}/vectors", encoder=encoder, max_chars=max_chars
+        ),
     }
     rows = {}
     for name, step in steps.items():
         started = time.monotonic()
         rows[name] = step()
         report(f"{name}: {rows[name]} rows in {time.monotonic() - started:.1f} s")
+    rows["rejected"] = rejects(pages).agg(F.coalesce(F.sum("rejected"), F.lit(0))).first()[0]
     return rows

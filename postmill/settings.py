@@ -6,8 +6,8 @@ AUTHOR_PLACEHOLDER = "[deleted]"
 MISSING_FLAIR = "unflaired"
 SITE = "https://reddit.com"
 
-# Fixed sizes of the stock jobs. EMBED_CHARS is what the stock model reads of a post, and
-# PREVIEW_CHARS what a result shows; the embedding takes whole texts when asked to.
+# Fixed sizes. POSTS_PER_CHANNEL and EMBED_CHARS are limits a caller may ask for; no job applies them
+# by itself. PREVIEW_CHARS is what a result shows.
 POSTS_PER_CHANNEL = 500
 TOP_POSTS = 50
 EMBED_TOP = 100

@@ -1,5 +1,7 @@
 """Listing pages to bronze rows."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -8,8 +10,23 @@ from postmill.operators.ranking import top_n_per_group
 from postmill.schema import FLAGS, LISTING_DDL, bronze_columns
 
 
+NUMBERS = ("score", "upvote_ratio", "num_comments", "created_utc", "total_awards_received")
+
+
+def _number(key: str) -> Column:
+    return F.col(key).try_cast("double")
+
+
 def _count(key: str) -> Column:
-    return F.coalesce(F.col(key).try_cast("bigint"), F.lit(0))
+    return F.coalesce(_number(key).try_cast("bigint"), F.lit(0))
+
+
+def _unreadable() -> Column:
+    """Whether a number is there and cannot be read as one, or is too large for its column."""
+    whole = [key for key in NUMBERS if key not in ("upvote_ratio", "created_utc")]
+    bad = [F.col(key).isNotNull() & _number(key).isNull() for key in NUMBERS]
+    bad += [_number(key).isNotNull() & _number(key).try_cast("bigint").isNull() for key in whole]
+    return reduce(Column.__or__, bad)
 
 
 def _text_of(key: str, absent: str, null: str | None) -> Column:
@@ -29,8 +46,8 @@ def listing_posts(pages: DataFrame, site: str = settings.SITE) -> DataFrame:
     """Every post of every page as a bronze row, with its ``page_no`` and ``position``.
 
     ``pages`` has subreddit, page_no, ingestion_timestamp and the JSON ``body``. The group is
-    the one that was asked for, not the one named in the post. A number that is absent, null
-    or unreadable becomes 0.
+    the one that was asked for, not the one named in the post. A number may be quoted; one that is absent
+    or null becomes 0, and one that cannot be read marks the post as ``unreadable``.
     """
     children = F.from_json("body", LISTING_DDL)["data"]["children"]
     page = ["subreddit", "page_no", "ingestion_timestamp"]
@@ -40,23 +57,23 @@ def listing_posts(pages: DataFrame, site: str = settings.SITE) -> DataFrame:
         "selftext": F.nullif("selftext", F.lit("")),
         "author": _text_of("author", absent=settings.AUTHOR_PLACEHOLDER, null=None),
         "score": _count("score"),
-        "upvote_ratio": F.coalesce("upvote_ratio", F.lit(0.0)),
+        "upvote_ratio": F.coalesce(_number("upvote_ratio"), F.lit(0.0)),
         "num_comments": _count("num_comments"),
-        "created_utc": F.timestamp_micros(F.round(F.col("created_utc") * 1_000_000).cast("bigint")),
+        "created_utc": F.timestamp_micros(F.round(_number("created_utc") * 1_000_000).try_cast("bigint")),
         "permalink": F.concat(F.lit(site), "permalink"),
         **{key: _flag_text(key) for key in FLAGS},
         "awards_received": _count("total_awards_received"),
     }
-    return posts.select(*(columns.get(c, F.col(c)).alias(c) for c in bronze_columns()), "page_no", "position")
+    return posts.select(*(columns.get(c, F.col(c)).alias(c) for c in bronze_columns()), "page_no", "position", _unreadable().alias("unreadable"))
 
 
 def is_complete() -> Column:
-    """A post needs its id, title and creation time."""
-    return F.col("post_id").isNotNull() & F.col("title").isNotNull() & F.col("created_utc").isNotNull()
+    """A post needs its id, title and creation time, and numbers that can be read."""
+    return ~F.col("unreadable") & F.col("post_id").isNotNull() & F.col("title").isNotNull() & F.col("created_utc").isNotNull()
 
 
 def flatten_listing(pages: DataFrame, site: str = settings.SITE) -> DataFrame:
-    return listing_posts(pages, site).filter(is_complete())
+    return listing_posts(pages, site).filter(is_complete()).drop("unreadable")
 
 
 def rejected_posts(pages: DataFrame) -> DataFrame:
@@ -64,7 +81,19 @@ def rejected_posts(pages: DataFrame) -> DataFrame:
     return listing_posts(pages).filter(~is_complete())
 
 
-def cap_per_channel(posts: DataFrame, limit: int = settings.POSTS_PER_CHANNEL) -> DataFrame:
+def unreadable_pages(pages: DataFrame) -> DataFrame:
+    """Pages whose body is missing or is no JSON, as when a fetch was cut off."""
+    return pages.filter(F.try_parse_json("body").isNull())
+
+
+def rejects(pages: DataFrame) -> DataFrame:
+    """What ingestion leaves out, by group: subreddit, reason and how many."""
+    posts = rejected_posts(pages).select("subreddit", F.when(F.col("unreadable"), "number").otherwise("incomplete").alias("reason"))
+    cut_off = unreadable_pages(pages).select("subreddit", F.lit("page").alias("reason"))
+    return posts.unionAll(cut_off).groupBy("subreddit", "reason").agg(F.count("*").alias("rejected"))
+
+
+def cap_per_channel(posts: DataFrame, limit: int) -> DataFrame:
     """The first ``limit`` posts of each channel and fetch, in page order."""
     fetch = ["subreddit", "ingestion_timestamp"]
     order = [F.asc("page_no"), F.asc("position")]

@@ -7,12 +7,17 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from postmill.operators.ranking import keep_first
 from postmill.schema import bronze_columns, bronze_schema
 
 # Fixed format for writing: ISO-8601 with microseconds; the default keeps milliseconds only.
 JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
+# The folder column that names a batch of bronze.
+BATCH = "batch"
+
+
 def records_to_bronze(spark: SparkSession, records: Iterable[dict]) -> DataFrame:
     """Records held by the caller as a bronze DataFrame; meant for small inputs."""
     return spark.createDataFrame(list(records), bronze_schema())
@@ -41,18 +46,28 @@ def read_table(
     return reader.option("mergeSchema", "true").load(path)
 
 
-def append_bronze(df: DataFrame, path: str, fmt: str = "parquet") -> int:
+def read_bronze(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, fmt: str = "parquet"
+) -> DataFrame:
+    """All rows of bronze, whoever appended them, without the name of the batch."""
+    return read_table(spark, path, schema, fmt).drop(BATCH)
+
+
+def append_bronze(df: DataFrame, path: str, fmt: str = "parquet", batch: str | None = None) -> int:
     """Append a batch and return its row count. Extra columns are kept and merged on read.
 
-    Parquet takes whatever it is given, so the bronze columns are checked first.
+    Parquet takes whatever it is given, so the bronze columns are checked first. Each batch is a folder of
+    its own; a batch that is written again under its name replaces itself.
     """
     found = {f.name: f.dataType for f in df.schema}
     wrong = [f.name for f in bronze_schema() if found.get(f.name) != f.dataType]
     if wrong:
         raise ValueError(f"bronze columns missing or of another type: {wrong}")
     extra = [c for c in df.columns if c not in bronze_columns()]
-    batch = df.select(*bronze_columns(), *extra)
-    return _write(batch, path, "append", fmt, {"mergeSchema": "true"})
+    rows = df.select(*bronze_columns(), *extra)
+    if fmt == "delta":
+        return _write(rows, path, "append", fmt, {"mergeSchema": "true"})
+    return _write(rows, f"{path.rstrip('/')}/{BATCH}={batch or uuid.uuid4().hex}", "overwrite", fmt, {})
 
 
 def overwrite_table(
@@ -87,8 +102,13 @@ def _write(
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """Rows of ``batch`` replace or join those of ``target``; nothing else is removed."""
-    return target.join(batch.select(key), key, "left_anti").unionByName(batch)
+    """Rows of ``batch`` replace or join those of ``target``; nothing else is removed.
+
+    Null keys are one key. Of rows of the batch with the same key the first by its other columns is taken.
+    """
+    batch = keep_first(batch, [key], [F.asc(c) for c in batch.columns if c != key])
+    keys = batch.select(F.col(key).alias("_key"))
+    return target.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_anti").unionByName(batch)
 
 
 class SnapshotTable:
@@ -112,10 +132,10 @@ class SnapshotTable:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(pattern)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
-    def _versions(self) -> list[int]:
-        files, pattern = self._files(f"{self.root}/snapshot-*/_SUCCESS")
-        found = files.globStatus(pattern) or []
-        return sorted(int(s.getPath().getParent().getName().split("-")[1]) for s in found)
+    def _versions(self, marker: str = "/_SUCCESS") -> list[int]:
+        files, pattern = self._files(f"{self.root}/snapshot-*{marker}")
+        found = [s.getPath() for s in files.globStatus(pattern) or []]
+        return sorted(int((p.getParent() if marker else p).getName().split("-")[1]) for p in found)
 
     def exists(self) -> bool:
         return bool(self._versions())
@@ -128,7 +148,11 @@ class SnapshotTable:
 
     def replace(self, df: DataFrame, partition_by: str | None = None) -> int:
         older = self._versions()
-        rows = overwrite_table(df, self._folder(max(older, default=0) + 1), partition_by)
+        # Folders without a marker may be of a write under way: they are never written to.
+        version = max(self._versions(marker=""), default=0) + 1
+        rows = overwrite_table(df, self._folder(version), partition_by)
+        if version not in self._versions():
+            raise RuntimeError("a snapshot needs the _SUCCESS marker that this session has switched off")
         for version in older[: -(self.keep - 1)]:
             self._remove(self._folder(version))
         return rows
@@ -138,7 +162,7 @@ class SnapshotTable:
         files.delete(path, True)
 
     def upsert(self, batch: DataFrame, key: str, partition_by: str | None = None) -> int:
-        """Replace and add rows by ``key``, which is unique within ``batch``.
+        """Replace and add rows by ``key`` (see ``upsert``).
 
         The batch is written out first: it is read twice below, and its file size tells the
         optimizer whether the key lookup can be broadcast.

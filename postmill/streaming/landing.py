@@ -1,10 +1,12 @@
 """Bronze ingestion as a file stream: each run takes the page files landed since the last."""
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
-from postmill import settings
 from postmill.schema import PAGE_DDL, bronze_columns
-from postmill.sources.listing import cap_per_channel, flatten_listing
+from postmill.sources.listing import flatten_listing
+from postmill.sources.tables import append_bronze
 
 
 def ingest_landed_pages(
@@ -12,17 +14,17 @@ def ingest_landed_pages(
     landing_path: str,
     bronze_path: str,
     checkpoint_path: str,
-    limit: int = settings.POSTS_PER_CHANNEL,
 ) -> None:
     """Append the posts of all new page files to bronze, then stop.
 
-    A batch writes its own folder ``batch=<n>`` and replaces it when it is run again, so a
-    run that breaks off between writing and committing leaves no second copy.
+    A batch is one of bronze's batches, named after the stream's progress folder and its number, and replaces
+    itself when it is run again, so a run that breaks off between writing and committing leaves no second
+    copy. A stream keeps all posts: how its files land must not decide which.
     """
+    stream = hashlib.md5(checkpoint_path.encode()).hexdigest()[:12]
 
     def write(pages: DataFrame, batch: int) -> None:
-        posts = cap_per_channel(flatten_listing(pages), limit).select(*bronze_columns())
-        posts.write.mode("overwrite").parquet(f"{bronze_path.rstrip('/')}/batch={batch}")
+        append_bronze(flatten_listing(pages).select(*bronze_columns()), bronze_path, batch=f"{stream}-{batch}")
 
     pages = spark.readStream.schema(PAGE_DDL).json(landing_path)
     query = (

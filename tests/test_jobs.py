@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from helpers import bronze_of, plan_of, post, rows_of
 from postmill.__main__ import main
@@ -118,3 +120,26 @@ def test_command_line(spark, path, capsys):
     main(["search", path("root"), "signup post", "--results", "2", "--group", "signup"])
     out = capsys.readouterr().out
     assert out.count("https://reddit.com/comments/p") == 2 and "|signup" in out and "|view" not in out
+
+
+def test_job_and_stream_share_one_bronze(spark, path):
+    landed = fixtures.pages(spark, SMALL)
+    jobs.ingest_pages(landed, path("bronze"))
+    tables.write_json_lines(landed, path("pages"))
+    for _ in range(2):
+        ingest_landed_pages(spark, path("pages"), path("bronze"), path("progress"))
+    found = tables.read_bronze(spark, path("bronze"))
+    assert found.count() == 2000 and len(found.columns) == 17
+    with pytest.raises(ValueError, match="no posts"):
+        jobs.ingest_pages(landed.limit(0), path("none"))
+    assert not Path(path("none")).exists()
+
+
+def test_group_names_stay_text(spark, path):
+    posts = [post("a", subreddit="007"), post("b", subreddit="08")]
+    tables.append_bronze(bronze_of(spark, *posts), path("bronze"))
+    jobs.transform_bronze_to_silver(spark, path("bronze"), path("silver"))
+    jobs.transform_silver_to_gold(spark, path("silver"), path("gold"))
+    assert rows_of(tables.read_table(spark, path("gold/subreddit_summary")), "subreddit") == [("007",), ("08",)]
+    jobs.build_vector_store(spark, path("silver"), path("vectors"))
+    assert rows_of(tables.SnapshotTable(spark, path("vectors")).read(), "subreddit") == [("007",), ("08",)]

@@ -60,8 +60,23 @@ def test_creation_time_keeps_microseconds(spark):
 
 
 def test_numbers_of_another_type(spark):
-    row = one(spark, score="junk", upvote_ratio=1, num_comments=7.0)
-    assert (row.score, row.upvote_ratio, row.num_comments) == (0, 1.0, 7)
+    row = one(spark, score="12", upvote_ratio="0.5", num_comments=7.0)
+    assert (row.score, row.upvote_ratio, row.num_comments) == (12, 0.5, 7)
+
+
+@pytest.mark.parametrize("key, value", [("score", "junk"), ("num_comments", 1e30), ("created_utc", 1e300), ("upvote_ratio", {})])
+def test_numbers_that_cannot_be_read_are_rejected(spark, key, value):
+    pages = spark.createDataFrame([page({**FULL, key: value}, FULL)], PAGE_DDL)
+    assert listing.flatten_listing(pages).count() == 1
+    assert [r.rejected for r in listing.rejects(pages).collect()] == [1]
+
+
+def test_pages_that_cannot_be_read_are_counted(spark):
+    good = page(FULL, {**FULL, "id": "b"})
+    cut = (*page(FULL, no=1)[:3], good[3][: len(good[3]) // 2])
+    pages = spark.createDataFrame([good, cut, ("g", 2, DAY, None), ("g", 3, DAY, "{}")], PAGE_DDL)
+    assert listing.flatten_listing(pages).count() == 2
+    assert [(r.reason, r.rejected) for r in listing.rejects(pages).collect()] == [("page", 2)]
 
 
 def test_pages_without_posts(spark):

@@ -12,7 +12,7 @@ def con():
     return compare.connect(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(entry_point.QUERIES))
 def test_query_equals_sql(spark, con, name):
     found = entry_point.queries()[name](spark, SMALL).toArrow()
     expected = con.sql(entry_point.oracle_sql()[name]).to_arrow_table()

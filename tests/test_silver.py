@@ -144,3 +144,9 @@ def test_empty_table(spark):
 def test_cleaning_runs_once_per_text(spark):
     plan = plan_of(silver.silver_posts(bronze_of(spark, post())))
     assert plan.count("regexp_replace(selftext") == 1
+
+
+def test_ties_do_not_depend_on_the_order_of_rows(spark):
+    copies = [post("a", selftext=f"v{i}") for i in range(6)]
+    found = [silver.deduplicate_posts(bronze_of(spark, *rows)).head().selftext for rows in (copies, copies[::-1])]
+    assert found == ["v0", "v0"]

@@ -63,7 +63,14 @@ def test_append_refuses_other_types(spark, path):
 def test_append_puts_columns_in_order(spark, path):
     rows = bronze_of(spark, post())
     tables.append_bronze(rows.select(*reversed(rows.columns)), path("t"))
-    assert tables.read_table(spark, path("t")).columns == rows.columns
+    assert tables.read_bronze(spark, path("t")).columns == rows.columns
+
+
+def test_a_batch_written_again_replaces_itself(spark, path):
+    tables.append_bronze(bronze_of(spark, post("a")), path("t"))
+    for _ in range(2):
+        tables.append_bronze(bronze_of(spark, post("b")), path("t"), batch="x")
+    assert rows_of(tables.read_bronze(spark, path("t")), "post_id") == [("a",), ("b",)]
 
 
 def test_overwrite_replaces_rows_and_columns(spark, path):
@@ -143,6 +150,29 @@ def test_reader_of_the_previous_snapshot_still_works(spark, path):
     assert len(list(Path(path("v")).glob("snapshot-*"))) == 3
 
 
+def test_upsert_settles_copies_within_a_batch(spark, path):
+    store = snapshot(spark, path)
+    store.upsert(vectors(spark, a=1, b=2), "post_id")
+    batch = spark.createDataFrame([("b", [9.0]), ("b", [3.0]), (None, [4.0])], "post_id string, embedding array<float>")
+    for _ in range(2):
+        assert store.upsert(batch, "post_id") == 3
+    assert sorted((r[0] or "-", r[1]) for r in store.read().collect()) == [("-", [4.0]), ("a", [1.0]), ("b", [3.0])]
+
+
+def test_snapshots_need_their_markers(spark, path):
+    store = snapshot(spark, path)
+    store.replace(vectors(spark, a=1))
+    key = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set(key, "false")
+    try:
+        with pytest.raises(RuntimeError, match="_SUCCESS"):
+            store.replace(vectors(spark, b=1))
+    finally:
+        conf.unset(key)
+    assert rows_of(store.read(), "post_id") == [("a",)]
+
+
 def test_reading_nothing(spark, path):
     with pytest.raises(ValueError, match="no complete snapshot"):
         snapshot(spark, path).read()
@@ -160,9 +190,12 @@ def test_scratch_is_below_the_shared_folder():
     assert session.scratch_path(session_with("yarn", None, "hdfs:/c"), "x").startswith("hdfs:/c/postmill/")
 
 
-def test_cluster_needs_a_shared_folder():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.scratch_path(session_with("yarn"), "x")
+def test_scratch_is_in_the_warehouse_where_no_folder_is_set():
+    values = {"spark.sql.warehouse.dir": "hdfs:/w"}
+    conf = SimpleNamespace(get=lambda key, default=None: values.get(key, default), set=values.__setitem__)
+    bare = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getCheckpointDir=lambda: None))
+    assert session.scratch_path(bare, "x").startswith("hdfs:/w/checkpoints/postmill/")
+    assert values["spark.checkpoint.dir"] == "hdfs:/w/checkpoints"
 
 
 def test_session_settings(spark):
