@@ -51,7 +51,7 @@ def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret replaced by a mark, and ``n_chars`` counted again."""
-    found = secrets.scan(docs.withColumn("_text", F.col("text")), text_column="_text")
+    found = secrets.with_spans(docs)
     columns = docs.columns
 
     def redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,12 +59,12 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
             for part in slices(batch, "text"):
                 texts = [
                     secrets.redacted(text, [(s["start"], s["end"]) for s in spans]) if spans else text
-                    for text, spans in zip(part["text"].to_pylist(), part["found"].to_pylist(), strict=True)
+                    for text, spans in zip(part["text"].to_pylist(), part["_found"].to_pylist(), strict=True)
                 ]
                 out = {c: part[c] for c in columns} | {"text": pa.array(texts, pa.string())}
                 yield pa.RecordBatch.from_pydict(out)
 
-    cleaned = found.select(*columns, "found").mapInArrow(redact, docs.schema)
+    cleaned = found.select(*columns, "_found").mapInArrow(redact, docs.schema)
     return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*columns)
 
 

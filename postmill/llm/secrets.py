@@ -28,6 +28,7 @@ from postmill.llm.common import slices
 from postmill.session import scratch_path
 
 RULE_VERSION = 1
+BROADCAST_FINDINGS = 50_000
 # Fixed patterns. Kinds in the order in which spans that begin together are listed.
 ASSIGN = re.compile(
     r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII
@@ -118,6 +119,21 @@ def scan(
     return paths.join(ledger.drop("rule_version"), "blob").select(*kept, "blob", "found", "base_sha256", "spans")
 
 
+def with_spans(docs: DataFrame, ledger_path: str | None = None, rule_version: int = RULE_VERSION) -> DataFrame:
+    """All rows of ``docs`` with their text, and ``_found``: their secrets, null where there are none.
+
+    Only findings meet the documents. Up to ``BROADCAST_FINDINGS`` blobs with any, which is checked, they are
+    broadcast and no text moves; beyond, the documents are shuffled by blob.
+    """
+    ledger_path = ledger_path or scratch_path(docs.sparkSession, "ledger")
+    scan_new(docs, ledger_path, rule_version=rule_version)
+    ledger = read_ledger(docs.sparkSession, ledger_path).filter(F.col("rule_version") == rule_version)
+    hits = ledger.filter(F.size("found") > 0).select(F.col("blob").alias("_blob"), F.col("found").alias("_found"))
+    if hits.count() <= BROADCAST_FINDINGS:
+        hits = F.broadcast(hits)
+    return docs.withColumn("_blob", blob_id()).join(hits, "_blob", "left").drop("_blob")
+
+
 def with_counts(findings: DataFrame) -> DataFrame:
     """``n_assign``, ``n_access`` and ``n_hex`` from ``found``."""
 
