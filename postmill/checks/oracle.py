@@ -214,10 +214,11 @@ sides AS (
            * CASE WHEN CAST('0x' || substring(md5(b || ':' || dim), 1, 1) AS INT) % 2 = 0 THEN 1 ELSE -1 END) >= 0
          AS side
   FROM coordinates, range({bits}) AS r(b) GROUP BY vec_id, b),
-near AS (
-  SELECT s.vec_id FROM sides s
+away AS (
+  SELECT s.vec_id, count_if(s.side <> home.side) AS sides FROM sides s
   JOIN sides home ON home.b = s.b AND home.vec_id = (SELECT min(vec_id) FROM embeddings)
-  GROUP BY s.vec_id HAVING count_if(s.side <> home.side) <= 1)""".format(bits=spark_queries.BUCKET_BITS)
+  GROUP BY s.vec_id),
+near AS (SELECT vec_id FROM away WHERE sides <= 1)""".format(bits=spark_queries.BUCKET_BITS)
 
 CENTROIDS = """
 coordinates AS (
@@ -308,6 +309,16 @@ ORACLE = {
                CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(raw, 9) DESC, vec_id) AS INT) AS rank
         FROM scored QUALIFY rank <= 5""",
     "vector_search_lsh": f"WITH {FIRST}{PLANES}{_nearest('vec_id IN (SELECT vec_id FROM near)')}",
+    "vector_search_recall": f"""WITH {FIRST}{PLANES},
+        best AS (SELECT vec_id FROM pool ORDER BY round(raw, 9) DESC, vec_id LIMIT 20)
+        SELECT CAST(r.radius AS INT) AS radius, count(*) / 20 AS recall
+        FROM range({spark_queries.BUCKET_BITS + 1}) AS r(radius) JOIN away ON away.sides <= r.radius
+        JOIN best ON best.vec_id = away.vec_id GROUP BY r.radius""",
+    "vector_search_every_vector": """SELECT q.vec_id AS query_id, v.vec_id,
+               round(list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) AS similarity,
+               CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(
+                   CAST(v.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 9) DESC, v.vec_id) AS INT) AS rank
+        FROM embeddings q, embeddings v QUALIFY rank <= 3""",
     "vector_upsert": f"WITH {UPSERTED} SELECT vec_id, label, dim, weight FROM parts WHERE weight <> 0",
     "semantic_search": f"""WITH {SEARCHED} SELECT rank, post_id, document AS content, subreddit, title,
         round(similarity, 6) AS similarity, round(1 - least(similarity, 1), 6) AS distance FROM found WHERE rank <= 5""",

@@ -1,5 +1,7 @@
 """The registered queries: each takes (spark, sf_dir) and returns a DataFrame."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,12 +16,12 @@ from postmill.operators.search import (
     nearest_batch,
     nearest_in_buckets,
     presented,
-    search_batch,
     search_text,
+    search_texts,
     with_bucket,
 )
 from postmill.plans import jobs
-from postmill.schema import BRONZE_DDL, bronze_columns
+from postmill.schema import BRONZE_DDL, SILVER_DDL, bronze_columns
 from postmill.session import scratch_path
 from postmill.sources import listing, tables
 from postmill.streaming.landing import ingest_landed_pages
@@ -316,6 +318,35 @@ def vector_search_lsh(spark, d):
     return _rounded(nearest_in_buckets(stored, fixtures.first_vector(spark, d), BUCKET_BITS, id_column="vec_id"))
 
 
+@query
+def vector_search_recall(spark, d):
+    """How many of the exact results the buckets within each radius give."""
+    path = scratch_path(spark, "bucketed")
+    bucketed = with_bucket(table(spark, d, "embeddings"), BUCKET_BITS, DIMENSION)
+    tables.overwrite_table(bucketed, path, partition_by="bucket")
+    stored = tables.read_table(spark, path, bucketed.schema)
+    target = fixtures.first_vector(spark, d)
+    exact = nearest(stored.select("vec_id", "embedding"), target, k=20, id_column="vec_id").select("vec_id")
+    found = reduce(
+        DataFrame.unionByName,
+        [
+            nearest_in_buckets(stored, target, BUCKET_BITS, radius, 20, "vec_id").select("vec_id", F.lit(radius).alias("radius"))
+            for radius in range(BUCKET_BITS + 1)
+        ],
+    )
+    hits = F.count("*").cast("double")
+    return found.join(exact, "vec_id", "left_semi").groupBy("radius").agg((hits / 20).alias("recall"))
+
+
+@query
+def vector_search_every_vector(spark, d):
+    """Every vector asks for its nearest three."""
+    vectors = table(spark, d, "embeddings")
+    asked = vectors.select(F.col("vec_id").alias("query_id"), "embedding")
+    found = nearest_batch(vectors, asked, 3, id_column="vec_id", queries_per_cell=256)
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
 @query
 def vector_upsert(spark, d):
     vectors = table(spark, d, "embeddings")
@@ -338,11 +369,13 @@ def semantic_search(spark, d):
 
 @query
 def semantic_search_batch(spark, d):
-    """The best post of each group asks for posts like itself."""
-    posts = _silver(spark, d)
-    records = embed_posts(gold.embedding_candidates(posts))
-    queries = embed_posts(gold.embedding_candidates(posts, 1)).select(F.col("post_id").alias("query_id"), "embedding")
-    return _rounded(search_batch(records, queries))
+    """The text of the best post of each group asks a stored table for posts like it."""
+    root = scratch_path(spark, "semantic")
+    tables.overwrite_table(_silver(spark, d), f"{root}/silver", partition_by="subreddit")
+    jobs.build_vector_store(spark, f"{root}/silver", f"{root}/vectors")
+    stored = tables.read_table(spark, f"{root}/silver", SILVER_DDL)
+    asked = gold.embedding_candidates(stored, 1).select(F.col("post_id").alias("query_id"), F.col("content").alias("text"))
+    return _rounded(search_texts(tables.SnapshotTable(spark, f"{root}/vectors").read(), asked))
 
 
 @query

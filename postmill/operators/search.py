@@ -4,7 +4,6 @@ import hashlib
 import itertools
 import math
 from collections.abc import Iterator, Sequence
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -14,16 +13,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from postmill import settings
-from postmill.functions.vectors import DIGITS, EncoderFactory, cosine_to, rounded, rows_and_lengths, side_bits_of, unit
+from postmill.functions.vectors import (
+    DIGITS,
+    EncoderFactory,
+    cosine_to,
+    encode_with,
+    hashing_encoder,
+    rounded,
+    rows_and_lengths,
+    side_bits_of,
+    unit,
+)
 from postmill.operators.embed import encode_query
 from postmill.operators.ranking import top_n_per_group
+from postmill.sources.tables import staged
 
-# Query vectors held by each task of one pass of the batched search, and similarities it
-# computes at a time.
-QUERIES_PER_PASS = 4096
+# Query vectors held by a task of the batched search, about, and similarities it computes at a time.
+QUERIES_PER_CELL = 4096
 CELLS_AT_A_TIME = 1 << 20
-# Results of one pass (query id, id, similarity, rank) that may be broadcast.
-BROADCAST_ROWS = 500_000
 
 
 def in_group(vectors: DataFrame, group: str | int | None, column: str = "subreddit") -> DataFrame:
@@ -59,10 +66,16 @@ def search(
     n_results: int = settings.SEARCH_K,
     subreddit_filter: str | None = None,
 ) -> DataFrame:
-    """Search vector records; the group filter applies before the ranking."""
-    found = nearest(in_group(vectors, subreddit_filter), query, n_results)
-    return found.select(
-        "rank", "post_id", F.col("document").alias("content"), "subreddit", "title", "similarity", "distance"
+    """Search vector records, whose ids are unique; the group filter applies before the ranking.
+
+    The ranking reads ids and vectors; texts are looked up for the ``n_results`` ids found.
+    """
+    pool = in_group(vectors, subreddit_filter)
+    found = nearest(pool.select("post_id", "embedding"), query, n_results)
+    texts = pool.select("post_id", F.col("document").alias("content"), "subreddit", "title")
+    # At most n_results ids.
+    return texts.join(F.broadcast(found), "post_id").select(
+        "rank", "post_id", "content", "subreddit", "title", "similarity", "distance"
     )
 
 
@@ -97,37 +110,50 @@ def nearest_batch(
     id_column: str = "post_id",
     vector_column: str = "embedding",
     columns: Sequence[str] = (),
-    queries_per_pass: int = QUERIES_PER_PASS,
+    queries_per_cell: int = QUERIES_PER_CELL,
 ) -> DataFrame:
     """The ``k`` nearest vectors of every query: query id, id, similarity, rank, ``columns``.
 
-    A pass ships a bounded number of query vectors to the tasks and scans the vectors once;
-    each task multiplies block by block and keeps its best ``k`` ids per query, so the pairs
-    themselves are never emitted. More queries than fit one pass are split by hash into
-    passes of about that size, each with its own scan, and no query is left out.
+    Queries are written out once and cut by hash into blocks of about ``queries_per_cell``, vectors
+    into slices, so that blocks times slices make up the shuffle width. A cell is one block and one
+    slice, and a task of its own: it holds the block's queries, lets the slice's vectors stream by,
+    and keeps ``k`` ids a query, so the pairs themselves are never emitted. Nothing but the number
+    of queries comes to the driver, and vectors are copied once per block.
 
-    Further ``columns`` are looked up afterwards, for the ids found only.
+    Further ``columns`` are looked up afterwards, for the ids found only; by broadcast where the
+    written result is small enough for the session.
     """
-    queries = queries.select(query_id, vector_column)
-    narrow = vectors.select(id_column, vector_column)
-    order = [F.desc("similarity"), F.asc(id_column)]
-
-    def one_pass(part: pa.Table) -> DataFrame:
-        found = top_n_per_group(_best_per_task(narrow, part, queries.schema[query_id], k), [query_id], order, k)
-        if not columns:
-            return found
-        # At most k rows for each query of the pass.
-        small = F.broadcast(found) if len(part) * k <= BROADCAST_ROWS else found
-        return vectors.select(id_column, *columns).join(small, id_column).select(*found.columns, *columns)
-
-    first = queries.limit(queries_per_pass + 1).toArrow()
-    if len(first) <= queries_per_pass:
-        return one_pass(first)
-    # Half-full on average, so that an uneven hash still keeps the passes near their size.
-    passes = math.ceil(2 * queries.count() / queries_per_pass)
-    slice_of = F.pmod(F.xxhash64(query_id), F.lit(passes))
-    parts = (queries.filter(slice_of == i).toArrow() for i in range(passes))
-    return reduce(DataFrame.unionByName, (one_pass(part) for part in parts if len(part)))
+    asked = staged(queries.select(query_id, vector_column).filter(F.col(vector_column).isNotNull()), "queries")
+    blocks = max(1, math.ceil(asked.count() / queries_per_cell))
+    slices = max(1, math.ceil(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")) / blocks))
+    block, slice_ = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))), F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
+    wanted = asked.select(
+        F.col(query_id).alias("query"),
+        F.col(vector_column).alias("target"),
+        F.pmod(F.xxhash64(query_id), F.lit(blocks)).cast("int").alias("block"),
+        slice_.alias("slice"),
+    )
+    # With the vector itself in the hash, rows that share an id are spread as well.
+    pool = vectors.select(
+        F.col(id_column).alias("id"),
+        F.col(vector_column).alias("vector"),
+        F.pmod(F.xxhash64(id_column, vector_column), F.lit(slices)).cast("int").alias("slice"),
+        block.alias("block"),
+    )
+    both = wanted.unionByName(pool, allowMissingColumns=True).select(
+        (F.col("block") * slices + F.col("slice")).alias("cell"),
+        F.col("target").isNull().alias("is_vector"),
+        "query",
+        "target",
+        "id",
+        "vector",
+    )
+    cells = both.repartitionById(blocks * slices, F.col("cell")).sortWithinPartitions("cell", "is_vector")
+    found = _best_per_cell(cells, k).withColumnsRenamed({"query": query_id, "id": id_column})
+    found = top_n_per_group(found, [query_id], [F.desc("similarity"), F.asc(id_column)], k)
+    if not columns:
+        return found
+    return vectors.select(id_column, *columns).join(staged(found, "found"), id_column).select(*found.columns, *columns)
 
 
 def search_batch(
@@ -142,66 +168,97 @@ def search_batch(
     return found.withColumnRenamed("document", "content").withColumn("distance", 1 - F.col("similarity"))
 
 
-def _best_per_task(narrow: DataFrame, part: pa.Table, query_field: StructField, k: int) -> DataFrame:
-    """For each task and query of ``part``, the best ``k`` ids of the task's vectors."""
-    query_id, (id_column, vector_column) = query_field.name, narrow.columns
-    wanted = part.filter(pc.is_valid(part[vector_column])).combine_chunks()
-    ids = wanted[query_id].combine_chunks() if len(wanted) else part[query_id].slice(0, 0)
-    matrix = np.array([unit(v) for v in wanted[vector_column].to_pylist()])
-    schema = StructType([query_field, narrow.schema[id_column], StructField("similarity", DoubleType())])
-
-    def best(candidates: pa.Table) -> tuple[pa.Table, np.ndarray]:
-        """The first k candidates of each query, and each query's k-th similarity so far."""
-        ordered = candidates.sort_by(
-            [("query", "ascending"), ("similarity", "descending"), (id_column, "ascending")]
+def search_texts(
+    vectors: DataFrame,
+    queries: DataFrame,
+    n_results: int = settings.SEARCH_K,
+    subreddit_filter: str | None = None,
+    encoder: EncoderFactory | None = None,
+) -> DataFrame:
+    """``search_text`` for many texts: ``queries`` has query_id and text, encoded on the executors."""
+    embed = encode_with(encoder or hashing_encoder())
+    return search_batch(vectors, queries.select("query_id", embed(F.col("text")).alias("embedding")), n_results, subreddit_filter)
+
+
+class _Best:
+    """The best ``k`` ids of each of some queries, of all vectors added so far."""
+
+    def __init__(self, queries: pa.Table, k: int):
+        self.ids, self.k = queries["query"].combine_chunks(), k
+        self.matrix = np.array([unit(v) for v in queries["target"].to_pylist()])
+        self.kept, self.bar = None, np.full(len(self.matrix), -np.inf)
+
+    def add(self, vectors: pa.RecordBatch) -> None:
+        rows = max(self.k, CELLS_AT_A_TIME // len(self.matrix))
+        for start in range(0, len(vectors), rows):
+            block = vectors.slice(start, rows)
+            self._add_block(block.take(pc.sort_indices(block["id"])))
+
+    def _add_block(self, block: pa.RecordBatch) -> None:
+        rows, lengths = rows_and_lengths(block["vector"], self.matrix.shape[1])
+        scores = rows @ self.matrix.T / lengths[:, None]
+        row, query = np.nonzero(self._may_be_best(scores))
+        fresh = pa.table(
+            {"query": query, "id": block["id"].take(pa.array(row)), "similarity": rounded(scores[row, query])}
         )
+        both = fresh if self.kept is None else pa.concat_tables([self.kept, fresh])
+        ordered = both.sort_by([("query", "ascending"), ("similarity", "descending"), ("id", "ascending")])
         query = ordered["query"].to_numpy()
         place = np.arange(len(query)) - np.searchsorted(query, query)
-        bar = np.full(len(matrix), -np.inf)
-        last = place == k - 1
-        bar[query[last]] = ordered["similarity"].to_numpy()[last]
-        return ordered.filter(pa.array(place < k)), bar
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = max(k, CELLS_AT_A_TIME // max(len(matrix), 1))
-        for batch in batches if len(matrix) else ():
-            for start in range(0, len(batch), rows):
-                block = batch.slice(start, rows)
-                yield block.take(pc.sort_indices(block[id_column]))
-
-    def above(bar: np.ndarray, scores: np.ndarray) -> np.ndarray:
+        last = place == self.k - 1
+        self.bar[query[last]] = ordered["similarity"].to_numpy()[last]
+        self.kept = ordered.filter(pa.array(place < self.k))
+
+    def _may_be_best(self, scores: np.ndarray) -> np.ndarray:
         """Which scores may still be among the first k; equal ones stay in, for the id to decide."""
-        candidates = scores >= bar - 10.0**-DIGITS
-        if np.count_nonzero(candidates) <= 4 * k * len(matrix):
+        candidates = scores >= self.bar - 10.0**-DIGITS
+        if np.count_nonzero(candidates) <= 4 * self.k * len(self.matrix):
             return candidates
         # At first, or among many copies of one vector: raise the bar to the block's own k-th
         # score, and of the scores level with it keep the k lowest ids.
-        scores = np.where(np.isnan(scores), -np.inf, rounded(scores))
-        if len(scores) > k:
-            bar = np.maximum(bar, np.partition(scores, -k, axis=0)[-k])
+        scores, bar = np.where(np.isnan(scores), -np.inf, rounded(scores)), self.bar
+        if len(scores) > self.k:
+            bar = np.maximum(bar, np.partition(scores, -self.k, axis=0)[-self.k])
         level = scores == bar
-        level &= np.cumsum(level, axis=0) <= k
+        level &= np.cumsum(level, axis=0) <= self.k
         return ((scores > bar) | level) & np.isfinite(scores)
 
+    def batches(self) -> list[pa.RecordBatch]:
+        if self.kept is None:
+            return []
+        named = {"query": self.ids.take(self.kept["query"]), "id": self.kept["id"], "similarity": self.kept["similarity"]}
+        return pa.table(named).to_batches()
+
+
+def _best_per_cell(cells: DataFrame, k: int) -> DataFrame:
+    """The best ``k`` ids of each query within each cell; a cell's queries come before its vectors."""
+
+    def runs(batch: pa.RecordBatch) -> Iterator[tuple[int, bool, pa.RecordBatch]]:
+        """Rows of one cell and kind."""
+        cell, kind = (batch[c].to_numpy(zero_copy_only=False) for c in ("cell", "is_vector"))
+        ends = np.flatnonzero((np.diff(cell) != 0) | (kind[1:] != kind[:-1])) + 1
+        for start, stop in itertools.pairwise([0, *ends.tolist(), len(batch)]):
+            if stop > start:
+                yield int(cell[start]), bool(kind[start]), batch.slice(start, stop - start)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, bar = None, np.full(len(matrix), -np.inf)
-        for block in blocks(batches):
-            rows, lengths = rows_and_lengths(block[vector_column], matrix.shape[1])
-            scores = rows @ matrix.T / lengths[:, None]
-            row, query = np.nonzero(above(bar, scores))
-            fresh = pa.table(
-                {
-                    "query": query,
-                    id_column: block[id_column].take(pa.array(row)),
-                    "similarity": rounded(scores[row, query]),
-                }
-            )
-            kept, bar = best(fresh if kept is None else pa.concat_tables([kept, fresh]))
-        if kept is not None:
-            named = {query_id: ids.take(kept["query"]), id_column: kept[id_column], "similarity": kept["similarity"]}
-            yield from pa.table(named).to_batches()
-
-    return narrow.mapInArrow(run, schema)
+        at, queries, best = None, [], None
+        for batch in batches:
+            for cell, is_vector, rows in runs(batch):
+                if cell != at:
+                    if best is not None:
+                        yield from best.batches()
+                    at, queries, best = cell, [], None
+                if not is_vector:
+                    queries.append(rows.select(["query", "target"]))
+                elif queries:
+                    best = best or _Best(pa.Table.from_batches(queries), k)
+                    best.add(rows)
+        if best is not None:
+            yield from best.batches()
+
+    kept = [cells.schema["query"], cells.schema["id"], StructField("similarity", DoubleType())]
+    return cells.mapInArrow(run, StructType(kept))
 
 
 def bucket_planes(bits: int, dimension: int) -> np.ndarray:

@@ -58,11 +58,15 @@ def add_derived_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def silver_posts(bronze: DataFrame) -> DataFrame:
-    steps = (deduplicate_posts, clean_text_fields, normalize_types, add_derived_columns)
-    for step in steps:
-        bronze = bronze.transform(step)
-    return bronze
+def silver_posts(bronze: DataFrame, rebalance_by: str | None = None) -> DataFrame:
+    """All steps. With ``rebalance_by`` the rows are spread for a table partitioned by that column,
+    between the copies' removal and the derived columns, so that no derived text is shuffled."""
+    latest = deduplicate_posts(bronze)
+    if rebalance_by:
+        latest = latest.hint("rebalance", F.col(rebalance_by))
+    for step in (clean_text_fields, normalize_types, add_derived_columns):
+        latest = latest.transform(step)
+    return latest
 
 
 def duplicates_removed(bronze: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from postmill.operators import gold
 from postmill.operators.embed import embed_posts
 from postmill.operators.silver import silver_posts
 from postmill.plans.late_top import rows_near_top
-from postmill.schema import SILVER_DDL, bronze_columns
+from postmill.schema import BRONZE_DDL, SILVER_DDL, bronze_columns
 from postmill.sources.listing import cap_per_channel, flatten_listing, rejects
 from postmill.sources.tables import SnapshotTable, append_bronze, overwrite_table, read_bronze, records_to_bronze
 
@@ -48,10 +48,10 @@ def transform_bronze_to_silver(
 ) -> int:
     """Rebuild silver. With ``schema``, bronze's file footers need not be merged first.
 
-    ``rebalance`` is explained at ``overwrite_table``.
+    ``rebalance`` is explained at ``overwrite_table``; here it comes before the derived columns.
     """
-    bronze = read_bronze(spark, bronze_path, schema, fmt)
-    return overwrite_table(silver_posts(bronze), silver_path, "subreddit", rebalance, fmt)
+    silver = silver_posts(read_bronze(spark, bronze_path, schema, fmt), "subreddit" if rebalance else None)
+    return overwrite_table(silver, silver_path, "subreddit", rebalance=False, fmt=fmt)
 
 
 def transform_silver_to_gold(spark: SparkSession, silver_path: str, gold_path: str, fmt: str = "parquet") -> dict[str, int]:
@@ -111,7 +111,7 @@ def run_all(
     root = root.rstrip("/")
     steps = {
         "bronze": lambda: ingest_pages(pages, f"{root}/bronze", limit),
-        "silver": lambda: transform_bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver"),
+        "silver": lambda: transform_bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver", BRONZE_DDL),
         "gold": lambda: transform_silver_to_gold(spark, f"{root}/silver", f"{root}/gold"),
         "vectors": lambda: build_vector_store(
             spark, f"{root}/silver", f"{root}/vectors", encoder=encoder, max_chars=max_chars

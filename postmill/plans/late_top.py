@@ -1,35 +1,30 @@
-"""Top-N per group of a stored table without reading its wide columns everywhere."""
-
-from functools import reduce
+"""Top-N per group of a stored table without ranking its wide columns."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.operators.ranking import top_n_per_group
-
-# More groups than this are ranked in one plain scan.
-MAX_GROUPS = 256
+from postmill.sources.tables import staged
 
 
-def rows_near_top(table: DataFrame, group: str, score: str, n: int, max_groups: int = MAX_GROUPS) -> DataFrame:
+def rows_near_top(table: DataFrame, group: str, score: str, n: int) -> DataFrame:
     """A subset of ``table`` that holds the ``n`` best rows of each group by ``score`` descending.
 
-    A first job ranks the two narrow columns and finds each group's n-th score. Each group is
-    then scanned with ``score >= cutoff``, which prunes to the group's partition and skips row
-    groups by their statistics: of a large table, few still hold a score that high. Ties at
-    the cutoff are all kept, as are all rows of a group with fewer than ``n`` scores; the
-    caller ranks the rest. With too many groups the table itself is returned.
+    The two narrow columns are ranked first, and each group's n-th score is written out: one row
+    a group, whose file size tells the optimizer whether it can be broadcast. The wide columns
+    are then scanned with ``score`` at least the lowest cutoff of all, which skips row groups by
+    their statistics, and each row meets the cutoff of its group. Ties at the cutoff are all
+    kept, as are all rows of a group with fewer than ``n`` scores; the caller ranks the rest.
     """
-    narrow = table.select(group, score)
-    best = top_n_per_group(narrow, [group], [F.desc_nulls_last(score)], n)
-    # count() leaves out null scores, so a group that needs them has no cutoff.
-    cutoffs = best.groupBy(group).agg(F.count(score).alias("scores"), F.min(score).alias("cutoff"))
-    found = cutoffs.limit(max_groups + 1).collect()
-    if not found or len(found) > max_groups:
-        return table
-
-    def near_top(row) -> DataFrame:
-        in_group = F.col(group).isNull() if row[group] is None else F.col(group) == row[group]
-        return table.filter(in_group & (F.col(score) >= row["cutoff"]) if row["scores"] == n else in_group)
-
-    return reduce(DataFrame.unionByName, map(near_top, found))
+    best = top_n_per_group(table.select(group, score), [group], [F.desc_nulls_last(score)], n)
+    # count() leaves out null scores, so a group with fewer than n scores needs those, too.
+    cutoffs = staged(
+        best.groupBy(F.col(group).alias("_group")).agg(
+            F.min(score).alias("_cutoff"), (F.count(score) < n).alias("_nulls")
+        ),
+        "cutoffs",
+    )
+    lowest = cutoffs.agg(F.min("_cutoff")).scalar()
+    possible = table.filter((F.col(score) >= lowest) | F.col(score).isNull())
+    near = (F.col(score) >= F.col("_cutoff")) | (F.col(score).isNull() & F.col("_nulls"))
+    return possible.join(cutoffs, F.col(group).eqNullSafe(F.col("_group")) & near).select(*table.columns)

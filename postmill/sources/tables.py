@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from postmill.operators.ranking import keep_first
 from postmill.schema import bronze_columns, bronze_schema
+from postmill.session import scratch_path
 
 # Fixed format for writing: ISO-8601 with microseconds; the default keeps milliseconds only.
 JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
@@ -78,11 +79,9 @@ def overwrite_table(
     A partitioned table is rebalanced by its key first: each task then writes few folders,
     and AQE cuts a hot key into several tasks and joins small ones. That is one more shuffle
     of whole rows. With few keys and large tasks, where each task's share of a key makes a
-    good file, ``rebalance=False`` saves it.
+    good file, or where AQE is off and nothing would cut a hot key, ``rebalance=False`` saves it.
     """
-    # Without AQE nothing would cut a hot key.
-    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
-    if partition_by and rebalance and adaptive:
+    if partition_by and rebalance:
         df = df.hint("rebalance", F.col(partition_by))
     return _write(df, path, "overwrite", fmt, {"overwriteSchema": "true"}, partition_by)
 
@@ -101,6 +100,14 @@ def _write(
     return rows.get["rows"]
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read again: what is used more than once
+    is computed once, and its file size tells the optimizer what can be broadcast."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def upsert(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """Rows of ``batch`` replace or join those of ``target``; nothing else is removed.
 

@@ -1,7 +1,7 @@
 from datetime import timedelta
 
 import pytest
-from helpers import DAY, bronze_of, post, rows_of
+from helpers import DAY, bronze_of, plan_of, post, rows_of
 from postmill.checks import fixtures
 from postmill.operators import gold
 from postmill.operators.ranking import top_n_per_group
@@ -81,6 +81,13 @@ def test_hot_group_ranks_like_a_plain_sort(spark):
     assert rows_of(found, "g", "score", "id") == sorted(expected.itertuples(index=False, name=None))
 
 
+def test_group_limit_holds_for_large_n(spark):
+    rows = spark.range(0, 9_000, numPartitions=4).selectExpr("id % 2 as g", "id as score")
+    found = top_n_per_group(rows, ["g"], [F.desc("score")], 2000, fan_in=2)
+    assert plan_of(found).count("WindowGroupLimit") >= 2
+    assert rows_of(found.groupBy("g").agg(F.count("*"), F.min("score"))) == [(0, 2000, 5000), (1, 2000, 5001)]
+
+
 def test_reports_are_sorted_and_limited(spark):
     posts = [post(f"{g}{i}", subreddit=f"g{g:02d}") for g in range(25) for i in range(g % 3 + 1)]
     bronze = bronze_of(spark, *posts)

@@ -150,3 +150,16 @@ def test_ties_do_not_depend_on_the_order_of_rows(spark):
     copies = [post("a", selftext=f"v{i}") for i in range(6)]
     found = [silver.deduplicate_posts(bronze_of(spark, *rows)).head().selftext for rows in (copies, copies[::-1])]
     assert found == ["v0", "v0"]
+
+
+def test_no_derived_text_is_shuffled(spark):
+    plan = plan_of(silver.silver_posts(bronze_of(spark, post()), rebalance_by="subreddit"))
+    # The plan is printed from its end: the rebalance comes after the last projection of content.
+    spread = plan.index("Exchange hashpartitioning(subreddit")
+    assert "AS content" in plan[:spread] and "AS content" not in plan[spread:]
+
+
+def test_ties_do_not_hang_on_the_order_of_rows(spark):
+    copies = [post(selftext=f"v{i}") for i in range(6)]
+    for rows in (copies, copies[::-1]):
+        assert silver.deduplicate_posts(bronze_of(spark, *rows).repartition(3)).head().selftext == "v0"

@@ -146,12 +146,12 @@ def test_text_search_and_presentation(spark):
     assert shown.match_percent == round(shown.match_percent, 1) > 50
 
 
-@pytest.mark.parametrize("per_pass", [4096, 6])
-def test_batch_search_equals_single_searches(spark, per_pass):
+@pytest.mark.parametrize("per_cell", [4096, 6, 1])
+def test_batch_search_equals_single_searches(spark, per_cell):
     values, df = random_vectors(spark, 200, copies=3)
     asked, queries = random_vectors(spark, 20, seed=5)
     queries = queries.withColumnRenamed("post_id", "query_id")
-    found = search.nearest_batch(df, queries, 4, queries_per_pass=per_pass)
+    found = search.nearest_batch(df, queries, 4, queries_per_cell=per_cell)
     by_query = {}
     for r in found.orderBy("query_id", "rank").collect():
         by_query.setdefault(r.query_id, []).append(r.post_id)
@@ -225,12 +225,40 @@ def test_batch_search_without_queries_or_vectors(spark):
     assert search.nearest_batch(df.limit(0), queries, 3).count() == 0
 
 
-def test_batch_search_emits_at_most_k_rows_per_query_and_task(spark):
-    _, df = random_vectors(spark, 500)
-    _, queries = random_vectors(spark, 3, seed=2)
-    queries = queries.withColumnRenamed("post_id", "query_id")
-    rows = search._best_per_task(df, queries.toArrow(), queries.schema["query_id"], 4)
-    assert rows.count() == 5 * 3 * 4
+def test_batch_search_emits_at_most_k_rows_per_query_and_cell(spark):
+    queries = spark.range(3).selectExpr("id as query", "array(1f, float(id)) as target")
+    vectors = spark.range(500).selectExpr("id", "array(float(id), 1f) as vector")
+    rows = spark.range(2).selectExpr("int(id) as cell").crossJoin(
+        queries.unionByName(vectors, allowMissingColumns=True).withColumn("is_vector", F.col("target").isNull())
+    )
+    cells = rows.coalesce(1).sortWithinPartitions("cell", "is_vector")
+    found = search._best_per_cell(cells.select("cell", "is_vector", "query", "target", "id", "vector"), 4)
+    assert found.count() == 2 * 3 * 4
+
+
+def test_each_query_text_is_encoded_once(spark, tmp_path):
+    def counting():
+        from uuid import uuid4
+
+        load = v.hashing_encoder()()
+
+        def encode(texts):
+            (tmp_path / f"{len(texts)}-{uuid4().hex}").touch()
+            return load(texts)
+
+        return encode
+
+    stored = embed_posts(posts_of(spark, a="green tea", b="black coffee"))
+    asked = spark.createDataFrame([(i, "tea" if i % 2 else "coffee") for i in range(20)], "query_id int, text string")
+    found = search.search_texts(stored, asked, 1, encoder=counting)
+    assert {(r.query_id % 2, r.post_id) for r in found.collect()} == {(0, "b"), (1, "a")}
+    assert sum(int(f.name.split("-")[0]) for f in tmp_path.iterdir()) == 20
+
+
+def test_search_ranks_ids_and_vectors_only(spark, path):
+    embed_posts(posts_of(spark, a="green tea", b="black coffee")).write.parquet(path("store"))
+    plan = plan_of(search.search_text(spark.read.parquet(path("store")), "tea", 1))
+    assert "ReadSchema: struct<post_id:string,embedding:array<float>>" in plan
 
 
 def test_all_buckets_give_the_exact_result(spark):
