@@ -16,37 +16,46 @@ from postmill.llm.common import slices, staged, table
 ORACLE_SQL = None  # language codes, fingerprints, spans and token ids are beyond SQL
 
 
+def named(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_name``, their id and the digest of their text, which tells rows without id, or with a repeated one, apart.
+
+    Names order by id, those without one last.
+    """
+    digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+    nameless, number = F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0))
+    return docs.withColumn("_name", F.struct(nameless.alias("nameless"), number.alias("id"), digest.alias("digest")))
+
+
 def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told, with that language in ``lang``.
 
     The trees learn from the training folds' own labels; rejected are null texts and texts without a letter.
     """
     trees = language_id.train(language_id.learners(docs))
-    found = language_id.identify(docs.withColumn("_text", F.col("text")), trees, "_text")
-    kept = found.filter(F.col("lang_pred") != language_id.UNDETERMINED)
-    return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    # All columns as one, so that none meets a name of the prediction.
+    whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").alias("_text"))
+    kept = language_id.identify(whole, trees, "_text").filter(F.col("lang_pred") != language_id.UNDETERMINED)
+    return kept.select(*((F.col("lang_pred") if c == "lang" else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component: the one with the smallest id, once.
 
-    A component without any id keeps one of its documents, chosen by its fingerprint.
+    Documents without id, and different texts under one id, are documents of their own; one without id
+    stays where no document of its component has one.
     """
-    found = simhash.near_duplicates(docs)
-    chosen = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    one = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    # Components whose documents have no id at all; their rows meet by text.
-    nameless = found.filter("component_id is null").groupBy("fingerprint").count().limit(1)
-    if not nameless.isEmpty():
-        one = one.unionByName(docs.filter("doc_id is null").dropDuplicates(["text"]))
-    return one.select(*docs.columns)
+    rows = named(docs)
+    found = simhash.near_duplicates(rows.select("_name", "text"), id_column="_name")
+    chosen = found.filter(F.col("_name") == F.col("component_id")).select("_name").distinct()
+    return rows.join(chosen, "_name", "left_semi").dropDuplicates(["_name"]).select(*docs.columns)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark."""
-    leaks = staged(decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")), "leaks")
-    clean = docs.join(leaks.filter("doc_id is not null"), "doc_id", "left_anti")
-    return clean.select(*docs.columns)
+    """Documents that hold no passage of the benchmark; those without id are judged by their text alike."""
+    rows = named(docs)
+    found = decontaminate.contaminated(rows.select("_name", "text"), table(spark, sf_dir, "benchmark"), "_name")
+    leaks = staged(found.withColumnRenamed("doc_id", "_name"), "leaks")
+    return rows.join(leaks, "_name", "left_anti").select(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -253,6 +253,6 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", i
     )
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Ids of the documents that hold a passage of the benchmark, once each."""
-    return overlaps(docs, benchmark).select("doc_id").distinct()
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """Ids of the documents that hold a passage of the benchmark, once each, as ``doc_id``."""
+    return overlaps(docs, benchmark, id_column=id_column).select("doc_id").distinct()

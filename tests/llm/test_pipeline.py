@@ -49,3 +49,21 @@ def test_odd_input(spark):
     # Copies and rows without an id: one of each group stays.
     kept = corpus_pipeline.without_near_copies(spark, docs, SMALL).collect()
     assert sorted(str(r["doc_id"]) for r in kept) == ["0", "3", "5", "6", "7"]
+
+
+def test_names_that_clash_and_ids_that_do_not_tell(spark):
+    item = spark.read.parquet(f"{SMALL}/benchmark.parquet").first()["text"]
+    odd = odd_documents(spark)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, odd, SMALL).columns == odd.columns
+    texts = ["the first of two texts", "a wholly different other text", f"words {item} words", "clean prose without any id", "clean prose without any id"]
+    ids = [1, 1, None, None, 1]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in zip(ids, texts)], "doc_id long, text string, lang string, source string, n_chars long")
+
+    def rows(df):
+        return sorted((r["doc_id"] or 0, r["text"]) for r in df.collect())
+
+    every = sorted((i or 0, t) for i, t in zip(ids, texts))
+    # Only the copy without an id goes.
+    assert rows(corpus_pipeline.without_near_copies(spark, docs, SMALL)) == [r for r in every if r != (0, texts[3])]
+    assert rows(corpus_pipeline.without_leaks(spark, docs, SMALL)) == [r for r in every if r != (0, texts[2])]
