@@ -7,8 +7,8 @@ of queries (center q, radius r) and one of rows (center p, radius s) no inner pr
 ``q.p + r|p| + s|q| + rs``. A pair of nodes is passed over when that is below the worst k-th score any query of
 the group has so far; pairs of leaves are multiplied out as matrices, and the best k are merged in.
 
-On Spark, queries are cut into blocks of about ``QUERIES`` and rows into slices of about ``ROWS``, both by a hash of
-the id. Each cell (block, slice) is a sorted run of one task's rows: the block's queries come first and are indexed, then
+On Spark, queries are cut into blocks of about ``QUERIES`` and rows into ``SLICES`` slices and one more per ``ROWS`` rows, both by a
+hash of the id. Each cell (block, slice) is a sorted run of one task's rows: the block's queries come first and are indexed, then
 the slice's rows stream by in chunks, each indexed and searched with the k-th scores found so far. A cell
 sends at most k rows per query, and a last ranking merges the cells. No pairs are emitted.
 
@@ -29,8 +29,10 @@ from pyspark.sql import functions as F
 
 K = 20
 SCALE = 64
-QUERIES = 2048
-ROWS = 2048
+QUERIES = 8192
+# Every cell returns up to k rows of a query, so few large slices send less; ROWS bounds what one task sorts.
+SLICES = 16
+ROWS = 1 << 18
 CHUNK = 4096
 LEAF = 64
 
@@ -180,13 +182,13 @@ def _floor(x: Column) -> Column:
 
 def top_k(
     vectors: DataFrame, queries: Column, k: int = K, id_column: str = "vec_id", vector_column: str = "embedding",
-    queries_per_block: int = QUERIES, rows_per_slice: int = ROWS,
+    queries_per_block: int = QUERIES, least_slices: int = SLICES, rows_per_slice: int = ROWS,
 ) -> DataFrame:
     """The k best rows of each row for which ``queries`` (over ``vec_id``) holds: query_id, rank, vec_id, score."""
     rows = scaled(vectors, id_column, vector_column)
     # Two counts size the grid; rows are never dropped by it.
     total, asked = vectors.filter(F.col(id_column).isNotNull()).select(F.count("*"), F.count_if(queries)).first()
-    slices_ = max(1, -(-total // rows_per_slice))
+    slices_ = least_slices + total // rows_per_slice
     blocks = max(1, -(-asked // queries_per_block))
     place = F.xxhash64("vec_id")
     by_block = F.pmod(place, F.lit(blocks)).cast("int")

@@ -69,7 +69,7 @@ def test_top_k(spark):
     rows += [(1000 + i, rows[3][1]) for i in range(200)]  # many copies of one vector
     rows += [(2000, None), (2001, [None] * 8), (2002, [math.nan] * 8), (2003, [math.inf] + [0.0] * 7), (2004, [1.0]), (2020, [2.0]), (2040, []), (None, [1.0] * 8), (40, rows[40][1])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit(1))
-    found = topk.top_k(df, F.col("vec_id") % 20 == 0, 5, queries_per_block=16, rows_per_slice=100)
+    found = topk.top_k(df, F.col("vec_id") % 20 == 0, 5, queries_per_block=16, least_slices=3, rows_per_slice=100)
     assert sorted(map(tuple, found.collect())) == brute_top_k(rows, 5, lambda i: i % 20 == 0)
     assert topk.top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
