@@ -14,6 +14,7 @@ from postmill.sources.tables import SnapshotTable, read_json_lines
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="postmill")
     parser.add_argument("--model", help=f"a sentence-transformers model such as {settings.MODEL_NAME}")
+    parser.add_argument("--bits", type=int, help="the vectors are stored in 2**BITS buckets, for approximate search")
     commands = parser.add_subparsers(dest="command", required=True)
     run = commands.add_parser("run", help="landed listing pages to bronze, silver, gold and vectors")
     run.add_argument("landing")
@@ -23,16 +24,17 @@ def main(argv: list[str] | None = None) -> None:
     find.add_argument("text")
     find.add_argument("--results", type=int, default=settings.SEARCH_K)
     find.add_argument("--group", default=settings.ALL_GROUPS)
+    find.add_argument("--radius", type=int, default=1, help="with --bits: buckets at most so many sides away are read")
     options = parser.parse_args(argv)
 
     spark = get_spark_session()
     encoder = sentence_encoder(options.model) if options.model else hashing_encoder()
     if options.command == "run":
-        run_all(spark, read_json_lines(spark, options.landing, PAGE_DDL), options.root, encoder)
+        run_all(spark, read_json_lines(spark, options.landing, PAGE_DDL), options.root, encoder, bits=options.bits)
     else:
         records = SnapshotTable(spark, f"{options.root}/vectors").read()
         group = None if options.group == settings.ALL_GROUPS else options.group
-        found = search_text(records, options.text, options.results, group, encoder)
+        found = search_text(records, options.text, options.results, group, encoder, options.bits, options.radius)
         presented(found).show(options.results, truncate=False)
 
 

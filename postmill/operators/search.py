@@ -65,12 +65,17 @@ def search(
     query: Sequence[float],
     n_results: int = settings.SEARCH_K,
     subreddit_filter: str | None = None,
+    bits: int | None = None,
+    radius: int = 1,
 ) -> DataFrame:
     """Search vector records, whose ids are unique; the group filter applies before the ranking.
 
-    The ranking reads ids and vectors; texts are looked up for the ``n_results`` ids found.
+    The ranking reads ids and vectors; texts are looked up for the ``n_results`` ids found. With ``bits``, for records
+    stored by bucket, only the buckets at most ``radius`` sides away are read (see ``nearest_in_buckets``).
     """
     pool = in_group(vectors, subreddit_filter)
+    if bits is not None:
+        pool = in_buckets(pool, query, bits, radius)
     found = nearest(pool.select("post_id", "embedding"), query, n_results)
     texts = pool.select("post_id", F.col("document").alias("content"), "subreddit", "title")
     # At most n_results ids.
@@ -85,9 +90,11 @@ def search_text(
     n_results: int = settings.SEARCH_K,
     subreddit_filter: str | None = None,
     encoder: EncoderFactory | None = None,
+    bits: int | None = None,
+    radius: int = 1,
 ) -> DataFrame:
     """Search by a text, encoded like the records were."""
-    return search(vectors, encode_query(text, encoder), n_results, subreddit_filter)
+    return search(vectors, encode_query(text, encoder), n_results, subreddit_filter, bits, radius)
 
 
 def presented(results: DataFrame, site: str = settings.SITE, preview_chars: int = settings.PREVIEW_CHARS) -> DataFrame:
@@ -276,6 +283,14 @@ def with_bucket(vectors: DataFrame, bits: int, dimension: int, vector_column: st
     return vectors.withColumn("bucket", bucket(F.col(vector_column)))
 
 
+def in_buckets(bucketed: DataFrame, query: Sequence[float], bits: int, radius: int) -> DataFrame:
+    """Rows of the buckets at most ``radius`` sides away from the query's own."""
+    sides = bucket_planes(bits, len(query)) @ unit(query) >= 0
+    home = sum(1 << i for i, side in enumerate(sides) if side)
+    flips = itertools.chain.from_iterable(itertools.combinations(range(bits), r) for r in range(radius + 1))
+    return bucketed.filter(F.col("bucket").isin([home ^ sum(1 << i for i in flip) for flip in flips]))
+
+
 def nearest_in_buckets(
     bucketed: DataFrame,
     query: Sequence[float],
@@ -289,8 +304,4 @@ def nearest_in_buckets(
     The bucket test prunes partitions; within them the ranking is exact, and with
     ``radius = bits`` so is the whole search.
     """
-    sides = bucket_planes(bits, len(query)) @ unit(query) >= 0
-    home = sum(1 << i for i, side in enumerate(sides) if side)
-    flips = itertools.chain.from_iterable(itertools.combinations(range(bits), r) for r in range(radius + 1))
-    probed = [home ^ sum(1 << i for i in flip) for flip in flips]
-    return nearest(bucketed.filter(F.col("bucket").isin(probed)), query, k, id_column).drop("bucket")
+    return nearest(in_buckets(bucketed, query, bits, radius), query, k, id_column).drop("bucket")

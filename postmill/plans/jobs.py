@@ -12,7 +12,8 @@ from pyspark.sql.types import StructType
 from postmill import settings
 from postmill.functions.vectors import EncoderFactory
 from postmill.operators import gold
-from postmill.operators.embed import embed_posts
+from postmill.operators.embed import embed_posts, encode_query
+from postmill.operators.search import with_bucket
 from postmill.operators.silver import silver_posts
 from postmill.plans.late_top import rows_near_top
 from postmill.schema import BRONZE_DDL, SILVER_DDL, bronze_columns
@@ -83,16 +84,21 @@ def build_vector_store(
     max_chars: int | None = None,
     replace: bool = False,
     fmt: str = "parquet",
+    bits: int | None = None,
 ) -> int:
     """Embed the best posts of each group and upsert them by id; returns the table's rows.
 
-    Posts that left the top stay in the table unless ``replace`` is set.
+    Posts that left the top stay in the table unless ``replace`` is set. With ``bits`` the table is stored by
+    bucket for approximate search; a table keeps its layout until it is replaced.
     """
     silver = spark.read.format(fmt).schema(SILVER_DDL).load(silver_path)
     candidates = gold.embedding_candidates(rows_near_top(silver, "subreddit", "score", top_n), top_n)
     records = embed_posts(candidates, encoder, batch_size, max_chars, partitions=spark.sparkContext.defaultParallelism)
+    if bits is not None:
+        records = with_bucket(records, bits, len(encode_query("", encoder)))
     table = SnapshotTable(spark, vector_path)
-    return table.replace(records) if replace else table.upsert(records, "post_id")
+    partition_by = None if bits is None else "bucket"
+    return table.replace(records, partition_by) if replace else table.upsert(records, "post_id", partition_by)
 
 
 def run_all(
@@ -103,6 +109,7 @@ def run_all(
     report: Callable[[str], None] = print,
     limit: int | None = None,
     max_chars: int | None = None,
+    bits: int | None = None,
 ) -> dict[str, object]:
     """All steps in order in one session. A failing step raises, and no later one starts.
 
@@ -114,7 +121,7 @@ def run_all(
         "silver": lambda: transform_bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver", BRONZE_DDL),
         "gold": lambda: transform_silver_to_gold(spark, f"{root}/silver", f"{root}/gold"),
         "vectors": lambda: build_vector_store(
-            spark, f"{root}/silver", f"{root}/vectors", encoder=encoder, max_chars=max_chars
+            spark, f"{root}/silver", f"{root}/vectors", encoder=encoder, max_chars=max_chars, bits=bits
         ),
     }
     rows = {}

@@ -133,6 +133,22 @@ def test_command_line(spark, path, capsys):
     assert out.count("https://reddit.com/comments/p") == 2 and "|signup" in out and "|view" not in out
 
 
+def test_vectors_stored_by_bucket(spark, path, capsys):
+    tables.write_json_lines(fixtures.pages(spark, SMALL), path("pages"))
+    for _ in range(2):
+        main(["--bits", "3", "run", path("pages"), path("root")])
+        assert "vectors: 500 rows" in capsys.readouterr().out
+    records = tables.SnapshotTable(spark, path("root/vectors")).read()
+    assert records.select("post_id").distinct().count() == 500
+    exact = rows_of(search_text(records, "signup post", 4), "post_id", "similarity")
+    assert rows_of(search_text(records, "signup post", 4, bits=3, radius=3), "post_id", "similarity") == exact
+    near = search_text(records, "signup post", 4, bits=3, radius=0)
+    # Both the ranking and the look-up of texts read the near folders only.
+    assert near.count() and plan_of(near).count("PartitionFilters: [isnotnull(bucket") == 2
+    main(["--bits", "3", "search", path("root"), "signup post", "--results", "2", "--radius", "3"])
+    assert capsys.readouterr().out.count("https://reddit.com/comments/p") == 2
+
+
 def test_job_and_stream_share_one_bronze(spark, path):
     landed = fixtures.pages(spark, SMALL)
     jobs.ingest_pages(landed, path("bronze"))
