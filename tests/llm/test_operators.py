@@ -123,6 +123,15 @@ def test_main_text(html, text):
     assert html_text.main_text(html) == text
 
 
+def test_ratios_decide_beside_and_inside_an_article():
+    body = " ".join(f"<p>Paragraph {i} of the body, {'long words of prose ' * 20}</p>" for i in range(8))
+    links = "".join(f"<p><b><i><a href=/{i}><u>{i}</u></a></i></b></p>" for i in range(40))
+    beside = html_text.main_text(f"<div>{body}</div><article><p>Read on</p></article>")
+    assert all(f"Paragraph {i} of" in beside for i in range(8))
+    inside = html_text.main_text(f"<article><h1>Top</h1>{body}{links}</article>")
+    assert inside.startswith("Top Paragraph 0") and "Paragraph 7" in inside and not inside.endswith("39")
+
+
 def test_pages(spark):
     found = queries.html_main_text(spark, SMALL)
     pages = spark.read.parquet(f"{SMALL}/pages.parquet").collect()
