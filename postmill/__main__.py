@@ -24,7 +24,7 @@ def main(argv: list[str] | None = None) -> None:
     find.add_argument("text")
     find.add_argument("--results", type=int, default=settings.SEARCH_K)
     find.add_argument("--group", default=settings.ALL_GROUPS)
-    find.add_argument("--radius", type=int, default=1, help="with --bits: buckets at most so many sides away are read")
+    find.add_argument("--radius", type=int, help="with --bits: buckets at most so many sides away are read; by default enough for a recall of 0.9")
     options = parser.parse_args(argv)
 
     spark = get_spark_session()

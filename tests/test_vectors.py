@@ -285,6 +285,18 @@ def test_bucket_search_recall_grows_with_the_radius(spark):
     assert recall[0] >= 0.2 and recall[2] >= 0.8 and recall[4] == 1.0
 
 
+@pytest.mark.parametrize("bits", [2, 4, 6])
+def test_default_radius_finds_nine_of_ten(spark, bits):
+    table = fixtures.table(spark, SMALL, "embeddings")
+    values = np.array([r.embedding for r in table.orderBy("vec_id").collect()])
+    bucketed = search.with_bucket(table, bits, 64).persist()
+    hits = 0
+    for i in range(0, 200, 20):
+        found = search.nearest_in_buckets(bucketed, values[i].tolist(), bits, k=20, id_column="vec_id").collect()
+        hits += len({r.vec_id for r in found} & set(brute_force(values, values[i], 20)))
+    assert hits >= 0.9 * 200
+
+
 def test_buckets_prune_folders(spark, path):
     values, df = random_vectors(spark, 200)
     search.with_bucket(df, 3, 6).write.partitionBy("bucket").parquet(path("b"))
