@@ -5,10 +5,10 @@ replaced word at an ignored position leaves the seed as it is. Seeds of the test
 the documents by a join on their hash; around each hit the two texts are aligned and the overlap is
 verified word by word, with replaced words allowed.
 
-Words are runs of letters and digits, lower-cased. An overlap is the best stretch of an alignment, at
-``+1`` for an equal word and ``-3`` for another; it counts from ``MIN_WORDS`` equal words on (a shorter item: all of
-its words) that make up ``MIN_SHARE`` of the stretch. Items of fewer words than a mask spans are sought whole, by
-a mask of their own length; items without words are never found.
+Words are runs of letters and digits, lower-cased. An overlap is the stretch of an alignment with the most equal words of
+which they make up ``MIN_SHARE``; it counts from ``MIN_WORDS`` equal words on, or ``MIN_SHARE`` of the words of a shorter item.
+Every overlap has a seed: any 12 words with 2 replaced, 15 or 16 with 3 and 20 with 4 hold one by ``MASKS``, and a longer stretch
+holds one of these. Items of fewer words than ``SPAN`` have masks by their length. Items without words are never found.
 
 A Bloom filter of fixed size over the test seeds goes to all tasks, so that of a document only the
 stretches around probable hits leave the scan; whatever it lets through is checked by the join. The test
@@ -28,15 +28,24 @@ from pyspark.sql import functions as F
 
 from postmill.llm.common import CHUNK_BYTES, flat_bytes, mixed, slices, span_hashes, staged
 
-# Fixed masks: positions that count, of a window of 12 words.
-MASKS = (
-    (0, 1, 2, 4, 5, 7, 9, 10),
-    (0, 1, 3, 4, 6, 8, 10, 11),
-    (0, 2, 3, 5, 6, 7, 10, 11),
-)
+# Fixed masks: positions that count, the first and last of a window among them.
+MASKS = ((0, 1, 3, 4, 5, 6), (0, 1, 3, 7, 9, 10), (0, 1, 2, 4, 5, 9), (0, 2, 3, 5, 6, 8))
+# For items of fewer words, by their number; up to 4 words none may be replaced.
+SHORT_MASKS = {
+    **{n: (tuple(range(n)),) for n in range(1, 5)},
+    5: ((0, 2, 3), (0, 2, 4)),
+    6: ((0, 1, 2, 4), (0, 3, 4, 5)),
+    7: ((0, 1, 3, 4),),
+    8: ((0, 1, 3, 4, 5), (0, 1, 3, 5, 6)),
+    9: ((0, 1, 2, 4, 5, 6), (0, 1, 2, 3, 4, 5)),
+    10: ((0, 1, 3, 4, 5), (0, 1, 4, 6, 7), (0, 1, 2, 3, 4)),
+    11: ((0, 1, 2, 4, 5, 6), (0, 1, 2, 4, 7, 8), (0, 3, 4, 5, 6, 7), (0, 1, 2, 3, 4, 5)),
+}
 SPAN = 12
 MIN_WORDS = 13
 MIN_SHARE = 0.8
+# The share as whole numbers: for each replaced word four equal ones.
+SHARE_STEPS = (1, 4)
 # Words of a document kept on either side of a hit, for the alignment.
 AROUND = 96
 BLOOM_BITS = 24
@@ -62,15 +71,15 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return span_hashes(data, starts, ends), counts
 
 
-def seeds_of(words: np.ndarray, short: list[int]) -> Iterator[np.ndarray]:
-    """The seeds at every position of ``words``: by each mask, and whole for each short length."""
-    masks = [(number, mask, SPAN) for number, mask in enumerate(MASKS, 1)]
-    for number, mask, span in [*masks, *((1000 + n, range(n), n) for n in short)]:
-        total = max(0, len(words) - span + 1)
-        seed = np.full(total, number, np.uint64)
-        for place in mask:
-            seed = seed * np.uint64(0x9E3779B97F4A7C15) + words[place : place + total]
-        yield mixed(seed)
+def seeds_of(words: np.ndarray, lengths: list[int]) -> Iterator[np.ndarray]:
+    """The seeds at every position of ``words``, by each mask for items of these lengths; ``SPAN`` is for it and more."""
+    for length in lengths:
+        for number, mask in enumerate(SHORT_MASKS.get(length, MASKS), 1):
+            total = max(0, len(words) - mask[-1])
+            seed = np.full(total, 1000 * length + number, np.uint64)
+            for place in mask:
+                seed = seed * np.uint64(0x9E3779B97F4A7C15) + words[place : place + total]
+            yield mixed(seed)
 
 
 def item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,7 +91,7 @@ def item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 words = hashes[end - n : end]
                 if not n:
                     continue
-                found = list(seeds_of(words, [int(n)] if n < SPAN else []))
+                found = list(seeds_of(words, [min(int(n), SPAN)]))
                 seeds, places = np.concatenate(found), np.concatenate([np.arange(len(s)) for s in found])
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -127,16 +136,16 @@ def _bloom(items: DataFrame) -> Bloom:
     return Bloom(bits.view(np.uint8))
 
 
-def _stretches(words: np.ndarray, bloom: Bloom, short: list[int]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _stretches(words: np.ndarray, bloom: Bloom, lengths: list[int]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(start, end, hit positions, hit seeds) of each stretch of words around probable hits."""
     places, seeds = [], []
-    for some in seeds_of(words, short):
+    for some in seeds_of(words, lengths):
         at = bloom.maybe(some)
         places.append(at)
         seeds.append(some[at])
-    places, seeds = np.concatenate(places), np.concatenate(seeds)
-    if not len(places):
+    if not sum(map(len, places)):
         return
+    places, seeds = np.concatenate(places), np.concatenate(seeds)
     order = np.argsort(places, kind="stable")
     places, seeds = places[order], seeds[order]
     cuts = np.flatnonzero(np.diff(places) > AROUND) + 1
@@ -149,22 +158,23 @@ def _aligned(words: list, start: int, item: list, diagonal: int) -> tuple[int, i
     a, b = np.array(words, np.int64), np.array(item, np.int64)
     low, high = max(0, diagonal - start), min(len(a), diagonal - start + len(b))
     equal = a[low:high] == b[low + start - diagonal : high + start - diagonal]
-    steps = np.concatenate([[0], np.cumsum(np.where(equal, 1, -3))])
-    lowest = np.minimum.accumulate(steps)
-    end = int(np.argmax(steps - lowest))
-    if end == 0:
-        return None
-    begin = int(np.flatnonzero(steps[:end] == lowest[end])[-1])
-    same = int(equal[begin:end].sum())
-    if same < min(MIN_WORDS, len(b)) or same < MIN_SHARE * (end - begin):
+    # A stretch has the share where its steps do not sum below 0; the longest to each end has the most equal words.
+    steps = np.concatenate([[0], np.cumsum(np.where(equal, SHARE_STEPS[0], -SHARE_STEPS[1]))])
+    count = np.concatenate([[0], np.cumsum(equal)])
+    begins = np.searchsorted(-np.minimum.accumulate(steps), -steps)
+    end = int(np.argmax(count - count[begins]))
+    begin = int(begins[end])
+    same = int(count[end] - count[begin])
+    if not same or same < min(MIN_WORDS, -(-len(b) * SHARE_STEPS[1] // sum(SHARE_STEPS))):
         return None
+    begin += int(np.argmax(equal[begin:end]))
     return start + low + begin, end - begin, same
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", id_column: str = "doc_id") -> DataFrame:
     """Pairs of a document and a test item it holds words of: ids, ``doc_start`` (in words), ``n_words``, ``n_equal``.
 
-    One row per pair, of its longest overlap (then the first).
+    One row per pair, of its overlap with the most equal words (then the first).
     """
     docs = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     doc_type = docs.schema["doc_id"].dataType.simpleString()
@@ -175,8 +185,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", i
         .withColumn("item", F.xxhash64("item_id", "words")),
         "items",
     )
-    # At most SPAN - 1 lengths.
-    short = [r[0] for r in items.filter(F.size("words") < SPAN).select(F.size("words")).distinct().collect()]
+    # At most SPAN lengths.
+    lengths = [r[0] for r in items.select(F.least(F.size("words"), F.lit(SPAN))).distinct().collect()]
     shared = docs.sparkSession.sparkContext.broadcast(_bloom(items))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +198,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", i
                 rows, starts, words, places, seeds = [], [], [], [], []
                 for row in np.flatnonzero(counts > 0):
                     own = hashes[ends[row] - counts[row] : ends[row]]
-                    for start, end, at, values in _stretches(own, bloom, short):
+                    for start, end, at, values in _stretches(own, bloom, lengths):
                         rows.append(row)
                         starts.append(start)
                         words.append(own[start:end].astype(np.int64))

@@ -225,6 +225,37 @@ def test_overlaps_equal_brute_force(spark):
     assert got >= set(brute_overlaps(docs, items))
 
 
+def test_every_pattern_of_replaced_words_has_a_seed():
+    import itertools
+
+    masks = {**decontaminate.SHORT_MASKS, **{n: decontaminate.MASKS for n in (12, 13, 14, 15, 16, 20)}}
+    for n, of_length in masks.items():
+        for replaced in itertools.combinations(range(n), n // 5):
+            equal = [i not in replaced for i in range(n)]
+            assert any(all(equal[at + i] for i in m) for m in of_length for at in range(n - m[-1]))
+
+
+def test_overlaps_with_replaced_words(spark):
+    random = np.random.default_rng(5)
+    docs, items = [], []
+    for n in [*range(1, 26), 40, 75]:
+        for _ in range(12):
+            i = len(items)
+            item = [f"i{i}w{j}" for j in range(n)]
+            inside = item.copy()
+            for j in random.choice(n, n // 5, replace=False):
+                inside[j] = f"other{j}"
+            items.append((i, " ".join(item)))
+            docs.append((i, " ".join(["before"] * 9 + inside + ["after"] * 9)))
+    # One word more replaced than allowed.
+    items.append((9999, "a1 a2 a3 a4 a5 a6 a7 a8 a9 a10"))
+    docs.append((9999, "a1 a2 x a4 a5 x a7 a8 x a10"))
+    found = decontaminate.overlaps(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    )
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(i, i) for i in range(len(items) - 1)}
+
+
 # 6 packing
 
 
