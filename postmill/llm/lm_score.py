@@ -11,8 +11,8 @@ Learning from the training rows, all of it on the executors:
 1. All words of all texts are counted (one shuffle, by word). This gives the base score as well.
 2. Words outside the head are grouped by their last three characters, the ``SUFFIXES`` most frequent of them;
    suffixes are clustered by the head words they follow.
-3. Vectors start from a factorisation of the units' pair counts. Steps 2 and 3 count pairs over about ``SAMPLE`` texts, which
-   only choose the groups and the starting point.
+3. Vectors start from a factorisation of the units' pair counts. Steps 2 and 3 count pairs over all training texts; each task
+   sends at most units times columns numbers.
 4. One pass over all training texts: each task goes through its tokens with noise-contrastive estimation
    (``NOISE`` noise units per block, drawn by frequency) in numpy, and the tasks' parameters are averaged by tokens.
 
@@ -42,7 +42,6 @@ DIMENSION = 16
 NOISE = 32
 RATE = 0.03
 BLOCK = 4096
-SAMPLE = 10_000
 BROADCAST_WORDS = 50_000
 ADD = 0.1
 COUNT_BYTES = 16 << 20
@@ -277,13 +276,11 @@ def score(docs: DataFrame, learn_from: DataFrame) -> DataFrame:
     listed = by_suffix.orderBy(F.desc("n"), "suffix").limit(SUFFIXES).collect()
     suffixes = [r["suffix"] for r in listed]
 
-    share = F.lit(min(1.0, SAMPLE / max(texts_learned, 1)) * (1 << 30))
-    sample = learn_from.filter(F.pmod(F.xxhash64(F.lit("lm"), "doc_id"), F.lit(1 << 30)) < share).select("text")
     loose = Units(head, suffixes, np.arange(len(suffixes)))
-    after = pair_counts(sample, loose, max(len(head), 1))[len(head) : len(head) + len(suffixes)]
+    after = pair_counts(texts, loose, max(len(head), 1))[len(head) : len(head) + len(suffixes)]
     groups = clustered(after, np.array([r["n"] for r in listed], np.float64), CLUSTERS)
     units = Units(head, suffixes, groups)
-    start = LogBilinear.started(pair_counts(sample, units, units.size))
+    start = LogBilinear.started(pair_counts(texts, units, units.size))
 
     found = texts.mapInArrow(_learned(start, units), "at long, total double, tokens long")
     mean = found.groupBy("at").agg((F.sum("total") / F.sum("tokens")).alias("mean")).orderBy("at").toArrow()

@@ -182,6 +182,15 @@ def test_lm_on_odd_input(spark):
     assert all(r["n_known"] == 0 and r["base_score"] == 0 for r in nothing)
 
 
+def test_pairs_are_counted_over_all_training_texts(spark, monkeypatch):
+    totals, count = [], lm_score.pair_counts
+    monkeypatch.setattr(lm_score, "pair_counts", lambda *a: (totals.append(count(*a).sum()), count(*a))[1])
+    rows = spark.range(12_000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    lm_score.score(rows.limit(1), rows)
+    # Three tokens a text, each with the units before it.
+    assert totals[-1] == 12_000 * 3 * lm_score.CONTEXT
+
+
 # 5 decontamination
 
 
