@@ -7,8 +7,10 @@ their mean). Before that, the smoothed ratio counts ``WEIGHT`` fold where the li
 container that holds more than half of the text; so a heading or short paragraph of the body stays, and a run of bare
 links in it does not. A container is the nearest article or main element, else the nearest section or div.
 
-Elements that are never content are skipped with all they hold: by their tag, their role or a word of their
-class or id (fixed lists below), or because they are hidden. Character references are decoded.
+Elements that are never content are skipped with all they hold: by their tag, their role or a class or id (fixed lists below,
+compared with whole names), or because they are hidden. Other than scripts, controls and the like, an element is not skipped that holds more than half of
+the page's text, article and main counted ``WEIGHT`` fold: one with article or main text in it, or with at
+least ``LEAST_SPARED`` characters unless its tag is for navigation and the like. Character references are decoded.
 
 Defined results: a null or empty page, or one without content, gives an empty text; broken and cut-off markup is read as far
 as it goes; pages are read whole; repeated rows each come back.
@@ -28,6 +30,7 @@ from postmill.llm.common import slices
 SIGMA = 2.0
 # The least power of two at which no line of an article of the test pages is lost.
 WEIGHT = 16.0
+LEAST_SPARED = 200
 
 # Fixed lists.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -36,10 +39,11 @@ BLOCKS = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section "
     "summary table tbody td tfoot th thead title tr ul".split()
 )
-SKIPPED = frozenset(
-    "script style noscript template svg math canvas iframe object embed audio video head title nav header footer aside "
-    "form button select textarea input label fieldset dialog menu".split()
+# Skipped whatever they hold.
+NEVER = frozenset(
+    "script style noscript template svg math canvas iframe object embed audio video head title button select textarea input label".split()
 )
+SKIPPED = NEVER | frozenset("nav header footer aside form fieldset dialog menu".split())
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar toolbar alert alertdialog dialog form".split())
 SKIPPED_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising advertorial banner breadcrumb breadcrumbs comment comments consent "
@@ -55,7 +59,12 @@ IMPLIED_END = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
     "option": ("option",),
 }
-_SPLIT = re.compile(r"[^a-z0-9]+")
+# A start tag that ends an open p, unless one of the others stands between.
+ENDS_P = frozenset(
+    "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
+    "hgroup hr li main menu nav ol p pre section table ul".split()
+)
+P_SCOPE = frozenset("button caption html object table td template th".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 _CUT_OFF = re.compile(r"<[!/?a-zA-Z]")
 # A class of the page as a whole says nothing of its content.
@@ -69,7 +78,7 @@ def _is_skipped(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         return False
     for name, value in attrs:
         if name in ("class", "id"):
-            words = _SPLIT.split((value or "").lower())
+            words = (value or "").lower().split()
             if not SKIPPED_WORDS.isdisjoint(words):
                 return True
         elif name == "role":
@@ -83,7 +92,7 @@ def _is_skipped(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
 
 
 class _Lines(HTMLParser):
-    """Lines of a page: (container, is in article or main, tags before it, text)."""
+    """Lines of a page: (container, is in article or main, tags before it, text); ``lines_of`` takes out what is skipped."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -92,7 +101,9 @@ class _Lines(HTMLParser):
         self.times_open: Counter[str] = Counter()
         self.containers: list[tuple[int, bool, int]] = [(0, False, -1)]  # number, in content, depth
         self.made = 0
-        self.skipping: int | None = None  # depth of the skipped element
+        self.skipping: int | None = None  # depth of the element skipped whatever it holds
+        self.marked: list[tuple[int, str, int, int]] = []  # open elements to skip: depth, tag, first line, tags before
+        self.marks: list[tuple[str, int, int]] = []  # closed ones: tag, first line, end
         self.tags = 0
         self.text: list[str] = []
 
@@ -104,9 +115,19 @@ class _Lines(HTMLParser):
             self.lines.append((number, content, self.tags, text))
             self.tags = 0
 
+    def end_p(self) -> None:
+        for depth in range(len(self.open) - 1, -1 if self.skipping is None else self.skipping, -1):
+            if self.open[depth] == "p":
+                self.close_to(depth)
+                return
+            if self.open[depth] in P_SCOPE:
+                return
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS and self.skipping is None:
             self.end_line()
+        if tag in ENDS_P and self.times_open["p"] > 0:
+            self.end_p()
         self.tags += self.skipping is None
         if tag in VOID:
             return
@@ -116,10 +137,14 @@ class _Lines(HTMLParser):
         self.times_open[tag] += 1
         if self.skipping is not None:
             return
-        if _is_skipped(tag, attrs):
+        if tag in NEVER:
             self.end_line()
             self.skipping = len(self.open) - 1
-        elif tag in CONTAINERS:
+            return
+        if _is_skipped(tag, attrs):
+            self.end_line()
+            self.marked.append((len(self.open) - 1, tag, len(self.lines), self.tags))
+        if tag in CONTAINERS:
             inside = self.containers[-1][1]
             # What stands within an article or main belongs to it.
             if not inside:
@@ -136,6 +161,12 @@ class _Lines(HTMLParser):
         del self.open[depth:]
         if self.skipping is not None and depth <= self.skipping:
             self.skipping = None
+        # Tags within a skipped element are no tags of the line after it.
+        while self.marked and self.marked[-1][0] >= depth:
+            self.end_line()
+            _, tag, first, self.tags = self.marked.pop()
+            if first < len(self.lines):
+                self.marks.append((tag, first, len(self.lines)))
         while self.containers[-1][2] >= depth:
             self.end_line()
             self.containers.pop()
@@ -166,7 +197,26 @@ def lines_of(html: str) -> list[tuple[int, bool, int, str]]:
         parser.rawdata = parser.rawdata[: cut.start()]
     parser.close()
     parser.end_line()
-    return parser.lines
+    parser.close_to(0)
+    return _unskipped(parser.lines, parser.marks)
+
+
+def _unskipped(lines: list[tuple[int, bool, int, str]], marks: list[tuple[str, int, int]]) -> list[tuple[int, bool, int, str]]:
+    """Lines outside of the marked elements, and within those that hold most of the page; smaller elements go first."""
+    if not marks:
+        return lines
+    content = np.array([line[1] for line in lines])
+    chars = np.array([len(line[3]) for line in lines])
+    weights = np.where(content, WEIGHT, 1.0) * chars
+    kept, total = np.ones(len(lines), bool), weights.sum()
+    for tag, first, end in sorted(marks, key=lambda m: m[2] - m[1]):
+        here = kept[first:end]
+        own = weights[first:end][here].sum()
+        enough = tag not in SKIPPED - {"form"} and chars[first:end][here].sum() >= LEAST_SPARED
+        if own <= total / 2 or not (enough or content[first:end][here].any()):
+            total -= own
+            kept[first:end] = False
+    return [line for line, keep in zip(lines, kept, strict=True) if keep]
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:

@@ -132,6 +132,18 @@ def test_ratios_decide_beside_and_inside_an_article():
     assert inside.startswith("Top Paragraph 0") and "Paragraph 7" in inside and not inside.endswith("39")
 
 
+def test_elements_that_hold_the_page_are_not_skipped():
+    body = "".join(f"<p>{'words of the body ' * 5}{i}</p>" for i in range(6))
+    text = html_text.main_text(f"<article>{body}</article>")
+    for page in (
+        f"<article class='post has-sidebar'>{body}</article>", f"<main class='no-comments'>{body}</main>", f"<main class=sidebar>{body}</main>",
+        f"<div id='content-with-widgets'>{body}</div>", f"<form>{body}</form>", f"<form><article>{body}</article><div class=ad>buy</div></form>",
+        f"<article><p class='notice'>sign up{body}</article>", f"<nav>n</nav><article>{body}</article><div class=comments>{body}{body}</div>",
+    ):
+        assert html_text.main_text(page) == text
+    assert html_text.main_text("<div class=cookies>We use cookies</div>") == "" == html_text.main_text(f"<nav>{body}</nav>")
+
+
 def test_pages(spark):
     found = queries.html_main_text(spark, SMALL)
     pages = spark.read.parquet(f"{SMALL}/pages.parquet").collect()
