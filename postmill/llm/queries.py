@@ -5,7 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import decontaminate, html_text, language_id, licenses, lm_score, packing, secrets, simhash, topk, toxicity
+from postmill.llm import (
+    decontaminate, html_text, importance, language_id, licenses, lm_score, packing, secrets, simhash, sql, topk, toxicity,
+)
 from postmill.llm.common import table
 
 
@@ -54,6 +56,10 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": exact_top_k,
     "op2_license_scan": license_scan,
@@ -65,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": toxicity_scores,
     "op9_language_id": language_prediction,
     "op10_secret_scan": secret_scan,
+    "op13_importance_resampling": importance_resampling,
 }
 # Vectors that take no part are left out by the same rules; floor of a double is exact here.
 TOP_K_SQL = """
@@ -86,4 +93,4 @@ ranked as (
 select query_id, rank, vec_id, score from ranked where rank <= 20
 """
 
-ORACLE: dict[str, str] = {"op1_exact_top_k": TOP_K_SQL}
+ORACLE: dict[str, str] = {"op1_exact_top_k": TOP_K_SQL, "op13_importance_resampling": sql.IMPORTANCE_SQL}
