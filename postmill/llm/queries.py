@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.llm import (
-    decontaminate, html_text, importance, language_id, licenses, lm_score, packing, secrets, simhash, sql, topk, toxicity,
+    decontaminate, html_text, importance, language_id, licenses, lm_score, packing, prefix_trie, secrets, simhash, sql, topk, toxicity,
 )
 from postmill.llm.common import table
 
@@ -56,6 +56,11 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(turns))
+
+
 def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": toxicity_scores,
     "op9_language_id": language_prediction,
     "op10_secret_scan": secret_scan,
+    "op12_conversation_prefix_trie": conversation_prefix_trie,
     "op13_importance_resampling": importance_resampling,
 }
 # Vectors that take no part are left out by the same rules; floor of a double is exact here.
@@ -93,4 +99,8 @@ ranked as (
 select query_id, rank, vec_id, score from ranked where rank <= 20
 """
 
-ORACLE: dict[str, str] = {"op1_exact_top_k": TOP_K_SQL, "op13_importance_resampling": sql.IMPORTANCE_SQL}
+ORACLE: dict[str, str] = {
+    "op1_exact_top_k": TOP_K_SQL,
+    "op12_conversation_prefix_trie": sql.PREFIX_TRIE_SQL,
+    "op13_importance_resampling": sql.IMPORTANCE_SQL,
+}

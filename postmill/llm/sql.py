@@ -56,3 +56,44 @@ ranked as (
 drawn as (select doc_id, place from ranked where place <= (select count(*) * {importance.PERCENT} // 100 from ranked))
 select doc_id, n_features, weight, score, place as rank from scores left join drawn using (doc_id)
 """
+
+# A node is named by the digest of its turns' digests; a conversation's row at depth 0 is the root.
+PREFIX_TRIE_SQL = f"""
+with said as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null
+),
+keyed as (
+    select conv_id, turn, substring(sha256(length(role) || ':' || role || text), 1, 32) as key, octet_length(encode(text)) as bytes from said
+),
+placed as (
+    select conv_id, key, bytes, row_number() over (partition by conv_id order by turn nulls first, key) as position from keyed
+),
+ids as (select conv_id, {crc32_of("conv_id::varchar")} % 9 as h from (select distinct conv_id from placed)),
+rebuilt as (
+    select conv_id, position, key, bytes from placed join ids using (conv_id) where position > h
+    union all
+    select i.conv_id, p.position, p.key, p.bytes from ids i join placed p on p.conv_id = i.conv_id - i.conv_id % 5 and p.position <= i.h
+    union all
+    select conv_id, 0, '', 0 from ids
+),
+paths as (
+    select conv_id, bytes, row_number() over w - 1 as depth, sha256(string_agg(key, '') over w) as node
+    from rebuilt window w as (partition by conv_id order by position)
+),
+steps as (select *, lag(node) over (partition by conv_id order by depth) as above, max(depth) over (partition by conv_id) as deepest from paths),
+nodes as (
+    select node, any_value(above) as above, any_value(depth) as depth, min(conv_id) as conv_id, count(*) as n_convs, any_value(bytes) as bytes,
+           sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (depth = deepest), '')) as ends_sha256
+    from steps group by node
+),
+children as (select above as node, count(*) as n from nodes where above is not null group by above),
+whole as (select nodes.*, coalesce(n, 0) as n_children from nodes left join children using (node)),
+-- The smallest member of a node passes through all nodes above it.
+sums as (
+    select p.node, count(*) filter (w.n_children = 0) as n_leaves, sum((w.n_convs - 1) * w.bytes) as saved_tokens
+    from whole w join paths p on p.conv_id = w.conv_id and p.depth <= w.depth group by p.node
+)
+select w.conv_id, w.depth::bigint as depth, a.conv_id as parent_conv_id, w.n_convs::bigint as n_convs, w.n_children::bigint as n_children,
+       n_leaves::bigint as n_leaves, saved_tokens::bigint as saved_tokens, w.ends_sha256
+from whole w join sums using (node) left join whole a on a.node = w.above
+"""
