@@ -117,3 +117,20 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=sums[1:])
     return mixed((sums[ends] - sums[starts]) * inverse[starts])
+
+
+def spread_join(many: DataFrame, few: DataFrame, key: str, rows: str, hot_keys: int = 10_000) -> DataFrame:
+    """Inner join of ``many`` with ``few``, which has each key once and in ``rows`` how many rows of ``many`` have it.
+
+    A key with more than 1 / ``hot_keys`` of all rows is spread: its row of ``few`` is repeated for so many parts, and the rows
+    of ``many`` take turns among them. There cannot be more than ``hot_keys`` such keys, which bounds what is broadcast.
+    ``rows`` is left out of the result. ``many`` must come in the same order each time it is read, as a stored table does.
+    """
+    total = few.agg(F.coalesce(F.sum(rows), F.lit(0))).first()[0]
+    share = max(1, -(-total // hot_keys), 100)
+    parts = F.ceil(F.col(rows) / share).cast("int")
+    hot = F.broadcast(few.filter(F.col(rows) > share).select(key, parts.alias("_parts")))
+    turn = F.monotonically_increasing_id() % F.coalesce("_parts", F.lit(1))
+    dealt = many.join(hot, key, "left").withColumn("_part", turn.cast("int")).drop("_parts")
+    repeated = few.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop(rows)
+    return dealt.join(repeated, [key, "_part"]).drop("_part")

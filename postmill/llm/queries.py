@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.llm import (
-    decontaminate, html_text, importance, language_id, licenses, lm_score, packing, prefix_trie, secrets, simhash, sql, topk, toxicity,
+    decontaminate, html_text, importance, language_id, licenses, lm_score, minhash, packing, prefix_trie, secrets, simhash, sql, topk, toxicity,
 )
 from postmill.llm.common import table
 
@@ -56,6 +56,10 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = prefix_trie.turns(table(spark, sf_dir, "conversations"))
     return prefix_trie.prefix_trie(prefix_trie.rebuilt(turns))
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": toxicity_scores,
     "op9_language_id": language_prediction,
     "op10_secret_scan": secret_scan,
+    "op11_minhash_near_dedup": minhash_near_dedup,
     "op12_conversation_prefix_trie": conversation_prefix_trie,
     "op13_importance_resampling": importance_resampling,
 }
@@ -101,6 +106,7 @@ select query_id, rank, vec_id, score from ranked where rank <= 20
 
 ORACLE: dict[str, str] = {
     "op1_exact_top_k": TOP_K_SQL,
+    "op11_minhash_near_dedup": sql.NEAR_DUPLICATES_SQL,
     "op12_conversation_prefix_trie": sql.PREFIX_TRIE_SQL,
     "op13_importance_resampling": sql.IMPORTANCE_SQL,
 }

@@ -1,6 +1,6 @@
 """SQL for DuckDB of the operators that SQL can express."""
 
-from postmill.llm import importance
+from postmill.llm import importance, minhash
 
 
 def crc32_of(text: str) -> str:
@@ -97,3 +97,37 @@ select w.conv_id, w.depth::bigint as depth, a.conv_id as parent_conv_id, w.n_con
        n_leaves::bigint as n_leaves, saved_tokens::bigint as saved_tokens, w.ends_sha256
 from whole w join sums using (node) left join whole a on a.node = w.above
 """
+
+# Equal texts are one set; a set is found in another through the shingles they share.
+NEAR_DUPLICATES_SQL = rf"""
+with recursive texts as (
+    select row_number() over () as number, text, doc_id, regexp_extract_all({ascii_lower("text")}, '[^\x20\x09-\x0D]+') as words
+    from (select coalesce(text, '') as text, min(doc_id) as doc_id from documents group by 1)
+),
+said as (select number, unnest(words) as word, generate_subscripts(words, 1) as i, len(words) as n_words from texts),
+shingles as (
+    select number, i, n_words, concat_ws(' ', word{"".join(f", lead(word, {k}) over w" for k in range(1, minhash.SHINGLE))}) as shingle
+    from said window w as (partition by number order by i)
+),
+elements as (select distinct number, shingle from shingles where i <= greatest(n_words - {minhash.SHINGLE - 1}, 1)),
+sizes as (select number, count(*) as n from elements group by number),
+shared as (
+    select a.number as a, b.number as b, count(*) as n
+    from elements a join elements b on a.shingle = b.shingle and a.number <> b.number group by a.number, b.number
+),
+links as (
+    select a, b from shared s join sizes x on x.number = a join sizes y on y.number = b
+    where 100 * s.n >= {minhash.PERCENT} * (x.n + y.n - s.n)
+),
+reached as (
+    select distinct a as start, a as number from links
+    union
+    select r.start, l.b from reached r join links l on l.a = r.number
+),
+least as (select r.start as number, min(t.doc_id) as doc_id from reached r join texts t on t.number = r.number group by r.start)
+select d.doc_id, coalesce(s.n, 0)::bigint as n_shingles,
+       case when s.n is null then d.doc_id else coalesce(l.doc_id, t.doc_id) end as component_id,
+       d.doc_id = (case when s.n is null then d.doc_id else coalesce(l.doc_id, t.doc_id) end) as kept
+from documents d join texts t on t.text = coalesce(d.text, '')
+left join sizes s on s.number = t.number left join least l on l.number = t.number
+"""
