@@ -140,8 +140,8 @@ def _sketch(shingle: int) -> Callable:
 def sketches(docs: DataFrame, text_column: str = "text", id_column: str = "doc_id", shingle: int = SHINGLE) -> DataFrame:
     """One row per document: its id, a key of its text, the size of its set ``n``, the set's digest ``node`` and its registers."""
     texts = docs.select(F.col(id_column).alias("id"), F.xxhash64(text_column).alias("text_key"), F.col(text_column).alias("text"))
-    schema = texts.select("id", "text_key", F.lit(0).cast("long").alias("n"), F.lit(b"").alias("node"), F.lit(b"").alias("registers"))
-    return texts.mapInArrow(_sketch(shingle), schema.schema)
+    made = (F.lit(None).cast(kind).alias(name) for name, kind in (("n", "long"), ("node", "binary"), ("registers", "binary")))
+    return texts.mapInArrow(_sketch(shingle), texts.select("id", "text_key", *made).schema)
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
