@@ -119,18 +119,82 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed((sums[ends] - sums[starts]) * inverse[starts])
 
 
-def spread_join(many: DataFrame, few: DataFrame, key: str, rows: str, hot_keys: int = 10_000) -> DataFrame:
+def spread_join(many: DataFrame, few: DataFrame, key: str, rows: str, by: str, hot_keys: int = 10_000) -> DataFrame:
     """Inner join of ``many`` with ``few``, which has each key once and in ``rows`` how many rows of ``many`` have it.
 
     A key with more than 1 / ``hot_keys`` of all rows is spread: its row of ``few`` is repeated for so many parts, and the rows
-    of ``many`` take turns among them. There cannot be more than ``hot_keys`` such keys, which bounds what is broadcast.
-    ``rows`` is left out of the result. ``many`` must come in the same order each time it is read, as a stored table does.
+    of ``many`` are dealt among them by a hash of ``by``. There cannot be more than ``hot_keys`` such keys, which bounds what is
+    broadcast. ``rows`` is left out of the result.
     """
-    total = few.agg(F.coalesce(F.sum(rows), F.lit(0))).first()[0]
-    share = max(1, -(-total // hot_keys), 100)
-    parts = F.ceil(F.col(rows) / share).cast("int")
-    hot = F.broadcast(few.filter(F.col(rows) > share).select(key, parts.alias("_parts")))
-    turn = F.monotonically_increasing_id() % F.coalesce("_parts", F.lit(1))
-    dealt = many.join(hot, key, "left").withColumn("_part", turn.cast("int")).drop("_parts")
-    repeated = few.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop(rows)
+    share = F.greatest(F.lit(100), F.ceil(few.agg(F.coalesce(F.sum(rows), F.lit(0)) / hot_keys).scalar()))
+    sized = few.withColumn("_parts", F.ceil(F.col(rows) / share).cast("int")).drop(rows)
+    hot = F.broadcast(sized.filter("_parts > 1").select(key, "_parts"))
+    part = F.pmod(F.xxhash64(by), F.coalesce("_parts", F.lit(1))).cast("int")
+    dealt = many.join(hot, key, "left").withColumn("_part", part).drop("_parts")
+    repeated = sized.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
     return dealt.join(repeated, [key, "_part"]).drop("_part")
+
+
+def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+    """Connected components of ``edges`` (a, b): node and the component's smallest node.
+
+    Each round links every node's larger neighbours to its smallest one (large star) and then
+    its smaller neighbours to the smallest (small star); rounds grow with the logarithm of the size. A
+    round's edges are written out, so lineage stays short; the edges of a large star's center are spread.
+    """
+
+    def star(pairs: DataFrame, larger: bool) -> DataFrame:
+        if larger:
+            pairs = pairs.union(pairs.select("b", "a"))
+        else:
+            pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        least = pairs.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("rows")).withColumn("m", F.least("a", "m"))
+        joined = spread_join(pairs, least, "a", "rows", "b")
+        moved = joined.filter("b > a" if larger else "b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        if not larger:
+            moved = moved.union(least.select("a", F.col("m").alias("b")))
+        return moved.filter("a <> b").distinct()
+
+    current, before = staged(edges.select("a", "b").filter("a <> b").distinct(), "edges"), None
+    for _ in range(max_rounds):
+        current = staged(star(star(current, True), False), "edges")
+        # The edges settle as one star per component; a sum over them tells when.
+        state = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if state == before:
+            break
+        before = state
+    else:
+        raise RuntimeError("components did not settle")
+    ends = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return ends.union(current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
+
+def may_be_among(keys: DataFrame, key: str, most_bits: int = 28):
+    """An Arrow function of 64-bit hashes: False only for those that are not in column ``key`` of ``keys``.
+
+    A bitmap of about 16 bits per key and at most 2**``most_bits`` (32 MB); one that is too full lets more pass, never less.
+    """
+    spark = keys.sparkSession
+    bits = 1 << min(most_bits, max(16, int(16 * keys.count()).bit_length()))
+    bit = F.pmod(F.col(key), F.lit(bits))
+    words = keys.groupBy((bit / 32).cast("int").alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, int(pmod({key}, 32)))")).alias("set")).toArrow()
+    found = np.zeros(bits // 32, "<u4")
+    found[words["at"].to_numpy()] = words["set"].to_numpy().astype(np.uint32)
+    shared = spark.sparkContext.broadcast(found)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bitmap = shared.value
+        for batch in batches:
+            at = batch.to_numpy(zero_copy_only=False) & (bits - 1)
+            yield pa.array((bitmap[at >> 5] >> (at & 31).astype(np.uint32) & 1) > 0)
+
+    return F.arrow_udf(_typed(run), "boolean")
+
+
+def _typed(run):
+    """``run`` as a function from iterator to iterator, which is told by its annotations."""
+
+    def batches(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from run(arrays)
+
+    return batches

@@ -30,8 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.common import encoded_words, mixed, slices, spread_join, staged
-from postmill.llm.simhash import components
+from postmill.llm.common import components, encoded_words, may_be_among, mixed, slices, spread_join, staged
 
 SHINGLE = 5
 PERCENT = 85
@@ -346,7 +345,7 @@ def candidates(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     bands = sets.select("node", "registers").mapInArrow(_bands, "band long, node binary")
     crowded = bands.groupBy("band").agg(F.count("*").alias("rows")).filter("rows > 1")
     crowded = staged(crowded.withColumn("parts", F.ceil(F.col("rows") / BAND_PART).cast("int")), "bands")
-    met = spread_join(bands, crowded, "band", "rows").join(sets.select("node", "n", "registers"), "node")
+    met = spread_join(bands, crowded, "band", "rows", "node").join(sets.select("node", "n", "registers"), "node")
     cells = _cells(met, "band").select("cell", "node", "n", "registers")
     return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(_compare_sketches(percent), "a binary, b binary").distinct()
 
@@ -360,8 +359,11 @@ def links(docs: DataFrame, sets: DataFrame, groups: DataFrame, percent: int = PE
     first = F.min(F.struct(F.col("least").isNull(), "least", "node"))["node"]
     sizes = wanted.groupBy("root").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"), first.alias("hub"))
     parts = F.ceil(F.col("shingles") / SET_PART).cast("int").alias("parts")
-    placed = spread_join(wanted, staged(sizes.select("root", "rows", "hub", parts), "groups"), "root", "rows")
-    texts = docs.join(wanted.select("text_key").distinct(), "text_key", "left_semi").groupBy("text_key").agg(F.any_value("text").alias("text"))
+    placed = spread_join(wanted, staged(sizes.select("root", "rows", "hub", parts), "groups"), "root", "rows", "node")
+    # Few texts are wanted; a bitmap keeps most of the others from being moved to the join.
+    keys = wanted.select("text_key")
+    some = docs.filter(may_be_among(keys, "text_key")("text_key"))
+    texts = some.join(keys.distinct(), "text_key", "left_semi").groupBy("text_key").agg(F.any_value("text").alias("text"))
     full = texts.select("text").mapInArrow(_sets(shingle), "node binary, set array<long>")
     cells = _cells(placed.select("root", "node", "hub", "parts"), "root", F.col("node") == F.col("hub"))
     rows = cells.join(full.dropDuplicates(["node"]), "node").select("cell", (F.col("node") != F.col("hub")).alias("late"), "node", "set")
@@ -387,11 +389,11 @@ def near_duplicates(
     roots = staged(components(links(texts, sets, groups, percent, shingle)), "roots")
     linked = staged(roots.join(sets.select("node", "least"), "node"), "linked")
     least = staged(linked.groupBy("root").agg(F.min("least").alias("of_links"), F.count("*").alias("rows")), "least")
-    named = spread_join(linked.select("root", "node"), least, "root", "rows").select("node", F.struct("of_links").alias("of_links"))
+    named = spread_join(linked.select("root", "node"), least, "root", "rows", "node").select("node", F.struct("of_links").alias("of_links"))
     # A component without any id has none, though its sets are linked.
     own = F.when(F.col("of_links").isNull(), F.col("least")).otherwise(F.col("of_links.of_links"))
     classes = staged(sets.select("node", "least", "rows").join(named, "node", "left").select("node", "rows", own.alias("component_id")), "classes")
-    found = spread_join(rows.filter("node is not null").select("id", "n", "node"), classes, "node", "rows")
+    found = spread_join(rows.filter("node is not null").select("id", "n", "node"), classes, "node", "rows", "id")
     alone = rows.filter("node is null").select("id", "n", F.col("id").alias("component_id"))
     return found.select("id", "n", "component_id").unionAll(alone).select(
         F.col("id").alias(id_column),

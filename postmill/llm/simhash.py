@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.common import CHUNK_BYTES, slices, staged
+from postmill.llm.common import CHUNK_BYTES, components, slices, spread_join, staged
 
 SHINGLE = 3
 SEED = 42
@@ -217,49 +217,14 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, homes: int = HOMES) -> Da
     return sorted_.mapInArrow(_compare(max_bits), "a long, b long").filter("a <> b").distinct()
 
 
-def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
-    """Connected components of ``edges`` (a, b): node and the component's smallest node.
-
-    Each round links every node's larger neighbours to its smallest one (large star) and then
-    its smaller neighbours to the smallest (small star); rounds grow with the logarithm of the size. A
-    round's edges are written out, so lineage stays short.
-    """
-
-    def star(pairs: DataFrame, larger: bool) -> DataFrame:
-        if larger:
-            pairs = pairs.union(pairs.select("b", "a"))
-        else:
-            pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = pairs.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        joined = pairs.join(least, "a")
-        moved = joined.filter("b > a" if larger else "b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        if not larger:
-            moved = moved.union(least.select("a", F.col("m").alias("b")))
-        return moved.filter("a <> b").distinct()
-
-    current, before = staged(edges.select("a", "b").filter("a <> b").distinct(), "edges"), None
-    for _ in range(max_rounds):
-        current = staged(star(star(current, True), False), "edges")
-        # The edges settle as one star per component; a sum over them tells when.
-        state = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
-    else:
-        raise RuntimeError("components did not settle")
-    ends = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return ends.union(current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-
-
 def near_duplicates(docs: DataFrame, text_column: str = "text", id_column: str = "doc_id", max_bits: int = MAX_BITS) -> DataFrame:
     """One row per document: its id, ``fingerprint`` (signed) and ``component_id``."""
     rows = staged(fingerprints(docs.select(id_column, text_column), text_column), "fingerprints")
-    distinct = staged(rows.groupBy("fingerprint").agg(F.min(id_column).alias("least")), "distinct")
-    roots = components(links(distinct.select("fingerprint"), max_bits))
-    linked = distinct.join(roots, F.col("fingerprint") == F.col("node"))
-    least = linked.groupBy("root").agg(F.min("least").alias("of_root"))
-    named = linked.join(least, "root").select("fingerprint", F.col("of_root").alias("of_links"))
-    classes = distinct.join(named, "fingerprint", "left").select(
-        "fingerprint", F.coalesce("of_links", "least").alias("component_id")
-    )
-    return rows.join(classes, "fingerprint").select(id_column, "fingerprint", "component_id")
+    distinct = staged(rows.groupBy("fingerprint").agg(F.min(id_column).alias("least"), F.count("*").alias("rows")), "distinct")
+    roots = staged(components(links(distinct.select("fingerprint"), max_bits)), "roots")
+    linked = roots.join(distinct, F.col("fingerprint") == F.col("node")).select("fingerprint", "root", "least")
+    least = linked.groupBy("root").agg(F.min("least").alias("of_root"), F.count("*").alias("rows"))
+    named = spread_join(linked.drop("least"), least, "root", "rows", "fingerprint").select("fingerprint", F.col("of_root").alias("of_links"))
+    classes = distinct.join(named, "fingerprint", "left").select("fingerprint", "rows", F.coalesce("of_links", "least").alias("component_id"))
+    # A fingerprint may be that of a third of all rows.
+    return spread_join(rows, staged(classes, "classes"), "fingerprint", "rows", id_column).select(id_column, "fingerprint", "component_id")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from test_operators import LONG, SMALL, documents, odd_documents
 
 from postmill.llm import importance, minhash, prefix_trie
-from postmill.llm.common import spread_join
+from postmill.llm.common import may_be_among, spread_join
 
 # 11 MinHash near-duplicates
 
@@ -102,10 +102,18 @@ def test_sketches_merge_and_estimate():
 def test_spread_join(spark):
     many = spark.createDataFrame([(7 if i < 3000 else i, i) for i in range(4000)], "k long, v long")
     few = many.groupBy("k").agg(F.count("*").alias("rows")).withColumn("name", F.col("k") * 2)
-    found = spread_join(many, few, "k", "rows", hot_keys=10)
+    found = spread_join(many, few, "k", "rows", "v", hot_keys=10)
     assert sorted(map(tuple, found.collect())) == sorted((7 if i < 3000 else i, i, 14 if i < 3000 else 2 * i) for i in range(4000))
 
 
+def test_keys_that_may_be_among(spark):
+    rows = spark.range(20_000).select(F.xxhash64("id").alias("key"), "id")
+    passed = rows.filter(may_be_among(rows.filter("id < 2000").select("key"), "key")("key"))
+    assert passed.filter("id < 2000").count() == 2000 and passed.count() < 6000
+    assert rows.filter(may_be_among(rows.limit(0), "key")("key")).count() == 0
+    assert rows.filter(may_be_among(rows.select("key"), "key", most_bits=5)("key")).count() == 20_000
+
+
 # 12 the trie of prefixes
 
 TURNS = "conv_id long, turn long, role string, text string"
