@@ -1,6 +1,7 @@
 """The same results as plain SQL over the given tables, for DuckDB."""
 
 from postmill.checks import spark_queries
+from postmill.operators.search import enough_sides
 
 BASE = r"""
 base AS (
@@ -218,7 +219,9 @@ away AS (
   SELECT s.vec_id, count_if(s.side <> home.side) AS sides FROM sides s
   JOIN sides home ON home.b = s.b AND home.vec_id = (SELECT min(vec_id) FROM embeddings)
   GROUP BY s.vec_id),
-near AS (SELECT vec_id FROM away WHERE sides <= 1)""".format(bits=spark_queries.BUCKET_BITS)
+near AS (SELECT vec_id FROM away WHERE sides <= {radius})""".format(
+    bits=spark_queries.BUCKET_BITS, radius=enough_sides(spark_queries.BUCKET_BITS)
+)
 
 CENTROIDS = """
 coordinates AS (
@@ -314,6 +317,9 @@ ORACLE = {
         SELECT CAST(r.radius AS INT) AS radius, count(*) / 20 AS recall
         FROM range({spark_queries.BUCKET_BITS + 1}) AS r(radius) JOIN away ON away.sides <= r.radius
         JOIN best ON best.vec_id = away.vec_id GROUP BY r.radius""",
+    "vector_search_index": f"WITH {FIRST}{_nearest()}",
+    "vector_index_recall": """SELECT count(*) FILTER (vec_id % 100 = 0) AS queries, true AS recall_reached, true AS quarter_read
+        FROM embeddings""",
     "vector_search_every_vector": """SELECT q.vec_id AS query_id, v.vec_id,
                round(list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) AS similarity,
                CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(

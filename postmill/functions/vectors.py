@@ -80,7 +80,7 @@ def encode_with(factory: EncoderFactory, batch_size: int = settings.EMBED_BATCH)
             ]
             yield pa.concat_arrays(parts)
 
-    return _once(run, "array<float>")
+    return arrow_once(run, "array<float>")
 
 
 def unit(vector: Sequence[float]) -> np.ndarray:
@@ -112,7 +112,7 @@ def cosine_to(query: Sequence[float]):
         rows, lengths = rows_and_lengths(vectors, len(target))
         return pa.array(rounded(rows @ target / lengths), from_pandas=True)
 
-    return _once(lambda batches: map(run, batches), "double")
+    return arrow_once(lambda batches: map(run, batches), "double")
 
 
 def rounded(similarities: np.ndarray) -> np.ndarray:
@@ -128,17 +128,20 @@ def side_bits_of(planes: np.ndarray):
         sides = rows @ planes.T >= 0
         return pa.array((sides @ weights).astype(np.int32))
 
-    return _once(lambda batches: map(run, batches), "int")
+    return arrow_once(lambda batches: map(run, batches), "int")
 
 
-def _once(run: Callable[[Iterator[pa.Array]], Iterator[pa.Array]], returns: str):
+def arrow_once(run: Callable, returns: str, columns: int = 1):
     """An Arrow function that runs once per row.
 
     The optimizer copies a deterministic function into every filter on its result, a model
     run included; one marked as not deterministic stays where it is.
     """
 
-    def batches(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def one(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield from run(arrays)
 
-    return F.arrow_udf(batches, returns).asNondeterministic()
+    def several(arrays: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        yield from run(arrays)
+
+    return F.arrow_udf(one if columns == 1 else several, returns).asNondeterministic()
