@@ -8,7 +8,7 @@ from postmill.operators.search import presented, search_text
 from postmill.plans.jobs import run_all
 from postmill.schema import PAGE_DDL
 from postmill.session import get_spark_session
-from postmill.sources.tables import SnapshotTable, read_json_lines
+from postmill.sources.tables import KeyedTable, read_json_lines
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -30,9 +30,9 @@ def main(argv: list[str] | None = None) -> None:
     spark = get_spark_session()
     encoder = sentence_encoder(options.model) if options.model else hashing_encoder()
     if options.command == "run":
-        run_all(spark, read_json_lines(spark, options.landing, PAGE_DDL), options.root, encoder, bits=options.bits)
+        run_all(spark, read_json_lines(spark, options.landing, PAGE_DDL), options.root, encoder, bits=options.bits, encoder_name=options.model or "")
     else:
-        records = SnapshotTable(spark, f"{options.root}/vectors").read()
+        records = KeyedTable(spark, f"{options.root}/vectors").read()
         group = None if options.group == settings.ALL_GROUPS else options.group
         found = search_text(records, options.text, options.results, group, encoder, options.bits, options.radius)
         presented(found).show(options.results, truncate=False)

@@ -392,8 +392,8 @@ def vector_search_every_vector(spark, d):
 @query
 def vector_upsert(spark, d):
     vectors = table(spark, d, "embeddings")
-    store = tables.SnapshotTable(spark, scratch_path(spark, "vectors"))
-    store.replace(vectors)
+    store = tables.KeyedTable(spark, scratch_path(spark, "vectors"))
+    store.replace(vectors, "vec_id")
     # Even ids below the row count are replaced, those beyond are new.
     batch = vectors.select((F.col("vec_id") * 2).alias("vec_id"), "embedding", (F.col("label") + 100).alias("label"))
     store.upsert(batch, "vec_id")
@@ -405,7 +405,7 @@ def semantic_search(spark, d):
     root = scratch_path(spark, "semantic")
     tables.overwrite_table(_silver(spark, d), f"{root}/silver", partition_by="subreddit")
     jobs.build_vector_store(spark, f"{root}/silver", f"{root}/vectors")
-    store = tables.SnapshotTable(spark, f"{root}/vectors")
+    store = tables.KeyedTable(spark, f"{root}/vectors")
     return _rounded(search_text(store.read(), QUERY_TEXT))
 
 
@@ -417,7 +417,7 @@ def semantic_search_batch(spark, d):
     jobs.build_vector_store(spark, f"{root}/silver", f"{root}/vectors")
     stored = tables.read_table(spark, f"{root}/silver", SILVER_DDL)
     asked = gold.embedding_candidates(stored, 1).select(F.col("post_id").alias("query_id"), F.col("content").alias("text"))
-    return _rounded(search_texts(tables.SnapshotTable(spark, f"{root}/vectors").read(), asked))
+    return _rounded(search_texts(tables.KeyedTable(spark, f"{root}/vectors").read(), asked))
 
 
 @query

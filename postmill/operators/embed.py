@@ -1,5 +1,7 @@
 """Text to vector records: post_id, subreddit, title, document, embedding."""
 
+from collections.abc import Sequence
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +17,9 @@ def embed_posts(
     batch_size: int = settings.EMBED_BATCH,
     max_chars: int | None = None,
     partitions: int | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Encode ``content`` on the executors; only that column goes to Python.
+    """Encode ``content`` on the executors; only that column goes to Python. Columns to ``keep`` are passed on.
 
     Whole texts are encoded and stored unless ``max_chars`` is given, for a model that reads no more. A small input out of a ranking sits in few partitions: ``partitions``
     spreads it, which pays when the encoder is a model.
@@ -26,7 +29,7 @@ def embed_posts(
     documents = posts.withColumn("document", first_chars("content", max_chars))
     embed = encode_with(encoder or hashing_encoder(), batch_size)
     return documents.select(
-        "post_id", "subreddit", "title", "document", embed(F.col("document")).alias("embedding")
+        "post_id", "subreddit", "title", "document", embed(F.col("document")).alias("embedding"), *keep
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from postmill import settings
+from postmill.functions.text import first_chars
 from postmill.functions.vectors import EncoderFactory
 from postmill.operators import gold
 from postmill.operators.embed import embed_posts, encode_query
@@ -18,7 +19,7 @@ from postmill.operators.silver import silver_posts
 from postmill.plans.late_top import rows_near_top
 from postmill.schema import BRONZE_DDL, SILVER_DDL, bronze_columns
 from postmill.sources.listing import cap_per_channel, flatten_listing, rejects
-from postmill.sources.tables import SnapshotTable, append_bronze, overwrite_table, read_bronze, records_to_bronze
+from postmill.sources.tables import KeyedTable, append_bronze, overwrite_table, read_bronze, records_to_bronze, staged
 
 
 def ingest_to_bronze(spark: SparkSession, records: Iterable[dict], bronze_path: str, fmt: str = "parquet") -> int:
@@ -85,20 +86,37 @@ def build_vector_store(
     replace: bool = False,
     fmt: str = "parquet",
     bits: int | None = None,
+    encoder_name: str = "",
 ) -> int:
     """Embed the best posts of each group and upsert them by id; returns the table's rows.
 
-    Posts that left the top stay in the table unless ``replace`` is set. With ``bits`` the table is stored by
-    bucket for approximate search; a table keeps its layout until it is replaced.
+    Only texts that the table does not hold for their post are encoded, told by a digest of the text and ``encoder_name``:
+    give another encoder another name. A post whose text is stored and whose group or title changed keeps its vector, and one that is
+    stored as it is stays untouched. Posts that left the top stay in the table unless ``replace`` is set, which encodes all anew. With
+    ``bits`` the table is stored by bucket for approximate search; a table keeps its layout until it is replaced.
     """
     silver = spark.read.format(fmt).schema(SILVER_DDL).load(silver_path)
     candidates = gold.embedding_candidates(rows_near_top(silver, "subreddit", "score", top_n), top_n)
-    records = embed_posts(candidates, encoder, batch_size, max_chars, partitions=spark.sparkContext.defaultParallelism)
+    text = F.coalesce(first_chars("content", max_chars), F.lit(""))
+    digest = F.sha2(F.concat(F.lit(f"{encoder_name}:"), text).cast("binary"), 256)
+    candidates = staged(candidates.withColumn("text_digest", digest), "candidates")
+    table = KeyedTable(spark, vector_path)
+    stored = None if replace or not table.exists() else table.read()
+    known = stored is not None and "text_digest" in stored.columns
+    unseen = candidates
+    if known:
+        held = stored.select("post_id", "text_digest", F.struct("subreddit", "title").alias("held"))
+        met = candidates.join(held, ["post_id", "text_digest"], "left")
+        unseen = met.filter("held is null").select(*candidates.columns)
+        moved = met.filter("held is not null").filter(~F.col("held.subreddit").eqNullSafe(F.col("subreddit")) | ~F.col("held.title").eqNullSafe(F.col("title")))
+    records = embed_posts(unseen, encoder, batch_size, max_chars, spark.sparkContext.defaultParallelism, keep=["text_digest"])
+    if known:
+        kept = moved.select("post_id", "subreddit", "title").join(stored.drop("subreddit", "title", "bucket"), "post_id")
+        records = records.unionByName(kept.select(*records.columns))
     if bits is not None:
         records = with_bucket(records, bits, len(encode_query("", encoder)))
-    table = SnapshotTable(spark, vector_path)
     partition_by = None if bits is None else "bucket"
-    return table.replace(records, partition_by) if replace else table.upsert(records, "post_id", partition_by)
+    return table.replace(records, "post_id", partition_by) if replace else table.upsert(records, "post_id", partition_by)
 
 
 def run_all(
@@ -110,6 +128,7 @@ def run_all(
     limit: int | None = None,
     max_chars: int | None = None,
     bits: int | None = None,
+    encoder_name: str = "",
 ) -> dict[str, object]:
     """All steps in order in one session. A failing step raises, and no later one starts.
 
@@ -121,7 +140,7 @@ def run_all(
         "silver": lambda: transform_bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver", BRONZE_DDL),
         "gold": lambda: transform_silver_to_gold(spark, f"{root}/silver", f"{root}/gold"),
         "vectors": lambda: build_vector_store(
-            spark, f"{root}/silver", f"{root}/vectors", encoder=encoder, max_chars=max_chars, bits=bits
+            spark, f"{root}/silver", f"{root}/vectors", encoder=encoder, max_chars=max_chars, bits=bits, encoder_name=encoder_name
         ),
     }
     rows = {}

@@ -3,6 +3,7 @@
 import uuid
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -115,72 +116,77 @@ def upsert(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """
     batch = keep_first(batch, [key], [F.asc(c) for c in batch.columns if c != key])
     keys = batch.select(F.col(key).alias("_key"))
-    return target.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_anti").unionByName(batch)
+    return target.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_anti").unionByName(batch, allowMissingColumns=True)
 
 
-class SnapshotTable:
-    """A table that is rewritten from its own contents.
+class KeyedTable:
+    """A table with a key that is written over in the places that a batch touches only.
 
-    Each write goes to a new folder ``snapshot-<n>``. The newest folder with Spark's
-    ``_SUCCESS`` marker is the table, so readers never see a write that is under way or broke
-    off, and a query planned before a write still finds its files. The last ``keep`` complete
-    snapshots stay, older ones are removed after a write. There may be one writer at a time.
+    Rows are stored by a hash of their key, in ``parts`` folders. An upsert reads the folders of the batch's keys, merges, and
+    writes these folders anew (dynamic partition overwrite); the other ones keep their files. How many parts there are is part of the
+    layout, so it stays as it was when the table was made. Within a file rows are sorted by key, and files carry Bloom filters
+    of it. A further ``partition_by`` column lies below; a folder whose last row moved elsewhere keeps a row that says so.
+
+    There may be one writer at a time. Folders change one after the other: a reader that must not see half of a batch
+    waits for the writer, and a batch that broke off is mended by running it again.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keep: int = 3):
+    def __init__(self, spark: SparkSession, root: str, parts: int = 64):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.keep = max(keep, 2)
-
-    def _folder(self, version: int) -> str:
-        return f"{self.root}/snapshot-{version:08d}"
-
-    def _files(self, pattern: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(pattern)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+        self.parts = parts
 
-    def _versions(self, marker: str = "/_SUCCESS") -> list[int]:
-        files, pattern = self._files(f"{self.root}/snapshot-*{marker}")
-        found = [s.getPath() for s in files.globStatus(pattern) or []]
-        return sorted(int((p.getParent() if marker else p).getName().split("-")[1]) for p in found)
+    def _stored(self) -> DataFrame | None:
+        try:
+            return self.spark.read.option("mergeSchema", "true").parquet(self.root)
+        except AnalysisException as error:
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
 
     def exists(self) -> bool:
-        return bool(self._versions())
+        return self._stored() is not None
 
     def read(self) -> DataFrame:
-        versions = self._versions()
-        if not versions:
-            raise ValueError(f"no complete snapshot below {self.root}")
-        return self.spark.read.parquet(self._folder(versions[-1]))
-
-    def replace(self, df: DataFrame, partition_by: str | None = None) -> int:
-        older = self._versions()
-        # Folders without a marker may be of a write under way: they are never written to.
-        version = max(self._versions(marker=""), default=0) + 1
-        rows = overwrite_table(df, self._folder(version), partition_by)
-        if version not in self._versions():
-            raise RuntimeError("a snapshot needs the _SUCCESS marker that this session has switched off")
-        for version in older[: -(self.keep - 1)]:
-            self._remove(self._folder(version))
-        return rows
-
-    def _remove(self, folder: str) -> None:
-        files, path = self._files(folder)
-        files.delete(path, True)
-
-    def upsert(self, batch: DataFrame, key: str, partition_by: str | None = None) -> int:
-        """Replace and add rows by ``key`` (see ``upsert``).
-
-        The batch is written out first: it is read twice below, and its file size tells the
-        optimizer whether the key lookup can be broadcast.
-        """
-        if not self.exists():
-            return self.replace(batch, partition_by)
-        staged = f"{self.root}/incoming-{uuid.uuid4().hex}"
-        batch.write.parquet(staged)
-        rows = self.replace(upsert(self.read(), self.spark.read.parquet(staged), key), partition_by)
-        self._remove(staged)
-        return rows
+        stored = self._stored()
+        if stored is None:
+            raise ValueError(f"no rows are stored below {self.root}")
+        return stored.filter("_live").drop("_live", "_of", "_part")
 
     def count(self) -> int:
-        return self.read().count()
+        return self.read().count() if self.exists() else 0
+
+    def _write(self, rows: DataFrame, key: str, partition_by: str | None, dynamic: bool) -> None:
+        places = ["_of", "_part", *([partition_by] if partition_by else [])]
+        sorted_ = rows.hint("rebalance", F.col("_part")).sortWithinPartitions(*places, key)
+        writer = sorted_.write.mode("overwrite").partitionBy(*places).option(f"parquet.bloom.filter.enabled#{key}", "true")
+        writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(self.root)
+
+    def _placed(self, rows: DataFrame, key: str, parts: int) -> DataFrame:
+        part = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+        return rows.withColumns({"_live": F.lit(True), "_of": F.lit(parts), "_part": part})
+
+    def replace(self, df: DataFrame, key: str, partition_by: str | None = None) -> int:
+        """Forget all rows and store those of ``df``, which are written out first, for they may come from the table."""
+        rows = staged(df, "incoming")
+        self._write(self._placed(rows, key, self.parts), key, partition_by, dynamic=False)
+        return rows.count()
+
+    def upsert(self, batch: DataFrame, key: str, partition_by: str | None = None) -> int:
+        """Replace and add rows by ``key`` (see ``upsert``); returns the table's rows."""
+        stored = self._stored()
+        if stored is None:
+            return self.replace(upsert(batch.limit(0), batch, key), key, partition_by)
+        parts = stored.select("_of").first()[0]
+        rows = staged(self._placed(batch, key, parts), "incoming")
+        # At most as many as there are parts.
+        touched = [r[0] for r in rows.select("_part").distinct().collect()]
+        if touched:
+            old = stored.filter(F.col("_part").isin(touched))
+            merged = staged(upsert(old.filter("_live"), rows, key), "merged")
+            if partition_by:
+                place = ["_of", "_part", partition_by]
+                left = old.select(*place).distinct().join(merged.select(*place).distinct(), place, "left_anti")
+                merged = merged.unionByName(left.withColumn("_live", F.lit(False)), allowMissingColumns=True)
+            self._write(merged, key, partition_by, dynamic=True)
+        return self.count()

@@ -1,3 +1,5 @@
+import os
+import time
 from pathlib import Path
 
 import pytest
@@ -25,7 +27,7 @@ def test_all_steps(spark, path):
     assert rows["gold"]["top_posts"] == 250 and rows["gold"]["subreddit_summary"] == 5
     assert rows["vectors"] == 500
     assert [line.split(":")[0] for line in lines] == ["bronze", "silver", "gold", "vectors"]
-    store = tables.SnapshotTable(spark, path("root/vectors"))
+    store = tables.KeyedTable(spark, path("root/vectors"))
     assert search_text(store.read(), "signup post", 3).count() == 3
 
     # A second run appends to bronze and leaves everything else as it was.
@@ -98,7 +100,38 @@ def test_vectors_of_posts_that_left_the_top_stay_unless_replaced(spark, path):
     stored_silver(spark, path, [post("a", score=3), post("b", score=2)])
     assert build(encoder=hashing_encoder(64)) == 2
     assert build(replace=True) == 1
-    assert rows_of(tables.SnapshotTable(spark, path("v")).read(), "post_id") == [("a",)]
+    assert rows_of(tables.KeyedTable(spark, path("v")).read(), "post_id") == [("a",)]
+
+
+def test_only_unseen_texts_are_encoded(spark, path):
+    seen = Path(path("seen"))
+    seen.mkdir()
+
+    def counting():
+        load = hashing_encoder(8)()
+
+        def encode(texts):
+            (seen / f"{os.getpid()}-{time.monotonic_ns()}").write_text("\n".join(texts))
+            return load(texts)
+
+        return encode
+
+    def build(**more):
+        before = set(seen.iterdir())
+        rows = jobs.build_vector_store(spark, path("silver"), path("v"), encoder=counting, **more)
+        return rows, sorted(t for f in set(seen.iterdir()) - before for t in f.read_text().split("\n"))
+
+    stored_silver(spark, path, [post(x, title=x, selftext=None, score=1) for x in "abc"])
+    assert build() == (3, ["a", "b", "c"])
+    files = {f: f.stat().st_mtime_ns for f in Path(path("v")).rglob("*.parquet")}
+    assert build() == (3, [])
+    assert files == {f: f.stat().st_mtime_ns for f in Path(path("v")).rglob("*.parquet")}
+    # A changed text, a new post, and a post that moved to another group with its text as it was.
+    stored_silver(spark, path, [post("a", title="a", selftext="more"), post("b", title="b", selftext=None, subreddit="h"), post("d", title="d", selftext=None)])
+    assert build() == (4, ["a more", "d"])
+    found = {r["post_id"]: (r["subreddit"], r["document"]) for r in tables.KeyedTable(spark, path("v")).read().collect()}
+    assert found == {"a": ("g", "a more"), "b": ("h", "b"), "c": ("g", "c"), "d": ("g", "d")}
+    assert build(encoder_name="another")[1] == ["a more", "b", "d"]
 
 
 def test_silver_with_stated_bronze_schema(spark, path):
@@ -138,7 +171,7 @@ def test_vectors_stored_by_bucket(spark, path, capsys):
     for _ in range(2):
         main(["--bits", "3", "run", path("pages"), path("root")])
         assert "vectors: 500 rows" in capsys.readouterr().out
-    records = tables.SnapshotTable(spark, path("root/vectors")).read()
+    records = tables.KeyedTable(spark, path("root/vectors")).read()
     assert records.select("post_id").distinct().count() == 500
     exact = rows_of(search_text(records, "signup post", 4), "post_id", "similarity")
     assert rows_of(search_text(records, "signup post", 4, bits=3, radius=3), "post_id", "similarity") == exact
@@ -169,4 +202,4 @@ def test_group_names_stay_text(spark, path):
     jobs.transform_silver_to_gold(spark, path("silver"), path("gold"))
     assert rows_of(tables.read_table(spark, path("gold/subreddit_summary")), "subreddit") == [("007",), ("08",)]
     jobs.build_vector_store(spark, path("silver"), path("vectors"))
-    assert rows_of(tables.SnapshotTable(spark, path("vectors")).read(), "subreddit") == [("007",), ("08",)]
+    assert rows_of(tables.KeyedTable(spark, path("vectors")).read(), "subreddit") == [("007",), ("08",)]

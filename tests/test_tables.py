@@ -103,55 +103,67 @@ def test_partitioned_write_without_rebalancing(spark, path, rebalance, adaptive)
     assert tables.read_table(spark, path("t")).count() == 100
 
 
-def snapshot(spark, path):
-    return tables.SnapshotTable(spark, path("v"))
+def keyed(spark, path):
+    return tables.KeyedTable(spark, path("v"), parts=8)
 
 
 def vectors(spark, **records):
     return spark.createDataFrame([(k, [float(v)]) for k, v in records.items()], "post_id string, embedding array<float>")
 
 
+def files_of(path):
+    return {f: f.stat().st_mtime_ns for f in Path(path("v")).rglob("*.parquet")}
+
+
 def test_upsert_replaces_adds_and_keeps(spark, path):
-    store = snapshot(spark, path)
-    assert not store.exists()
+    store = keyed(spark, path)
+    assert not store.exists() and store.count() == 0
     assert store.upsert(vectors(spark, a=1, b=2), "post_id") == 2
     assert store.upsert(vectors(spark, b=3, c=4), "post_id") == 3
     assert rows_of(store.read()) == [("a", [1.0]), ("b", [3.0]), ("c", [4.0])]
     store.upsert(vectors(spark, b=3, c=4), "post_id")
     assert store.count() == 3
-    assert not list(Path(path("v")).glob("incoming-*"))
+
+
+def test_upsert_leaves_other_folders_as_they_are(spark, path):
+    store = keyed(spark, path)
+    store.upsert(vectors(spark, **{f"k{i}": i for i in range(60)}), "post_id")
+    before = files_of(path)
+    assert len({f.parent for f in before}) == 8
+    # Another number of parts does not change the layout of a table that is there.
+    assert tables.KeyedTable(spark, path("v"), parts=3).upsert(vectors(spark, k5=100), "post_id") == 60
+    after = files_of(path)
+    assert len({f.parent for f in set(before) - set(after)}) == len({f.parent for f in set(after) - set(before)}) == 1
+    assert all(after[f] == t for f, t in before.items() if f in after)
+    assert ("k5", [100.0]) in rows_of(store.read())
+    plan = plan_of(store.read().filter("post_id = 'k7'"))
+    assert "EqualTo(post_id,k7)" in plan
+    store.upsert(vectors(spark, a=1).limit(0), "post_id")
+    assert files_of(path) == after
+
+
+def test_rows_that_move_to_another_folder_leave_none_behind(spark, path):
+    store = keyed(spark, path)
+    rows = lambda *r: spark.createDataFrame(r, "post_id string, bucket int")
+    store.upsert(rows(("a", 1), ("b", 1), ("c", 2)), "post_id", "bucket")
+    for bucket in (2, 3, 1):
+        assert store.upsert(rows(("a", bucket)), "post_id", "bucket") == 3
+        assert rows_of(store.read(), "post_id", "bucket") == [("a", bucket), ("b", 1), ("c", 2)]
 
 
 def test_replace_forgets_old_rows(spark, path):
-    store = snapshot(spark, path)
+    store = keyed(spark, path)
     store.upsert(vectors(spark, a=1), "post_id")
-    store.replace(vectors(spark, b=1))
+    store.replace(vectors(spark, b=1), "post_id")
     assert rows_of(store.read(), "post_id") == [("b",)]
-
-
-def test_unfinished_snapshot_is_not_read(spark, path):
-    store = snapshot(spark, path)
-    store.replace(vectors(spark, a=1))
-    vectors(spark, b=2).write.parquet(path("v/snapshot-00000002"))
-    Path(path("v/snapshot-00000002/_SUCCESS")).rename(path("v/snapshot-00000002/_gone"))
-    assert rows_of(store.read(), "post_id") == [("a",)]
-    store.upsert(vectors(spark, c=3), "post_id")
-    assert rows_of(store.read(), "post_id") == [("a",), ("c",)]
-
-
-def test_reader_of_the_previous_snapshot_still_works(spark, path):
-    store = snapshot(spark, path)
-    store.replace(vectors(spark, a=1))
-    before = store.read()
-    store.replace(vectors(spark, b=1))
-    assert rows_of(before, "post_id") == [("a",)]
-    for _ in range(4):
-        store.replace(vectors(spark, c=1))
-    assert len(list(Path(path("v")).glob("snapshot-*"))) == 3
+    # Also with rows of its own, and with further columns.
+    assert store.replace(store.read(), "post_id") == 1
+    assert store.upsert(vectors(spark, c=2).withColumn("note", F.lit("n")), "post_id") == 2
+    assert rows_of(store.read(), "post_id", "note") == [("b", None), ("c", "n")]
 
 
 def test_upsert_settles_copies_within_a_batch(spark, path):
-    store = snapshot(spark, path)
+    store = keyed(spark, path)
     store.upsert(vectors(spark, a=1, b=2), "post_id")
     batch = spark.createDataFrame([("b", [9.0]), ("b", [3.0]), (None, [4.0])], "post_id string, embedding array<float>")
     for _ in range(2):
@@ -159,23 +171,9 @@ def test_upsert_settles_copies_within_a_batch(spark, path):
     assert sorted((r[0] or "-", r[1]) for r in store.read().collect()) == [("-", [4.0]), ("a", [1.0]), ("b", [3.0])]
 
 
-def test_snapshots_need_their_markers(spark, path):
-    store = snapshot(spark, path)
-    store.replace(vectors(spark, a=1))
-    key = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    conf.set(key, "false")
-    try:
-        with pytest.raises(RuntimeError, match="_SUCCESS"):
-            store.replace(vectors(spark, b=1))
-    finally:
-        conf.unset(key)
-    assert rows_of(store.read(), "post_id") == [("a",)]
-
-
 def test_reading_nothing(spark, path):
-    with pytest.raises(ValueError, match="no complete snapshot"):
-        snapshot(spark, path).read()
+    with pytest.raises(ValueError, match="no rows are stored"):
+        keyed(spark, path).read()
 
 
 def session_with(master, shared=None, checkpoints=None):
