@@ -135,6 +135,15 @@ capped AS (
   QUALIFY row_number() OVER (PARTITION BY subreddit ORDER BY page_no, position) <= 500)"""
 
 
+# Pages that are no JSON or no listing, and posts without a title.
+REJECTED = """
+  SELECT DISTINCT subreddit, page_no, CASE WHEN page_no % 3 = 0 THEN 'page' ELSE 'listing' END AS reason, 1::BIGINT AS rejected
+  FROM paged WHERE page_no % 3 = 0 OR page_no % 7 IN (1, 2, 3)
+  UNION ALL
+  SELECT subreddit, page_no, 'incomplete', count(*) FROM paged
+  WHERE page_no % 3 <> 0 AND page_no % 7 NOT IN (1, 2, 3) AND selftext IS NULL GROUP BY subreddit, page_no"""
+
+
 def _weights(name: str, source: str, key: str, text: str) -> str:
     """CTEs of the hashing encoder: one row per text and non-empty bucket."""
     return f""",
@@ -264,9 +273,8 @@ ORACLE = {
     "listing_rejects": f"""WITH {BASE} SELECT subreddit, count(*) AS rejected FROM base WHERE selftext IS NULL
         GROUP BY subreddit""",
     "listing_rejects_by_reason": f"""WITH {PAGED}
-        SELECT subreddit, 'page' AS reason, count(DISTINCT page_no) AS rejected FROM paged WHERE page_no % 3 = 0 GROUP BY subreddit
-        UNION ALL
-        SELECT subreddit, 'incomplete', count(*) FROM paged WHERE page_no % 3 <> 0 AND selftext IS NULL GROUP BY subreddit""",
+        SELECT subreddit, reason, CAST(sum(rejected) AS BIGINT) AS rejected FROM ({REJECTED}) r GROUP BY subreddit, reason""",
+    "rejects_from_job_and_stream": f"WITH {PAGED} SELECT *, rejected AS with_source FROM ({REJECTED}) r",
     "bronze_from_job_and_stream": f"WITH {PAGED} SELECT * EXCLUDE (page_no, position, ingestion_timestamp) REPLACE ('https://reddit.com/c/' || substring(post_id, 2) AS permalink) FROM flat",
     "numeric_group_names": f"""WITH {LATEST} SELECT lpad(CAST(score % 20 AS STRING), 3, '0') AS subreddit,
         count(post_id) AS total_posts, max(score) AS max_score FROM latest GROUP BY ALL""",

@@ -39,6 +39,8 @@ QUERY_TEXT = "signup post about the view of the day and a purchase"
 SEARCHED_LABEL = 3
 BUCKET_BITS = 4
 INDEX_CELLS = 32
+# JSON, but no listing.
+WRONG_SHAPES = ('{"error":429}', '{"data":{"children":"oops"}}', "[]")
 RECALL_AT = 20
 DIMENSION = 64
 # Written as tables, so that the row counts and files of the jobs themselves are compared.
@@ -70,12 +72,32 @@ def listing_rejects(spark, d):
     return rejected.groupBy("subreddit").agg(F.count("*").alias("rejected"))
 
 
+def _broken_pages(spark, d):
+    """Every third page is cut off in the middle; of the others some are JSON but no listing; the posts of the rest lack their body as title."""
+    cut = F.expr("left(body, length(body) div 2)")
+    body = F.when(F.col("page_no") % 3 == 0, cut)
+    for rest, shape in enumerate(WRONG_SHAPES, 1):
+        body = body.when(F.col("page_no") % 7 == rest, shape)
+    return pages(spark, d, title="selftext").withColumn("body", body.otherwise(F.col("body")))
+
+
 @query
 def listing_rejects_by_reason(spark, d):
-    """Every third page is cut off in the middle, and the other ones' posts without a body are incomplete."""
-    landed = pages(spark, d, title="selftext")
-    cut = F.when(F.col("page_no") % 3 == 0, F.expr("left(body, length(body) div 2)")).otherwise(F.col("body"))
-    return listing.rejects(landed.withColumn("body", cut))
+    return listing.rejects(_broken_pages(spark, d))
+
+
+@query
+def rejects_from_job_and_stream(spark, d):
+    """The tables of rejects that the job and the stream write, each for a part of the pages, read back."""
+    root = scratch_path(spark, "rejects")
+    landed = _broken_pages(spark, d)
+    jobs.ingest_landed(landed.filter("page_no % 2 = 0"), f"{root}/bronze", f"{root}/rejects")
+    tables.write_json_lines(landed.filter("page_no % 2 = 1"), f"{root}/pages")
+    ingest_landed_pages(spark, f"{root}/pages", f"{root}/bronze", f"{root}/progress", f"{root}/rejects")
+    stored = tables.read_bronze(spark, f"{root}/rejects")
+    return stored.groupBy("subreddit", "page_no", "reason").agg(
+        F.count("*").alias("rejected"), F.count_if(F.col("source").isNotNull()).alias("with_source")
+    )
 
 
 @query

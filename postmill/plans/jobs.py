@@ -17,9 +17,9 @@ from postmill.operators.embed import embed_posts, encode_query
 from postmill.operators.search import with_bucket
 from postmill.operators.silver import silver_posts
 from postmill.plans.late_top import rows_near_top
-from postmill.schema import BRONZE_DDL, SILVER_DDL, bronze_columns
-from postmill.sources.listing import cap_per_channel, flatten_listing, rejects
-from postmill.sources.tables import KeyedTable, append_bronze, overwrite_table, read_bronze, records_to_bronze, staged
+from postmill.schema import SILVER_DDL, bronze_columns
+from postmill.sources.listing import cap_per_channel, landed_posts, reject_rows
+from postmill.sources.tables import KeyedTable, append_batch, append_bronze, overwrite_table, read_bronze, records_to_bronze, staged
 
 
 def ingest_to_bronze(spark: SparkSession, records: Iterable[dict], bronze_path: str, fmt: str = "parquet") -> int:
@@ -27,17 +27,33 @@ def ingest_to_bronze(spark: SparkSession, records: Iterable[dict], bronze_path:
     return append_bronze(records_to_bronze(spark, records), bronze_path, fmt)
 
 
-def ingest_pages(pages: DataFrame, bronze_path: str, limit: int | None = None, fmt: str = "parquet") -> int:
-    """Append the posts of landed pages to bronze; an empty fetch is an error and writes nothing.
+def ingest_landed(
+    pages: DataFrame, bronze_path: str, rejects_path: str | None = None, limit: int | None = None, fmt: str = "parquet", batch: str | None = None
+) -> dict[str, int]:
+    """Append the posts of landed pages to bronze and what it cannot take to a table of rejects; counts of both.
 
-    All posts are kept unless a ``limit`` per channel and fetch is asked for. ``listing.rejects`` tells what was left out.
+    The pages are parsed once, into a written table that both appends read. All posts are kept unless a ``limit`` per channel
+    and fetch is asked for. Rejects carry their reason and their source (see ``landed_posts``); without a path they are only counted. A
+    ``batch`` that is ingested again under its name replaces itself in both tables.
     """
-    posts = flatten_listing(pages)
+    landed = staged(landed_posts(pages), "landed")
+    rejected = reject_rows(landed)
+    posts = landed.filter("reason is null").drop("reason", "source")
     if limit is not None:
         posts = cap_per_channel(posts, limit)
-    if posts.isEmpty():
+    rows = {"rejected": append_batch(rejected, rejects_path, fmt, batch) if rejects_path else rejected.count()}
+    # A folder without rows is left out, unless it replaces one.
+    if batch is not None or not posts.isEmpty():
+        rows["posts"] = append_bronze(posts.select(*bronze_columns()), bronze_path, fmt, batch)
+    return {"posts": 0, **rows}
+
+
+def ingest_pages(pages: DataFrame, bronze_path: str, limit: int | None = None, fmt: str = "parquet", rejects_path: str | None = None) -> int:
+    """``ingest_landed`` for a fetch that must bring posts: one without any is an error, and adds nothing to bronze."""
+    rows = ingest_landed(pages, bronze_path, rejects_path, limit, fmt)
+    if not rows["posts"]:
         raise ValueError("the pages hold no posts")
-    return append_bronze(posts.select(*bronze_columns()), bronze_path, fmt)
+    return rows["posts"]
 
 
 def transform_bronze_to_silver(
@@ -132,12 +148,22 @@ def run_all(
 ) -> dict[str, object]:
     """All steps in order in one session. A failing step raises, and no later one starts.
 
-    The result also counts what ingestion rejected, as ``rejected``.
+    What ingestion rejects goes to a table ``rejects`` below the root; the result also counts it, as ``rejected``. Columns that
+    batches of bronze have beyond its own are kept up to silver.
     """
     root = root.rstrip("/")
+    rejected = {}
+
+    def bronze() -> int:
+        counts = ingest_landed(pages, f"{root}/bronze", f"{root}/rejects", limit)
+        if not counts["posts"]:
+            raise ValueError("the pages hold no posts")
+        rejected.update(counts)
+        return counts["posts"]
+
     steps = {
-        "bronze": lambda: ingest_pages(pages, f"{root}/bronze", limit),
-        "silver": lambda: transform_bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver", BRONZE_DDL),
+        "bronze": bronze,
+        "silver": lambda: transform_bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver"),
         "gold": lambda: transform_silver_to_gold(spark, f"{root}/silver", f"{root}/gold"),
         "vectors": lambda: build_vector_store(
             spark, f"{root}/silver", f"{root}/vectors", encoder=encoder, max_chars=max_chars, bits=bits, encoder_name=encoder_name
@@ -148,5 +174,5 @@ def run_all(
         started = time.monotonic()
         rows[name] = step()
         report(f"{name}: {rows[name]} rows in {time.monotonic() - started:.1f} s")
-    rows["rejected"] = rejects(pages).agg(F.coalesce(F.sum("rejected"), F.lit(0))).first()[0]
+    rows["rejected"] = rejected["rejected"]
     return rows

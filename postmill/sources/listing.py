@@ -17,15 +17,20 @@ def _number(key: str) -> Column:
     return F.col(key).try_cast("double")
 
 
+def _whole(key: str) -> Column:
+    """As a bigint: exactly where it is written as one, else by way of a double (``7.0``, ``1e3``)."""
+    return F.coalesce(F.col(key).try_cast("bigint"), _number(key).try_cast("bigint"))
+
+
 def _count(key: str) -> Column:
-    return F.coalesce(_number(key).try_cast("bigint"), F.lit(0))
+    return F.coalesce(_whole(key), F.lit(0))
 
 
 def _unreadable() -> Column:
     """Whether a number is there and cannot be read as one, or is too large for its column."""
-    whole = [key for key in NUMBERS if key not in ("upvote_ratio", "created_utc")]
+    wholes = [key for key in NUMBERS if key not in ("upvote_ratio", "created_utc")]
     bad = [F.col(key).isNotNull() & _number(key).isNull() for key in NUMBERS]
-    bad += [_number(key).isNotNull() & _number(key).try_cast("bigint").isNull() for key in whole]
+    bad += [F.col(key).isNotNull() & _whole(key).isNull() for key in wholes]
     return reduce(Column.__or__, bad)
 
 
@@ -42,16 +47,29 @@ def _flag_text(key: str) -> Column:
     return F.when(text.isin("true", "false"), F.initcap(text)).otherwise(text)
 
 
-def listing_posts(pages: DataFrame, site: str = settings.SITE) -> DataFrame:
-    """Every post of every page as a bronze row, with its ``page_no`` and ``position``.
+def landed_posts(pages: DataFrame, site: str = settings.SITE) -> DataFrame:
+    """All that landed, in one parse: every post as a bronze row with ``page_no`` and ``position``, and every page without posts to read.
 
     ``pages`` has subreddit, page_no, ingestion_timestamp and the JSON ``body``. The group is
     the one that was asked for, not the one named in the post. A number may be quoted; one that is absent
-    or null becomes 0, and one that cannot be read marks the post as ``unreadable``.
+    or null becomes 0.
+
+    ``reason`` is null for what bronze takes. Otherwise it is "page" (no body, or no JSON), "listing" (JSON without a list of posts),
+    "number" (one that cannot be read) or "incomplete" (no id, title or creation time), and ``source`` has the
+    page's body or the post as JSON. An empty list of posts is no fault and leaves no row.
     """
-    children = F.from_json("body", LISTING_DDL)["data"]["children"]
     page = ["subreddit", "page_no", "ingestion_timestamp"]
-    posts = pages.select(*page, F.posexplode(children).alias("position", "child")).select(*page, "position", "child.data.*")
+    read = pages.select(*page, "body", F.from_json("body", LISTING_DDL)["data"]["children"].alias("children"))
+    fault = F.when(F.try_parse_json("body").isNull(), "page").otherwise("listing")
+    read = read.select(
+        *page,
+        F.when(F.col("children").isNull(), fault).alias("page_fault"),
+        F.when(F.col("children").isNull(), F.col("body")).alias("body"),
+        F.posexplode_outer("children").alias("position", "child"),
+    )
+    # Where a list is empty, neither a fault nor a position is left.
+    read = read.filter("page_fault is not null or position is not null")
+    posts = read.select(*page, "page_fault", "body", "position", "child.data.*", F.col("child.data").alias("post"))
     columns = {
         "post_id": F.col("id"),
         "selftext": F.nullif("selftext", F.lit("")),
@@ -64,33 +82,35 @@ def listing_posts(pages: DataFrame, site: str = settings.SITE) -> DataFrame:
         **{key: _flag_text(key) for key in FLAGS},
         "awards_received": _count("total_awards_received"),
     }
-    return posts.select(*(columns.get(c, F.col(c)).alias(c) for c in bronze_columns()), "page_no", "position", _unreadable().alias("unreadable"))
-
-
-def is_complete() -> Column:
-    """A post needs its id, title and creation time, and numbers that can be read."""
-    return ~F.col("unreadable") & F.col("post_id").isNotNull() & F.col("title").isNotNull() & F.col("created_utc").isNotNull()
+    flat = posts.select(
+        *(columns.get(c, F.col(c)).alias(c) for c in bronze_columns()),
+        "page_no", "position", "page_fault", "body", "post", _unreadable().alias("unreadable"),
+    )
+    missing = F.col("post_id").isNull() | F.col("title").isNull() | F.col("created_utc").isNull()
+    reason = F.coalesce("page_fault", F.when(F.col("unreadable"), "number").when(missing, "incomplete"))
+    flat = flat.withColumn("reason", reason)
+    source = F.coalesce("body", F.when(F.col("reason").isNotNull(), F.to_json("post")))
+    return flat.withColumn("source", source).drop("page_fault", "body", "post", "unreadable")
 
 
 def flatten_listing(pages: DataFrame, site: str = settings.SITE) -> DataFrame:
-    return listing_posts(pages, site).filter(is_complete()).drop("unreadable")
+    """The posts that bronze takes, with ``page_no`` and ``position``."""
+    return landed_posts(pages, site).filter("reason is null").drop("reason", "source")
 
 
 def rejected_posts(pages: DataFrame) -> DataFrame:
     """The posts ``flatten_listing`` leaves out, to count or to inspect."""
-    return listing_posts(pages).filter(~is_complete())
+    return landed_posts(pages).filter("reason in ('number', 'incomplete')")
 
 
-def unreadable_pages(pages: DataFrame) -> DataFrame:
-    """Pages whose body is missing or is no JSON, as when a fetch was cut off."""
-    return pages.filter(F.try_parse_json("body").isNull())
+def reject_rows(landed: DataFrame) -> DataFrame:
+    """The rows of a table of rejects, out of ``landed_posts``."""
+    return landed.filter("reason is not null").select("subreddit", "page_no", "ingestion_timestamp", "position", "reason", "source")
 
 
 def rejects(pages: DataFrame) -> DataFrame:
     """What ingestion leaves out, by group: subreddit, reason and how many."""
-    posts = rejected_posts(pages).select("subreddit", F.when(F.col("unreadable"), "number").otherwise("incomplete").alias("reason"))
-    cut_off = unreadable_pages(pages).select("subreddit", F.lit("page").alias("reason"))
-    return posts.unionAll(cut_off).groupBy("subreddit", "reason").agg(F.count("*").alias("rejected"))
+    return reject_rows(landed_posts(pages)).groupBy("subreddit", "reason").agg(F.count("*").alias("rejected"))
 
 
 def cap_per_channel(posts: DataFrame, limit: int) -> DataFrame:

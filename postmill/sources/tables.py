@@ -67,6 +67,11 @@ def append_bronze(df: DataFrame, path: str, fmt: str = "parquet", batch: str | N
         raise ValueError(f"bronze columns missing or of another type: {wrong}")
     extra = [c for c in df.columns if c not in bronze_columns()]
     rows = df.select(*bronze_columns(), *extra)
+    return append_batch(rows, path, fmt, batch)
+
+
+def append_batch(rows: DataFrame, path: str, fmt: str = "parquet", batch: str | None = None) -> int:
+    """Append rows as a folder of their own, or in place of the batch of that name; returns how many."""
     if fmt == "delta":
         return _write(rows, path, "append", fmt, {"mergeSchema": "true"})
     return _write(rows, f"{path.rstrip('/')}/{BATCH}={batch or uuid.uuid4().hex}", "overwrite", fmt, {})

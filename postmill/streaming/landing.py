@@ -4,9 +4,8 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postmill.schema import PAGE_DDL, bronze_columns
-from postmill.sources.listing import flatten_listing
-from postmill.sources.tables import append_bronze
+from postmill.plans.jobs import ingest_landed
+from postmill.schema import PAGE_DDL
 
 
 def ingest_landed_pages(
@@ -14,8 +13,9 @@ def ingest_landed_pages(
     landing_path: str,
     bronze_path: str,
     checkpoint_path: str,
+    rejects_path: str | None = None,
 ) -> None:
-    """Append the posts of all new page files to bronze, then stop.
+    """Append the posts of all new page files to bronze, and what it cannot take to a table of rejects, then stop.
 
     A batch is one of bronze's batches, named after the stream's progress folder and its number, and replaces
     itself when it is run again, so a run that breaks off between writing and committing leaves no second
@@ -24,7 +24,7 @@ def ingest_landed_pages(
     stream = hashlib.md5(checkpoint_path.encode()).hexdigest()[:12]
 
     def write(pages: DataFrame, batch: int) -> None:
-        append_bronze(flatten_listing(pages).select(*bronze_columns()), bronze_path, batch=f"{stream}-{batch}")
+        ingest_landed(pages, bronze_path, rejects_path, batch=f"{stream}-{batch}")
 
     pages = spark.readStream.schema(PAGE_DDL).json(landing_path)
     query = (

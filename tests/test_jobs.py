@@ -195,6 +195,30 @@ def test_job_and_stream_share_one_bronze(spark, path):
     assert not Path(path("none")).exists()
 
 
+def test_rejects_are_stored_by_job_and_stream(spark, path):
+    good = fixtures.pages(spark, SMALL).filter("page_no < 2")
+    odd = good.limit(2).withColumn("body", F.lit('{"error":429}'))
+    tables.write_json_lines(good.unionByName(odd), path("pages"))
+    counts = jobs.ingest_landed(good.unionByName(odd), path("bronze"), path("rejects"))
+    assert counts == {"posts": 200, "rejected": 2}
+    for _ in range(2):
+        ingest_landed_pages(spark, path("pages"), path("bronze"), path("progress"), path("rejects"))
+    stored = tables.read_bronze(spark, path("rejects"))
+    assert rows_of(stored.select("reason", "source")) == [("listing", '{"error":429}')] * 4
+    with pytest.raises(ValueError, match="no posts"):
+        jobs.ingest_pages(odd, path("none"), rejects_path=path("all"))
+    assert tables.read_bronze(spark, path("all")).count() == 2 and not Path(path("none")).exists()
+
+
+def test_merged_columns_reach_silver(spark, path):
+    noted = bronze_of(spark, post("x")).withColumn("note", F.lit("kept"))
+    tables.append_bronze(noted, path("root/bronze"))
+    rows = jobs.run_all(spark, fixtures.pages(spark, SMALL).filter("page_no < 2"), path("root"), report=lambda _: None)
+    assert rows["rejected"] == 0
+    silver = tables.read_table(spark, path("root/silver"))
+    assert rows_of(silver.filter("note is not null"), "post_id", "note") == [("x", "kept")] and silver.count() == 201
+
+
 def test_group_names_stay_text(spark, path):
     posts = [post("a", subreddit="007"), post("b", subreddit="08")]
     tables.append_bronze(bronze_of(spark, *posts), path("bronze"))

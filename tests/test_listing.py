@@ -2,7 +2,7 @@ import json
 from datetime import datetime
 
 import pytest
-from helpers import DAY
+from helpers import DAY, plan_of
 from postmill.schema import PAGE_DDL, bronze_schema
 from postmill.sources import listing
 
@@ -76,7 +76,25 @@ def test_pages_that_cannot_be_read_are_counted(spark):
     cut = (*page(FULL, no=1)[:3], good[3][: len(good[3]) // 2])
     pages = spark.createDataFrame([good, cut, ("g", 2, DAY, None), ("g", 3, DAY, "{}")], PAGE_DDL)
     assert listing.flatten_listing(pages).count() == 2
-    assert [(r.reason, r.rejected) for r in listing.rejects(pages).collect()] == [("page", 2)]
+    assert sorted((r.reason, r.rejected) for r in listing.rejects(pages).collect()) == [("listing", 1), ("page", 2)]
+
+
+def test_json_that_is_no_listing_is_counted_with_its_source(spark):
+    shapes = ['{"error":429}', '{"data":{"children":"oops"}}', "[]", '{"data":{"children":null}}', "7", '{"data":{"children":[]}}']
+    broken = {k: v for k, v in FULL.items() if k != "title"}
+    rows = [("g", i, DAY, body) for i, body in enumerate(shapes)]
+    pages = spark.createDataFrame([*rows, page(broken, FULL, {**FULL, "score": "x"}, no=8)], PAGE_DDL)
+    landed = listing.landed_posts(pages)
+    assert plan_of(landed).count("from_json") + plan_of(landed).count("jsontostructs") <= 2
+    found = {(r.page_no, r.position): (r.reason, r.source) for r in listing.reject_rows(landed).collect()}
+    assert {k: v for k, v in found.items() if k[1] is None} == {(i, None): ("listing", shapes[i]) for i in range(5)}
+    assert [found[8, i][0] for i in (0, 2)] == ["incomplete", "number"] and json.loads(found[8, 2][1])["score"] == "x"
+    assert listing.flatten_listing(pages).count() == 1
+
+
+def test_large_whole_numbers_stay_exact(spark):
+    row = one(spark, score="9007199254740993", num_comments=9223372036854775807, total_awards_received=9007199254740993)
+    assert (row.score, row.num_comments, row.awards_received) == (9007199254740993, 9223372036854775807, 9007199254740993)
 
 
 def test_pages_without_posts(spark):
