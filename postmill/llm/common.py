@@ -1,13 +1,14 @@
 """What the operators share: tables, staging, and vectorised handling of text bytes."""
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from postmill.session import scratch_path
 
@@ -28,6 +29,24 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_fields(docs: DataFrame, columns: Sequence[str], added: str) -> StructType:
+    """The schema of some columns of ``docs``, of any name, and of ``added`` ones, as DDL."""
+    return StructType([docs.schema[c] for c in columns] + StructType.fromDDL(added).fields)
+
+
+def fresh(columns: Sequence[str], name: str) -> str:
+    """``name``, or with as many more underscores as no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def quoted(columns: Sequence[str]) -> list[str]:
+    """Columns of any name, for a select."""
+    return ["`" + c.replace("`", "``") + "`" for c in columns]
+
+
 def fold(id_column: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id is in fold 0."""
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % folds, F.lit(0))

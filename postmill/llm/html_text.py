@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from postmill.llm.common import slices
+from postmill.llm.common import quoted, slices, with_fields
 
 SIGMA = 2.0
 # The least power of two at which no line of an article of the test pages is lost.
@@ -254,5 +254,4 @@ def extract(pages: DataFrame, html_column: str = "html", sigma: float = SIGMA) -
                     [*kept, "text", "n_chars"],
                 )
 
-    fields = "".join(f"`{c}` {pages.schema[c].dataType.simpleString()}, " for c in kept)
-    return pages.select(*kept, html_column).mapInArrow(run, f"{fields}text string, n_chars long")
+    return pages.select(*quoted([*kept, html_column])).mapInArrow(run, with_fields(pages, kept, "text string, n_chars long"))

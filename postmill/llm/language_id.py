@@ -11,12 +11,14 @@ per language. Since counts are frozen, the code length of a known node is known
 all, escapes included; only strings that no language knows walk down at scoring time.
 
 Bounds: training reads about ``DOCS_PER_LANGUAGE`` whole documents of each language, chosen by a
-hash of the id, of at most ``LANGUAGES`` languages (the most frequent), and keeps the ``NODES`` most frequent longest strings.
+hash of the id (of the text, where there is none). Every language is learned, and has an equal share of the ``NODES`` longest strings
+that are kept, its own most frequent ones, and ``LEAST_NODES`` at least.
 Scoring reads every byte of every text, a chunk at a time.
 
 Defined results: a text that is null, or empty, or holds no letter, is ``und`` with score 0; so is
 every text when there is nothing to learn from. Equal code lengths go to the first language by
-name. Repeated rows each get their own row. Other input columns are passed over or kept as asked.
+name. Repeated rows each get their own row. Other input columns are passed over or kept as asked; ``identify`` replaces those
+that have the names of its results.
 """
 
 from collections.abc import Iterator
@@ -27,12 +29,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.common import CHUNK_BYTES, flat_bytes, fold, slices
+from postmill.llm.common import CHUNK_BYTES, flat_bytes, fold, quoted, slices, with_fields
+from postmill.operators.ranking import top_n_per_group
 
 ORDER = 3
 DOCS_PER_LANGUAGE = 1500
-LANGUAGES = 64
 NODES = 400_000
+LEAST_NODES = 2_000
 UNDETERMINED = "und"
 PAD = 0x0A  # stands before the first byte of every text
 
@@ -217,27 +220,27 @@ def train(
     lang_column: str = "lang",
     id_column: str = "doc_id",
     docs_per_language: int = DOCS_PER_LANGUAGE,
-    languages: int = LANGUAGES,
     nodes: int = NODES,
 ) -> ContextTrees:
     """Trees from the rows of ``docs`` that have a text and a language."""
     spark = docs.sparkSession
     labelled = docs.select(
-        F.col(text_column).alias("text"), F.col(lang_column).alias("lang"), F.col(id_column).cast("string").alias("id")
+        F.col(text_column).alias("text"), F.col(lang_column).alias("lang"), F.coalesce(F.col(id_column).cast("string"), F.sha2(text_column, 256)).alias("id")
     ).filter("text is not null and lang is not null")
-    # A bounded number of languages comes to the driver, never documents.
-    counted = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    # One number per language comes to the driver, never documents.
+    counted = labelled.groupBy("lang").count().collect()
     if not counted:
         return ContextTrees([], np.zeros(0, np.uint64), np.zeros((0, 0)))
     shares = spark.createDataFrame(
         [(r["lang"], min(1.0, docs_per_language / r["count"])) for r in counted], "lang string, share double"
     )
     place = F.pmod(F.xxhash64(F.lit("langid"), "id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = labelled.join(F.broadcast(shares), "lang").filter(place < F.col("share")).select("lang", "text")
+    sample = labelled.join(shares, "lang").filter(place < F.col("share")).select("lang", "text")
     found = sample.mapInArrow(_count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    wide = found.groupBy("gram").agg(F.collect_list(F.struct("lang", "n")).alias("by"), F.sum("n").alias("total"))
-    kept = wide.orderBy(F.desc("total"), "gram").limit(nodes).select("gram", F.posexplode("by").alias("_", "one"))
-    rows = kept.select("gram", F.col("one.lang").alias("lang"), F.col("one.n").alias("n")).toArrow()
+    most = max(LEAST_NODES, nodes // len(counted))
+    rows = top_n_per_group(found, ["lang"], [F.desc("n"), F.asc("gram")], most).select("lang", "gram", "n").toArrow()
+    if not len(rows):
+        return ContextTrees([], np.zeros(0, np.uint64), np.zeros((0, 0)))
     names = sorted(r["lang"] for r in counted)
     grams, place = np.unique(rows["gram"].to_numpy().astype(np.uint64), return_inverse=True)
     counts = np.zeros((len(grams), len(names)))
@@ -252,7 +255,7 @@ def identify(docs: DataFrame, trees: ContextTrees, text_column: str = "text") ->
     The trees are of bounded size (``NODES`` strings) and are sent to the tasks once.
     """
     shared = docs.sparkSession.sparkContext.broadcast(trees)
-    kept = [c for c in docs.columns if c != text_column]
+    kept = [c for c in docs.columns if c not in (text_column, "lang_pred", "score")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -261,8 +264,7 @@ def identify(docs: DataFrame, trees: ContextTrees, text_column: str = "text") ->
                 names, scores = model.predict(part[text_column])
                 yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), names, scores], [*kept, "lang_pred", "score"])
 
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
-    return docs.select(*kept, text_column).mapInArrow(run, f"{fields}, lang_pred string, score double")
+    return docs.select(*quoted([*kept, text_column])).mapInArrow(run, with_fields(docs, kept, "lang_pred string, score double"))
 
 
 def learners(docs: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.common import slices
+from postmill.llm.common import quoted, slices, with_fields
 
 MIN_DICE = 0.8
 # Fixed texts: public notices by which works name their licence.
@@ -160,8 +160,7 @@ def scan_licenses(
                 ]
                 yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), pa.array(found, kind)], [*kept, "found"])
 
-    fields = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in kept)
-    return docs.select(*kept, text_column).mapInArrow(run, f"{fields}found {FOUND}")
+    return docs.select(*quoted([*kept, text_column])).mapInArrow(run, with_fields(docs, kept, f"found {FOUND}"))
 
 
 def best_license(found: DataFrame) -> DataFrame:

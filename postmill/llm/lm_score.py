@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.common import encoded_words, fold, slices, staged, words_of
+from postmill.llm.common import encoded_words, fold, quoted, slices, staged, with_fields, words_of
 
 HEAD = 120
 SUFFIXES = 2048
@@ -331,9 +331,8 @@ def score(docs: DataFrame, learn_from: DataFrame) -> DataFrame:
                     [*kept, "n_tokens", "n_known", "base_score", "score", "rare"],
                 )
 
-    fields = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in kept)
     scored = docs.select(*kept, "text").mapInArrow(
-        run, f"{fields}n_tokens long, n_known long, base_score double, score double, rare array<string>"
+        run, with_fields(docs, kept, "n_tokens long, n_known long, base_score double, score double, rare array<string>")
     )
     # Written out, so that the number of a row stays what it is.
     scored = staged(scored.withColumn("row_number", F.monotonically_increasing_id()), "scored")

@@ -24,7 +24,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm.common import slices
+from postmill.llm.common import fresh, slices
 from postmill.session import scratch_path
 
 RULE_VERSION = 1
@@ -35,8 +35,12 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-PEM = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:(?!-----END)[\s\S])*-----END [A-Z ]{0,40}PRIVATE KEY-----")
-JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+# A key reaches from a header to the first END after it, which must be its footer. Headers may share their dashes.
+PEM_HEADER = re.compile(r"(?=(-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----))")
+PEM_FOOTER = re.compile(r"-----END [A-Z ]{0,40}PRIVATE KEY-----")
+# Three runs of these with a dot between each two, of 8 characters at least; the first counts from behind "eyJ".
+JWT_RUN = re.compile(r"[A-Za-z0-9_-]+")
+JWT_LEAST = 8
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "pem", "jwt")
 # What a text must hold for the rules to be tried on it; a wider net than they are.
@@ -44,14 +48,47 @@ SUSPECT = r"(?i:password|passwd|secret|token|api_?key)|AKIA[A-Z0-9]|[0-9a-f]{24}
 FOUND = "array<struct<kind: string, start: long, end: long>>"
 
 
+def find_keys(text: str) -> Iterator[tuple[int, int]]:
+    """Private keys, in one pass: where a header's END is, is looked up once for all headers before it."""
+    at, end = 0, -1
+    for header in PEM_HEADER.finditer(text):
+        if header.start() < at:
+            continue
+        if end < header.end(1):
+            end = text.find("-----END", header.end(1))
+            if end < 0:
+                return
+        footer = PEM_FOOTER.match(text, end)
+        if footer:
+            at = footer.end()
+            yield header.start(), at
+
+
+def find_tokens(text: str) -> Iterator[tuple[int, int]]:
+    """JSON web tokens, in one pass over the runs they are made of."""
+    if "eyJ" not in text:
+        return
+    first = second = None
+    for run in JWT_RUN.finditer(text):
+        third = run.span()
+        joined = first and first[1] + 1 == second[0] and second[1] + 1 == third[0] and text[first[1]] == text[second[1]] == "."
+        if joined and min(second[1] - second[0], third[1] - third[0]) >= JWT_LEAST:
+            start = text.find("eyJ", first[0], first[1] - JWT_LEAST)
+            if start >= 0:
+                yield start, third[1]
+                first = second = None
+                continue
+        first, second = second, third
+
+
 def find_secrets(text: str) -> list[tuple[str, int, int]]:
     """All spans by start, then kind as listed, then end."""
     found = [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     found += [("access", *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     # A run of 24 or more is the same as a whole run that is long enough.
     found += [("hex", *m.span()) for m in HEX.finditer(text)]
-    found += [("pem", *m.span()) for m in PEM.finditer(text)]
-    found += [("jwt", *m.span()) for m in JWT.finditer(text)]
+    found += [("pem", *span) for span in find_keys(text)]
+    found += [("jwt", *span) for span in find_tokens(text)]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
@@ -119,8 +156,10 @@ def scan(
     return paths.join(ledger.drop("rule_version"), "blob").select(*kept, "blob", "found", "base_sha256", "spans")
 
 
-def with_spans(docs: DataFrame, ledger_path: str | None = None, rule_version: int = RULE_VERSION) -> DataFrame:
-    """All rows of ``docs`` with their text, and ``_found``: their secrets, null where there are none.
+def with_spans(
+    docs: DataFrame, ledger_path: str | None = None, rule_version: int = RULE_VERSION, name: str = "_found"
+) -> DataFrame:
+    """All rows of ``docs`` with their text, and in column ``name`` their secrets, null where there are none.
 
     Only findings meet the documents. Up to ``BROADCAST_FINDINGS`` blobs with any, which is checked, they are
     broadcast and no text moves; beyond, the documents are shuffled by blob.
@@ -128,10 +167,11 @@ def with_spans(docs: DataFrame, ledger_path: str | None = None, rule_version: in
     ledger_path = ledger_path or scratch_path(docs.sparkSession, "ledger")
     scan_new(docs, ledger_path, rule_version=rule_version)
     ledger = read_ledger(docs.sparkSession, ledger_path).filter(F.col("rule_version") == rule_version)
-    hits = ledger.filter(F.size("found") > 0).select(F.col("blob").alias("_blob"), F.col("found").alias("_found"))
+    blob = fresh(docs.columns, "_blob")
+    hits = ledger.filter(F.size("found") > 0).select(F.col("blob").alias(blob), F.col("found").alias(name))
     if hits.count() <= BROADCAST_FINDINGS:
         hits = F.broadcast(hits)
-    return docs.withColumn("_blob", blob_id()).join(hits, "_blob", "left").drop("_blob")
+    return docs.withColumn(blob, blob_id()).join(hits, blob, "left").drop(blob)
 
 
 def with_counts(findings: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.common import CHUNK_BYTES, components, slices, spread_join, staged
+from postmill.llm.common import CHUNK_BYTES, components, quoted, slices, spread_join, staged, with_fields
 
 SHINGLE = 3
 SEED = 42
@@ -74,8 +74,7 @@ def fingerprints(docs: DataFrame, text_column: str = "text", shingle: int = SHIN
                 signed = pa.array(np.array(found, np.uint64).astype(np.int64))
                 yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), signed], [*kept, "fingerprint"])
 
-    fields = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in kept)
-    return docs.select(*kept, text_column).mapInArrow(run, f"{fields}fingerprint long")
+    return docs.select(*quoted([*kept, text_column])).mapInArrow(run, with_fields(docs, kept, "fingerprint long"))
 
 
 def _syndrome(words: np.ndarray) -> np.ndarray:

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.common import encoded_words, flat_bytes, fold, mixed, slices, span_hashes
+from postmill.llm.common import encoded_words, flat_bytes, fold, mixed, quoted, slices, span_hashes, with_fields
 
 WINDOW = 32
 STRIDE = 16
@@ -343,8 +343,7 @@ def score(docs: DataFrame, model: Model | None, text_column: str = "text", thres
                     [*kept, "score", "predicted"],
                 )
 
-    fields = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in kept)
-    return docs.select(*kept, text_column).mapInArrow(run, f"{fields}score double, predicted int")
+    return docs.select(*quoted([*kept, text_column])).mapInArrow(run, with_fields(docs, kept, "score double, predicted int"))
 
 
 def scored_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

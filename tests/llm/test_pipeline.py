@@ -1,6 +1,7 @@
 import corpus_pipeline
 import __spark_entry__ as entry_point
 from postmill.llm import secrets
+from pyspark.sql import functions as F
 from test_operators import brute_components, brute_fingerprint, documents, odd_documents
 
 SMALL = "/root/testdata/sf0.001"
@@ -67,3 +68,15 @@ def test_names_that_clash_and_ids_that_do_not_tell(spark):
     # Only the copy without an id goes.
     assert rows(corpus_pipeline.without_near_copies(spark, docs, SMALL)) == [r for r in every if r != (0, texts[3])]
     assert rows(corpus_pipeline.without_leaks(spark, docs, SMALL)) == [r for r in every if r != (0, texts[2])]
+
+
+def test_columns_of_any_name_come_through(spark):
+    """Names that stages use themselves, names with blanks, dashes and dots, and nested ones."""
+    docs = documents(spark).limit(40)
+    names = ["my col", "a-b", "x.y", "_name", "__name", "_found", "_blob", "_row", "_text", "score", "lang_pred", "fingerprint", "component_id", "item_id"]
+    odd = docs.select("*", *(F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names), F.struct(F.col("doc_id").alias("my id")).alias("nested"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, SMALL)
+        assert out.columns == odd.columns
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n}{r['doc_id']}" for r in rows for n in names) and all(r["nested"]["my id"] == r["doc_id"] for r in rows)

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 from fractions import Fraction
@@ -13,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_operators import LONG, SMALL, documents, odd_documents
 
-from postmill.llm import importance, minhash, prefix_trie
+from postmill.llm import importance, language_id, minhash, prefix_trie, secrets
 from postmill.llm.common import may_be_among, spread_join
 
 # 11 MinHash near-duplicates
@@ -246,3 +247,38 @@ def test_kth_key_of_many_ties(spark):
     for k in (1, 2, 700, 701, 1200, 2000):
         assert importance.kth_key(df, ["a", "b"], k, pivots=2) == rows[k - 1]
     assert importance.kth_key(df, ["a", "b"], 2001) is None
+
+
+# Found in earlier operators
+
+
+def test_every_language_is_learned(spark):
+    alphabets = [chr(0x4E00 + 40 * i) + chr(0x4E01 + 40 * i) for i in range(70)]
+    rows = [(None if n % 2 else 1000 * i + n, f"{a}{a[::-1]} {a} " * (3 + n), f"l{i:02}") for i, a in enumerate(alphabets) for n in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit("own"))
+    trees = language_id.train(docs, docs_per_language=4)
+    assert len(trees.languages) == 70
+    found = language_id.identify(docs, trees)
+    assert found.columns == ["doc_id", "lang", "lang_pred", "score"]
+    right = [r["lang"] == r["lang_pred"] for r in found.collect()]
+    assert sum(right) >= 0.95 * len(right)
+
+
+def test_secrets_in_hostile_texts_take_linear_time():
+    started = time.monotonic()
+    header = "-----BEGIN PRIVATE KEY-----\n"
+    assert secrets.find_secrets(header * (1_000_000 // len(header))) == []
+    assert secrets.find_secrets("eyJ" * 333_000) == []
+    assert secrets.find_secrets("eyJ.eyJ" * 140_000) == []
+    assert time.monotonic() - started < 10
+
+
+def test_keys_and_tokens_are_those_of_the_patterns():
+    pem = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:(?!-----END)[\s\S])*-----END [A-Z ]{0,40}PRIVATE KEY-----")
+    jwt = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+    draw = random.Random(1)
+    pieces = ["-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----", "-----BEGIN RSA PRIVATE KEY", "-----END X-----", "-----", "eyJ", "eyJabcdefgh", ".", "abcdefgh", "a", " ", "eyJeyJ12345678"]
+    for _ in range(4000):
+        text = "".join(draw.choice(pieces) for _ in range(draw.randrange(1, 16)))
+        assert list(secrets.find_keys(text)) == [m.span() for m in pem.finditer(text)]
+        assert list(secrets.find_tokens(text)) == [m.span() for m in jwt.finditer(text)]
