@@ -11,19 +11,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.llm import decontaminate, language_id, packing, secrets, simhash
-from postmill.llm.common import slices, staged, table
+from postmill.llm.common import fresh, quoted, slices, staged, table
 
 ORACLE_SQL = None  # language codes, fingerprints, spans and token ids are beyond SQL
 
 
-def named(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_name``, their id and the digest of their text, which tells rows without id, or with a repeated one, apart.
+def named(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a name, and the name's column, which none of theirs has.
 
-    Names order by id, those without one last.
+    A name is the id and the digest of the text, which tells rows without id, or with a repeated one, apart. Names order by id, those without one last.
     """
     digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
     nameless, number = F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0))
-    return docs.withColumn("_name", F.struct(nameless.alias("nameless"), number.alias("id"), digest.alias("digest")))
+    column = fresh(docs.columns, "_name")
+    return docs.withColumn(column, F.struct(nameless.alias("nameless"), number.alias("id"), digest.alias("digest"))), column
 
 
 def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,9 +34,9 @@ def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """
     trees = language_id.train(language_id.learners(docs))
     # All columns as one, so that none meets a name of the prediction.
-    whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").alias("_text"))
+    whole = docs.select(F.struct(*quoted(docs.columns)).alias("_row"), F.col("text").alias("_text"))
     kept = language_id.identify(whole, trees, "_text").filter(F.col("lang_pred") != language_id.UNDETERMINED)
-    return kept.select(*((F.col("lang_pred") if c == "lang" else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns))
+    return kept.select(*((F.col("lang_pred") if c == "lang" else F.col("_row")[c]).alias(c) for c in docs.columns))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,37 +45,40 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     Documents without id, and different texts under one id, are documents of their own; one without id
     stays where no document of its component has one.
     """
-    rows = named(docs)
-    found = simhash.near_duplicates(rows.select("_name", "text"), id_column="_name")
-    chosen = found.filter(F.col("_name") == F.col("component_id")).select("_name").distinct()
-    return rows.join(chosen, "_name", "left_semi").dropDuplicates(["_name"]).select(*docs.columns)
+    rows, name = named(docs)
+    found = simhash.near_duplicates(rows.select(name, "text"), id_column=name)
+    chosen = found.filter(F.col(name) == F.col("component_id")).select(name).distinct()
+    return rows.join(chosen, name, "left_semi").dropDuplicates([name]).select(*quoted(docs.columns))
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark; those without id are judged by their text alike."""
-    rows = named(docs)
-    found = decontaminate.contaminated(rows.select("_name", "text"), table(spark, sf_dir, "benchmark"), "_name")
-    leaks = staged(found.withColumnRenamed("doc_id", "_name"), "leaks")
-    return rows.join(leaks, "_name", "left_anti").select(*docs.columns)
+    rows, name = named(docs)
+    found = decontaminate.contaminated(rows.select(name, "text"), table(spark, sf_dir, "benchmark"), name)
+    leaks = staged(found.withColumnRenamed("doc_id", name), "leaks")
+    return rows.join(leaks, name, "left_anti").select(*quoted(docs.columns))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret replaced by a mark, and ``n_chars`` counted again."""
-    found = secrets.with_spans(docs)
-    columns = docs.columns
+    spans = fresh(docs.columns, "_found")
+    found = secrets.with_spans(docs, name=spans)
+    # All other columns as one, so that their names are of no account.
+    others = [c for c in docs.columns if c != "text"]
+    rows = found.select(F.struct(*quoted(others)).alias("row"), "text", F.col(spans).alias("spans"))
 
     def redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 texts = [
                     secrets.redacted(text, [(s["start"], s["end"]) for s in spans]) if spans else text
-                    for text, spans in zip(part["text"].to_pylist(), part["_found"].to_pylist(), strict=True)
+                    for text, spans in zip(part["text"].to_pylist(), part["spans"].to_pylist(), strict=True)
                 ]
-                out = {c: part[c] for c in columns} | {"text": pa.array(texts, pa.string())}
-                yield pa.RecordBatch.from_pydict(out)
+                yield pa.RecordBatch.from_pydict({"row": part["row"], "text": pa.array(texts, pa.string())})
 
-    cleaned = found.select(*columns, "_found").mapInArrow(redact, docs.schema)
-    return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*columns)
+    cleaned = rows.mapInArrow(redact, rows.select("row", "text").schema)
+    changed = {"text": F.col("text"), "n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)}
+    return cleaned.select(*(changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
