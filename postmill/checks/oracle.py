@@ -295,6 +295,10 @@ ORACLE = {
     "derive_columns": f"""WITH {STEPS} SELECT post_id, ingestion_timestamp, title_length, selftext_length,
         has_selftext, content, created_date, created_hour, day_of_week FROM silver""",
     "silver_posts": f"WITH {SILVER} SELECT * FROM silver",
+    "silver_from_batches": f"WITH {SILVER} SELECT * FROM silver",
+    "daily_stats_of_states": f"WITH {SILVER} {DAILY}",
+    "summary_of_states": f"WITH {SILVER} {SUMMARY}",
+    "author_activity_of_states": f"WITH {SILVER} {AUTHORS}",
     "subreddit_daily_stats": f"WITH {SILVER} {DAILY}",
     "subreddit_summary": f"WITH {SILVER} {SUMMARY}",
     "hourly_activity": f"WITH {SILVER} {HOURLY}",

@@ -29,7 +29,7 @@ from postmill.operators.vector_index import (
     share_read,
     write_index,
 )
-from postmill.plans import jobs
+from postmill.plans import jobs, refresh
 from postmill.schema import BRONZE_DDL, SILVER_DDL, bronze_columns
 from postmill.session import scratch_path
 from postmill.sources import listing, tables
@@ -228,6 +228,19 @@ def silver_posts(spark, d):
     return silver.silver_posts(bronze(spark, d))
 
 
+@query
+def silver_from_batches(spark, d):
+    """Silver after three bronze batches, each taken in by itself: half of the first fetch, the other half, and the second fetch."""
+    root = scratch_path(spark, "batches")
+    fetches = bronze(spark, d)
+    second = F.col("ingestion_timestamp") == F.lit(fixtures.SECOND_FETCH).cast("timestamp")
+    half = F.pmod(F.hash("post_id"), F.lit(2)) == 0
+    for batch in (fetches.filter(~second & half), fetches.filter(~second & ~half), fetches.filter(second)):
+        tables.append_bronze(batch, f"{root}/bronze")
+        refresh.refresh_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/state")
+    return tables.read_table(spark, f"{root}/silver", SILVER_DDL)
+
+
 # Gold
 
 
@@ -274,6 +287,30 @@ def top_posts_stored(spark, d):
     return tables.read_table(spark, f"{root}/gold/top_posts")
 
 
+def _of_states(spark, d):
+    """The rollups over the merged states of three parts of silver."""
+    path = scratch_path(spark, "states")
+    rows = _silver(spark, d)
+    for part in range(3):
+        refresh.append_states(rows.filter(F.pmod(F.hash("post_id"), F.lit(3)) == part), path, f"{part}")
+    return refresh.gold_of_states(spark, path)
+
+
+@query
+def daily_stats_of_states(spark, d):
+    return _of_states(spark, d)["subreddit_daily_stats"]
+
+
+@query
+def summary_of_states(spark, d):
+    return _of_states(spark, d)["subreddit_summary"].withColumn("stddev_score", F.round("stddev_score", 6))
+
+
+@query
+def author_activity_of_states(spark, d):
+    return _of_states(spark, d)["author_activity"]
+
+
 @query
 def bronze_profile(spark, d):
     return gold.bronze_profile(bronze(spark, d))

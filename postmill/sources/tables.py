@@ -158,6 +158,18 @@ class KeyedTable:
             raise ValueError(f"no rows are stored below {self.root}")
         return stored.filter("_live").drop("_live", "_of", "_part")
 
+    def rows_of(self, keys: DataFrame, key: str) -> DataFrame:
+        """The rows with the keys of a written table; only the folders these keys belong to are read."""
+        stored = self._stored()
+        if stored is None:
+            raise ValueError(f"no rows are stored below {self.root}")
+        part = F.pmod(F.xxhash64(key), F.lit(stored.select("_of").first()[0])).cast("int")
+        # At most as many as there are parts.
+        touched = [r[0] for r in keys.select(part).distinct().collect()]
+        near = stored.filter(F.col("_part").isin(touched) & F.col("_live")).drop("_live", "_of", "_part")
+        wanted = keys.select(F.col(key).alias("_key")).distinct()
+        return near.join(wanted, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+
     def count(self) -> int:
         return self.read().count() if self.exists() else 0
 
