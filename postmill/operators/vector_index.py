@@ -28,7 +28,7 @@ from postmill import settings
 from postmill.functions.vectors import arrow_once, rounded, rows_and_lengths, unit
 from postmill.operators.ranking import top_n_per_group
 from postmill.operators.search import nearest, nearest_batch
-from postmill.sources.tables import staged
+from postmill.sources.tables import bloom_filter, staged
 
 PARTS = 16
 CODES = 256
@@ -181,7 +181,7 @@ def write_index(vectors: DataFrame, path: str, book: Codebook, id_column: str =
     Rows are sorted by id within a file, so that a short list of ids meets few pages, and files carry Bloom filters of the ids.
     """
     coded = with_code(vectors, book, vector_column).hint("rebalance", F.col("cell")).sortWithinPartitions("cell", id_column)
-    files = coded.write.mode("overwrite").partitionBy("cell").option(f"parquet.bloom.filter.enabled#{id_column}", "true")
+    files = coded.write.mode("overwrite").partitionBy("cell").options(**bloom_filter(id_column))
     files.parquet(f"{path}/rows")
     kept = [("center", 0, i, c.tolist()) for i, c in enumerate(book.centers)]
     kept += [("word", p, i, w.tolist()) for p, words in enumerate(book.words) for i, w in enumerate(words)]

@@ -124,6 +124,11 @@ def upsert(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     return target.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_anti").unionByName(batch, allowMissingColumns=True)
 
 
+def bloom_filter(column: str) -> dict[str, str]:
+    """Writer options: a Parquet Bloom filter of a column in each row group, as large as its values need."""
+    return {f"parquet.bloom.filter.enabled#{column}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
+
 class KeyedTable:
     """A table with a key that is written over in the places that a batch touches only.
 
@@ -176,7 +181,7 @@ class KeyedTable:
     def _write(self, rows: DataFrame, key: str, partition_by: str | None, dynamic: bool) -> None:
         places = ["_of", "_part", *([partition_by] if partition_by else [])]
         sorted_ = rows.hint("rebalance", F.col("_part")).sortWithinPartitions(*places, key)
-        writer = sorted_.write.mode("overwrite").partitionBy(*places).option(f"parquet.bloom.filter.enabled#{key}", "true")
+        writer = sorted_.write.mode("overwrite").partitionBy(*places).options(**bloom_filter(key))
         writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(self.root)
 
     def _placed(self, rows: DataFrame, key: str, parts: int) -> DataFrame:
