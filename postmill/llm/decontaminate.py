@@ -9,11 +9,16 @@ Words are runs of letters and digits, lower-cased. An overlap is the stretch of
 which they make up ``MIN_SHARE``; it counts from ``MIN_WORDS`` equal words on, or ``MIN_SHARE`` of the words of a shorter item.
 Every overlap has a seed: any 12 words with 2 replaced, 15 or 16 with 3 and 20 with 4 hold one by ``MASKS``, and a longer stretch
 holds one of these. Items of fewer words than ``SPAN`` have masks by their length. Items without words are never found.
+Items of fewer than ``CERTAIN_WORDS`` words occur in clean texts as well: their overlaps are reported as not ``certain``, and
+``contaminated`` leaves documents alone that hold no others.
 
-A Bloom filter of fixed size over the test seeds goes to all tasks, so that of a document only the
+A Bloom filter sized by the number of test seeds (32 MB at most) goes to all tasks, so that of a document only the
 stretches around probable hits leave the scan; whatever it lets through is checked by the join. The test
 seeds are replicated ``SALTS`` times, so that a passage which a third of all documents hold is not one task's work.
 
+Where a stretch repeats itself, of the hits whose surroundings are equal as far as the longest item reaches only the first is kept:
+the others would give the same alignments again. An alignment carries only the words that face its item.
+
 Defined results: null and empty texts, and an empty benchmark, give no rows; repeated documents give the
 same row once; a document without id is reported under null. Very long texts are read whole, in chunks that overlap.
 """
@@ -26,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.common import CHUNK_BYTES, flat_bytes, mixed, slices, span_hashes, staged
+from postmill.llm.common import CHUNK_BYTES, flat_bytes, mixed, slices, span_hashes, spread_join, staged, with_fields
 
 # Fixed masks: positions that count, the first and last of a window among them.
 MASKS = ((0, 1, 3, 4, 5, 6), (0, 1, 3, 7, 9, 10), (0, 1, 2, 4, 5, 9), (0, 2, 3, 5, 6, 8))
@@ -48,7 +53,10 @@ MIN_SHARE = 0.8
 SHARE_STEPS = (1, 4)
 # Words of a document kept on either side of a hit, for the alignment.
 AROUND = 96
-BLOOM_BITS = 24
+# Of items with fewer words an overlap proves nothing.
+CERTAIN_WORDS = 8
+# The filter has 16 bits per seed, and 2**MOST_BITS bits at most; a full one lets more pass, never less.
+MOST_BITS = 28
 SALTS = 16
 
 _WORD_BYTE = np.zeros(256, bool)
@@ -104,39 +112,64 @@ def item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Bloom:
-    """Two bits of 2**BLOOM_BITS per seed."""
+    """A filter of two bits per seed; the number of bits is a power of two."""
 
     def __init__(self, bits: np.ndarray):
         self.bits = bits
-
-    @staticmethod
-    def places(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        mask = np.uint64((1 << BLOOM_BITS) - 1)
-        return seeds & mask, (seeds >> np.uint64(40)) & mask
+        self.mask = np.uint64(len(bits) * 8 - 1)
 
     def maybe(self, seeds: np.ndarray) -> np.ndarray:
         """Positions of seeds that may be among the test seeds."""
-        one, two = self.places(seeds)
+        one, two = seeds & self.mask, (seeds >> np.uint64(32)) & self.mask
         first = np.flatnonzero(self.bits[one >> np.uint64(3)] >> (one & np.uint64(7)).astype(np.uint8) & 1)
         two = two[first]
         return first[(self.bits[two >> np.uint64(3)] >> (two & np.uint64(7)).astype(np.uint8) & 1) > 0]
 
 
-def _bloom(items: DataFrame) -> Bloom:
-    seed = F.col("seed")
-    mask = F.lit((1 << BLOOM_BITS) - 1)
+def _bloom(items: DataFrame, n_seeds: int) -> Bloom:
+    size = 1 << min(MOST_BITS, max(16, (16 * n_seeds).bit_length()))
+    seed, mask = F.col("seed"), F.lit(size - 1)
     both = items.select(F.explode("seeds").alias("seed")).select(
-        F.explode(F.array(seed.bitwiseAND(mask), F.shiftrightunsigned(seed, 40).bitwiseAND(mask))).alias("bit")
+        F.explode(F.array(seed.bitwiseAND(mask), F.shiftrightunsigned(seed, 32).bitwiseAND(mask))).alias("bit")
     )
-    # The filter itself is what comes back, at most 2**BLOOM_BITS bits in words of 32.
+    # The filter itself is what comes back, in words of 32 bits.
     words = both.select((F.col("bit") / 32).cast("int").alias("at"), F.expr("shiftleft(1L, int(bit % 32))").alias("set"))
     found = words.groupBy("at").agg(F.bit_or("set").alias("set")).toArrow()
-    bits = np.zeros(1 << (BLOOM_BITS - 5), "<u4")
+    bits = np.zeros(size // 32, "<u4")
     bits[found["at"].to_numpy()] = found["set"].to_numpy().astype(np.uint32)
     return Bloom(bits.view(np.uint8))
 
 
-def _stretches(words: np.ndarray, bloom: Bloom, lengths: list[int]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _ranks(values: np.ndarray) -> np.ndarray:
+    return np.unique(values, return_inverse=True)[1].astype(np.int64)
+
+
+def contexts(words: np.ndarray, reach: int) -> np.ndarray:
+    """A number for each place: equal where the ``reach`` words before it and from it on are equal, borders included."""
+    n = len(words)
+    ranks = _ranks(words)
+    border = np.full(reach, n, np.int64)
+    ranks = np.concatenate([border, ranks, border])
+    # Numbers for windows of one word, then of two, four and so on, each from two shorter ones.
+    width = 1
+    while width < 2 * reach:
+        step = min(width, 2 * reach - width)
+        ranks = _ranks(ranks[:-step] * (ranks.max() + 1) + ranks[step:])
+        width += step
+    return ranks[:n]
+
+
+def _first_of_equals(words: np.ndarray, at: np.ndarray, seeds: np.ndarray, reach: int) -> np.ndarray:
+    """Which hits (places ``at`` in a stretch, and seeds) to keep: the first of those with equal surroundings."""
+    numbers = _ranks(seeds)
+    # With a border in sight of every place no two are equal.
+    if reach >= len(words) or numbers.max() + 1 == len(numbers):
+        return np.arange(len(at))
+    where = contexts(words, reach)[at]
+    return np.sort(np.unique(where * (numbers.max() + 1) + numbers, return_index=True)[1])
+
+
+def _stretches(words: np.ndarray, bloom: Bloom, lengths: list[int], reach: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(start, end, hit positions, hit seeds) of each stretch of words around probable hits."""
     places, seeds = [], []
     for some in seeds_of(words, lengths):
@@ -150,14 +183,13 @@ def _stretches(words: np.ndarray, bloom: Bloom, lengths: list[int]) -> Iterator[
     places, seeds = places[order], seeds[order]
     cuts = np.flatnonzero(np.diff(places) > AROUND) + 1
     for at, values in zip(np.split(places, cuts), np.split(seeds, cuts), strict=True):
-        yield max(0, int(at[0]) - AROUND), min(len(words), int(at[-1]) + SPAN + AROUND), at, values
+        start, end = max(0, int(at[0]) - AROUND), min(len(words), int(at[-1]) + SPAN + AROUND)
+        kept = _first_of_equals(words[start:end], at - start, values, reach)
+        yield start, end, at[kept], values[kept]
 
 
-def _aligned(words: list, start: int, item: list, diagonal: int) -> tuple[int, int, int] | None:
-    """Best stretch of one alignment: (first word in the document, words, equal words)."""
-    a, b = np.array(words, np.int64), np.array(item, np.int64)
-    low, high = max(0, diagonal - start), min(len(a), diagonal - start + len(b))
-    equal = a[low:high] == b[low + start - diagonal : high + start - diagonal]
+def _aligned(equal: np.ndarray, item_words: int) -> tuple[int, int, int] | None:
+    """Best stretch of one alignment, told by which of its words are equal: (first word, words, equal words)."""
     # A stretch has the share where its steps do not sum below 0; the longest to each end has the most equal words.
     steps = np.concatenate([[0], np.cumsum(np.where(equal, SHARE_STEPS[0], -SHARE_STEPS[1]))])
     count = np.concatenate([[0], np.cumsum(equal)])
@@ -165,29 +197,29 @@ def _aligned(words: list, start: int, item: list, diagonal: int) -> tuple[int, i
     end = int(np.argmax(count - count[begins]))
     begin = int(begins[end])
     same = int(count[end] - count[begin])
-    if not same or same < min(MIN_WORDS, -(-len(b) * SHARE_STEPS[1] // sum(SHARE_STEPS))):
+    if not same or same < min(MIN_WORDS, -(-item_words * SHARE_STEPS[1] // sum(SHARE_STEPS))):
         return None
     begin += int(np.argmax(equal[begin:end]))
-    return start + low + begin, end - begin, same
+    return begin, end - begin, same
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """Pairs of a document and a test item it holds words of: ids, ``doc_start`` (in words), ``n_words``, ``n_equal``.
+    """Pairs of a document and a test item it holds words of: ids, ``doc_start`` (in words), ``n_words``, ``n_equal``, ``certain``.
 
     One row per pair, of its overlap with the most equal words (then the first).
     """
     docs = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    doc_type = docs.schema["doc_id"].dataType.simpleString()
     items = benchmark.select("item_id", "text").distinct()
-    item_type = items.schema["item_id"].dataType.simpleString()
     items = staged(
-        items.mapInArrow(item_seeds, f"item_id {item_type}, words array<long>, seeds array<long>, places array<int>")
+        items.mapInArrow(item_seeds, with_fields(items, ["item_id"], "words array<long>, seeds array<long>, places array<int>"))
         .withColumn("item", F.xxhash64("item_id", "words")),
         "items",
     )
     # At most SPAN lengths.
-    lengths = [r[0] for r in items.select(F.least(F.size("words"), F.lit(SPAN))).distinct().collect()]
-    shared = docs.sparkSession.sparkContext.broadcast(_bloom(items))
+    sizes = items.groupBy(F.least(F.size("words"), F.lit(SPAN))).agg(F.max(F.size("words")), F.sum(F.size("seeds"))).collect()
+    lengths = [r[0] for r in sizes]
+    reach = max([SPAN, *(r[1] for r in sizes)])
+    shared = docs.sparkSession.sparkContext.broadcast(_bloom(items, sum(r[2] for r in sizes)))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bloom = shared.value
@@ -198,7 +230,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", i
                 rows, starts, words, places, seeds = [], [], [], [], []
                 for row in np.flatnonzero(counts > 0):
                     own = hashes[ends[row] - counts[row] : ends[row]]
-                    for start, end, at, values in _stretches(own, bloom, lengths):
+                    for start, end, at, values in _stretches(own, bloom, lengths, reach):
                         rows.append(row)
                         starts.append(start)
                         words.append(own[start:end].astype(np.int64))
@@ -216,7 +248,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", i
                     )
 
     stretches = docs.mapInArrow(
-        scan, f"doc_id {doc_type}, start long, words array<long>, places array<long>, seeds array<long>"
+        scan, with_fields(docs, ["doc_id"], "start long, words array<long>, places array<long>, seeds array<long>")
     )
     stretches = staged(stretches.withColumn("stretch", F.monotonically_increasing_id()), "stretches")
     hits = stretches.select("stretch", F.explode(F.arrays_zip("places", "seeds")).alias("hit")).select(
@@ -234,35 +266,46 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", i
         .select("stretch", "item", (F.col("place") - F.col("item_place")).alias("diagonal"))
         .distinct()
     )
+    alignments = staged(alignments, "alignments")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            equal = batch["words"].flatten().to_numpy() == batch["item_words"].flatten().to_numpy()
+            ends = np.cumsum(pc.list_value_length(batch["words"]).to_numpy())
+            first, size = batch["first"].to_numpy(), batch["size"].to_numpy()
             rows, found = [], []
-            columns = zip(batch["words"], batch["start"], batch["item_words"], batch["diagonal"], strict=True)
-            for row, (words, start, item, diagonal) in enumerate(columns):
-                best = _aligned(words.as_py(), start.as_py(), item.as_py(), diagonal.as_py())
+            for row, own in enumerate(np.split(equal, ends[:-1])):
+                best = _aligned(own, int(size[row]))
                 if best:
                     rows.append(row)
-                    found.append(best)
-            values = np.array(found, np.int64).reshape(-1, 3)
+                    found.append((first[row] + best[0], *best[1:], size[row] >= CERTAIN_WORDS))
+            values = np.array(found, np.int64).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"].take(pa.array(rows, pa.int64())), batch["item_id"].take(pa.array(rows, pa.int64())),
-                 *(pa.array(values[:, i]) for i in range(3))],
-                ["doc_id", "item_id", "doc_start", "n_words", "n_equal"],
+                 *(pa.array(values[:, i]) for i in range(3)), pa.array(values[:, 3] > 0)],
+                ["doc_id", "item_id", "doc_start", "n_words", "n_equal", "certain"],
             )
 
+    asked = items.join(alignments.groupBy("item").agg(F.count("*").alias("rows")), "item")
+    asked = asked.select("item", "item_id", F.col("words").alias("item_words"), "rows")
+    # The words that face each other: from one place in the stretch and one in the item on.
+    low = F.greatest(F.col("diagonal") - F.col("start"), F.lit(0)).cast("int")
+    item_low = F.greatest(F.col("start") - F.col("diagonal"), F.lit(0)).cast("int")
+    facing = F.least(F.size("words") - low, F.size("item_words") - item_low)
     aligned = (
-        alignments.join(items.select("item", "item_id", F.col("words").alias("item_words")), "item")
+        spread_join(alignments, asked, "item", "rows", "stretch")
         .join(stretches.select("stretch", "doc_id", "start", "words"), "stretch")
-        .select("doc_id", "item_id", "words", "start", "item_words", "diagonal")
-        .mapInArrow(verify, f"doc_id {doc_type}, item_id {item_type}, doc_start long, n_words long, n_equal long")
-    )
+        .select(
+            "doc_id", "item_id", (F.col("start") + low).alias("first"), F.size("item_words").alias("size"),
+            F.slice("words", low + 1, facing).alias("words"), F.slice("item_words", item_low + 1, facing).alias("item_words"),
+        )
+    )
+    fields = with_fields(aligned, ["doc_id", "item_id"], "doc_start long, n_words long, n_equal long, certain boolean")
     best = F.max(F.struct("n_equal", (-F.col("doc_start")).alias("late"), "n_words")).alias("best")
-    return aligned.groupBy("doc_id", "item_id").agg(best).select(
-        "doc_id", "item_id", (-F.col("best.late")).alias("doc_start"), "best.n_words", "best.n_equal"
-    )
+    found = aligned.mapInArrow(verify, fields).groupBy("doc_id", "item_id").agg(best, F.max("certain").alias("certain"))
+    return found.select("doc_id", "item_id", (-F.col("best.late")).alias("doc_start"), "best.n_words", "best.n_equal", "certain")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """Ids of the documents that hold a passage of the benchmark, once each, as ``doc_id``."""
-    return overlaps(docs, benchmark, id_column=id_column).select("doc_id").distinct()
+    """Ids of the documents that hold a passage of the benchmark for certain, once each, as ``doc_id``."""
+    return overlaps(docs, benchmark, id_column=id_column).filter("certain").select("doc_id").distinct()

@@ -1,8 +1,10 @@
 """The operators against brute force, and on odd input."""
 
 import hashlib
+import itertools
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -207,20 +209,23 @@ def test_pairs_are_counted_over_all_training_texts(spark, monkeypatch):
 
 
 def brute_overlaps(docs, items):
+    """Per pair the most equal words, then the first place, then the words, of any stretch of any alignment."""
     out = {}
     for d, text in docs:
-        w = re.findall(r"[^\W_]+", (text or "").lower())
+        w = re.findall(r"[0-9a-z\x80-\U0010ffff]+", (text or "").lower())
         for i, item in items:
-            v = re.findall(r"[^\W_]+", item.lower())
-            for shift in range(-len(v) + 1, len(w)):
-                same = [w[shift + j] == v[j] for j in range(len(v)) if 0 <= shift + j < len(w)]
-                best = run = 0
-                for s in same:
-                    run = run + 1 if s else 0
-                    best = max(best, run)
-                if best >= 13:
-                    out[d, i] = max(out.get((d, i), 0), best)
-    return out
+            v = re.findall(r"[0-9a-z\x80-\U0010ffff]+", (item or "").lower())
+            least = min(13, math.ceil(0.8 * len(v)))
+            for shift in range(-len(v) + 1, len(w) if v else 0):
+                low = max(0, shift)
+                same = [w[x] == v[x - shift] for x in range(low, min(len(w), shift + len(v)))]
+                if sum(same) < least:
+                    continue
+                for begin, end in itertools.combinations(range(len(same) + 1), 2):
+                    equal = sum(same[begin:end])
+                    if same[begin] and equal >= least and 5 * equal >= 4 * (end - begin):
+                        out[d, i] = max(out.get((d, i), (0, 0, 0)), (equal, -low - begin, 0))
+    return {pair: (-late, equal) for pair, (equal, late, _) in out.items()}
 
 
 def test_overlaps(spark):
@@ -239,16 +244,43 @@ def test_overlaps(spark):
 
 
 def test_overlaps_equal_brute_force(spark):
-    docs = [tuple(r) for r in documents(spark).select("doc_id", "text").orderBy("doc_id").limit(60).collect()]
-    items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    docs = [tuple(r) for r in documents(spark).select("doc_id", "text").orderBy("doc_id").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
+    # Texts and items that repeat themselves, with borders and replaced words.
+    turn = [" ".join(["la", "la", "di"] * n) for n in (5, 9, 14)]
+    docs += [(9000, turn[2]), (9001, "la " * 70), (9002, f"so {turn[1]} no {turn[1]}"), (9003, " ".join(f"la di{i % 7}" for i in range(60)))]
+    items += [(9000, turn[0]), (9001, "la " * 20), (9002, "la la la x la la la la la"), (9003, "di la la di")]
     found = decontaminate.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
-    got = {(r[0], r[1]) for r in found.select("doc_id", "item_id").collect()}
-    assert got >= set(brute_overlaps(docs, items))
+    got = {(r["doc_id"], r["item_id"]): (r["doc_start"], r["n_equal"]) for r in found.collect()}
+    assert got == brute_overlaps(docs, items)
 
 
-def test_every_pattern_of_replaced_words_has_a_seed():
-    import itertools
+def test_texts_that_repeat_a_word_are_aligned_once_per_kind(spark):
+    docs = spark.createDataFrame([(1, "la " * 20_000), (2, "la di " * 10_000)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "la " * 100), (2, "la di " * 50)], "item_id long, text string")
+    began = time.monotonic()
+    found = sorted(tuple(r) for r in decontaminate.overlaps(docs, items).collect())
+    assert found == [(1, 1, 0, 100, 100, True), (2, 2, 0, 100, 100, True)]
+    assert time.monotonic() - began < 30
+
+
+def test_contexts_are_equal_where_the_words_around_are():
+    words = np.random.default_rng(3).integers(0, 2, 200)
+    for reach in (1, 2, 3, 5, 8):
+        padded = [9] * reach + words.tolist() + [9] * reach
+        windows = [tuple(padded[i : i + 2 * reach]) for i in range(200)]
+        found = decontaminate.contexts(words, reach).tolist()
+        assert len(set(found)) == len(set(windows)) == len(set(zip(found, windows, strict=True)))
 
+
+def test_short_items_are_reported_and_condemn_nothing(spark):
+    docs = spark.createDataFrame([(1, "the cat sat"), (2, "one two three four five six seven eight")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "the"), (2, "One, two, three, four, five, six, seven, nine")], "item_id long, text string")
+    assert sorted((r["doc_id"], r["certain"]) for r in decontaminate.overlaps(docs, items).collect()) == [(1, False), (2, True)]
+    assert [r["doc_id"] for r in decontaminate.contaminated(docs, items).collect()] == [2]
+
+
+def test_every_pattern_of_replaced_words_has_a_seed():
     masks = {**decontaminate.SHORT_MASKS, **{n: decontaminate.MASKS for n in (12, 13, 14, 15, 16, 20)}}
     for n, of_length in masks.items():
         for replaced in itertools.combinations(range(n), n // 5):
