@@ -55,8 +55,10 @@ SHARE_STEPS = (1, 4)
 AROUND = 96
 # Of items with fewer words an overlap proves nothing.
 CERTAIN_WORDS = 8
-# The filter has 16 bits per seed, and 2**MOST_BITS bits at most; a full one lets more pass, never less.
-MOST_BITS = 28
+# The filter has 32 bits per seed, from 2**LEAST_BITS to 2**MOST_BITS in all; a full one lets more pass, never less.
+LEAST_BITS, MOST_BITS = 24, 28
+# Bits set per seed; at 32 bits per seed some 25 of a million others pass.
+PLACES = 6
 SALTS = 16
 
 _WORD_BYTE = np.zeros(256, bool)
@@ -112,7 +114,7 @@ def item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Bloom:
-    """A filter of two bits per seed; the number of bits is a power of two."""
+    """A filter of ``PLACES`` bits per seed, in even steps from one another; the number of bits is a power of two."""
 
     def __init__(self, bits: np.ndarray):
         self.bits = bits
@@ -120,18 +122,21 @@ class Bloom:
 
     def maybe(self, seeds: np.ndarray) -> np.ndarray:
         """Positions of seeds that may be among the test seeds."""
-        one, two = seeds & self.mask, (seeds >> np.uint64(32)) & self.mask
-        first = np.flatnonzero(self.bits[one >> np.uint64(3)] >> (one & np.uint64(7)).astype(np.uint8) & 1)
-        two = two[first]
-        return first[(self.bits[two >> np.uint64(3)] >> (two & np.uint64(7)).astype(np.uint8) & 1) > 0]
+        kept = np.arange(len(seeds))
+        for number in range(PLACES):
+            step = (seeds >> np.uint64(32)) & self.mask | np.uint64(1)
+            place = ((seeds & self.mask) + np.uint64(number) * step) & self.mask
+            passed = np.flatnonzero(self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
+            seeds, kept = seeds[passed], kept[passed]
+        return kept
 
 
 def _bloom(items: DataFrame, n_seeds: int) -> Bloom:
-    size = 1 << min(MOST_BITS, max(16, (16 * n_seeds).bit_length()))
+    size = 1 << min(MOST_BITS, max(LEAST_BITS, (32 * n_seeds).bit_length()))
     seed, mask = F.col("seed"), F.lit(size - 1)
-    both = items.select(F.explode("seeds").alias("seed")).select(
-        F.explode(F.array(seed.bitwiseAND(mask), F.shiftrightunsigned(seed, 32).bitwiseAND(mask))).alias("bit")
-    )
+    step = F.shiftrightunsigned(seed, 32).bitwiseAND(mask).bitwiseOR(F.lit(1))
+    places = [(seed.bitwiseAND(mask) + number * step).bitwiseAND(mask) for number in range(PLACES)]
+    both = items.select(F.explode("seeds").alias("seed")).select(F.explode(F.array(*places)).alias("bit"))
     # The filter itself is what comes back, in words of 32 bits.
     words = both.select((F.col("bit") / 32).cast("int").alias("at"), F.expr("shiftleft(1L, int(bit % 32))").alias("set"))
     found = words.groupBy("at").agg(F.bit_or("set").alias("set")).toArrow()
