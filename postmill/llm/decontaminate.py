@@ -122,12 +122,14 @@ class Bloom:
 
     def maybe(self, seeds: np.ndarray) -> np.ndarray:
         """Positions of seeds that may be among the test seeds."""
-        kept = np.arange(len(seeds))
-        for number in range(PLACES):
-            step = (seeds >> np.uint64(32)) & self.mask | np.uint64(1)
-            place = ((seeds & self.mask) + np.uint64(number) * step) & self.mask
-            passed = np.flatnonzero(self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
-            seeds, kept = seeds[passed], kept[passed]
+        place = seeds & self.mask
+        kept = np.flatnonzero(self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
+        # Few are left after the first place.
+        for number in range(1, PLACES):
+            some = seeds[kept]
+            step = (some >> np.uint64(32)) & self.mask | np.uint64(1)
+            place = ((some & self.mask) + np.uint64(number) * step) & self.mask
+            kept = kept[(self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1) > 0]
         return kept
 
 
