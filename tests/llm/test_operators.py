@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -82,10 +83,36 @@ def test_trees_prune_and_large_numbers_stay_exact():
     search = topk.Search(np.arange(300), points[:300], 3)
     search.add(np.arange(300, 2400), points[300:])
     assert search.products < 300 * 2100 / 2
+    copies = topk.Search(np.arange(3000), np.ones((3000, 4)), 2)
+    copies.add(np.arange(3000), np.ones((3000, 4)))
+    assert copies.found[5].tolist() == [0, 1] and copies.found[0].tolist() == [1, 2]
+    wide = topk.Search(np.arange(40), np.array([[10.0**n] for n in range(260, 300)]), 1, leaf=2)
+    wide.add(np.arange(40, 80), np.array([[10.0**n] for n in range(260, 300)]))
+    assert (wide.found[:, 0] == 40).all() and (wide.scores[:, 0] == 2**63 - 1).all()
     big = np.array([[2.0**52, 1.0], [2.0**40, 2.0**40]])
     assert topk.exact_products(big, big).tolist() == [[2**63 - 1, 2**63 - 1], [2**63 - 1, 2**63 - 1]]
 
 
+def test_trees_of_the_given_vectors_have_levels():
+    rows = pq.read_table("/root/testdata/sf0.1/embeddings.parquet")
+    points = np.floor(64 * np.array(rows["embedding"].to_pylist(), np.float64))
+    ids = rows["vec_id"].to_numpy()
+    asks = ids % 20 == 0
+    search = topk.Search(ids[asks], points[asks], 20, leaf=16)
+    tree = search.tree
+    assert tree.end[0] > tree.begin[0] and (tree.end > tree.begin).sum() > 1
+    for node in range(len(tree.first)):
+        mine = tree.order[tree.first[node] : tree.last[node]]
+        assert (np.linalg.norm(tree.points[mine] - tree.points[tree.centers[node]], axis=1) <= tree.radius[node] + 1e-9).all()
+    for at in range(0, len(ids), 700):
+        search.add(ids[at : at + 700], points[at : at + 700])
+    assert search.pairs > 0 and search.pruned > 0
+    for n, query in enumerate(ids[asks]):
+        scores = (points @ points[ids == query][0]).astype(np.int64)
+        best = sorted((-s, i) for s, i in zip(scores.tolist(), ids.tolist(), strict=True) if i != query)[:20]
+        assert list(zip((-search.scores[n]).tolist(), search.found[n].tolist(), strict=True)) == best
+
+
 # 2 licences
 
 
