@@ -32,7 +32,7 @@ def main(argv: list[str] | None = None) -> None:
     if options.command == "run":
         run_all(spark, read_json_lines(spark, options.landing, PAGE_DDL), options.root, encoder, bits=options.bits, encoder_name=options.model or "")
     else:
-        records = KeyedTable(spark, f"{options.root}/vectors").read()
+        records = KeyedTable(spark, f"{options.root}/vectors")
         group = None if options.group == settings.ALL_GROUPS else options.group
         found = search_text(records, options.text, options.results, group, encoder, options.bits, options.radius)
         presented(found).show(options.results, truncate=False)

@@ -340,6 +340,8 @@ ORACLE = {
     "vector_upsert": f"WITH {UPSERTED} SELECT vec_id, label, dim, weight FROM parts WHERE weight <> 0",
     "semantic_search": f"""WITH {SEARCHED} SELECT rank, post_id, document AS content, subreddit, title,
         round(similarity, 6) AS similarity, round(1 - least(similarity, 1), 6) AS distance FROM found WHERE rank <= 5""",
+    "semantic_search_stored": f"""WITH {SEARCHED} SELECT rank, post_id, document AS content, subreddit, title,
+        round(similarity, 6) AS similarity, round(1 - least(similarity, 1), 6) AS distance FROM found WHERE rank <= 20""",
     "semantic_search_batch": f"""WITH {SEARCHED_BY_POST} SELECT query_id, rank, post_id, document AS content, subreddit,
         title, round(similarity, 6) AS similarity, round(1 - least(similarity, 1), 6) AS distance FROM found WHERE rank <= 5""",
     "search_presentation": f"""WITH {SEARCHED} SELECT rank AS position, subreddit, title,

@@ -468,6 +468,15 @@ def semantic_search(spark, d):
     return _rounded(search_text(store.read(), QUERY_TEXT))
 
 
+@query
+def semantic_search_stored(spark, d):
+    """The texts of 20 results by their ids, out of a table stored by a hash of the id."""
+    root = scratch_path(spark, "semantic")
+    tables.overwrite_table(_silver(spark, d), f"{root}/silver", partition_by="subreddit")
+    jobs.build_vector_store(spark, f"{root}/silver", f"{root}/vectors")
+    return _rounded(search_text(tables.KeyedTable(spark, f"{root}/vectors"), QUERY_TEXT, n_results=20))
+
+
 @query
 def semantic_search_batch(spark, d):
     """The text of the best post of each group asks a stored table for posts like it."""

@@ -26,7 +26,7 @@ from postmill.functions.vectors import (
 )
 from postmill.operators.embed import encode_query
 from postmill.operators.ranking import top_n_per_group
-from postmill.sources.tables import staged
+from postmill.sources.tables import KeyedTable, staged
 
 # Query vectors held by a task of the batched search, about, and similarities it computes at a time.
 QUERIES_PER_CELL = 4096
@@ -61,7 +61,7 @@ def nearest(
 
 
 def search(
-    vectors: DataFrame,
+    vectors: DataFrame | KeyedTable,
     query: Sequence[float],
     n_results: int = settings.SEARCH_K,
     subreddit_filter: str | None = None,
@@ -70,22 +70,31 @@ def search(
 ) -> DataFrame:
     """Search vector records, whose ids are unique; the group filter applies before the ranking.
 
-    The ranking reads ids and vectors; texts are looked up for the ``n_results`` ids found. With ``bits``, for records
+    The ranking reads ids and vectors; texts are looked up for the ``n_results`` ids found. Of a keyed table the ranking runs
+    at once and its ids are pushed into a second scan, which reads the folders and row groups that hold them; a DataFrame is
+    joined with what is found, and if it is not stored it is computed for both. With ``bits``, for records
     stored by bucket, only the buckets at most ``radius`` sides away are read (see ``nearest_in_buckets``).
     """
-    pool = in_group(vectors, subreddit_filter)
+    records = vectors.read() if isinstance(vectors, KeyedTable) else vectors
+    pool = in_group(records, subreddit_filter)
     if bits is not None:
         pool = in_buckets(pool, query, bits, radius)
     found = nearest(pool.select("post_id", "embedding"), query, n_results)
+    if isinstance(vectors, KeyedTable):
+        # At most n_results rows of two numbers and an id.
+        rows = found.collect()
+        pool = vectors.lookup([r["post_id"] for r in rows], "post_id")
+        found = records.sparkSession.createDataFrame(rows, found.schema)
     texts = pool.select("post_id", F.col("document").alias("content"), "subreddit", "title")
-    # At most n_results ids.
-    return texts.join(F.broadcast(found), "post_id").select(
+    # At most n_results ids; null is one of them where a record has no id.
+    found = F.broadcast(found.withColumnRenamed("post_id", "_found"))
+    return texts.join(found, F.col("post_id").eqNullSafe(F.col("_found"))).select(
         "rank", "post_id", "content", "subreddit", "title", "similarity", "distance"
     )
 
 
 def search_text(
-    vectors: DataFrame,
+    vectors: DataFrame | KeyedTable,
     text: str,
     n_results: int = settings.SEARCH_K,
     subreddit_filter: str | None = None,

@@ -5,7 +5,7 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -22,6 +22,12 @@ from postmill.sources.listing import cap_per_channel, landed_posts, reject_rows
 from postmill.sources.tables import KeyedTable, append_batch, append_bronze, overwrite_table, read_bronze, records_to_bronze, staged
 
 
+def silver_order() -> list[Column]:
+    """Best first within a file of a group, so that ``rows_near_top`` skips most of it."""
+    return [F.desc_nulls_last("score")]
+
+
+
 def ingest_to_bronze(spark: SparkSession, records: Iterable[dict], bronze_path: str, fmt: str = "parquet") -> int:
     """Append records held by the caller."""
     return append_bronze(records_to_bronze(spark, records), bronze_path, fmt)
@@ -69,7 +75,7 @@ def transform_bronze_to_silver(
     ``rebalance`` is explained at ``overwrite_table``; here it comes before the derived columns.
     """
     silver = silver_posts(read_bronze(spark, bronze_path, schema, fmt), "subreddit" if rebalance else None)
-    return overwrite_table(silver, silver_path, "subreddit", rebalance=False, fmt=fmt)
+    return overwrite_table(silver, silver_path, "subreddit", rebalance=False, fmt=fmt, sort_by=silver_order())
 
 
 def transform_silver_to_gold(spark: SparkSession, silver_path: str, gold_path: str, fmt: str = "parquet") -> dict[str, int]:

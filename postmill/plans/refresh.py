@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.operators.silver import add_derived_columns, clean_text_fields, deduplicate_posts, normalize_types
-from postmill.plans.jobs import transform_bronze_to_silver
+from postmill.plans.jobs import silver_order, transform_bronze_to_silver
 from postmill.sources.tables import BATCH, KeyedTable, append_batch, read_table, staged
 
 
@@ -70,7 +70,7 @@ def refresh_silver(spark: SparkSession, bronze_path: str, silver_path: str, stat
         if merged.select("subreddit").distinct().count() < len(groups):
             transform_bronze_to_silver(spark, bronze_path, silver_path)
         else:
-            merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("subreddit").parquet(silver_path)
+            merged.sortWithinPartitions("subreddit", *silver_order()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("subreddit").parquet(silver_path)
     latest.upsert(changed, "post_id")
     append_batch(spark.createDataFrame([(name,) for name in fresh], "name string").coalesce(1), f"{state_path}/batches")
     return {"batches": len(fresh), "posts": changed.count(), "groups": len(groups)}

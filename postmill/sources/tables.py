@@ -1,10 +1,10 @@
 """Tables in folders: JSON lines, Parquet, and Delta where the session has it."""
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -78,17 +78,26 @@ def append_batch(rows: DataFrame, path: str, fmt: str = "parquet", batch: str |
 
 
 def overwrite_table(
-    df: DataFrame, path: str, partition_by: str | None = None, rebalance: bool = True, fmt: str = "parquet"
+    df: DataFrame,
+    path: str,
+    partition_by: str | None = None,
+    rebalance: bool = True,
+    fmt: str = "parquet",
+    sort_by: Sequence[Column] = (),
 ) -> int:
     """Replace a table and its schema; returns the rows written.
 
     A partitioned table is rebalanced by its key first: each task then writes few folders,
     and AQE cuts a hot key into several tasks and joins small ones. That is one more shuffle
     of whole rows. With few keys and large tasks, where each task's share of a key makes a
-    good file, or where AQE is off and nothing would cut a hot key, ``rebalance=False`` saves it.
+    good file, or where AQE is off and nothing would cut a hot key, ``rebalance=False`` saves it. Rows of a
+    file are in the order of ``sort_by``, by which readers skip row groups and pages.
     """
     if partition_by and rebalance:
         df = df.hint("rebalance", F.col(partition_by))
+    if sort_by:
+        # A partitioned write sorts by its key in any case.
+        df = df.sortWithinPartitions(*([partition_by] if partition_by else []), *sort_by)
     return _write(df, path, "overwrite", fmt, {"overwriteSchema": "true"}, partition_by)
 
 
@@ -124,6 +133,12 @@ def upsert(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     return target.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_anti").unionByName(batch, allowMissingColumns=True)
 
 
+def _any_of(conditions: list[Column]) -> Column:
+    """Their disjunction, as a tree no deeper than it must be."""
+    half = len(conditions) // 2
+    return _any_of(conditions[:half]) | _any_of(conditions[half:]) if half else conditions[0]
+
+
 def bloom_filter(column: str) -> dict[str, str]:
     """Writer options: a Parquet Bloom filter of a column in each row group, as large as its values need."""
     return {f"parquet.bloom.filter.enabled#{column}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
@@ -175,6 +190,22 @@ class KeyedTable:
         wanted = keys.select(F.col(key).alias("_key")).distinct()
         return near.join(wanted, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
 
+    def lookup(self, keys: Sequence, key: str) -> DataFrame:
+        """The rows of some keys held by the caller, without a join.
+
+        The folders of the keys follow from their hashes; each key is then an equality that reaches the Parquet reader, which
+        skips row groups by their range and Bloom filter, and pages by their range. A list of values would reach it as one range.
+        """
+        stored = self._stored()
+        if stored is None:
+            raise ValueError(f"no rows are stored below {self.root}")
+        if not keys:
+            return stored.limit(0).drop("_live", "_of", "_part")
+        kind, parts = stored.schema[key].dataType, stored.select("_of").first()[0]
+        values = [F.lit(k).cast(kind) for k in dict.fromkeys(keys)]
+        near = F.col("_part").isin(*(F.pmod(F.xxhash64(v), F.lit(parts)).cast("int") for v in values))
+        return stored.filter(near & F.col("_live") & _any_of([F.col(key).eqNullSafe(v) for v in values])).drop("_live", "_of", "_part")
+
     def count(self) -> int:
         return self.read().count() if self.exists() else 0
 

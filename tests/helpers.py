@@ -27,3 +27,23 @@ def plan_of(df):
 
 def rows_of(df, *columns):
     return sorted(tuple(r) for r in (df.select(*columns) if columns else df).collect())
+
+
+def rows_scanned(df):
+    """Runs ``df``, and tells how many rows its scans of files put out, by the first column of each."""
+    execution = df._jdf.queryExecution()
+    execution.executedPlan().executeCollect()
+    rows, open_ = {}, [execution.executedPlan()]
+    while open_:
+        node = open_.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            open_.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            open_.append(node.plan())
+        elif name == "FileSourceScanExec":
+            columns = node.output().mkString(",")
+            rows[columns] = rows.get(columns, 0) + node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        open_ += [children.apply(i) for i in range(children.size())]
+    return rows

@@ -178,6 +178,8 @@ def test_vectors_stored_by_bucket(spark, path, capsys):
     near = search_text(records, "signup post", 4, bits=3, radius=0)
     # Both the ranking and the look-up of texts read the near folders only.
     assert near.count() and plan_of(near).count("PartitionFilters: [isnotnull(bucket") == 2
+    stored = search_text(tables.KeyedTable(spark, path("root/vectors")), "signup post", 4)
+    assert rows_of(stored, "post_id", "similarity") == exact and plan_of(stored).count("Scan parquet") == 1
     main(["--bits", "3", "search", path("root"), "signup post", "--results", "2", "--radius", "3"])
     assert capsys.readouterr().out.count("https://reddit.com/comments/p") == 2
 

@@ -4,7 +4,7 @@ from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
-from helpers import DAY, bronze_of, plan_of, post, rows_of
+from helpers import DAY, bronze_of, plan_of, post, rows_of, rows_scanned
 from postmill import session
 from postmill.operators.silver import silver_posts
 from postmill.plans import jobs
@@ -200,3 +200,34 @@ def test_session_settings(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_lookup_reads_the_folders_and_row_groups_of_its_keys(spark, path):
+    store = tables.KeyedTable(spark, path("v"), parts=8)
+    rows = spark.range(40_000).selectExpr("concat('p', id) as post_id", "id as n", "repeat(concat('text ', id), 20) as document")
+    store.replace(rows, "post_id")
+    keys = [f"p{i}" for i in range(0, 40_000, 2_000)]
+    found = store.lookup([*keys, "absent", keys[0]], "post_id")
+    assert rows_of(found, "post_id") == sorted((k,) for k in keys)
+    one = store.lookup(["p77"], "post_id")
+    # One folder of eight.
+    assert one.count() == 1 and sum(rows_scanned(one).values()) <= 40_000 / 8 * 1.1
+    absent = store.lookup(["q"], "post_id")
+    assert rows_of(absent) == [] and sum(rows_scanned(absent).values()) == 0
+    assert store.lookup([], "post_id").count() == 0
+    store.upsert(spark.createDataFrame([(None, 1, "x")], "post_id string, n long, document string"), "post_id")
+    assert rows_of(store.lookup([None, "p5"], "post_id"), "n") == [(1,), (5,)]
+
+
+def test_sorted_files_are_skipped_by_score(spark, path):
+    from postmill.plans.late_top import rows_near_top
+
+    rows = spark.range(0, 300_000, 1, 2).selectExpr("concat('g', id % 2) as subreddit", "id * 7919 % 300007 as score", "repeat('body ', 10) as body")
+    read = {}
+    for name, order in (("plain", []), ("sorted", [F.desc_nulls_last("score")])):
+        tables.overwrite_table(rows, path(name), "subreddit", sort_by=order)
+        near = rows_near_top(tables.read_table(spark, path(name), rows.schema), "subreddit", "score", 10)
+        assert near.count() == 20
+        read[name] = sum(n for columns, n in rows_scanned(near).items() if "body" in columns)
+    # Pages of 20,000 rows: one per file is left of all.
+    assert read["plain"] > 250_000 and read["sorted"] <= 100_000
