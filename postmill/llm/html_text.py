@@ -8,7 +8,8 @@ container that holds more than half of the text; so a heading or short paragraph
 links in it does not. A container is the nearest article or main element, else the nearest section or div.
 
 Elements that are never content are skipped with all they hold: by their tag, their role or a class or id (fixed lists below,
-compared with whole names), or because they are hidden. Other than scripts, controls and the like, an element is not skipped that holds more than half of
+compared with whole names and with what a compound of several parts ends in: ``site-footer`` is a footer, ``comment-list`` a list of comments,
+``has-sidebar`` no sidebar), or because they are hidden. Other than scripts, controls and the like, an element is not skipped that holds more than half of
 the page's text, article and main counted ``WEIGHT`` fold: one with article or main text in it, or with at
 least ``LEAST_SPARED`` characters unless its tag is for navigation and the like. Character references are decoded.
 
@@ -19,6 +20,7 @@ as it goes; pages are read whole; repeated rows each come back.
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -52,6 +54,11 @@ SKIPPED_WORDS = frozenset(
     "replies reply respond search share sharing sidebar side signup skip social sponsor sponsored subscribe subscription "
     "toolbar widget widgets".split()
 )
+# Last parts of a compound that only say how its contents are laid out.
+LAYOUT_WORDS = frozenset("area bar block box container inner item items label line link links list outer panel row section slot text unit wrap wrapper".split())
+# First parts of a compound that names what its element has or lacks, and those whose header is part of an article.
+PREPOSED = frozenset("after before has hide is no non not show with without".split())
+OWN_HEADERS = frozenset("article content entry post section".split())
 CONTENT = frozenset(("article", "main"))
 CONTAINERS = CONTENT | {"section", "div", "body", "td"}
 # A start tag that ends an open element of these kinds, as HTML allows the end tag to be left out.
@@ -66,11 +73,25 @@ ENDS_P = frozenset(
 )
 P_SCOPE = frozenset("button caption html object table td template th".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
+_PARTS = re.compile(r"[-_]+")
 _CUT_OFF = re.compile(r"<[!/?a-zA-Z]")
 # A class of the page as a whole says nothing of its content.
 _CONTENT_ROOTS = frozenset(("body", "html"))
 
 
+@lru_cache(maxsize=4096)
+def _is_boilerplate(name: str) -> bool:
+    """Whether a class or id, in lower case, is a listed word or a compound that ends in one."""
+    if name in SKIPPED_WORDS:
+        return True
+    parts = [part for part in _PARTS.split(name) if part]
+    while len(parts) > 1 and (parts[-1] in LAYOUT_WORDS or parts[-1].isdigit()):
+        parts.pop()
+    if not parts or parts[-1] not in SKIPPED_WORDS or not PREPOSED.isdisjoint(parts[:-1]):
+        return False
+    return parts[-1] not in ("header", "side", "share") or OWN_HEADERS.isdisjoint(parts[:-1])
+
+
 def _is_skipped(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
     if tag in SKIPPED:
         return True
@@ -78,8 +99,7 @@ def _is_skipped(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         return False
     for name, value in attrs:
         if name in ("class", "id"):
-            words = (value or "").lower().split()
-            if not SKIPPED_WORDS.isdisjoint(words):
+            if any(map(_is_boilerplate, (value or "").lower().split())):
                 return True
         elif name == "role":
             if (value or "").lower() in SKIPPED_ROLES:

@@ -7,7 +7,9 @@ where ``n`` lies within ``t / (2 - t) * m`` and ``(2 - t) / t * m``. These size
 templates of a unit; most units have none and are passed over with a count of their words.
 
 Bigrams count as often as they occur. A unit that matches several templates goes to the most similar, then to the
-first by name. Defined results: null, empty and non-matching texts give one row with no licence and Dice 0; repeated
+first by name. A notice within a line or block is found by windows: runs of words as long as a template. A window that reaches ``t`` lacks
+at most ``(1 - t) * m`` of the template's bigrams, so one of its rarest ``(1 - t) * m + 1`` is in it; windows are counted around these only, a
+word at a time. Of overlapping finds the most similar stays, then the longest. Defined results: null, empty and non-matching texts give one row with no licence and Dice 0; repeated
 rows each come back; texts are read whole. Templates are a parameter; a template of fewer than two words matches nothing.
 """
 
@@ -23,7 +25,27 @@ from pyspark.sql import functions as F
 from postmill.llm.common import quoted, slices, with_fields
 
 MIN_DICE = 0.8
-# Fixed texts: public notices by which works name their licence.
+# Fixed texts: public notices by which works name their licence, and whole short licences.
+_AS_IS = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD_2 = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution."
+)
+_BSD_3 = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission."
+)
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     (
@@ -36,6 +58,8 @@ TEMPLATES = (
     ),
     ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
+    ("BSD-2-Clause", f"{_BSD_2} {_AS_IS}"),
+    ("BSD-3-Clause", f"{_BSD_2} {_BSD_3} {_AS_IS}"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
@@ -50,6 +74,11 @@ TEMPLATES = (
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version.",
     ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
     ("MIT", "Released under the MIT License."),
     (
         "MIT",
@@ -85,6 +114,16 @@ class Templates:
         self.bags = sorted(bags, key=lambda b: b[:2])
         self.sizes = [b[0] for b in self.bags]
         self.least = least
+        self.anchors: dict[tuple[str, str], list[int]] = {}
+        common = Counter(x for _, _, bag in self.bags for x in bag)
+        for number, (size, _, bag) in enumerate(self.bags):
+            # So many bigrams, counted as often as they occur, that no window which reaches the coefficient lacks them all.
+            spare = int(size * (1 - least) + 1e-9)
+            for bigram, times in sorted(bag.items(), key=lambda b: (common[b[0]], -len(b[0][0]) - len(b[0][1]), b[0])):
+                self.anchors.setdefault(bigram, []).append(number)
+                spare -= times
+                if spare < 0:
+                    break
         self.reach = least / (2 - least)
 
     def candidates(self, size: int) -> list[tuple[int, str, Counter]]:
@@ -102,6 +141,50 @@ class Templates:
         score, name = min(scores, key=lambda s: (-s[0], s[1]))
         return (score, name) if score >= self.least else None
 
+    def windows(self, text: str) -> list[tuple[str, float, int, int]]:
+        """(licence, coefficient, start, end) of windows as long as a template, one for each run of windows that reach the coefficient."""
+        words = normalized(text)
+        if self.anchors.keys().isdisjoint(zip(words, words[1:], strict=False)):
+            return []
+        places = [(m.start(), m.end()) for m in _WORDS.finditer(text)]
+        words = [text[start:end].lower() for start, end in places]
+        bigrams = list(zip(words, words[1:], strict=False))
+        near: dict[int, list[int]] = {}
+        for at, bigram in enumerate(bigrams):
+            for number in self.anchors.get(bigram, ()):
+                near.setdefault(number, []).append(at)
+        found = []
+        for number, hits in near.items():
+            size, name, _ = self.bags[number]
+            for first, last in _merged([(max(0, at - size + 1), min(at, len(bigrams) - size)) for at in hits]):
+                for shared, at in self._best_windows(number, bigrams, first, last):
+                    found.append((name, shared / size, places[at][0], places[at + size][1]))
+        return found
+
+    def _best_windows(self, number: int, bigrams: list[tuple[str, str]], first: int, last: int) -> Iterator[tuple[int, int]]:
+        """(shared bigrams, start) of the best window, the first of equals, of each run of starts that reach the coefficient."""
+        size, _, bag = self.bags[number]
+        counts: Counter = Counter()
+        shared, best = 0, None
+        for at in range(first, last + size):
+            come = bigrams[at]
+            if come in bag:
+                counts[come] += 1
+                shared += counts[come] <= bag[come]
+            start = at - size + 1
+            if start > first and (gone := bigrams[start - 1]) in bag:
+                shared -= counts[gone] <= bag[gone]
+                counts[gone] -= 1
+            if start < first:
+                continue
+            if shared >= self.least * size - 1e-9:
+                best = max(best or (0, 0), (shared, -start))
+            elif best:
+                yield best[0], -best[1]
+                best = None
+        if best:
+            yield best[0], -best[1]
+
     def find(self, text: str) -> list[tuple[str, float, int, int]]:
         """(licence, coefficient, start, end) of the units that match; spans are code points.
 
@@ -123,15 +206,19 @@ class Templates:
                 block = []
         if len(whole) > 1:
             units.append(self._joined(whole))
-        found = []
+        found = self.windows(text)
         for start, end, words in units:
             if words and (best := self.best(words)):
                 found.append((best[1], best[0], start, end))
         kept: list[tuple[str, float, int, int]] = []
-        for one in sorted(found, key=lambda f: (-f[1], f[2] - f[3], f[2])):
-            if not any(one[2] < k[3] and k[2] < one[3] for k in kept):
-                kept.append(one)
-        return sorted(kept, key=lambda f: f[2])
+        starts: list[int] = []
+        for one in sorted(found, key=lambda f: (-f[1], f[2] - f[3], f[2], f[0])):
+            # Those kept do not overlap, so only its neighbours may overlap with it.
+            at = bisect_left(starts, one[3])
+            if not at or kept[at - 1][3] <= one[2]:
+                kept.insert(at, one)
+                starts.insert(at, one[2])
+        return kept
 
     def _joined(self, lines: list[tuple[int, int, list[str]]]) -> tuple[int, int, list[str]]:
         """A unit of several lines; without its words where no template is as large."""
@@ -140,6 +227,19 @@ class Templates:
         return lines[0][0], lines[-1][1], words
 
 
+def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges of rising starts as ranges that do not touch, without empty ones."""
+    merged: list[tuple[int, int]] = []
+    for first, last in ranges:
+        if first > last:
+            continue
+        if merged and first <= merged[-1][1] + 1:
+            merged[-1] = (merged[-1][0], max(merged[-1][1], last))
+        else:
+            merged.append((first, last))
+    return merged
+
+
 def scan_licenses(
     docs: DataFrame,
     templates: tuple[tuple[str, str], ...] = TEMPLATES,

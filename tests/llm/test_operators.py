@@ -116,6 +116,41 @@ def test_trees_of_the_given_vectors_have_levels():
 # 2 licences
 
 
+def test_licenses_within_lines_and_blocks():
+    index = licenses.Templates()
+    mit = dict(licenses.TEMPLATES)["MIT"]
+    line = "Copyright 2024 Jane Doe. Released under the MIT License. All else is prose."
+    assert index.find(line) == [("MIT", 1.0, 25, 55)] and line[25:55] == "Released under the MIT License"
+    code = "# " + mit.replace(" to deal", "\n# to deal") + "\nimport os\n" + "x = x + 1\n" * 200
+    assert [(f[0], code[f[2] : f[2] + 10]) for f in index.find(code)] == [("MIT", "Permission")]
+    assert index.find(mit[: len(mit) // 2]) == []
+    many = (line + " ") * 20_000
+    started = time.monotonic()
+    assert len(index.find(many)) == 20_000 and time.monotonic() - started < 20
+    for name, text in licenses.TEMPLATES:
+        assert [f[0] for f in index.find("before it " + text + " and after")] == [name]
+
+
+def test_windows_equal_all_windows():
+    draw = np.random.default_rng(5)
+    index = licenses.Templates((("x", "a b c d e f a b c d e g"), ("y", "b c d e f")), 0.6)
+    for _ in range(300):
+        words = draw.choice(list("abcdefg"), size=40).tolist()
+        if draw.random() < 0.7:
+            words[10:22] = "a b c d e f a b c d e g".split()
+            words[int(draw.integers(10, 22))] = "z"
+        pairs = list(zip(words, words[1:], strict=False))
+        reach = set()
+        for size, name, bag in index.bags:
+            for at in range(len(pairs) - size + 1):
+                if licenses.dice(Counter(pairs[at : at + size]), bag, 2 * size) >= 0.6 - 1e-9:
+                    reach.add((name, 2 * at))
+        found = {(name, start) for name, _, start, _ in index.windows(" ".join(words))}
+        # One of each run, and none where no window reaches the bound.
+        runs = {(n, s) for n, s in reach if (n, s - 2) not in reach}
+        assert found <= reach and len(found) == len(runs)
+
+
 def test_licenses(spark):
     mit = dict(licenses.TEMPLATES)["MIT"]
     text = "Prose here.\nReleased under the MIT License.\n\n" + mit.replace(" to deal", "\nto deal") + "\n\nlicense of a poet"
@@ -186,6 +221,13 @@ def test_pages(spark):
         assert got[page["page_id"]]["n_chars"] == len(got[page["page_id"]]["text"])
 
 
+def test_compound_names_of_boilerplate():
+    body = "".join(f"<p>{'The body of this piece goes on for a while. ' * 6}</p>" for _ in range(4))
+    for name, stays in (("cookie-banner", False), ("user-comments", False), ("site_footer", False), ("comment-list", False), ("has-sidebar", True), ("post-header", True)):
+        block = f"<div class='{name}'><p>{'Other words in a block of text. ' * 8}</p></div>"
+        assert ("Other" in html_text.main_text(f"<article>{body}{block}</article>")) == stays
+
+
 # 4 language model
 
 
