@@ -44,6 +44,8 @@ SLACK = 20.0
 # Sketches of one part of a band, and shingles of one part of a component.
 BAND_PART = 2048
 SET_PART = 1_000_000
+# Most rows of a cell that are tried as its hub.
+HUBS = 8
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -254,6 +256,32 @@ def _edges(nodes: pa.ChunkedArray, pairs: list[tuple[int, int]]) -> Iterator[pa.
         yield from found.combine_chunks().to_batches()
 
 
+def _forest_of(some: np.ndarray, many: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of sketches that may link; ``many`` are the set sizes.
+
+    Of some rows, spread over the cell, the one near most others is its hub. What is near the hub is joined by it and is compared
+    with what is not, but not with itself; so a tight group costs in proportion to its rows, not to their square.
+    """
+    size = len(some)
+    tries = np.linspace(0, size - 1, min(HUBS, 1 + size // 32)).astype(np.int64)
+    near = may_link(some[tries, None], some[None, :], many[tries, None], many[None, :], percent)
+    best = int(near.sum(axis=1).argmax())
+    hub, joined = int(tries[best]), near[best]
+    joined[hub] = False
+    rest = np.flatnonzero(~joined)
+    joined, rest = np.flatnonzero(joined), rest[rest != hub]
+    forest = _Forest(size)
+    out = [(hub, other) for other in forest.link(hub, joined)]
+    step = max(1, (1 << 22) // (size * REGISTERS))
+    for i in range(0, len(rest), step):
+        block = rest[i : i + step]
+        others = np.concatenate([joined, rest[i:]])
+        near = may_link(some[block, None], some[None, others], many[block, None], many[None, others], percent)
+        for row, links in zip(block.tolist(), near, strict=True):
+            out += [(row, other) for other in forest.link(row, others[links])]
+    return out
+
+
 def _compare_sketches(percent: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, ends in _runs(batches):
@@ -265,14 +293,8 @@ def _compare_sketches(percent: int) -> Callable:
             near = may_link(values[twos], values[twos + 1], n[twos], n[twos + 1], percent)
             pairs = [(i, i + 1) for i in twos[near].tolist()]
             for start, size in zip(ends[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
-                some, many = values[start : start + size], n[start : start + size]
-                forest = _Forest(size)
-                step = max(1, (1 << 22) // (size * REGISTERS))
-                for i in range(0, size, step):
-                    # Each pair once: a row against those after the block's first.
-                    near = may_link(some[i : i + step, None], some[None, i:], many[i : i + step, None], many[None, i:], percent)
-                    for r in range(len(near)):
-                        pairs += [(start + i + r, start + o) for o in forest.link(i + r, i + np.flatnonzero(near[r]))]
+                found = _forest_of(values[start : start + size], n[start : start + size], percent)
+                pairs += [(start + a, start + b) for a, b in found]
             yield from _edges(table["node"], pairs)
 
     return run

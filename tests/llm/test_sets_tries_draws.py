@@ -100,6 +100,31 @@ def test_sketches_merge_and_estimate():
             assert abs(np.mean(errors)) < 0.04
 
 
+@pytest.mark.parametrize("tight, loose", [(0, 40), (150, 0), (90, 60), (2, 1)])
+def test_forest_of_a_cell_joins_what_all_its_pairs_join(tight, loose):
+    rng = np.random.default_rng(7)
+    group = rng.integers(0, 2**63, 60, dtype=np.uint64)
+    sets = [np.concatenate([rng.permutation(group)[:57], rng.integers(0, 2**63, 3, dtype=np.uint64)]) for _ in range(tight)]
+    for i in range(loose):  # chains: each shares most of its elements with the one before
+        before = sets[-1] if i % 3 and sets else rng.integers(0, 2**63, 60, dtype=np.uint64)
+        sets.append(np.concatenate([before[4:], rng.integers(0, 2**63, 4, dtype=np.uint64)]))
+    sets = [np.sort(sets[i]) for i in rng.permutation(len(sets))]
+    n = np.array([len(x) for x in sets])
+    some = minhash.registers(np.repeat(np.arange(len(n)), n), np.concatenate(sets), len(n))
+    near = minhash.may_link(some[:, None], some[None], n[:, None], n[None])
+
+    def classes(pairs):
+        forest = minhash._Forest(len(n))
+        for a, b in pairs:
+            forest.link(a, np.array([b]))
+        return [forest.root(x) for x in range(len(n))]
+
+    found = minhash._forest_of(some, n, minhash.PERCENT)
+    assert all(near[a, b] for a, b in found)
+    assert len(found) == len(n) - len(set(classes(found)))
+    assert classes(found) == classes(np.argwhere(near).tolist())
+
+
 def test_spread_join(spark):
     many = spark.createDataFrame([(7 if i < 3000 else i, i) for i in range(4000)], "k long, v long")
     few = many.groupBy("k").agg(F.count("*").alias("rows")).withColumn("name", F.col("k") * 2)
