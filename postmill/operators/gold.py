@@ -27,18 +27,18 @@ class Rollup:
         return rows.groupBy(*self.keys).agg(*columns)
 
 
-def means(**columns: str) -> dict[str, str]:
-    return {name: f"avg({column})" for name, column in columns.items()}
-
-
+# The names of the gold tables' columns, and their order.
 build_subreddit_daily_stats = Rollup(
     keys=("subreddit", "created_date"),
     measures={
         "post_count": "count(post_id)",
-        **means(avg_score="score", avg_comments="num_comments", avg_upvote_ratio="upvote_ratio"),
+        "avg_score": "avg(score)",
+        "avg_comments": "avg(num_comments)",
+        "avg_upvote_ratio": "avg(upvote_ratio)",
         "total_score": "sum(score)",
         "total_comments": "sum(num_comments)",
-        **means(avg_title_length="title_length", avg_selftext_length="selftext_length"),
+        "avg_title_length": "avg(title_length)",
+        "avg_selftext_length": "avg(selftext_length)",
         "text_posts": "count_if(has_selftext)",
         "link_posts": "count_if(not has_selftext)",
     },
@@ -62,7 +62,7 @@ build_subreddit_summary = Rollup(
 
 build_hourly_activity = Rollup(
     keys=("subreddit", "created_hour", "day_of_week"),
-    measures={"post_count": "count(post_id)", **means(avg_score="score", avg_comments="num_comments")},
+    measures={"post_count": "count(post_id)", "avg_score": "avg(score)", "avg_comments": "avg(num_comments)"},
 )
 
 build_author_activity = Rollup(
