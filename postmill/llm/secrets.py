@@ -10,8 +10,8 @@ Rules: ``assign``, ``access`` and ``hex`` as the base kinds, and two that the me
 key block) and ``jwt`` (three base64url parts that begin as a JSON header does). Spans are code points, end exclusive.
 
 Defined results: a null text is the empty blob; repeated rows each come back; the ledger may be
-empty or missing; an empty table gives no rows. Copies of a blob meet in their own task before they are
-shuffled, so however many there are, each task sends one.
+empty or missing, or hold a pair twice; an empty table gives no rows. Columns of any name come back, but for those that are added here. Copies
+of a blob meet in their own task before they are shuffled, so however many there are, each task sends one; their paths are spread.
 """
 
 import hashlib
@@ -24,11 +24,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm.common import fresh, slices
+from postmill.llm.common import fresh, quoted, slices, spread_join, staged
 from postmill.session import scratch_path
 
 RULE_VERSION = 1
-BROADCAST_FINDINGS = 50_000
 # Fixed patterns. Kinds in the order in which spans that begin together are listed.
 ASSIGN = re.compile(
     r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII
@@ -128,6 +127,12 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def findings(spark: SparkSession, path: str, rule_version: int = RULE_VERSION) -> DataFrame:
+    """The ledger's blobs under one rule version, each once: scans at the same time may both have added one."""
+    rows = read_ledger(spark, path).filter(F.col("rule_version") == rule_version)
+    return rows.drop("rule_version").dropDuplicates(["blob"])
+
+
 def scan_new(docs: DataFrame, ledger_path: str, text_column: str = "text", rule_version: int = RULE_VERSION) -> None:
     """Scan the blobs of ``docs`` that the ledger lacks under this rule version, and add them.
 
@@ -151,9 +156,13 @@ def scan(
     ledger_path = ledger_path or scratch_path(docs.sparkSession, "ledger")
     scan_new(docs, ledger_path, text_column, rule_version)
     kept = [c for c in docs.columns if c not in (text_column, "blob", "found", "base_sha256", "spans")]
-    paths = docs.select(*kept, blob_id(text_column).alias("blob"))
-    ledger = read_ledger(docs.sparkSession, ledger_path).filter(F.col("rule_version") == rule_version)
-    return paths.join(ledger.drop("rule_version"), "blob").select(*kept, "blob", "found", "base_sha256", "spans")
+    # One blob may be that of a third of all paths; the dice, written before they are used, spread its rows.
+    whole = F.struct(*quoted(kept)) if kept else F.lit(0)
+    paths = staged(docs.select(whole.alias("path"), blob_id(text_column).alias("blob"), F.rand().alias("dice")), "paths")
+    counts = paths.groupBy("blob").agg(F.count("*").alias("rows"))
+    named = staged(findings(docs.sparkSession, ledger_path, rule_version).join(counts, "blob"), "named")
+    found = spread_join(paths, named, "blob", "rows", "dice")
+    return found.select(*(F.col("path").getField(c).alias(c) for c in kept), "blob", "found", "base_sha256", "spans")
 
 
 def with_spans(
@@ -161,16 +170,14 @@ def with_spans(
 ) -> DataFrame:
     """All rows of ``docs`` with their text, and in column ``name`` their secrets, null where there are none.
 
-    Only findings meet the documents. Up to ``BROADCAST_FINDINGS`` blobs with any, which is checked, they are
-    broadcast and no text moves; beyond, the documents are shuffled by blob.
+    Only findings meet the documents. They are written first, so Spark knows their size: few are broadcast and no text
+    moves; otherwise the documents are shuffled by blob.
     """
     ledger_path = ledger_path or scratch_path(docs.sparkSession, "ledger")
     scan_new(docs, ledger_path, rule_version=rule_version)
-    ledger = read_ledger(docs.sparkSession, ledger_path).filter(F.col("rule_version") == rule_version)
     blob = fresh(docs.columns, "_blob")
-    hits = ledger.filter(F.size("found") > 0).select(F.col("blob").alias(blob), F.col("found").alias(name))
-    if hits.count() <= BROADCAST_FINDINGS:
-        hits = F.broadcast(hits)
+    some = findings(docs.sparkSession, ledger_path, rule_version).filter(F.size("found") > 0)
+    hits = staged(some.select(F.col("blob").alias(blob), F.col("found").alias(name)), "hits")
     return docs.withColumn(blob, blob_id()).join(hits, blob, "left").drop(blob)
 
 

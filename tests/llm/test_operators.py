@@ -622,6 +622,23 @@ def test_ledger_scans_a_blob_once_per_rule_version(spark, path):
     assert secrets.scan(docs.limit(0)).count() == 0
 
 
+def test_ledger_with_pairs_twice_and_columns_of_any_name(spark, path):
+    ledger = path("ledger")
+    rows = [(i, "token=abcdefg" if i % 3 else f"clean {i}", i, i, i) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, rows long, `my col` long, `a.b` long")
+    secrets.scan_new(docs, ledger)
+    # Another scan at the same time did not see what the first one added.
+    secrets.read_ledger(spark, ledger).write.mode("append").parquet(ledger)
+    found = secrets.scan(docs, ledger)
+    assert found.columns == ["doc_id", "rows", "my col", "a.b", "blob", "found", "base_sha256", "spans"]
+    assert sorted((r[0], r[1], r[2], r[3], r["spans"]) for r in found.collect()) == [
+        (i, i, i, i, "assign:0:13" if i % 3 else "") for i in range(600)
+    ]
+    spans = secrets.with_spans(docs, ledger, name="spans").collect()
+    assert sorted((r["doc_id"], bool(r["spans"])) for r in spans) == [(i, i % 3 > 0) for i in range(600)]
+    assert secrets.scan(docs.select("text"), ledger).count() == 600
+
+
 def test_redaction():
     assert secrets.redacted("ab12cd", [(2, 4)]) == "ab[SECRET]cd"
     assert secrets.redacted("abcdef", [(0, 3), (2, 4), (5, 6)]) == "[SECRET]e[SECRET]"
