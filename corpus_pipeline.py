@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.llm import decontaminate, language_id, packing, secrets, simhash
-from postmill.llm.common import fresh, quoted, slices, staged, table
+from postmill.llm.common import fresh, may_be_among, quoted, slices, staged, table
 
 ORACLE_SQL = None  # language codes, fingerprints, spans and token ids are beyond SQL
 
@@ -47,8 +47,13 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """
     rows, name = named(docs)
     found = simhash.near_duplicates(rows.select(name, "text"), id_column=name)
-    chosen = found.filter(F.col(name) == F.col("component_id")).select(name).distinct()
-    return rows.join(chosen, name, "left_semi").dropDuplicates([name]).select(*quoted(docs.columns))
+    chosen = F.bool_and(F.col(name) == F.col("component_id")).alias("chosen")
+    names = staged(found.groupBy(name).agg(F.count("*").alias("rows"), chosen), "names")
+    # Most documents stay and come once: a bitmap tells them, and their texts are not moved.
+    key = F.xxhash64(name)
+    in_doubt = may_be_among(names.filter("rows > 1 or not chosen").select(key.alias("key")), "key")(key)
+    settled = rows.filter(in_doubt).dropDuplicates([name]).join(names.filter("chosen").select(name), name, "left_semi")
+    return rows.filter(~in_doubt).unionByName(settled).select(*quoted(docs.columns))
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
