@@ -4,13 +4,14 @@ import hashlib
 import itertools
 import math
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from postmill import settings
 from postmill.functions.vectors import (
@@ -26,11 +27,16 @@ from postmill.functions.vectors import (
 )
 from postmill.operators.embed import encode_query
 from postmill.operators.ranking import top_n_per_group
+from postmill.session import scratch_path
 from postmill.sources.tables import KeyedTable, staged
 
-# Query vectors held by a task of the batched search, about, and similarities it computes at a time.
+# Query vectors compared at once by a task of the batched search, about, the most that it holds, and similarities it computes at a time.
 QUERIES_PER_CELL = 4096
+QUERIES_PER_TASK = 1 << 15
 CELLS_AT_A_TIME = 1 << 20
+# Bytes of the vectors in one row of packs, and of a row group of such rows.
+PACK_BYTES = 1 << 18
+PACK_GROUP_BYTES = 1 << 24
 
 
 def in_group(vectors: DataFrame, group: str | int | None, column: str = "subreddit") -> DataFrame:
@@ -130,42 +136,27 @@ def nearest_batch(
 ) -> DataFrame:
     """The ``k`` nearest vectors of every query: query id, id, similarity, rank, ``columns``.
 
-    Queries are written out once and cut by hash into blocks of about ``queries_per_cell``, vectors
-    into slices, so that blocks times slices make up the shuffle width. A cell is one block and one
-    slice, and a task of its own: it holds the block's queries, lets the slice's vectors stream by,
-    and keeps ``k`` ids a query, so the pairs themselves are never emitted. Nothing but the number
-    of queries comes to the driver, and vectors are copied once per block.
+    Queries are written out once. Up to about ``queries_per_cell`` of them are one block: vectors are shuffled into slices, as
+    many as the shuffle is wide, and each task holds the block and lets its slice's vectors stream by. More queries
+    are cut by hash into blocks, and vectors are written once, packed; a task is one block and one part of that table, which it reads
+    from the files, so no vector is shuffled however many blocks there are. There are as many blocks as the shuffle is wide at most, or more
+    where one would hold over ``QUERIES_PER_TASK`` queries. A task keeps ``k`` ids a query, so the pairs themselves
+    are never emitted, and blocks times parts is about the shuffle width or the number of blocks, which bounds what is ranked at
+    the end. Nothing but the number of queries comes to the driver.
 
     Further ``columns`` are looked up afterwards, for the ids found only; by broadcast where the
     written result is small enough for the session.
     """
     asked = staged(queries.select(query_id, vector_column).filter(F.col(vector_column).isNotNull()), "queries")
-    blocks = max(1, math.ceil(asked.count() / queries_per_cell))
-    slices = max(1, math.ceil(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")) / blocks))
-    block, slice_ = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))), F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
-    wanted = asked.select(
-        F.col(query_id).alias("query"),
-        F.col(vector_column).alias("target"),
-        F.pmod(F.xxhash64(query_id), F.lit(blocks)).cast("int").alias("block"),
-        slice_.alias("slice"),
-    )
-    # With the vector itself in the hash, rows that share an id are spread as well.
-    pool = vectors.select(
-        F.col(id_column).alias("id"),
-        F.col(vector_column).alias("vector"),
-        F.pmod(F.xxhash64(id_column, vector_column), F.lit(slices)).cast("int").alias("slice"),
-        block.alias("block"),
-    )
-    both = wanted.unionByName(pool, allowMissingColumns=True).select(
-        (F.col("block") * slices + F.col("slice")).alias("cell"),
-        F.col("target").isNull().alias("is_vector"),
-        "query",
-        "target",
-        "id",
-        "vector",
-    )
-    cells = both.repartitionById(blocks * slices, F.col("cell")).sortWithinPartitions("cell", "is_vector")
-    found = _best_per_cell(cells, k).withColumnsRenamed({"query": query_id, "id": id_column})
+    width, n = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), asked.count()
+    blocks = min(math.ceil(n / queries_per_cell), max(width, math.ceil(n / max(queries_per_cell, QUERIES_PER_TASK))))
+    wanted = asked.select(F.col(query_id).alias("query"), F.col(vector_column).alias("target"))
+    pool = vectors.select(F.col(id_column).alias("id"), F.col(vector_column).alias("vector"))
+    if blocks > 1:
+        found = _best_per_pair(wanted, pool, k, blocks, math.ceil(width / blocks), queries_per_cell)
+    else:
+        found = _best_per_slice(wanted, pool, k, width)
+    found = found.withColumnsRenamed({"query": query_id, "id": id_column})
     found = top_n_per_group(found, [query_id], [F.desc("similarity"), F.asc(id_column)], k)
     if not columns:
         return found
@@ -196,6 +187,24 @@ def search_texts(
     return search_batch(vectors, queries.select("query_id", embed(F.col("text")).alias("embedding")), n_results, subreddit_filter)
 
 
+class _Rows(NamedTuple):
+    """Vectors by id: as they are, their lengths, and their directions in single precision."""
+
+    ids: pa.Array
+    rows: np.ndarray
+    lengths: np.ndarray
+    short: np.ndarray
+
+    @classmethod
+    def of(cls, vectors: pa.RecordBatch, dimension: int) -> "_Rows":
+        vectors = vectors.take(pc.sort_indices(vectors["id"]))
+        rows, lengths = rows_and_lengths(vectors["vector"], dimension)
+        return cls(vectors["id"], rows, lengths, (rows / lengths[:, None]).astype(np.float32))
+
+    def part(self, start: int, length: int) -> "_Rows":
+        return _Rows(self.ids.slice(start, length), *(a[start : start + length] for a in self[1:]))
+
+
 class _Best:
     """The best ``k`` ids of each of some queries, of all vectors added so far."""
 
@@ -203,20 +212,22 @@ class _Best:
         self.ids, self.k = queries["query"].combine_chunks(), k
         self.matrix = np.array([unit(v) for v in queries["target"].to_pylist()])
         self.kept, self.bar = None, np.full(len(self.matrix), -np.inf)
+        # A product of unit vectors in single precision is less than this away from the one in double precision.
+        self.short, self.slack = self.matrix.astype(np.float32), (self.matrix.shape[1] + 8) * 2.0**-22
 
     def add(self, vectors: pa.RecordBatch) -> None:
-        rows = max(self.k, CELLS_AT_A_TIME // len(self.matrix))
-        for start in range(0, len(vectors), rows):
-            block = vectors.slice(start, rows)
-            self._add_block(block.take(pc.sort_indices(block["id"])))
-
-    def _add_block(self, block: pa.RecordBatch) -> None:
-        rows, lengths = rows_and_lengths(block["vector"], self.matrix.shape[1])
-        scores = rows @ self.matrix.T / lengths[:, None]
-        row, query = np.nonzero(self._may_be_best(scores))
-        fresh = pa.table(
-            {"query": query, "id": block["id"].take(pa.array(row)), "similarity": rounded(scores[row, query])}
-        )
+        self.add_rows(_Rows.of(vectors, self.matrix.shape[1]))
+
+    def add_rows(self, rows: "_Rows") -> None:
+        step = max(self.k, CELLS_AT_A_TIME // len(self.matrix))
+        for start in range(0, len(rows.ids), step):
+            self._add_block(rows.part(start, step))
+
+    def _add_block(self, block: "_Rows") -> None:
+        row, query, scores = self._near_the_bar(block)
+        if not len(row):
+            return
+        fresh = pa.table({"query": query, "id": block.ids.take(pa.array(row)), "similarity": rounded(scores)})
         both = fresh if self.kept is None else pa.concat_tables([self.kept, fresh])
         ordered = both.sort_by([("query", "ascending"), ("similarity", "descending"), ("id", "ascending")])
         query = ordered["query"].to_numpy()
@@ -225,6 +236,22 @@ class _Best:
         self.bar[query[last]] = ordered["similarity"].to_numpy()[last]
         self.kept = ordered.filter(pa.array(place < self.k))
 
+    def _near_the_bar(self, block: "_Rows") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows, queries and similarities of the pairs that may be among the best.
+
+        Once the bars are up, products in single precision leave few pairs, whose similarities are then computed in double.
+        """
+        if np.isfinite(self.bar).any():
+            near = block.short @ self.short.T >= (self.bar - 10.0**-DIGITS - self.slack).astype(np.float32)
+            if np.count_nonzero(near) <= 4 * self.k * len(self.matrix):
+                row, query = np.divmod(np.flatnonzero(near), len(self.matrix))
+                scores = np.einsum("ij,ij->i", block.rows[row], self.matrix[query]) / block.lengths[row]
+                near = scores >= self.bar[query] - 10.0**-DIGITS
+                return row[near], query[near], scores[near]
+        scores = block.rows @ self.matrix.T / block.lengths[:, None]
+        row, query = np.nonzero(self._may_be_best(scores))
+        return row, query, scores[row, query]
+
     def _may_be_best(self, scores: np.ndarray) -> np.ndarray:
         """Which scores may still be among the first k; equal ones stay in, for the id to decide."""
         candidates = scores >= self.bar - 10.0**-DIGITS
@@ -246,6 +273,67 @@ class _Best:
         return pa.table(named).to_batches()
 
 
+def _found(query: StructField, id_: StructField) -> StructType:
+    return StructType([query, id_, StructField("similarity", DoubleType())])
+
+
+def _best_per_slice(wanted: DataFrame, pool: DataFrame, k: int, slices: int) -> DataFrame:
+    """The best ``k`` ids of each query within each slice of the vectors; all queries go to each."""
+    slice_ = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
+    # With the vector itself in the hash, rows that share an id are spread as well.
+    part = F.pmod(F.xxhash64("id", "vector"), F.lit(slices)).cast("int")
+    both = wanted.withColumn("cell", slice_).unionByName(pool.withColumn("cell", part), allowMissingColumns=True)
+    both = both.select("cell", F.col("target").isNull().alias("is_vector"), "query", "target", "id", "vector")
+    return _best_per_cell(both.repartitionById(slices, F.col("cell")).sortWithinPartitions("cell", "is_vector"), k)
+
+
+def _packed(rows: DataFrame, name: str) -> DataFrame:
+    """Rows in arrays of about ``PACK_BYTES``, each with a number that no other one of its partition has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = itertools.count()
+        for batch in batches:
+            step = max(1, len(batch) * PACK_BYTES // max(1, batch.nbytes))
+            for start in range(0, len(batch), step):
+                part = batch.slice(start, step).to_struct_array()
+                yield pa.record_batch({f"{name}_no": pa.array([next(number)]), name: pa.ListArray.from_arrays([0, len(part)], part)})
+
+    kind = ArrayType(rows.schema)
+    return rows.mapInArrow(run, StructType([StructField(f"{name}_no", LongType()), StructField(name, kind)]))
+
+
+def _best_per_pair(wanted: DataFrame, pool: DataFrame, k: int, blocks: int, parts: int, at_once: int) -> DataFrame:
+    """The best ``k`` ids of each query within each of ``parts`` parts of the vectors; a task is a block of queries and a part.
+
+    The Cartesian product of partitions holds those on its right and reads those on its left as a stream, so the vectors,
+    written once, are read again from their files for each block.
+    """
+    path = scratch_path(pool.sparkSession, "packs")
+    packs = _packed(pool.filter("vector is not null"), "vectors")
+    packs.write.option("parquet.block.size", PACK_GROUP_BYTES).parquet(path)
+    stored = pool.sparkSession.read.schema(packs.schema).parquet(path).select("vectors").coalesce(parts)
+    # With the vector itself in the hash, rows that share an id are spread as well.
+    block = F.pmod(F.xxhash64("query", "target"), F.lit(blocks)).cast("int")
+    asked = _packed(wanted.repartitionById(blocks, block), "queries")
+    pairs = stored.crossJoin(asked.hint("shuffle_replicate_nl"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, list[_Best]] = {}
+        for batch in batches:
+            for i, number in enumerate(batch["queries_no"].to_pylist()):
+                if number not in best:
+                    queries = pa.Table.from_struct_array(batch["queries"].slice(i, 1).flatten())
+                    best[number] = [_Best(queries.slice(start, at_once), k) for start in range(0, len(queries), at_once)]
+                vectors = pa.RecordBatch.from_struct_array(batch["vectors"].slice(i, 1).flatten())
+                rows = {d: _Rows.of(vectors, d) for d in {some.matrix.shape[1] for some in best[number]}}
+                for some in best[number]:
+                    some.add_rows(rows[some.matrix.shape[1]])
+        for some in itertools.chain.from_iterable(best.values()):
+            yield from some.batches()
+
+    return pairs.mapInArrow(run, _found(wanted.schema["query"], pool.schema["id"]))
+
+
 def _best_per_cell(cells: DataFrame, k: int) -> DataFrame:
     """The best ``k`` ids of each query within each cell; a cell's queries come before its vectors."""
 
@@ -273,8 +361,7 @@ def _best_per_cell(cells: DataFrame, k: int) -> DataFrame:
         if best is not None:
             yield from best.batches()
 
-    kept = [cells.schema["query"], cells.schema["id"], StructField("similarity", DoubleType())]
-    return cells.mapInArrow(run, StructType(kept))
+    return cells.mapInArrow(run, _found(cells.schema["query"], cells.schema["id"]))
 
 
 def bucket_planes(bits: int, dimension: int) -> np.ndarray:

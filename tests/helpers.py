@@ -47,3 +47,22 @@ def rows_scanned(df):
         children = node.children()
         open_ += [children.apply(i) for i in range(children.size())]
     return rows
+
+
+def records_shuffled(df):
+    """Runs ``df``, and tells how many records its shuffles wrote."""
+    execution = df._jdf.queryExecution()
+    execution.executedPlan().executeCollect()
+    records, open_ = 0, [execution.executedPlan()]
+    while open_:
+        node = open_.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            open_.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            open_.append(node.plan())
+        elif name == "ShuffleExchangeExec":
+            records += node.metrics().apply("shuffleRecordsWritten").value()
+        children = node.children()
+        open_ += [children.apply(i) for i in range(children.size())]
+    return records

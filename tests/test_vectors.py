@@ -2,7 +2,7 @@ import math
 
 import numpy as np
 import pytest
-from helpers import plan_of, rows_of
+from helpers import plan_of, records_shuffled, rows_of
 from postmill.checks import fixtures
 from postmill.functions import vectors as v
 from postmill.operators import search
@@ -236,6 +236,26 @@ def test_batch_search_emits_at_most_k_rows_per_query_and_cell(spark):
     assert found.count() == 2 * 3 * 4
 
 
+def test_batch_search_shuffles_no_vector_per_block(spark):
+    values, df = random_vectors(spark, 300, copies=2)
+    asked, queries = random_vectors(spark, 200, seed=7)
+    found = search.nearest_batch(df, queries.withColumnRenamed("post_id", "query_id"), 2, queries_per_cell=10)
+    # Queries, and what is ranked of them, in two rounds at most.
+    assert records_shuffled(found) <= 200 + 2 * 200 * 2
+    expected = [(i, x) for i in range(200) for x in brute_force(values, asked[i], 2)]
+    assert [(r.query_id, r.post_id) for r in found.orderBy("query_id", "rank").collect()] == expected
+
+
+def test_batch_search_tells_similarities_apart_that_single_precision_does_not(spark):
+    angles = 0.7 + np.random.default_rng(2).permutation(3000) * 1e-8
+    rows = [(i, [float(np.cos(a)), float(np.sin(a))]) for i, a in enumerate(angles)]
+    df = spark.createDataFrame(rows, "post_id int, embedding array<double>")
+    queries = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(2)], "query_id int, embedding array<double>")
+    for per_cell in (1, 2):
+        found = search.nearest_batch(df, queries, 9, queries_per_cell=per_cell).orderBy("query_id", "rank").collect()
+        assert [r.post_id for r in found] == [int(i) for i in np.argsort(angles)[:9]] * 2
+
+
 def test_each_query_text_is_encoded_once(spark, tmp_path):
     def counting():
         from uuid import uuid4
