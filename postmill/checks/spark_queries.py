@@ -290,7 +290,7 @@ def top_posts_stored(spark, d):
 def _of_states(spark, d):
     """The rollups over the merged states of three parts of silver."""
     path = scratch_path(spark, "states")
-    rows = _silver(spark, d)
+    rows = refresh.state_input(_silver(spark, d))
     for part in range(3):
         refresh.append_states(rows.filter(F.pmod(F.hash("post_id"), F.lit(3)) == part), path, f"{part}")
     return refresh.gold_of_states(spark, path)

@@ -162,8 +162,17 @@ STATE_KEYS = {
 }
 
 
+def state_input(silver: DataFrame) -> DataFrame:
+    """The columns of silver that states are made of, written out: whatever makes silver runs once for all states."""
+    needed = {"post_id", *_SUMS, "has_selftext", "over_18", *(key for keys in STATE_KEYS.values() for key in keys)}
+    return staged(silver.select(*(c for c in silver.columns if c in needed)), "state_input")
+
+
 def append_states(silver: DataFrame, state_path: str, batch: str) -> None:
-    """Add the states of posts that are new since the last batch; a batch that comes again under its name replaces itself."""
+    """Add the states of posts that are new since the last batch; a batch that comes again under its name replaces itself.
+
+    Silver is read once for each state, so it should be a stored table, or ``state_input`` of one that is computed.
+    """
     for name, keys in STATE_KEYS.items():
         state = author_state(silver) if name == "author_activity" else rollup_state(silver, keys)
         append_batch(state, f"{state_path}/{name}", batch=batch)

@@ -4,10 +4,11 @@ from datetime import timedelta
 from pathlib import Path
 
 import pytest
-from helpers import DAY, bronze_of, post, rows_of
-from postmill.checks import fixtures
+from helpers import DAY, bronze_of, plan_of, post, rows_of
+from postmill.checks import fixtures, spark_queries
 from postmill.operators import gold
 from postmill.operators.silver import silver_posts
+from postmill.plans import refresh as refresh_plans
 from postmill.plans.refresh import append_states, gold_of_states, refresh_silver
 from postmill.sources import tables
 from pyspark.sql import functions as F
@@ -68,3 +69,16 @@ def test_states_merge_to_the_full_rollups(spark, path, splits):
             # Beyond doubles the deviation of very large scores differs in its last digits.
             found, expected = (tidy(df.filter("subreddit <> 'big'")) for df in (found, expected))
         assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+
+
+@pytest.mark.parametrize("name", ["daily_stats_of_states", "summary_of_states", "author_activity_of_states"])
+def test_silver_is_computed_once_for_all_states(spark, monkeypatch, name):
+    plans = []
+
+    def spied(silver, *args):
+        plans.append(plan_of(silver))
+        append_states(silver, *args)
+
+    monkeypatch.setattr(refresh_plans, "append_states", spied)
+    assert not spark_queries.QUERIES[name](spark, "/root/testdata/sf0.001").isEmpty()
+    assert len(plans) == 3 and not any(step in plan for plan in plans for step in ("Join", "Window", "Exchange"))
