@@ -14,6 +14,10 @@ from postmill.operators.ranking import keep_first
 from postmill.schema import FLAGS
 
 
+# What ``add_derived_columns`` adds.
+DERIVED = ("title_length", "selftext_length", "has_selftext", "content", "created_date", "created_hour", "day_of_week")
+
+
 def deduplicate_posts(df: DataFrame) -> DataFrame:
     """The latest ingested copy of each post.
 

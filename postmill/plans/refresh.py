@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.operators.silver import add_derived_columns, clean_text_fields, deduplicate_posts, normalize_types
+from postmill.operators.silver import DERIVED, add_derived_columns, clean_text_fields, deduplicate_posts, normalize_types
 from postmill.plans.jobs import silver_order, transform_bronze_to_silver
 from postmill.sources.tables import BATCH, KeyedTable, append_batch, read_table, staged
 
@@ -64,13 +64,15 @@ def refresh_silver(spark: SparkSession, bronze_path: str, silver_path: str, stat
         transform_bronze_to_silver(spark, bronze_path, silver_path)
     elif groups:
         silver = spark.read.option("mergeSchema", "true").schema(_silver_schema(spark, silver_path)).parquet(silver_path)
-        made = reduce(DataFrame.transform, (clean_text_fields, normalize_types, add_derived_columns), changed)
-        stays = silver.filter(_in_groups(groups)).join(ids, F.col("post_id").eqNullSafe(F.col("_id")), "left_anti")
-        merged = staged(stays.unionByName(made, allowMissingColumns=True).hint("rebalance", F.col("subreddit")), "silver")
+        # Derived columns, one of which holds the whole text again, are neither shuffled nor staged: they are derived once more when silver is written.
+        made = reduce(DataFrame.transform, (clean_text_fields, normalize_types), changed)
+        stays = silver.filter(_in_groups(groups)).drop(*DERIVED).join(ids, F.col("post_id").eqNullSafe(F.col("_id")), "left_anti")
+        merged = staged(stays.unionByName(made.drop(*DERIVED), allowMissingColumns=True).hint("rebalance", F.col("subreddit")), "silver")
         if merged.select("subreddit").distinct().count() < len(groups):
             transform_bronze_to_silver(spark, bronze_path, silver_path)
         else:
-            merged.sortWithinPartitions("subreddit", *silver_order()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("subreddit").parquet(silver_path)
+            whole = add_derived_columns(merged)
+            whole.sortWithinPartitions("subreddit", *silver_order()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("subreddit").parquet(silver_path)
     latest.upsert(changed, "post_id")
     append_batch(spark.createDataFrame([(name,) for name in fresh], "name string").coalesce(1), f"{state_path}/batches")
     return {"batches": len(fresh), "posts": changed.count(), "groups": len(groups)}

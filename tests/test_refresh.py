@@ -82,3 +82,20 @@ def test_silver_is_computed_once_for_all_states(spark, monkeypatch, name):
     monkeypatch.setattr(refresh_plans, "append_states", spied)
     assert not spark_queries.QUERIES[name](spark, "/root/testdata/sf0.001").isEmpty()
     assert len(plans) == 3 and not any(step in plan for plan in plans for step in ("Join", "Window", "Exchange"))
+
+
+def test_derived_columns_are_neither_shuffled_nor_staged(spark, path, monkeypatch):
+    stored = {}
+
+    def spied(df, name):
+        stored.setdefault(name, []).append(df)
+        return tables.staged(df, name)
+
+    monkeypatch.setattr(refresh_plans, "staged", spied)
+    for i in range(2):
+        tables.append_bronze(bronze_of(spark, post("a", score=i, ingestion_timestamp=DAY + timedelta(days=i)), post(f"o{i}")), path("bronze"), batch=f"{i}")
+        refresh_silver(spark, path("bronze"), path("silver"), path("state"))
+    assert not {"content", "created_date", "title_length"} & set(stored["silver"][0].columns)
+    expected = silver_posts(tables.read_bronze(spark, path("bronze")))
+    found = tables.read_table(spark, path("silver"), expected.schema).select(*expected.columns)
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
