@@ -72,7 +72,8 @@ def find_tokens(text: str) -> Iterator[tuple[int, int]]:
         third = run.span()
         joined = first and first[1] + 1 == second[0] and second[1] + 1 == third[0] and text[first[1]] == text[second[1]] == "."
         if joined and min(second[1] - second[0], third[1] - third[0]) >= JWT_LEAST:
-            start = text.find("eyJ", first[0], first[1] - JWT_LEAST)
+            # A negative end would count from the end of the text.
+            start = text.find("eyJ", first[0], max(0, first[1] - JWT_LEAST))
             if start >= 0:
                 yield start, third[1]
                 first = second = None
