@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.llm import decontaminate, language_id, packing, secrets, simhash
-from postmill.llm.common import fresh, may_be_among, quoted, slices, staged, table
+from postmill.llm.common import bound_batches, fresh, may_be_among, quoted, slices, staged, table
 
 ORACLE_SQL = None  # language codes, fingerprints, spans and token ids are beyond SQL
 
@@ -32,11 +32,14 @@ def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     The trees learn from the training folds' own labels; rejected are null texts and texts without a letter.
     """
+    bound_batches(spark)
     trees = language_id.train(language_id.learners(docs))
-    # All columns as one, so that none meets a name of the prediction.
-    whole = docs.select(F.struct(*quoted(docs.columns)).alias("_row"), F.col("text").alias("_text"))
-    kept = language_id.identify(whole, trees, "_text").filter(F.col("lang_pred") != language_id.UNDETERMINED)
-    return kept.select(*((F.col("lang_pred") if c == "lang" else F.col("_row")[c]).alias(c) for c in docs.columns))
+    # All other columns as one, so that none meets a name of the prediction; the text goes to the tasks once.
+    others = [c for c in docs.columns if c != "text"]
+    whole = docs.select(F.struct(*quoted(others)).alias("_row"), F.col("text").alias("_text"))
+    kept = language_id.identify(whole, trees, "_text", keep_text=True).filter(F.col("lang_pred") != language_id.UNDETERMINED)
+    told = {"lang": F.col("lang_pred"), "text": F.col("_text")}
+    return kept.select(*(told.get(c, F.col("_row")[c]).alias(c) for c in docs.columns))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,6 +48,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     Documents without id, and different texts under one id, are documents of their own; one without id
     stays where no document of its component has one.
     """
+    bound_batches(spark)
     rows, name = named(docs)
     found = simhash.near_duplicates(rows.select(name, "text"), id_column=name)
     chosen = F.bool_and(F.col(name) == F.col("component_id")).alias("chosen")
@@ -58,6 +62,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark; those without id are judged by their text alike."""
+    bound_batches(spark)
     rows, name = named(docs)
     found = decontaminate.contaminated(rows.select(name, "text"), table(spark, sf_dir, "benchmark"), name)
     leaks = staged(found.withColumnRenamed("doc_id", name), "leaks")
@@ -66,6 +71,7 @@ def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret replaced by a mark, and ``n_chars`` counted again."""
+    bound_batches(spark)
     spans = fresh(docs.columns, "_found")
     found = secrets.with_spans(docs, name=spans)
     # All other columns as one, so that their names are of no account.
@@ -88,6 +94,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document stands in the training sequences."""
+    bound_batches(spark)
     return packing.pack(docs)
 
 

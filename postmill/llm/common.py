@@ -14,6 +14,8 @@ from postmill.session import scratch_path
 
 # Text handed to numpy at a time; bounds the memory of a task whatever the rows are.
 CHUNK_BYTES = 1 << 20
+# Bytes of rows that an Arrow function gets at a time, where the session does not say.
+BATCH_BYTES = 4 << 20
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -29,6 +31,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow functions of this session get their rows in batches of about ``BATCH_BYTES``; a limit that was set stays.
+
+    Spark's own limits are 10,000 rows and 64 MB, which an executor holds several times over for each of its tasks.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def with_fields(docs: DataFrame, columns: Sequence[str], added: str) -> StructType:
     """The schema of some columns of ``docs``, of any name, and of ``added`` ones, as DDL."""
     return StructType([docs.schema[c] for c in columns] + StructType.fromDDL(added).fields)

@@ -13,7 +13,7 @@ all, escapes included; only strings that no language knows walk down at scoring
 Bounds: training reads about ``DOCS_PER_LANGUAGE`` whole documents of each language, chosen by a
 hash of the id (of the text, where there is none). Every language is learned, and has an equal share of the ``NODES`` longest strings
 that are kept, its own most frequent ones, and ``LEAST_NODES`` at least.
-Scoring reads every byte of every text, a chunk at a time.
+Scoring reads every byte of every text, a chunk at a time; the more languages, the shorter are the chunks.
 
 Defined results: a text that is null, or empty, or holds no letter, is ``und`` with score 0; so is
 every text when there is nothing to learn from. Equal code lengths go to the first language by
@@ -186,9 +186,10 @@ class ContextTrees:
         """Code length of each text in bits, per language."""
         data, starts, ends = _padded(texts)
         total = np.zeros((len(starts), len(self.languages)))
-        # Chunks bound the memory; a text may span several.
-        for begin in range(0, len(data), CHUNK_BYTES):
-            stop = min(begin + CHUNK_BYTES, len(data))
+        # Chunks bound the memory, as every byte has a cost in every language; a text may span several.
+        chunk = max(1, CHUNK_BYTES // (4 * len(self.languages)))
+        for begin in range(0, len(data), chunk):
+            stop = min(begin + chunk, len(data))
             head = max(0, begin - ORDER)
             costs = self.code_lengths(_grams(data[head:stop], ORDER + 1))
             # costs[i] belongs to the byte at head + ORDER + i.
@@ -249,13 +250,15 @@ def train(
     return ContextTrees(names, grams, counts)
 
 
-def identify(docs: DataFrame, trees: ContextTrees, text_column: str = "text") -> DataFrame:
-    """``docs`` without its text column, with ``lang_pred`` and ``score`` added.
+def identify(docs: DataFrame, trees: ContextTrees, text_column: str = "text", keep_text: bool = False) -> DataFrame:
+    """``docs`` without its text column, unless it is to be kept, with ``lang_pred`` and ``score`` added.
 
     The trees are of bounded size (``NODES`` strings) and are sent to the tasks once.
     """
     shared = docs.sparkSession.sparkContext.broadcast(trees)
     kept = [c for c in docs.columns if c not in (text_column, "lang_pred", "score")]
+    sent = [*kept, text_column]
+    kept = sent if keep_text else kept
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -264,7 +267,7 @@ def identify(docs: DataFrame, trees: ContextTrees, text_column: str = "text") ->
                 names, scores = model.predict(part[text_column])
                 yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), names, scores], [*kept, "lang_pred", "score"])
 
-    return docs.select(*quoted([*kept, text_column])).mapInArrow(run, with_fields(docs, kept, "lang_pred string, score double"))
+    return docs.select(*quoted(sent)).mapInArrow(run, with_fields(docs, kept, "lang_pred string, score double"))
 
 
 def learners(docs: DataFrame) -> DataFrame:

@@ -1,6 +1,11 @@
+import tracemalloc
+
 import corpus_pipeline
 import __spark_entry__ as entry_point
-from postmill.llm import secrets
+import numpy as np
+import pyarrow as pa
+import pytest
+from postmill.llm import language_id, secrets
 from pyspark.sql import functions as F
 from test_operators import brute_components, brute_fingerprint, documents, odd_documents
 
@@ -80,3 +85,44 @@ def test_columns_of_any_name_come_through(spark):
         assert out.columns == odd.columns
         rows = out.collect()
         assert rows and all(r[n] == f"{n}{r['doc_id']}" for r in rows for n in names) and all(r["nested"]["my id"] == r["doc_id"] for r in rows)
+
+
+@pytest.mark.parametrize("stage", [s for _, s in corpus_pipeline.STAGES])
+def test_stages_bound_the_bytes_of_a_batch(spark, stage):
+    limit, docs = "spark.sql.execution.arrow.maxBytesPerBatch", documents(spark)
+    long = spark.range(0, 8, 1, 1).select(F.expr("repeat('some words ', 300000)").alias("text"))
+
+    def rows(batches):
+        yield from (pa.RecordBatch.from_pydict({"rows": [len(b)]}) for b in batches)
+
+    def most():
+        return max(r["rows"] for r in long.mapInArrow(rows, "rows long").collect())
+
+    spark.conf.unset(limit)
+    try:
+        stage(spark, docs, SMALL)
+        assert most() <= 2
+        spark.conf.set(limit, "100m")
+        stage(spark, docs, SMALL)
+        assert most() == 8
+    finally:
+        spark.conf.unset(limit)
+
+
+def test_memory_of_a_score_does_not_grow_with_the_languages():
+    texts = {f"l{i:02}": f"words of language number {i} are {chr(97 + i % 26) * 3} and {i * i}" for i in range(60)}
+    grams, counts = zip(*(np.unique(language_id._own_grams(pa.array([t])), return_counts=True) for t in texts.values()), strict=True)
+    keys = np.unique(np.concatenate(grams))
+    table = np.zeros((len(keys), len(texts)))
+    for i, (g, n) in enumerate(zip(grams, counts, strict=True)):
+        table[np.searchsorted(keys, g), i] = n
+    trees = language_id.ContextTrees(list(texts), keys, table)
+    long = " ".join(texts.values()) * 100
+    asked = pa.array(["", long, "words", long])
+    tracemalloc.start()
+    bits = trees.bits_of(asked)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 40 << 20
+    assert np.allclose(bits, np.concatenate([trees.bits_of(asked.slice(i, 1)) for i in range(4)]))
+    assert np.allclose(bits[2], sum(trees.code_lengths(language_id._own_grams(asked.slice(2, 1)))))
