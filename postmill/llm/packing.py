@@ -39,7 +39,7 @@ END = 1
 # Distinct words, and parts of words, a worker remembers; bytes of text looked at together, and parts
 # handed to the tokenizer at a time.
 MEMORY = 400_000
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 1 << 20
 AT_ONCE = 2000
 
 # Fixed pattern of the tokenizer's own splitting, for lower-case text of ASCII and Latin-1 letters.
@@ -106,14 +106,13 @@ class ChunkTokenizer:
         new = [i for i, known in enumerate(ids) if known is None]
         for i, found in zip(new, self._new_words([distinct[i] for i in new]), strict=True):
             ids[i] = found
-        order = codes.tolist()
         special = pc.fill_null(pc.match_substring(texts, "<|"), False).to_pylist()
         at = 0
         for row, n in enumerate(counts.tolist()):
             if special[row]:
                 yield self._whole(texts[row].as_py())
             else:
-                yield b"".join([ids[i] for i in order[at : at + n]])
+                yield b"".join([ids[i] for i in codes[at : at + n].tolist()])
             at += n
 
 
