@@ -12,12 +12,14 @@ are spread over all tasks.
 
 Tokens: the ids of the tokenizer, then ``END``. A text is split at ASCII white space, at which this
 tokenizer always splits, and each distinct chunk is tokenised once per worker (up to a bounded
-memory). Texts in which a special token is spelled out are tokenised whole.
+memory). Texts in which a special token is spelled out are tokenised whole. Parts that its normalizer leaves as they are
+and its pattern does not split go straight to its model, if the file has the rules these patterns are written for.
 
 Defined results: null and empty texts are the one token ``END``; repeated rows each get pieces of their
 own; a null doc_id is kept; an empty table gives no rows. Longer texts than ``CAPACITY`` give full pieces and at most one shorter.
 """
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -30,21 +32,39 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from postmill.llm.common import encoded_words, slices, staged
 
 CAPACITY = 4096
 END = 1
-# Distinct words, and parts of words, a worker remembers; bytes of text looked at together, and parts
-# handed to the tokenizer at a time.
-MEMORY = 400_000
+# Distinct words, and parts of words, a worker remembers; bytes of text looked at together, parts
+# handed to the tokenizer at a time, and words whose ids are put in a row at a time.
+MEMORY = 600_000
 TEXT_BYTES = 1 << 20
 AT_ONCE = 2000
+WORDS_AT_ONCE = 100_000
 
 # Fixed pattern of the tokenizer's own splitting, for lower-case text of ASCII and Latin-1 letters.
 _PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 _PLAIN = re.compile(r"[!-~ß-öø-ÿ]*")
+# The tokenizer's rules that these patterns, and the model's spelling of letters, stand for.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_RULES = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+_BYTES = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+_SPELLED = {ord(c): _BYTES.pre_tokenize_str(c)[0][0] for c in map(chr, range(ord("ß"), ord("ÿ") + 1))}
 
 
 def packing_tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -61,11 +81,19 @@ class ChunkTokenizer:
         for token, number in self.tokenizer.get_vocab().items():
             ends[number] = token.endswith("</w>")
         self.ends = ends
+        rules = json.loads(self.tokenizer.to_str())
+        self.model = self.tokenizer.model if all(rules[k] == v for k, v in _RULES.items()) else None
+        # A part of a word may be a word itself, so one memory serves for both.
         self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.raw = [np.array([i], "<u4").tobytes() for i in range(len(ends))]
 
     def _learn(self, parts: list[str]) -> None:
         """Ids of parts that stand alone; each part's last token, and no other, ends a word."""
+        if self.model:
+            known, raw, tokens = self.known, self.raw, self.model.tokenize
+            for part in parts:
+                known[part] = b"".join([raw[t.id] for t in tokens(part if part.isascii() else part.translate(_SPELLED))])
+            return
         for i in range(0, len(parts), AT_ONCE):
             some = parts[i : i + AT_ONCE]
             ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
@@ -78,21 +106,20 @@ class ChunkTokenizer:
                 at = cut
 
     def _new_words(self, words: list[str]) -> list[bytes]:
-        split = [_PART.findall(w) if _PLAIN.fullmatch(w) else None for w in words]
-        new = dict.fromkeys(p for parts in split if parts for p in parts if p not in self.known)
-        if len(self.known) + len(new) > MEMORY:
+        # A word of ASCII letters is one part.
+        split = [[w] if w.isascii() and w.isalpha() else _PART.findall(w) if _PLAIN.fullmatch(w) else None for w in words]
+        known = self.known
+        new = dict.fromkeys(p for parts in split if parts for p in parts if p not in known)
+        if len(known) + len(new) + len(words) > MEMORY:
             # Start again with all parts of this call.
-            self.known.clear()
+            known.clear()
             new = dict.fromkeys(p for parts in split if parts for p in parts)
         self._learn(list(new))
-        known = self.known
         ids = [
             (known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])) if parts else self._whole(word)
             for word, parts in zip(words, split, strict=True)
         ]
-        if len(self.words) + len(words) > MEMORY:
-            self.words.clear()
-        self.words.update(zip(words, ids, strict=True))
+        known.update(zip(words, ids, strict=True))
         return ids
 
     def _whole(self, text: str) -> bytes:
@@ -101,19 +128,23 @@ class ChunkTokenizer:
     def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text, as little-endian 32-bit numbers."""
         codes, words, counts = encoded_words(texts)
-        distinct = words.to_pylist()
-        ids = [self.words.get(w) for w in distinct]
+        # By way of numpy, as a list of Arrow strings is slow to make.
+        distinct = words.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.known.get, distinct))
         new = [i for i, known in enumerate(ids) if known is None]
         for i, found in zip(new, self._new_words([distinct[i] for i in new]), strict=True):
             ids[i] = found
         special = pc.fill_null(pc.match_substring(texts, "<|"), False).to_pylist()
-        at = 0
-        for row, n in enumerate(counts.tolist()):
-            if special[row]:
-                yield self._whole(texts[row].as_py())
-            else:
-                yield b"".join([ids[i] for i in codes[at : at + n].tolist()])
-            at += n
+        flat, sizes = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts, ends = np.cumsum(sizes) - sizes, np.concatenate(([0], np.cumsum(sizes[codes])))
+        joined = np.empty(ends[-1], "<u4")
+        for i in range(0, len(codes), WORDS_AT_ONCE):
+            some = codes[i : i + WORDS_AT_ONCE]
+            first, last = ends[i], ends[i + len(some)]
+            joined[first:last] = flat[np.arange(first, last) + np.repeat(starts[some] - ends[i : i + len(some)], sizes[some])]
+        cuts = ends[np.concatenate(([0], np.cumsum(counts)))].tolist()
+        for row, is_special in enumerate(special):
+            yield self._whole(texts[row].as_py()) if is_special else joined[cuts[row] : cuts[row + 1]].tobytes()
 
 
 _tokenizers: dict[str, ChunkTokenizer] = {}

@@ -1,6 +1,7 @@
 """MinHash near-duplicates, the conversation trie and importance resampling, against brute force and on odd input."""
 
 import hashlib
+import json
 import math
 import random
 import re
@@ -10,11 +11,13 @@ from collections import defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_operators import LONG, SMALL, documents, odd_documents
+from tokenizers import Tokenizer
 
-from postmill.llm import importance, language_id, minhash, prefix_trie, secrets
+from postmill.llm import importance, language_id, minhash, packing, prefix_trie, secrets
 from postmill.llm.common import may_be_among, spread_join
 
 # 11 MinHash near-duplicates
@@ -307,3 +310,40 @@ def test_keys_and_tokens_are_those_of_the_patterns():
         text = "".join(draw.choice(pieces) for _ in range(draw.randrange(1, 16)))
         assert list(secrets.find_keys(text)) == [m.span() for m in pem.finditer(text)]
         assert list(secrets.find_tokens(text)) == [m.span() for m in jwt.finditer(text)]
+
+
+# 6 packing
+
+
+def test_ids_of_plain_words_come_from_the_model_alone(tmp_path, monkeypatch):
+    path = packing.packing_tokenizer_path()
+    whole, draw = Tokenizer.from_file(path), random.Random(3)
+    pieces = [*"abcdeßéöøÿ0123'.,-!~", "'s", "'re", "'ll", "ing", "tion", "aujourd'hui", "größe"]
+    words = ["".join(draw.choice(pieces) for _ in range(draw.randrange(1, 9))) for _ in range(3000)]
+    texts = [" ".join(draw.choice(words) for _ in range(draw.randrange(40))) for _ in range(300)]
+    odd = ["", None, " \t\n", "É ÷ Ω x   café", "a <|endoftext|> b", "AbC \x1c \x7f", "the the the"]
+    mixed = pa.array([t for pair in zip(texts, odd * 50) for t in pair])
+
+    def expected(text):
+        return np.array(whole.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
+
+    class Unused:
+        def encode(self, *args, **kwargs):
+            raise AssertionError("normalizer and pattern were run")
+
+    monkeypatch.setattr(packing, "WORDS_AT_ONCE", 7)
+    fast = packing.ChunkTokenizer(path)
+    real, fast.tokenizer = fast.tokenizer, Unused()
+    assert list(fast.encode(pa.array(texts))) == [expected(t) for t in texts]
+    fast.tokenizer = real
+    assert list(fast.encode(mixed)) == [expected(t) for t in mixed.to_pylist()]
+    assert list(fast.encode(pa.array(["", None], pa.string()))) == [b"", b""]
+
+    # A memory that overflows, and a file with other rules, which the model alone does not know.
+    monkeypatch.setattr(packing, "MEMORY", 100)
+    assert list(fast.encode(mixed)) == [expected(t) for t in mixed.to_pylist()]
+    rules = json.loads(whole.to_str())
+    rules["normalizer"]["normalizers"].append({"type": "Replace", "pattern": {"String": "a"}, "content": "e"})
+    (tmp_path / "other.json").write_text(json.dumps(rules))
+    other, whole = packing.ChunkTokenizer(str(tmp_path / "other.json")), Tokenizer.from_file(str(tmp_path / "other.json"))
+    assert list(other.encode(mixed)) == [expected(t) for t in mixed.to_pylist()]
