@@ -10,8 +10,9 @@ Rules: ``assign``, ``access`` and ``hex`` as the base kinds, and two that the me
 key block) and ``jwt`` (three base64url parts that begin as a JSON header does). Spans are code points, end exclusive.
 
 Defined results: a null text is the empty blob; repeated rows each come back; the ledger may be
-empty or missing, or hold a pair twice; an empty table gives no rows. Columns of any name come back, but for those that are added here. Copies
-of a blob meet in their own task before they are shuffled, so however many there are, each task sends one; their paths are spread.
+empty or missing, or hold a pair twice; an empty table gives no rows. Columns of any name come back, but for those that are added here.
+A text that comes once and is new is scanned where it is read. The others are shuffled; copies of a blob meet in their own
+task before, so however many there are, each task sends one; their paths are spread.
 """
 
 import hashlib
@@ -24,7 +25,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm.common import fresh, quoted, slices, spread_join, staged
+from postmill.llm.common import fresh, may_be_among, quoted, slices, spread_join, staged
 from postmill.session import scratch_path
 
 RULE_VERSION = 1
@@ -142,7 +143,12 @@ def scan_new(docs: DataFrame, ledger_path: str, text_column: str = "text", rule_
     """
     blobs = docs.select(blob_id(text_column).alias("blob"), F.coalesce(text_column, F.lit("")).alias("text"))
     known = read_ledger(docs.sparkSession, ledger_path).filter(F.col("rule_version") == rule_version).select("blob")
-    unseen = blobs.dropDuplicates(["blob"]).join(known, "blob", "left_anti")
+    # Most blobs are new and come once: a bitmap tells them, and their texts are not moved.
+    key = F.xxhash64("blob")
+    copied = blobs.groupBy(key.alias("key")).agg(F.count("*").alias("rows")).filter("rows > 1").select("key")
+    in_doubt = may_be_among(staged(copied.union(known.select(key)), "in_doubt"), "key")(key)
+    unseen = blobs.filter(in_doubt).dropDuplicates(["blob"]).join(known, "blob", "left_anti")
+    unseen = blobs.filter(~in_doubt).unionByName(unseen)
     found = unseen.select("blob", "text").mapInArrow(_scan, f"blob string, found {FOUND}, base_sha256 string, spans string")
     found.withColumn("rule_version", F.lit(rule_version)).write.mode("append").parquet(ledger_path)
 
@@ -171,15 +177,18 @@ def with_spans(
 ) -> DataFrame:
     """All rows of ``docs`` with their text, and in column ``name`` their secrets, null where there are none.
 
-    Only findings meet the documents. They are written first, so Spark knows their size: few are broadcast and no text
-    moves; otherwise the documents are shuffled by blob.
+    Only findings meet the documents, and only documents that may have some: a bitmap tells the others, whose texts are not
+    moved. Findings are written first, so Spark knows their size: few are broadcast and no text moves at all.
     """
     ledger_path = ledger_path or scratch_path(docs.sparkSession, "ledger")
     scan_new(docs, ledger_path, rule_version=rule_version)
     blob = fresh(docs.columns, "_blob")
     some = findings(docs.sparkSession, ledger_path, rule_version).filter(F.size("found") > 0)
     hits = staged(some.select(F.col("blob").alias(blob), F.col("found").alias(name)), "hits")
-    return docs.withColumn(blob, blob_id()).join(hits, blob, "left").drop(blob)
+    rows, key = docs.withColumn(blob, blob_id()), F.xxhash64(blob)
+    may_have = may_be_among(hits.select(key.alias("key")), "key")(key)
+    clean = rows.filter(~may_have).withColumn(name, F.lit(None).cast(FOUND))
+    return rows.filter(may_have).join(hits, blob, "left").unionByName(clean).drop(blob)
 
 
 def with_counts(findings: DataFrame) -> DataFrame:

@@ -312,6 +312,34 @@ def test_keys_and_tokens_are_those_of_the_patterns():
         assert list(secrets.find_tokens(text)) == [m.span() for m in jwt.finditer(text)]
 
 
+def test_texts_are_not_moved_but_for_copies_known_ones_and_findings(spark, path, monkeypatch):
+    """Rows with a text that enter a deduplication or a join; both shuffle them once there are many."""
+    clean = [f"clean text number {i}" for i in range(400)]
+    found = [f"password=abcdef{i} and more" for i in range(20)]
+    texts = [*clean, *found, found[0], found[0], "a clean copy", "a clean copy", None, None, ""]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    secrets.scan_new(docs.filter("doc_id < 5"), path("ledger"))
+    moved = []
+
+    def watched(name):
+        real = getattr(type(docs), name)
+
+        def run(self, *args, **kwargs):
+            if "text" in self.columns:
+                moved.append(self.count())
+            return real(self, *args, **kwargs)
+
+        monkeypatch.setattr(type(docs), name, run)
+
+    watched("dropDuplicates")
+    watched("join")
+    spans = {r["doc_id"]: r["spans"] for r in secrets.with_spans(docs, path("ledger"), name="spans").collect()}
+    assert moved and max(moved) < 40
+    assert len(spans) == len(texts)
+    assert all([tuple(s) for s in spans[i] or []] == secrets.find_secrets(t or "") for i, t in enumerate(texts))
+    assert secrets.read_ledger(spark, path("ledger")).count() == len({t or "" for t in texts})
+
+
 # 6 packing
 
 
