@@ -170,7 +170,8 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
 
     Each round links every node's larger neighbours to its smallest one (large star) and then
     its smaller neighbours to the smallest (small star); rounds grow with the logarithm of the size. A
-    round's edges are written out, so lineage stays short; the edges of a large star's center are spread.
+    star's edges and its centers are written out, so that the driver plans each step by itself; the edges
+    of a large star's center are spread.
     """
 
     def star(pairs: DataFrame, larger: bool) -> DataFrame:
@@ -179,20 +180,21 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         else:
             pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = pairs.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("rows")).withColumn("m", F.least("a", "m"))
+        least = staged(least, "centers")
         joined = spread_join(pairs, least, "a", "rows", "b")
         moved = joined.filter("b > a" if larger else "b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         if not larger:
             moved = moved.union(least.select("a", F.col("m").alias("b")))
-        return moved.filter("a <> b").distinct()
+        return staged(moved.filter("a <> b").distinct(), "edges")
 
-    current, before = staged(edges.select("a", "b").filter("a <> b").distinct(), "edges"), None
+    current = staged(edges.select("a", "b").filter("a <> b").distinct(), "edges")
     for _ in range(max_rounds):
-        current = staged(star(star(current, True), False), "edges")
-        # The edges settle as one star per component; a sum over them tells when.
-        state = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
+        current = star(star(current, True), False)
+        # Settled are edges that all lead from a node with no other one to the smallest of its component.
+        both = current.select(F.col("a").alias("node"), F.lit(1).alias("ends")).union(current.select("b", F.lit(0)))
+        met = both.groupBy("node").agg(F.sum("ends").alias("ends"), F.min("ends").alias("least"))
+        if not met.filter("ends > least").count():
             break
-        before = state
     else:
         raise RuntimeError("components did not settle")
     ends = current.select(F.col("a").alias("node"), F.col("b").alias("root"))

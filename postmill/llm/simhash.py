@@ -221,8 +221,8 @@ def near_duplicates(docs: DataFrame, text_column: str = "text", id_column: str =
     rows = staged(fingerprints(docs.select(id_column, text_column), text_column), "fingerprints")
     distinct = staged(rows.groupBy("fingerprint").agg(F.min(id_column).alias("least"), F.count("*").alias("rows")), "distinct")
     roots = staged(components(links(distinct.select("fingerprint"), max_bits)), "roots")
-    linked = roots.join(distinct, F.col("fingerprint") == F.col("node")).select("fingerprint", "root", "least")
-    least = linked.groupBy("root").agg(F.min("least").alias("of_root"), F.count("*").alias("rows"))
+    linked = staged(roots.join(distinct, F.col("fingerprint") == F.col("node")).select("fingerprint", "root", "least"), "linked")
+    least = staged(linked.groupBy("root").agg(F.min("least").alias("of_root"), F.count("*").alias("rows")), "least")
     named = spread_join(linked.drop("least"), least, "root", "rows", "fingerprint").select("fingerprint", F.col("of_root").alias("of_links"))
     classes = distinct.join(named, "fingerprint", "left").select("fingerprint", "rows", F.coalesce("of_links", "least").alias("component_id"))
     # A fingerprint may be that of a third of all rows.

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from test_operators import LONG, SMALL, documents, odd_documents
 from tokenizers import Tokenizer
 
-from postmill.llm import importance, language_id, minhash, packing, prefix_trie, secrets
+from postmill.llm import common, importance, language_id, minhash, packing, prefix_trie, secrets
 from postmill.llm.common import may_be_among, spread_join
 
 # 11 MinHash near-duplicates
@@ -135,6 +135,30 @@ def test_spread_join(spark):
     assert sorted(map(tuple, found.collect())) == sorted((7 if i < 3000 else i, i, 14 if i < 3000 else 2 * i) for i in range(4000))
 
 
+def test_components_settle_in_small_steps(spark, monkeypatch, capsys):
+    written, write = [], common.staged
+
+    def staged(df, name):
+        df.explain()
+        plan = capsys.readouterr().out
+        written.append((name, plan.count("Exchange"), plan.count("Aggregate")))
+        return write(df, name)
+
+    monkeypatch.setattr(common, "staged", staged)
+    star = [(0, i) for i in range(1, 300)]
+    chain = [(1000 + i, 1001 + i) for i in range(64)]
+    pairs = [(2001, 2000), (2000, 2001), (3000, 3000)]
+    found = common.components(spark.createDataFrame(star + chain + pairs, "a long, b long"))
+    expected = {**{i: 0 for i in range(300)}, **{1000 + i: 1000 for i in range(65)}, 2000: 2000, 2001: 2000}
+    assert sorted(map(tuple, found.collect())) == sorted(expected.items())
+    # The driver holds the plan of one star at a time, and no round follows the one that settles.
+    assert max(exchanges for _, exchanges, _ in written) <= 12 and max(aggregates for _, _, aggregates in written) <= 12
+    written.clear()
+    assert common.components(spark.createDataFrame(star, "a long, b long")).count() == 300
+    assert [name for name, *_ in written] == ["edges", "centers", "edges", "centers", "edges"]
+    assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_keys_that_may_be_among(spark):
     rows = spark.range(20_000).select(F.xxhash64("id").alias("key"), "id")
     passed = rows.filter(may_be_among(rows.filter("id < 2000").select("key"), "key")("key"))
