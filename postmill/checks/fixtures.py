@@ -68,6 +68,17 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*(columns.get(c, F.col(c)).alias(c) for c in bronze_columns()))
 
 
+def fetches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``bronze``, each fetch apart: for the second one only its own posts are joined."""
+    posts = base(spark, sf_dir)
+
+    def fetch(rows: DataFrame, more: int, at: str) -> DataFrame:
+        columns = {"score": F.col("score") + more, "ingestion_timestamp": F.lit(at).cast("timestamp")}
+        return rows.select(*(columns.get(c, F.col(c)).alias(c) for c in bronze_columns()))
+
+    return fetch(posts, 0, FIRST_FETCH), fetch(posts.filter("event_id % 7 = 0"), 1, SECOND_FETCH)
+
+
 def pages(spark: SparkSession, sf_dir: str, title: str = "title") -> DataFrame:
     """The same posts as listing pages: JSON bodies of at most PAGE_SIZE posts."""
     post = F.struct(

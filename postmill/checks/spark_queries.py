@@ -232,10 +232,9 @@ def silver_posts(spark, d):
 def silver_from_batches(spark, d):
     """Silver after three bronze batches, each taken in by itself: half of the first fetch, the other half, and the second fetch."""
     root = scratch_path(spark, "batches")
-    fetches = bronze(spark, d)
-    second = F.col("ingestion_timestamp") == F.lit(fixtures.SECOND_FETCH).cast("timestamp")
+    first, second = fixtures.fetches(spark, d)
     half = F.pmod(F.hash("post_id"), F.lit(2)) == 0
-    for batch in (fetches.filter(~second & half), fetches.filter(~second & ~half), fetches.filter(second)):
+    for batch in (first.filter(half), first.filter(~half), second):
         tables.append_bronze(batch, f"{root}/bronze")
         refresh.refresh_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/state")
     return tables.read_table(spark, f"{root}/silver", SILVER_DDL)

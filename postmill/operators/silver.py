@@ -17,6 +17,9 @@ from postmill.schema import FLAGS
 # What ``add_derived_columns`` adds.
 DERIVED = ("title_length", "selftext_length", "has_selftext", "content", "created_date", "created_hour", "day_of_week")
 
+# What decides between copies of a post before their texts do, the largest first.
+LATEST_BY = ("ingestion_timestamp", "score", "num_comments", "upvote_ratio")
+
 
 def deduplicate_posts(df: DataFrame) -> DataFrame:
     """The latest ingested copy of each post.
@@ -24,8 +27,8 @@ def deduplicate_posts(df: DataFrame) -> DataFrame:
     Copies of one fetch share the ingestion time, so all other columns follow as keys: only copies that are
     equal in all of them are left to chance.
     """
-    latest = [F.desc(c) for c in ("ingestion_timestamp", "score", "num_comments", "upvote_ratio")]
-    named = ("post_id", "ingestion_timestamp", "score", "num_comments", "upvote_ratio", "title")
+    latest = [F.desc(c) for c in LATEST_BY]
+    named = ("post_id", *LATEST_BY, "title")
     unordered = (MapType, VariantType)
     rest = [F.asc(f.name) for f in df.schema if f.name not in named and not isinstance(f.dataType, unordered)]
     return keep_first(df, ["post_id"], [*latest, F.asc("title"), *rest])
@@ -65,7 +68,11 @@ def add_derived_columns(df: DataFrame) -> DataFrame:
 def silver_posts(bronze: DataFrame, rebalance_by: str | None = None) -> DataFrame:
     """All steps. With ``rebalance_by`` the rows are spread for a table partitioned by that column,
     between the copies' removal and the derived columns, so that no derived text is shuffled."""
-    latest = deduplicate_posts(bronze)
+    return silver_of_latest(deduplicate_posts(bronze), rebalance_by)
+
+
+def silver_of_latest(latest: DataFrame, rebalance_by: str | None = None) -> DataFrame:
+    """All steps behind the removal of copies."""
     if rebalance_by:
         latest = latest.hint("rebalance", F.col(rebalance_by))
     for step in (clean_text_fields, normalize_types, add_derived_columns):

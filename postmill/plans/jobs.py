@@ -15,11 +15,12 @@ from postmill.functions.vectors import EncoderFactory
 from postmill.operators import gold
 from postmill.operators.embed import embed_posts, encode_query
 from postmill.operators.search import with_bucket
-from postmill.operators.silver import silver_posts
+from postmill.operators.silver import silver_of_latest, silver_posts
 from postmill.plans.late_top import rows_near_top
+from postmill.plans.latest import latest_rows
 from postmill.schema import SILVER_DDL, bronze_columns
 from postmill.sources.listing import cap_per_channel, landed_posts, reject_rows
-from postmill.sources.tables import KeyedTable, append_batch, append_bronze, overwrite_table, read_bronze, records_to_bronze, staged
+from postmill.sources.tables import KeyedTable, append_batch, append_bronze, overwrite_table, read_bronze, records_to_bronze, staged, with_places
 
 
 def silver_order() -> list[Column]:
@@ -72,9 +73,14 @@ def transform_bronze_to_silver(
 ) -> int:
     """Rebuild silver. With ``schema``, bronze's file footers need not be merged first.
 
-    ``rebalance`` is explained at ``overwrite_table``; here it comes before the derived columns.
+    ``rebalance`` is explained at ``overwrite_table``; here it comes before the derived columns. Copies of Parquet rows are
+    told apart by narrow columns and places (``latest_rows``).
     """
-    silver = silver_posts(read_bronze(spark, bronze_path, schema, fmt), "subreddit" if rebalance else None)
+    bronze, rebalance_by = read_bronze(spark, bronze_path, schema, fmt), "subreddit" if rebalance else None
+    if fmt == "parquet":
+        silver = silver_of_latest(latest_rows(with_places(bronze))[0], rebalance_by)
+    else:
+        silver = silver_posts(bronze, rebalance_by)
     return overwrite_table(silver, silver_path, "subreddit", rebalance=False, fmt=fmt, sort_by=silver_order())
 
 

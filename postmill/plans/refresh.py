@@ -6,9 +6,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.operators.silver import DERIVED, add_derived_columns, clean_text_fields, deduplicate_posts, normalize_types
+from postmill.operators.silver import DERIVED, LATEST_BY, add_derived_columns, clean_text_fields, normalize_types
 from postmill.plans.jobs import silver_order, transform_bronze_to_silver
-from postmill.sources.tables import BATCH, KeyedTable, append_batch, read_table, staged
+from postmill.plans.latest import latest_rows
+from postmill.sources.tables import BATCH, KeyedTable, append_batch, read_table, rows_at, staged, with_places
 
 
 def _done(spark: SparkSession, path: str) -> DataFrame:
@@ -28,54 +29,82 @@ def _in_groups(groups: list, column: str = "subreddit") -> Column:
 def refresh_silver(spark: SparkSession, bronze_path: str, silver_path: str, state_path: str) -> dict[str, int]:
     """Bring silver up to date with the bronze batches it has not seen; the result is that of a full rebuild.
 
-    ``state_path`` keeps the latest bronze row of every post, stored by a hash of its id, and the names of the batches taken in. Copies of a
-    post meet in the folder of its id; where the new copy is the latest, its row leaves the group it was in and enters its own. Silver's
-    partitions of these groups are read, changed and written over (dynamic partition overwrite), the others are neither read nor written. A
+    ``state_path`` keeps what decides between copies (``LATEST_BY``) of the latest one of every post, stored by a hash of its id, and the
+    names of the batches taken in. Copies of a post meet there by these narrow columns alone; only where they tie are whole rows compared,
+    those known read from bronze. Whole rows are picked out of bronze by their places (``rows_at``) and shuffled once, by group.
+
+    A group of silver that loses a row, as its post has a later copy, is read, changed and written over (dynamic partition overwrite). One that
+    only gains rows gets files more, and is written over once it has many small ones. Others are neither read whole nor written. A
     group that loses its last post, whose folder no such write removes, has silver rebuilt, as has a silver that is not there yet.
 
-    What silver gets is written to scratch first, silver is written before the state, and a batch is noted last: a run that broke off is
-    mended by the next one. A batch that replaces itself under its name must hold the same posts. Returns the numbers of batches, of posts that changed and of groups written.
+    Silver is written before the state, and a batch is noted last: the next run after one that broke off finds what that has added to silver
+    by its ids. A batch that replaces itself under its name must hold the same posts. Returns the numbers of batches, of posts that changed and of groups written.
     """
-    bronze = read_table(spark, bronze_path).withColumn(BATCH, F.col(BATCH).cast("string"))
+    bronze = with_places(read_table(spark, bronze_path)).withColumn(BATCH, F.col(BATCH).cast("string"))
     done = _done(spark, f"{state_path}/batches")
     # The names are partition values: no column of bronze is read for them.
     fresh = [r[0] for r in bronze.select(BATCH).distinct().join(done, F.col(BATCH) == F.col("name"), "left_anti").collect()]
     if not fresh:
         return {"batches": 0, "posts": 0, "groups": 0}
     latest = KeyedTable(spark, f"{state_path}/latest")
-    arrived = bronze.filter(F.col(BATCH).isin(fresh)).drop(BATCH)
-    old = None
     if latest.exists():
-        keys = staged(arrived.select("post_id").distinct(), "ids")
-        old = staged(latest.rows_of(keys, "post_id"), "known")
-        # Of equal copies the known one wins, and nothing changes.
-        both = arrived.withColumn("_new", F.lit(True)).unionByName(old.withColumn("_new", F.lit(False)), allowMissingColumns=True)
-        both = both.select(*(c for c in both.columns if c != "_new"), "_new")
-        changed = staged(deduplicate_posts(both).filter("_new").drop("_new"), "changed")
+        posts, groups = _take_in(spark, bronze, fresh, latest, bronze_path, silver_path)
     else:
-        changed = staged(deduplicate_posts(arrived), "changed")
-    left = changed.select("subreddit")
-    if old is not None:
-        ids = changed.select(F.col("post_id").alias("_id"))
-        left = left.unionAll(old.join(ids, F.col("post_id").eqNullSafe(F.col("_id")), "left_semi").select("subreddit"))
+        posts = transform_bronze_to_silver(spark, bronze_path, silver_path)
+        silver = spark.read.schema(_silver_schema(spark, silver_path)).parquet(silver_path)
+        groups = silver.select("subreddit").distinct().count()
+        latest.upsert(silver.select("post_id", *LATEST_BY), "post_id")
+    append_batch(spark.createDataFrame([(name,) for name in fresh], "name string").coalesce(1), f"{state_path}/batches")
+    return {"batches": len(fresh), "posts": posts, "groups": groups}
+
+
+def _take_in(spark: SparkSession, bronze: DataFrame, fresh: list[str], latest: KeyedTable, bronze_path: str, silver_path: str) -> tuple[int, int]:
+    """Silver and state with the ``fresh`` batches; how many posts changed, and how many groups were written."""
+    arrived = bronze.filter(F.col(BATCH).isin(fresh)).drop(BATCH)
+    keys = staged(arrived.select("post_id").distinct(), "ids")
+    known = latest.rows_of(keys, "post_id").select("post_id", *LATEST_BY)
+    changed, narrow = latest_rows(arrived, known, bronze.filter(~F.col(BATCH).isin(fresh)).drop(BATCH))
+    silver = with_places(spark.read.schema(_silver_schema(spark, silver_path)).parquet(silver_path).withColumn("_small", F.col("_metadata.file_size") < SMALL_FILE))
+    ids = narrow.select(F.col("post_id").alias("_id"))
+    held = silver.select("post_id", "subreddit", "_file", "_row").join(ids, F.col("post_id").eqNullSafe(F.col("_id")), "left_semi")
+    gone = staged(held.drop("post_id"), "silver")
     # One name per group touched.
-    groups = [r[0] for r in left.distinct().collect()]
-    if old is None:
+    lost = {r[0]: r[1] for r in gone.groupBy("subreddit").count().collect()}
+    gained = [r[0] for r in narrow.select("subreddit").distinct().collect()]
+    only_lost = [g for g in lost if g not in gained]
+    if any(r[1] == lost[r[0]] for r in silver.filter(_in_groups(only_lost)).groupBy("subreddit").count().collect()):
         transform_bronze_to_silver(spark, bronze_path, silver_path)
-    elif groups:
-        silver = spark.read.option("mergeSchema", "true").schema(_silver_schema(spark, silver_path)).parquet(silver_path)
-        # Derived columns, one of which holds the whole text again, are neither shuffled nor staged: they are derived once more when silver is written.
+    else:
         made = reduce(DataFrame.transform, (clean_text_fields, normalize_types), changed)
-        stays = silver.filter(_in_groups(groups)).drop(*DERIVED).join(ids, F.col("post_id").eqNullSafe(F.col("_id")), "left_anti")
-        merged = staged(stays.unionByName(made.drop(*DERIVED), allowMissingColumns=True).hint("rebalance", F.col("subreddit")), "silver")
-        if merged.select("subreddit").distinct().count() < len(groups):
-            transform_bronze_to_silver(spark, bronze_path, silver_path)
-        else:
-            whole = add_derived_columns(merged)
-            whole.sortWithinPartitions("subreddit", *silver_order()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("subreddit").parquet(silver_path)
-    latest.upsert(changed, "post_id")
-    append_batch(spark.createDataFrame([(name,) for name in fresh], "name string").coalesce(1), f"{state_path}/batches")
-    return {"batches": len(fresh), "posts": changed.count(), "groups": len(groups)}
+        over = [*lost, *_crowded(silver, [g for g in gained if g not in lost])]
+        more = [g for g in gained if g not in over]
+        if more:
+            _write_groups(made.filter(_in_groups(more)).hint("rebalance", F.col("subreddit")), silver_path, "append")
+        if over:
+            # Rows of large files are written where they are read, those of small ones meet the new ones in few files.
+            stays = rows_at(silver.filter(_in_groups(over)), gone, there=False).drop("_file", "_row", *DERIVED)
+            moved = stays.filter("_small").drop("_small").unionByName(made.filter(_in_groups(over)), allowMissingColumns=True)
+            rows = stays.filter("not _small").drop("_small").unionByName(moved.hint("rebalance", F.col("subreddit")), allowMissingColumns=True)
+            _write_groups(rows, silver_path, "overwrite")
+    latest.upsert(narrow.drop("subreddit"), "post_id")
+    return narrow.count(), len({*lost, *gained})
+
+
+# Files below this size are small, and a group with more of them than that is written over.
+SMALL_FILE = 8 << 20
+MOST_SMALL = 16
+
+
+def _crowded(silver: DataFrame, groups: list) -> list:
+    """Those of ``groups`` with too many small files; no column is read for it."""
+    files = silver.filter(_in_groups(groups)).filter("_small").groupBy("subreddit").agg(F.count_distinct("_file").alias("files"))
+    return [r[0] for r in files.filter(F.col("files") > MOST_SMALL).collect()]
+
+
+def _write_groups(rows: DataFrame, silver_path: str, mode: str) -> None:
+    """Rows without derived columns into their groups: these are derived behind the shuffle and the sort."""
+    whole = add_derived_columns(rows.sortWithinPartitions("subreddit", *silver_order()))
+    whole.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("subreddit").parquet(silver_path)
 
 
 def _silver_schema(spark: SparkSession, path: str):

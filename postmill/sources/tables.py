@@ -19,6 +19,10 @@ JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 # The folder column that names a batch of bronze.
 BATCH = "batch"
 
+# Rows of a file that share a bitmap, as a power of two, fixed by the size of Spark's bitmaps; and how many of these are broadcast.
+BLOCK_BITS = 15
+MOST_BITMAPS = 1 << 14
+
 
 def records_to_bronze(spark: SparkSession, records: Iterable[dict]) -> DataFrame:
     """Records held by the caller as a bronze DataFrame; meant for small inputs."""
@@ -123,6 +127,28 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_places(table: DataFrame) -> DataFrame:
+    """A table of Parquet files as it is read, with the file and the number of each row there."""
+    return table.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+
+
+def rows_at(table: DataFrame, places: DataFrame, there: bool = True) -> DataFrame:
+    """The rows of ``table`` (see ``with_places``) at ``places``, or all others; only places are shuffled, never a row.
+
+    Places become bitmaps, each of a block of 32,768 rows of a file: one bit per row of the blocks that have any. They are broadcast up to
+    64 MB, rows of half a billion; beyond, Spark chooses the join.
+    """
+    block, bit = (F.expr(f"shiftright(_row, {BLOCK_BITS})"), F.expr(f"_row & {(1 << BLOCK_BITS) - 1}"))
+    blocks = places.select(F.col("_file").alias("_of_file"), block.alias("_block"), bit.alias("_bit")).repartition("_of_file", "_block")
+    bitmaps = staged(blocks.groupBy("_of_file", "_block").agg(F.bitmap_construct_agg("_bit").alias("_bits")), "bitmaps")
+    if bitmaps.count() <= MOST_BITMAPS:
+        bitmaps = F.broadcast(bitmaps)
+    met = table.join(bitmaps, (F.col("_file") == F.col("_of_file")) & (block == F.col("_block")), "inner" if there else "left")
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright(bit, 3).cast("int") + 1, 1)), 16, 10).cast("int")
+    found = F.coalesce(F.getbit(byte, bit.bitwiseAND(F.lit(7)).cast("int")), F.lit(0)) == 1
+    return met.filter(found if there else ~found).select(*table.columns)
+
+
 def upsert(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """Rows of ``batch`` replace or join those of ``target``; nothing else is removed.
 

@@ -7,7 +7,7 @@ import pytest
 from helpers import DAY, bronze_of, plan_of, post, rows_of
 from postmill.checks import fixtures, spark_queries
 from postmill.operators import gold
-from postmill.operators.silver import silver_posts
+from postmill.operators.silver import LATEST_BY, silver_posts
 from postmill.plans import refresh as refresh_plans
 from postmill.plans.refresh import append_states, gold_of_states, refresh_silver
 from postmill.sources import tables
@@ -99,3 +99,65 @@ def test_derived_columns_are_neither_shuffled_nor_staged(spark, path, monkeypatc
     expected = silver_posts(tables.read_bronze(spark, path("bronze")))
     found = tables.read_table(spark, path("silver"), expected.schema).select(*expected.columns)
     assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+
+
+def assert_rebuilt(spark, path):
+    expected = silver_posts(tables.read_bronze(spark, path("bronze")))
+    found = tables.read_table(spark, path("silver"), expected.schema).select(*expected.columns)
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+
+
+def test_a_group_that_only_gains_posts_keeps_its_files(spark, path):
+    for i in range(2):
+        tables.append_bronze(bronze_of(spark, *(post(f"{i}{n}", subreddit="a", score=n) for n in range(5))), path("bronze"), batch=f"{i}")
+        before = files_of(path("silver/subreddit=a"))
+        refresh_silver(spark, path("bronze"), path("silver"), path("state"))
+    after = files_of(path("silver/subreddit=a"))
+    assert before.items() < after.items()
+    assert_rebuilt(spark, path)
+    assert tables.KeyedTable(spark, path("state/latest")).read().columns == ["post_id", *LATEST_BY]
+
+
+@pytest.mark.parametrize(("small", "most"), [(8 << 20, 16), (0, 16), (8 << 20, 0)])
+def test_ties_are_settled_by_whole_rows(spark, path, monkeypatch, small, most):
+    monkeypatch.setattr(refresh_plans, "SMALL_FILE", small)
+    monkeypatch.setattr(refresh_plans, "MOST_SMALL", most)
+    later = {"ingestion_timestamp": DAY + timedelta(days=1)}
+    nan = float("nan")
+    batches = [
+        # Within the first batch: a tie, equal rows, no id, no score and no number.
+        [post("a", selftext="m"), post("b", selftext="m"), post("b", selftext="n"), post("c"), post("c"), post(None, title="x"), post("s", score=None),
+         post("r", upvote_ratio=nan, subreddit="h"), *(post(f"k{i}", subreddit="h", score=i) for i in range(5))],
+        # The known copy wins, the new one does, they are equal; later ones tie with one another.
+        [post("a", selftext="z"), post("b", selftext="a"), post("c"), post(None, title="w"), post("s", score=None, selftext="a"), post("r", upvote_ratio=nan, url="a"),
+         post("k1", **later, url="b"), post("k1", **later, url="a"), post("k2", **later, subreddit=None), post("new", subreddit="h")],
+        [post("a", selftext="z"), post("a", selftext="m"), post("k2", **later, subreddit="g"), post("newer", subreddit="h")],
+    ]
+    for i, rows in enumerate(batches):
+        tables.append_bronze(bronze_of(spark, *rows), path("bronze"), batch=f"{i}")
+        found = refresh_silver(spark, path("bronze"), path("silver"), path("state"))
+        assert_rebuilt(spark, path)
+        assert found["posts"] == [11, 7, 1][i]
+
+
+def test_a_run_that_broke_off_is_mended_by_the_next_one(spark, path, monkeypatch):
+    def broken(*_):
+        raise OSError("gone")
+
+    for i, day in enumerate((0, 1)):
+        rows = [post("a", score=i, ingestion_timestamp=DAY + timedelta(days=day)), post(f"o{i}"), post(f"n{i}", subreddit="more"), post(f"m{i}", subreddit=f"s{i}")]
+        tables.append_bronze(bronze_of(spark, *rows), path("bronze"), batch=f"{i}")
+        if i:
+            for step in ("upsert", "append_batch"):
+                with monkeypatch.context() as patch:
+                    patch.setattr(*((tables.KeyedTable, step) if step == "upsert" else (refresh_plans, step)), broken)
+                    with pytest.raises(OSError, match="gone"):
+                        refresh_silver(spark, path("bronze"), path("silver"), path("state"))
+        refresh_silver(spark, path("bronze"), path("silver"), path("state"))
+        assert_rebuilt(spark, path)
+
+
+def test_both_fetches_are_the_rows_of_bronze(spark):
+    first, second = fixtures.fetches(spark, "/root/testdata/sf0.001")
+    found, expected = first.unionByName(second), fixtures.bronze(spark, "/root/testdata/sf0.001")
+    assert found.columns == expected.columns and found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()

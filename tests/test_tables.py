@@ -4,7 +4,7 @@ from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
-from helpers import DAY, bronze_of, plan_of, post, rows_of, rows_scanned
+from helpers import DAY, bronze_of, plan_of, post, records_shuffled, rows_of, rows_scanned
 from postmill import session
 from postmill.operators.silver import silver_posts
 from postmill.plans import jobs
@@ -231,3 +231,20 @@ def test_sorted_files_are_skipped_by_score(spark, path):
         read[name] = sum(n for columns, n in rows_scanned(near).items() if "body" in columns)
     # Pages of 20,000 rows: one per file is left of all.
     assert read["plain"] > 250_000 and read["sorted"] <= 100_000
+
+
+def test_rows_at_places(spark, path, monkeypatch):
+    spark.range(100_000).withColumn("g", F.col("id") % 3).repartition(2).write.partitionBy("g").parquet(path("t"))
+    table = tables.with_places(spark.read.parquet(path("t")))
+    wanted = F.col("id").isin([0, 5, 32_767, 32_768, 65_536, 99_999]) | (F.pmod(F.hash("id"), F.lit(7)) == 0) & (F.col("id") < 60_000)
+    places = table.filter(wanted).select("_file", "_row")
+    for most in (1 << 14, 0):
+        monkeypatch.setattr(tables, "MOST_BITMAPS", most)
+        for there, expected in ((True, table.filter(wanted)), (False, table.filter(~wanted))):
+            found = tables.rows_at(table, places, there)
+            assert found.columns == table.columns
+            assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+    assert tables.rows_at(table, places.limit(0)).isEmpty() and tables.rows_at(table, places.limit(0), there=False).count() == 100_000
+    # No row of the table is moved.
+    monkeypatch.setattr(tables, "MOST_BITMAPS", 1 << 14)
+    assert records_shuffled(tables.rows_at(table, places)) == 0
