@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from postmill.operators.silver import DERIVED, LATEST_BY, add_derived_columns, clean_text_fields, normalize_types
 from postmill.plans.jobs import silver_order, transform_bronze_to_silver
 from postmill.plans.latest import latest_rows
-from postmill.sources.tables import BATCH, KeyedTable, append_batch, read_table, rows_at, staged, with_places
+from postmill.sources.tables import BATCH, STORED, KeyedTable, append_batch, read_table, rows_at, staged, with_places
 
 
 def _done(spark: SparkSession, path: str) -> DataFrame:
@@ -104,7 +104,7 @@ def _crowded(silver: DataFrame, groups: list) -> list:
 def _write_groups(rows: DataFrame, silver_path: str, mode: str) -> None:
     """Rows without derived columns into their groups: these are derived behind the shuffle and the sort."""
     whole = add_derived_columns(rows.sortWithinPartitions("subreddit", *silver_order()))
-    whole.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("subreddit").parquet(silver_path)
+    whole.write.mode(mode).options(**STORED).option("partitionOverwriteMode", "dynamic").partitionBy("subreddit").parquet(silver_path)
 
 
 def _silver_schema(spark: SparkSession, path: str):

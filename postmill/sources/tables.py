@@ -19,6 +19,9 @@ JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 # The folder column that names a batch of bronze.
 BATCH = "batch"
 
+# Stored Parquet tables are mostly text, which this makes smaller than Spark's default does; scratch keeps the default.
+STORED = {"compression": "zstd"}
+
 # Rows of a file that share a bitmap, as a power of two, fixed by the size of Spark's bitmaps; and how many of these are broadcast.
 BLOCK_BITS = 15
 MOST_BITMAPS = 1 << 14
@@ -113,6 +116,8 @@ def _write(
     writer = df.observe(rows, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode(mode)
     if fmt == "delta":
         writer = writer.options(**delta_options)
+    if fmt == "parquet":
+        writer = writer.options(**STORED)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.save(path)
